@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SCORE_PLACES = 12
-"""Computed scores are rounded here, so that sums taken in another order still tie."""
-
-
-def settle(score: Column) -> Column:
-    return F.round(score, SCORE_PLACES)
+# Computed scores are rounded, so that equal scores summed in another order still tie.
+# Sums of a few terms below 1 keep 12 places, long sums of larger terms 9.
+FUSED_PLACES = 12
+LEXICAL_PLACES = 9
 
 
 def positive_softmax(logits: Column | str, positive: int = 1) -> Column:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.functions.scores import LEXICAL_PLACES
 from rankflow.functions.text import decode_response, normalize_line, terms, truncate_words
 from rankflow.operators.metrics import DEFAULT_METRICS, evaluate
 from rankflow.operators.numbering import top_within
@@ -116,7 +117,7 @@ def feedback_terms(
         .agg(F.count("*").alias("df"))
     )
     weighted = counts.join(frequencies, "term").withColumn(
-        "weight", F.round(F.col("tf") * inverse_frequency(F.col("df"), collection.size), 12)
+        "weight", F.round(F.col("tf") * inverse_frequency(F.col("df"), collection.size), LEXICAL_PLACES)
     )
     best = top_within(weighted, ["qid"], [("weight", False), ("term", True)], m, "place")
     return best.select("qid", "term", "weight", "place")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.functions.scores import settle
+from rankflow.functions.scores import FUSED_PLACES
 from rankflow.operators.ranking import rank_run
 
 METHODS = ("sum", "mnz", "anz", "borda", "rrf")
@@ -77,7 +77,7 @@ def _fused_scores(
         union = rows.select(*keys, "pid").distinct().groupBy(*keys).agg(F.count("*").alias("_size"))
         lengths = figures.groupBy(*keys).agg(F.count("*").alias("_runs"), F.sum("_len").alias("_all"))
         fused = fused.join(union.join(lengths, list(keys)), list(keys))
-    return fused.select(*keys, "pid", *[settle(formulas[m]).alias(m) for m in methods])
+    return fused.select(*keys, "pid", *[F.round(formulas[m], FUSED_PLACES).alias(m) for m in methods])
 
 
 def fuse_scores(runs: DataFrame, methods: Sequence[str] = METHODS, k: int = RRF_K) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankflow.functions.scores import settle
+from rankflow.functions.scores import LEXICAL_PLACES
 from rankflow.functions.text import terms
 from rankflow.operators.numbering import top_within
 from rankflow.session import broadcast_when, is_small
@@ -151,7 +151,7 @@ def retrieve(
     scored = (
         index.postings.join(broadcast_when(index.small, index.weights), "term")
         .groupBy(*keys, "pid")
-        .agg(settle(F.sum(index.contribution(k1, b))).alias("score"))
+        .agg(F.round(F.sum(index.contribution(k1, b)), LEXICAL_PLACES).alias("score"))
     )
     top = top_within(scored, keys, [("score", False), ("pid", True)], k, fanout=fanout)
     return top.select(*keys, "pid", "rank", "score")
@@ -175,7 +175,7 @@ def score_bm25(
     """BM25 of given pairs ``(qid, pid)``, one row each; term weights from all passages."""
     index = LexicalIndex.of(queries, passages, keys, collection)
     part = F.coalesce(index.contribution(k1, b), F.lit(0.0))
-    return _matches(pairs, index, keys).groupBy(*keys, "pid").agg(settle(F.sum(part)).alias("score"))
+    return _matches(pairs, index, keys).groupBy(*keys, "pid").agg(F.round(F.sum(part), LEXICAL_PLACES).alias("score"))
 
 
 def rank_features(pairs: DataFrame, queries: DataFrame, passages: DataFrame, k1: float = 0.9, b: float = 0.4) -> DataFrame:
@@ -184,7 +184,7 @@ def rank_features(pairs: DataFrame, queries: DataFrame, passages: DataFrame, k1:
     index = LexicalIndex.of(queries, passages, keys, None)
     part = F.coalesce(index.contribution(k1, b), F.lit(0.0))
     matched = _matches(pairs, index, keys).groupBy("qid", "pid").agg(
-        settle(F.sum(part)).alias("bm25"), F.count("tf").alias("shared")
+        F.round(F.sum(part), LEXICAL_PLACES).alias("bm25"), F.count("tf").alias("shared")
     )
     asked = queries.select("qid", F.size(F.array_distinct(terms("text"))).cast("bigint").alias("query_terms"))
     lengths = passages.select("pid", F.regexp_count(F.lower("text"), F.lit(r"\p{L}+")).cast("bigint").alias("length"))
