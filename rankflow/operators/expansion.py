@@ -95,14 +95,14 @@ def apply_expansion(queries: DataFrame, responses: DataFrame, max_words: int = 3
 
 
 def feedback_terms(
-    queries: DataFrame, feedback: DataFrame, passages: DataFrame, m: int = 10, collection: Collection | None = None
+    queries: DataFrame, feedback: DataFrame, passages: DataFrame | Collection, m: int = 10
 ) -> DataFrame:
     """``(qid, term, weight, place)``: the ``m`` best feedback terms not in the query.
 
     The weight is the term's count in the query's feedback passages times its inverse
     document frequency in the collection.
     """
-    collection = collection or Collection.of(passages)
+    collection = Collection.of(passages)
     counts = (
         feedback.select("qid", F.explode(terms("passage")).alias("term"))
         .groupBy("qid", "term")
@@ -111,7 +111,7 @@ def feedback_terms(
     )
     vocabulary = counts.select("term").distinct()
     frequencies = (
-        passages.select(F.explode(F.array_distinct(terms("text"))).alias("term"))
+        collection.counts.select("term")
         .join(broadcast_when(is_small(vocabulary), vocabulary), "term", "left_semi")
         .groupBy("term")
         .agg(F.count("*").alias("df"))
@@ -126,13 +126,12 @@ def feedback_terms(
 def expand_terms(
     queries: DataFrame,
     feedback: DataFrame,
-    passages: DataFrame,
+    passages: DataFrame | Collection,
     m: int = 10,
     max_words: int | None = None,
-    collection: Collection | None = None,
 ) -> DataFrame:
     """``(qid, text)`` with the best feedback terms appended, optionally cut to a word cap."""
-    best = feedback_terms(queries, feedback, passages, m, collection)
+    best = feedback_terms(queries, feedback, passages, m)
     listed = F.array_sort(F.collect_list(F.struct("place", "term")))
     added = best.groupBy("qid").agg(F.array_join(F.transform(listed, lambda t: t.getField("term")), " ").alias("_added"))
     text = normalize_line(F.concat_ws(" ", "text", "_added"))
@@ -154,7 +153,7 @@ def label_variants(variants: dict[str, DataFrame]) -> DataFrame:
 def run_expansion_experiment(
     variants: DataFrame,
     candidates: DataFrame,
-    passages: DataFrame,
+    passages: DataFrame | Collection,
     qrels: DataFrame,
     metrics: Sequence[str] = DEFAULT_METRICS,
     score: Callable[..., DataFrame] = score_bm25,

@@ -82,19 +82,26 @@ def _insertion_point(cuts: Column, row: Column, order: Order) -> Column:
 
 
 def rank_within(
-    df: DataFrame, keys: Sequence[str], order: Order, out: str = "rank", split_rows: int = SPLIT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Order,
+    identity: Sequence[str],
+    out: str = "rank",
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """1-based rank of every row of every group; ``order`` must be total within a group.
 
-    Groups are cut where a row's hash is 0 modulo ``split_rows``. The cut points depend on
-    the rows alone, so a recomputed task sees the same ones. Groups far below
-    ``split_rows`` rows rarely hold a cut and stay whole; with no cut anywhere, adaptive
-    execution drops the cut joins. A cut table holds about rows / ``split_rows`` entries
-    (tens of MB at 10^12 rows), hence its broadcast.
+    Groups are cut at the rows whose hash over ``keys`` and ``identity`` (the columns that
+    tell the rows of a group apart) is 0 modulo ``split_rows``. The cuts depend on the rows
+    alone, so a recomputed task sees the same ones, and the filter can move below the
+    aggregation that made the rows. Groups far below ``split_rows`` rows rarely hold a cut
+    and stay whole; with no cut anywhere, adaptive execution drops the cut joins. The cut
+    table holds about rows / ``split_rows`` entries (tens of MB at 10^12 rows), hence its
+    broadcast.
     """
     names = [name for name, _ in order]
     cuts = (
-        df.filter(F.pmod(F.xxhash64(*keys, *names), F.lit(split_rows)) == 0)
+        df.filter(F.pmod(F.xxhash64(*keys, *identity), F.lit(split_rows)) == 0)
         .groupBy(*keys)
         .agg(F.collect_list(F.struct(*names)).alias("_cuts"))
         .withColumn(

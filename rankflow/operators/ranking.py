@@ -41,7 +41,7 @@ def rank_run(
     rows = scored if unique else last_wins(scored, [*keys, "pid"], ["score"])
     rows = sortable(rows, ties)
     if depth is None:
-        ranked = rank_within(rows, keys, run_order(ties), split_rows=split_rows)
+        ranked = rank_within(rows, keys, run_order(ties), identity=["pid"], split_rows=split_rows)
     else:
         ranked = top_within(rows, keys, run_order(ties), depth)
     return ranked.select(*keys, "pid", F.col("rank").cast("bigint").alias("rank"), "score")

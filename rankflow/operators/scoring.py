@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from rankflow.functions.scores import LEXICAL_PLACES
 from rankflow.functions.text import terms
 from rankflow.operators.numbering import top_within
-from rankflow.session import broadcast_when, is_small
+from rankflow.session import broadcast_when, is_small, stage
 
 Scorer = Callable[[list[str], list[str]], Sequence[float]]
 
@@ -59,20 +59,6 @@ def query_terms(queries: DataFrame, keys: Sequence[str] = ("qid",)) -> DataFrame
     return queries.select(*keys, F.explode(F.array_distinct(terms("text"))).alias("term"))
 
 
-@dataclass(frozen=True)
-class Collection:
-    """Passage count and mean length in terms, as scalar subqueries or known numbers."""
-
-    size: Column
-    mean_length: Column
-
-    @staticmethod
-    def of(passages: DataFrame) -> Collection:
-        length = F.regexp_count(F.lower("text"), F.lit(r"\p{L}+"))
-        measured = passages.select(length.alias("dl"))
-        return Collection(measured.agg(F.count("*")).scalar(), measured.agg(F.avg("dl")).scalar())
-
-
 def term_counts(passages: DataFrame) -> DataFrame:
     """``(pid, dl, term, tf)`` without a shuffle: runs of equal terms in each row's sorted
     term list."""
@@ -93,99 +79,132 @@ def term_counts(passages: DataFrame) -> DataFrame:
     return rows.select("pid", "dl", "t.term", "t.tf")
 
 
-def term_postings(passages: DataFrame, vocabulary: DataFrame, small: bool) -> DataFrame:
-    """Term counts for the terms of the vocabulary, brought together by passage."""
-    counts = term_counts(passages).join(broadcast_when(small, vocabulary), "term", "left_semi")
-    return counts.select("pid", "dl", "term", "tf").repartition("pid")
+@dataclass(frozen=True)
+class Collection:
+    """A passage collection as term counts, with its size and mean length in terms."""
+
+    counts: DataFrame
+    size: Column
+    mean_length: Column
 
+    @staticmethod
+    def of(passages: DataFrame | Collection) -> Collection:
+        """Lazy: every job on it reads and splits the text again."""
+        if isinstance(passages, Collection):
+            return passages
+        measured = passages.select(F.size(terms("text")).alias("dl"))
+        return Collection(term_counts(passages), measured.agg(F.count("*")).scalar(), measured.agg(F.avg("dl")).scalar())
 
-def document_frequencies(postings: DataFrame) -> DataFrame:
-    """``(term, df)``. Groups whole rows first: they are distinct already, but so this asks
-    the shuffle of ``postings`` for the same columns as scoring does and Spark runs it once.
-    """
-    return postings.distinct().groupBy("term").agg(F.count("*").alias("df"))
+    @staticmethod
+    def staged(passages: DataFrame) -> Collection:
+        """Term counts written once to the shared folder, for several jobs on one collection."""
+        counts = stage(term_counts(passages), "terms")
+        size = passages.count()
+        total = counts.agg(F.sum("tf")).first()[0] or 0
+        return Collection(counts, F.lit(size), F.lit(total / size if size else 0.0))
+
+
+def filtered_counts(counts: DataFrame, vocabulary: DataFrame, small: bool) -> DataFrame:
+    """Term counts for the terms of the vocabulary."""
+    kept = counts.join(broadcast_when(small, vocabulary), "term", "left_semi")
+    return kept.select("pid", "dl", "term", "tf")
 
 
 def inverse_frequency(df: Column, size: Column) -> Column:
     return F.log(1 + (size - df + 0.5) / (df + 0.5))
 
 
-@dataclass(frozen=True)
-class LexicalIndex:
-    """What one batch of queries needs of a collection: its postings and term weights."""
+def contribution(mean_length: Column, k1: float, b: float) -> Column:
+    """What one term adds to the BM25 of a pair; null without both its weight and its count."""
+    tf = F.col("tf")
+    return F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * (F.col("dl") / mean_length)))
 
-    postings: DataFrame
-    weights: DataFrame
-    collection: Collection
-    small: bool
 
-    @staticmethod
-    def of(queries: DataFrame, passages: DataFrame, keys: Sequence[str], collection: Collection | None) -> LexicalIndex:
-        collection = collection or Collection.of(passages)
-        wanted = query_terms(queries, keys)
-        small = is_small(wanted)
-        postings = term_postings(passages, wanted.select("term").distinct(), small)
-        weights = wanted.join(document_frequencies(postings), "term").select(
-            *keys, "term", inverse_frequency(F.col("df"), collection.size).alias("idf")
-        )
-        return LexicalIndex(postings, weights, collection, small)
-
-    def contribution(self, k1: float, b: float) -> Column:
-        tf = F.col("tf")
-        relative = F.col("dl") / self.collection.mean_length
-        return F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * relative))
+def _weighted(wanted: DataFrame, rows: DataFrame, collection: Collection) -> DataFrame:
+    """Query terms with their inverse document frequency; ``rows`` has one per (pid, term)."""
+    frequencies = rows.groupBy("term").agg(F.count("*").alias("df"))
+    idf = inverse_frequency(F.col("df"), collection.size)
+    return wanted.join(frequencies, "term").withColumn("idf", idf).drop("df")
 
 
 def retrieve(
     queries: DataFrame,
-    passages: DataFrame,
+    passages: DataFrame | Collection,
     k: int = 1000,
     k1: float = 0.9,
     b: float = 0.4,
     keys: Sequence[str] = ("qid",),
-    collection: Collection | None = None,
     fanout: int | None = None,
 ) -> DataFrame:
-    """Top ``k`` passages per query over the whole collection: ``(qid, pid, rank, score)``."""
-    index = LexicalIndex.of(queries, passages, keys, collection)
+    """Top ``k`` passages per query over the whole collection: ``(qid, pid, rank, score)``.
+
+    ``fanout`` merges each query's per-task bests in two steps, for very many tasks.
+    """
+    collection = Collection.of(passages)
+    wanted = query_terms(queries, keys)
+    small = is_small(wanted)
+    counts = filtered_counts(collection.counts, wanted.select("term").distinct(), small)
+    postings = counts.repartition("pid")
+    # Document frequencies read the same shuffle as scoring. The rows are distinct already;
+    # saying so keeps all their columns wanted, and Spark runs the shuffle once for both.
+    weights = _weighted(wanted, postings.distinct(), collection)
     scored = (
-        index.postings.join(broadcast_when(index.small, index.weights), "term")
+        postings.join(broadcast_when(small, weights), "term")
         .groupBy(*keys, "pid")
-        .agg(F.round(F.sum(index.contribution(k1, b)), LEXICAL_PLACES).alias("score"))
+        .agg(F.round(F.sum(contribution(collection.mean_length, k1, b)), LEXICAL_PLACES).alias("score"))
     )
     top = top_within(scored, keys, [("score", False), ("pid", True)], k, fanout=fanout)
     return top.select(*keys, "pid", "rank", "score")
 
 
-def _matches(pairs: DataFrame, index: LexicalIndex, keys: Sequence[str]) -> DataFrame:
-    """Each pair beside the query's terms that its passage holds (one empty row if none)."""
-    wanted = pairs.select(*keys, "pid").distinct().join(broadcast_when(index.small, index.weights), list(keys), "left")
-    return wanted.join(index.postings, ["pid", "term"], "left")
+def _scored_pairs(
+    pairs: DataFrame, queries: DataFrame, collection: Collection, k1: float, b: float, keys: Sequence[str]
+) -> DataFrame:
+    """``(keys, pid, score, shared)``: BM25 and the number of shared terms per pair.
+
+    Only the passages of the pairs are moved. A small query side is broadcast and meets
+    the passage terms where they are; a large one brings its terms to the pairs first.
+    """
+    pairs = pairs.select(*keys, "pid").distinct()
+    wanted = query_terms(queries, keys)
+    small = is_small(wanted)
+    counts = filtered_counts(collection.counts, wanted.select("term").distinct(), small)
+    weights = _weighted(wanted, counts, collection)
+    postings = counts.join(pairs.select("pid").distinct(), "pid", "left_semi")
+    if small:
+        matches = pairs.join(postings, "pid", "left").join(F.broadcast(weights), [*keys, "term"], "left")
+    else:
+        matches = pairs.join(weights, list(keys), "left").join(postings, ["pid", "term"], "left")
+    part = contribution(collection.mean_length, k1, b)
+    score = F.round(F.coalesce(F.sum(part), F.lit(0.0)), LEXICAL_PLACES)
+    return matches.groupBy(*keys, "pid").agg(score.alias("score"), F.count(part).alias("shared"))
 
 
 def score_bm25(
     pairs: DataFrame,
     queries: DataFrame,
-    passages: DataFrame,
+    passages: DataFrame | Collection,
     k1: float = 0.9,
     b: float = 0.4,
     keys: Sequence[str] = ("qid",),
-    collection: Collection | None = None,
 ) -> DataFrame:
     """BM25 of given pairs ``(qid, pid)``, one row each; term weights from all passages."""
-    index = LexicalIndex.of(queries, passages, keys, collection)
-    part = F.coalesce(index.contribution(k1, b), F.lit(0.0))
-    return _matches(pairs, index, keys).groupBy(*keys, "pid").agg(F.round(F.sum(part), LEXICAL_PLACES).alias("score"))
-
-
-def rank_features(pairs: DataFrame, queries: DataFrame, passages: DataFrame, k1: float = 0.9, b: float = 0.4) -> DataFrame:
-    """Lexical features per pair: BM25, shared terms, query terms, passage length."""
-    keys = ["qid"]
-    index = LexicalIndex.of(queries, passages, keys, None)
-    part = F.coalesce(index.contribution(k1, b), F.lit(0.0))
-    matched = _matches(pairs, index, keys).groupBy("qid", "pid").agg(
-        F.round(F.sum(part), LEXICAL_PLACES).alias("bm25"), F.count("tf").alias("shared")
-    )
+    return _scored_pairs(pairs, queries, Collection.of(passages), k1, b, keys).drop("shared")
+
+
+def rank_features(
+    pairs: DataFrame, queries: DataFrame, passages: DataFrame | Collection, k1: float = 0.9, b: float = 0.4
+) -> DataFrame:
+    """Lexical features per pair: BM25, shared terms, query terms, passage length.
+
+    A passage without any term has length 0.
+    """
+    collection = Collection.of(passages)
+    scored = _scored_pairs(pairs, queries, collection, k1, b, ["qid"]).withColumnRenamed("score", "bm25")
     asked = queries.select("qid", F.size(F.array_distinct(terms("text"))).cast("bigint").alias("query_terms"))
-    lengths = passages.select("pid", F.regexp_count(F.lower("text"), F.lit(r"\p{L}+")).cast("bigint").alias("length"))
-    return matched.join(asked, "qid").join(lengths, "pid").select("qid", "pid", "bm25", "shared", "query_terms", "length")
+    lengths = collection.counts.groupBy("pid").agg(F.max("dl").cast("bigint").alias("length"))
+    return (
+        scored.join(asked, "qid")
+        .join(lengths, "pid", "left")
+        .select("qid", "pid", "bm25", "shared", "query_terms", F.coalesce("length", F.lit(0)).alias("length"))
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +48,7 @@ def ranked_candidates(i: Inputs) -> DataFrame:
 
 @query
 def ranked_runs(i: Inputs) -> DataFrame:
-    return i.runs
+    return i.ranked_runs()
 
 
 @query
@@ -251,7 +251,7 @@ def bm25_merged_top(i: Inputs) -> DataFrame:
 @query
 def bm25_reranked(i: Inputs) -> DataFrame:
     """Retrieved candidates scored again under other length settings."""
-    scored = scoring.score_bm25(i.pairs.select("qid", "pid"), i.queries, i.passages, k1=1.2, b=0.75)
+    scored = scoring.score_bm25(i.pairs.select("qid", "pid"), i.queries, i.collection, k1=1.2, b=0.75)
     return _rounded(rank_run(scored, ties="pid", unique=True), "score")
 
 
@@ -311,13 +311,13 @@ def dev_reciprocal_rank(i: Inputs) -> DataFrame:
 
 @query
 def pair_features(i: Inputs) -> DataFrame:
-    return _rounded(scoring.rank_features(i.pairs.select("qid", "pid"), i.queries, i.passages), "bm25")
+    return _rounded(scoring.rank_features(i.pairs.select("qid", "pid"), i.queries, i.collection), "bm25")
 
 
 @query
 def fitted_ranker_metrics(i: Inputs) -> DataFrame:
     """A ranker fitted on candidates, with word-for-word holders as positives."""
-    features = stage(scoring.rank_features(i.pairs.select("qid", "pid"), i.queries, i.passages), "features")
+    features = stage(scoring.rank_features(i.pairs.select("qid", "pid"), i.queries, i.collection), "features")
     gold = i.text_qrels.select("qid", "pid", F.lit(1.0).alias("label"))
     labelled = features.join(gold, ["qid", "pid"], "left").fillna(0.0, ["label"])
     scored = ranker.score_with_ranker(ranker.fit_ranker(labelled), features)
@@ -366,13 +366,13 @@ def generated_responses(i: Inputs) -> DataFrame:
 @query
 def best_feedback_terms(i: Inputs) -> DataFrame:
     feedback = expansion.feedback_rows(i.candidates, FEEDBACK)
-    found = expansion.feedback_terms(i.queries, feedback, i.passages)
+    found = expansion.feedback_terms(i.queries, feedback, i.collection)
     return _rounded(found, "weight")
 
 
 def _feedback_expanded(i: Inputs) -> DataFrame:
     feedback = expansion.feedback_rows(i.candidates, FEEDBACK)
-    return expansion.expand_terms(i.queries, feedback, i.passages, max_words=EXPANDED_WORDS)
+    return expansion.expand_terms(i.queries, feedback, i.collection, max_words=EXPANDED_WORDS)
 
 
 @query
@@ -385,8 +385,7 @@ def _experiment(i: Inputs) -> DataFrame:
     named = {"original": i.queries, "answer": answered, "feedback": _feedback_expanded(i)}
     # Query sets are small; written once, they are not expanded again by every reader.
     variants = stage(expansion.label_variants(named), "variants")
-    pairs = stage(i.pairs.select("qid", "pid"), "pairs")
-    return expansion.run_expansion_experiment(variants, pairs, i.passages, i.text_qrels)
+    return expansion.run_expansion_experiment(variants, i.pairs, i.collection, i.text_qrels)
 
 
 @query
@@ -409,17 +408,12 @@ def parsed_log_metrics(i: Inputs) -> DataFrame:
 # --- files: written to the shared folder and read back ---
 
 
-def _rename_run(path: str) -> Sequence[str]:
-    return [f"{path}/{name}.run" for name in ("open", "revenue", "discount")]
-
-
 @query
 def reread_runs(i: Inputs) -> DataFrame:
     folder = shared_folder(i.spark, "runs")
-    runs = stage(i.runs, "runs")
-    paths = _rename_run(folder)
+    paths = [f"{folder}/{name}.run" for name in ("open", "revenue", "discount")]
     for path in paths:
-        sinks.write_run(runs.filter(F.col("run") == files.run_name(path)), path)
+        sinks.write_run(i.runs.filter(F.col("run") == files.run_name(path)), path)
     return files.read_runs(i.spark, paths)
 
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from rankflow.functions.text import words
 from rankflow.operators.numbering import top_within
 from rankflow.operators.ranking import rank_run
-from rankflow.operators.scoring import retrieve
-from rankflow.session import broadcast_when, is_small, spread
+from rankflow.operators.scoring import Collection, retrieve
+from rankflow.session import broadcast_when, is_small, spread, stage
 
 DEV_QUERIES = 20
 DEV_NEGATIVES = 10
@@ -58,16 +58,21 @@ class Inputs:
         scores = self.evidence.withColumn("discount", F.when(F.col("balance") >= 0, F.col("discount")))
         return scores.unpivot(["qid", "pid"], ["open", "revenue", "discount"], "run", "score").filter("score is not null")
 
+    def ranked_runs(self) -> DataFrame:
+        return rank_run(self.unranked_runs, ties="pid", keys=["run", "qid"], unique=True)
+
     @functools.cached_property
     def runs(self) -> DataFrame:
-        return rank_run(self.unranked_runs, ties="pid", keys=["run", "qid"], unique=True)
+        """The ranked runs as stored tables, which later steps read more than once."""
+        return stage(self.ranked_runs(), "runs")
 
     @functools.cached_property
     def qrels(self) -> DataFrame:
         """Grades 0 to 3 by returned quantity; pairs without filled lines and suppliers
         with a balance above 9000 are not judged."""
         grade = F.least(F.lit(3), F.floor(F.col("returned") / 15)).cast("int")
-        return self.evidence.filter("filled > 0 and balance <= 9000").select("qid", "pid", grade.alias("rel"))
+        judged = self.evidence.filter("filled > 0 and balance <= 9000")
+        return stage(judged.select("qid", "pid", grade.alias("rel")), "qrels")
 
     @functools.cached_property
     def scored(self) -> DataFrame:
@@ -106,10 +111,14 @@ class Inputs:
         """Triples of the queries that have a text."""
         return self.triples.join(self.queries.select("qid"), "qid", "left_semi")
 
+    @functools.cached_property
+    def collection(self) -> Collection:
+        return Collection.staged(self.passages)
+
     @functools.cached_property
     def pairs(self) -> DataFrame:
-        """First-stage candidates without text: ``(qid, pid, rank, score)``."""
-        return retrieve(self.queries, self.passages, k=CANDIDATES)
+        """First-stage candidates without text, stored: ``(qid, pid, rank, score)``."""
+        return stage(retrieve(self.queries, self.collection, k=CANDIDATES), "pairs")
 
     @functools.cached_property
     def candidates(self) -> DataFrame:
