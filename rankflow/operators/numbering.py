@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rankflow.session import broadcast_when, is_small
+
 Order = Sequence[tuple[str, bool]]
 """Sort order as (column, ascending) pairs."""
 
@@ -29,12 +31,25 @@ def sort_columns(order: Order) -> list[Column]:
 
 def last_wins(df: DataFrame, keys: Sequence[str], values: Sequence[str], ord: str = "ord") -> DataFrame:
     """One row per key: the values of its last row, at the position of its first row."""
-    newest = F.max_by(F.struct(*values), ord)
-    return (
-        df.groupBy(*keys)
-        .agg(newest.alias("_newest"), F.min(ord).alias(ord))
-        .select(*keys, *[F.col(f"_newest.{v}").alias(v) for v in values], ord)
+    newest = [F.max_by(v, ord).alias(v) for v in values]
+    return df.groupBy(*keys).agg(*newest, F.min(ord).alias(ord))
+
+
+def last_wins_wide(df: DataFrame, key: str, ord: str = "ord") -> DataFrame:
+    """``last_wins`` for rows too wide to shuffle, such as passage texts.
+
+    Only (key, ord) is grouped, to find the repeated keys. They are few in most files, and
+    the rows then meet them in a broadcast join; beyond its bound, in a shuffle join.
+    """
+    repeated = (
+        df.groupBy(key)
+        .agg(F.count("*").alias("_n"), F.min(ord).alias("_first"), F.max(ord).alias("_last"))
+        .filter("_n > 1")
+        .drop("_n")
     )
+    rows = df.join(broadcast_when(is_small(repeated), repeated), key, "left")
+    kept = rows.filter(F.col("_last").isNull() | (F.col(ord) == F.col("_last")))
+    return kept.withColumn(ord, F.coalesce("_first", ord)).drop("_first", "_last")
 
 
 def number_blocks(

@@ -1,0 +1,104 @@
+import gzip
+
+import pytest
+
+from rankflow.operators.ranking import rank_run
+from rankflow.sources import files, sinks
+
+
+def write(path, lines):
+    opener = gzip.open if str(path).endswith(".gz") else open
+    with opener(path, "wt", encoding="utf-8") as handle:
+        handle.write("\n".join(lines) + "\n")
+    return str(path)
+
+
+@pytest.mark.parametrize("block", ["4k", "64k", "128m"])
+def test_positions_are_contiguous_for_any_split(spark, tmp_path, block):
+    one = write(tmp_path / "a.tsv", [f"q{i}\tp{i}\tn{i}" for i in range(5000)])
+    two = write(tmp_path / "b.tsv.gz", [f"q{i}\tp{i}\tn{i}" for i in range(5000, 5600)])
+    three = write(tmp_path / "c.tsv", [f"q{i}\tp{i}\tn{i}" for i in range(5600, 7000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        found = files.read_triples(spark, [three, one, two]).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted((r.ord, r.qid) for r in found) == [(i, f"q{i}") for i in range(7000)]
+
+
+def test_id_text_splits_on_first_tab_and_last_duplicate_wins(spark, tmp_path, rows):
+    path = write(tmp_path / "c.tsv", ["1\tone\twith tab ", "2\ttwo", "1\tagain"])
+    assert rows(files.read_passages(spark, path), "ord", "pid", "text") == [(0, "1", "again"), (1, "2", "two")]
+    assert rows(files.read_passages(spark, path, unique=True), "ord", "text")[0] == (0, "one\twith tab ")
+
+
+def test_strict_queries_need_two_fields(spark, tmp_path, rows):
+    good = write(tmp_path / "q.tsv.gz", [" 7\twhat is spark ", "8\tsecond"])
+    assert rows(files.read_queries(spark, good, strict=True), "qid", "text") == [("7", "what is spark"), ("8", "second")]
+    bad = write(tmp_path / "bad.tsv", ["7\ta\tb"])
+    with pytest.raises(Exception, match="expected id"):
+        files.read_queries(spark, bad, strict=True).collect()
+
+
+def test_triples_take_any_blanks_and_exactly_three_ids(spark, tmp_path, rows):
+    path = write(tmp_path / "t.tsv", ["\t1 2 3  ", "4\t5\t6"])
+    assert rows(files.read_triples(spark, path)) == [(0, "1", "2", "3"), (1, "4", "5", "6")]
+    bad = write(tmp_path / "b.tsv", ["1 2"])
+    with pytest.raises(Exception, match="three ids"):
+        files.read_triples(spark, bad).collect()
+
+
+def test_candidates_of_other_widths(spark, tmp_path, rows):
+    path = write(tmp_path / "c.tsv", ["1\t2\tquery\tpassage", "1\t3\tshort", "1\t4\ta\tb\tlast"])
+    want = [(0, "1", "2", "passage"), (1, "1", "3", "short"), (2, "1", "4", "last")]
+    assert rows(files.read_candidates(spark, path)) == want
+    with pytest.raises(Exception, match="bad candidate"):
+        files.read_candidates(spark, path, strict=True).collect()
+
+
+def test_qrels_grades(spark, tmp_path, rows):
+    path = write(tmp_path / "qrels.txt", ["1 0 a 2", "1 Q0 b 0", "1 0 a 3"])
+    assert rows(files.read_qrels(spark, path)) == [("1", "a", 3), ("1", "b", 0)]
+    assert rows(files.read_qrels(spark, path, min_grade=1)) == [("1", "a", 3)]
+    bad = write(tmp_path / "bad.txt", ["1 0 a high"])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        files.read_qrels(spark, bad).collect()
+
+
+def test_runs_are_named_by_stem_and_must_differ(spark, tmp_path, rows):
+    a = write(tmp_path / "my run+1.v2.run", ["q Q0 p 1 2.5 tag"])
+    b = write(tmp_path / "other.run.gz", ["q Q0 p 1 0.5 tag"])
+    assert rows(files.read_runs(spark, [a, b])) == [("my run+1.v2", "q", "p", 1, 2.5), ("other", "q", "p", 1, 0.5)]
+    (tmp_path / "sub").mkdir()
+    twin = write(tmp_path / "sub" / "other.run", ["q Q0 p 1 0.5 tag"])
+    with pytest.raises(ValueError, match="other"):
+        files.read_runs(spark, [b, twin])
+
+
+@pytest.mark.parametrize("base", [0, 1])
+def test_run_round_trip(spark, tmp_path, rows, base):
+    scored = spark.createDataFrame(
+        [(i, f"q{i % 3}", f"p{i}", float(i % 5) / 7) for i in range(60)], "ord long, qid string, pid string, score double"
+    )
+    run = rank_run(scored)
+    path = str(tmp_path / "mine.run")
+    sinks.write_run(run, path, rank_base=base)
+    back = files.read_runs(spark, path)
+    assert rows(back, "qid", "pid", "score") == rows(run, "qid", "pid", "score")
+    assert {r["rank"] - s["rank"] for r, s in zip(run.orderBy("qid", "pid").collect(), back.orderBy("qid", "pid").collect())} == {1 - base}
+    lines = [line for part in sorted((tmp_path / "mine.run").glob("part-*")) for line in part.read_text().splitlines()]
+    places = [(line.split()[0], int(line.split()[3])) for line in lines]
+    assert places == sorted(places) and lines[0].split()[1] == "Q0"
+
+
+def test_query_and_result_round_trips(spark, tmp_path, rows):
+    queries = spark.createDataFrame([("1", "a b"), ("2", "c")], "qid string, text string")
+    sinks.write_queries(queries, str(tmp_path / "q"))
+    assert rows(files.read_queries(spark, str(tmp_path / "q")), "qid", "text") == rows(queries)
+    table = spark.createDataFrame([("x", 0.5, 0.25, 0.125)], files.RESULT_SCHEMA)
+    for name in ("first", "second"):
+        sinks.write_results(table, str(tmp_path / name))
+    both = files.union_results(spark, [str(tmp_path / "first"), str(tmp_path / "second")])
+    assert rows(both) == [("first", "x", 0.5, 0.25, 0.125), ("second", "x", 0.5, 0.25, 0.125)]
