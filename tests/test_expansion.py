@@ -1,0 +1,102 @@
+import pytest
+from pyspark.sql import functions as F
+
+from rankflow.operators import expansion, reporting, scoring
+
+CANDIDATES = "ord long, qid string, pid string, passage string, rank long"
+
+
+def queries(spark):
+    return spark.createDataFrame([("1", "solar panels"), ("2", "wind"), ("3", "rain")], "qid string, text string")
+
+
+def candidates(spark):
+    rows = [(5, "1", "c", "third", 1), (1, "1", "a", "first", 4), (3, "1", "b", "second", 2), (9, "1", "d", "fourth", 3), (0, "2", "a", "only", 1)]
+    return spark.createDataFrame(rows, CANDIDATES)
+
+
+def test_context_is_in_file_order_or_rank_order(spark):
+    by_ord = {r.qid: r.passages for r in expansion.prf_context(candidates(spark), 3).collect()}
+    assert by_ord == {"1": ["first", "second", "third"], "2": ["only"]}
+    by_rank = {r.qid: r.passages for r in expansion.prf_context(candidates(spark), 2, order="rank").collect()}
+    assert by_rank["1"] == ["third", "second"]
+
+
+def test_prompts(spark):
+    plain = {r.qid: r.prompt for r in expansion.build_prompts(queries(spark), "Q: {query} / {query}!").collect()}
+    assert plain["2"] == "Q: wind / wind!"
+    context = expansion.prf_context(candidates(spark), 2)
+    full = {r.qid: r.prompt for r in expansion.build_prompts(queries(spark), "{query}|{passages}|", context).collect()}
+    assert full == {"1": "solar panels|Passage 1: first\n\nPassage 2: second|", "2": "wind|Passage 1: only|", "3": "rain||"}
+    odd = spark.createDataFrame([("1", "has {passages} in it")], "qid string, text string")
+    assert expansion.build_prompts(odd, "{query}/{passages}", context).first().prompt.startswith("has {passages} in it/Passage 1")
+
+
+def test_answers_are_cleaned_capped_and_fall_back(spark):
+    responses = spark.createDataFrame(
+        [("1", '{"response": "  new\\n\\n query \\t words here "}'), ("2", '{"response": "   "}'), ("3", '{"other": "x"}')],
+        "qid string, response string",
+    )
+    got = {r.qid: r.text for r in expansion.apply_expansion(queries(spark), responses, 3).collect()}
+    assert got == {"1": "new query words", "2": "wind", "3": "rain"}
+    both = {r.qid: r.text for r in expansion.apply_expansion(queries(spark), responses.filter("qid < '3'"), 3, "append").collect()}
+    assert both == {"1": "solar panels new query words", "2": "wind", "3": "rain"}
+    with pytest.raises(ValueError):
+        expansion.apply_expansion(queries(spark), responses, mode="mix")
+
+
+def test_generator_runs_in_batches(spark, rows):
+    prompts = expansion.build_prompts(queries(spark), "{query}")
+    got = expansion.expand(prompts, lambda: lambda batch: [f"{p}:{len(batch)}" for p in batch], batch_size=1)
+    assert rows(got) == [("1", "solar panels:1"), ("2", "wind:1"), ("3", "rain:1")]
+
+
+def test_feedback_terms_prefer_rare_frequent_new_terms(spark):
+    passages = spark.createDataFrame(
+        [("a", "solar cell cell the"), ("b", "panels the cell grid"), ("c", "the the"), ("d", "the rain")], "pid string, text string"
+    )
+    asked = spark.createDataFrame([("1", "solar panels")], "qid string, text string")
+    feedback = passages.filter("pid in ('a', 'b')").select(F.lit("1").alias("qid"), F.col("text").alias("passage"))
+    best = expansion.feedback_terms(asked, feedback, passages, m=2).orderBy("place").collect()
+    assert [r.term for r in best] == ["cell", "grid"]
+    got = expansion.expand_terms(asked, feedback, passages, m=2, max_words=3).first()
+    assert got.text == "solar panels cell"
+
+
+def test_experiment_compares_variants_over_fixed_candidates(spark):
+    passages = spark.createDataFrame([(1, "red apple"), (2, "green pear"), (3, "blue plum")], "pid long, text string")
+    pairs = spark.createDataFrame([(7, 1), (7, 2), (7, 3)], "qid long, pid long")
+    qrels = spark.createDataFrame([(7, 2, 1)], "qid long, pid long, rel int")
+    named = {text: spark.createDataFrame([(7, text)], "qid long, text string") for text in ("pear", "apple", "plum")}
+    results = expansion.run_expansion_experiment(expansion.label_variants(named), pairs, passages, qrels)
+    assert [r.system for r in results.collect()] == ["pear", "apple", "plum"]
+    assert results.first()["ndcg@10"] == 1.0
+    changes = reporting.compare(results, results.filter("system = 'apple'")).filter("metric = 'map@1000'").collect()
+    assert {r.system: round(r.change, 6) for r in changes} == {"pear": 0.5, "apple": 0.0, "plum": round(1 / 3 - 1 / 2, 6)}
+
+
+def test_log_figures(spark):
+    lines = [("x", 0, "Queries: 43"), ("x", 1, "NDCG@10:  67.21"), ("x", 2, "Recall@100: 49.88"), ("x", 3, "MAP@1000: 43.39"), ("x", 4, "NDCG@10: 1.00")]
+    frame = spark.createDataFrame(lines, "log string, ord int, line string")
+    assert tuple(reporting.parse_metrics(frame).first()) == ("x", 67.21, 49.88, 43.39)
+    with pytest.raises(Exception, match="no map@1000 in log x"):
+        reporting.parse_metrics(frame.filter("ord <> 3")).collect()
+
+
+def test_leaderboard(spark):
+    table = spark.createDataFrame([("a", 1.0), ("c", 2.0), ("b", 2.0)], "system string, `ndcg@10` double")
+    assert [r.system for r in reporting.leaderboard(table, "ndcg@10").collect()] == ["b", "c", "a"]
+    assert [r.system for r in reporting.leaderboard(table, "ndcg@10", n=1).collect()] == ["b"]
+    assert reporting.leaderboard(table, "missing") is table
+
+
+def test_default_scorer_slot_takes_another_scorer(spark):
+    def by_id(pairs, queries, passages, keys):
+        return pairs.withColumn("score", F.col("pid").cast("double"))
+
+    passages = spark.createDataFrame([(1, "x"), (2, "y")], "pid long, text string")
+    pairs = spark.createDataFrame([(7, 1), (7, 2)], "qid long, pid long")
+    qrels = spark.createDataFrame([(7, 2, 1)], "qid long, pid long, rel int")
+    variants = expansion.label_variants({"v": spark.createDataFrame([(7, "x")], "qid long, text string")})
+    assert expansion.run_expansion_experiment(variants, pairs, passages, qrels, score=by_id).first()["map@1000"] == 1.0
+    assert scoring.score_bm25 is not by_id
