@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.scores import FUSED_PLACES
 from rankflow.operators.ranking import rank_run
+from rankflow.operators.reporting import leaderboard
 
 METHODS = ("sum", "mnz", "anz", "borda", "rrf")
 RRF_K = 60
@@ -141,7 +142,7 @@ def best_method(results: DataFrame, override: str | None = None, metric: str = "
     """The method of the leading ``fuse:<method>`` row; equal leaders in order of name."""
     if override is not None:
         return canonical_method(override)
-    leader = results.orderBy(F.col(f"`{metric}`").desc(), "system").limit(1).first()
+    leader = leaderboard(results, metric, n=1).first()
     if leader is None:
         raise ValueError("no results to pick from")
     return canonical_method(leader["system"].split(":", 1)[1])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.operators.metrics import DEFAULT_METRICS
@@ -13,11 +13,16 @@ from rankflow.operators.metrics import DEFAULT_METRICS
 LOG_LABELS = {"ndcg@10": "NDCG@10", "recall@100": "Recall@100", "map@1000": "MAP@1000"}
 
 
+def standing(metric: str) -> Column:
+    """A metric as it counts for order: means that differ by summation order only are equal."""
+    return F.round(F.col(f"`{metric}`"), 12)
+
+
 def leaderboard(results: DataFrame, sort: str | None = None, n: int | None = None) -> DataFrame:
     """Results by a metric, best first, if there is such a column; at most ``n`` rows."""
     if sort is not None and sort in results.columns:
         ties = [c for c in ("source", "system", "model") if c in results.columns]
-        results = results.orderBy(F.col(f"`{sort}`").desc(), *ties)
+        results = results.orderBy(standing(sort).desc(), *ties)
     return results if n is None else results.limit(n)
 
 

@@ -297,7 +297,7 @@ round(avg(m_recall) * 100, 2) AS "recall@100", round(avg(m_map) * 100, 2) AS "ma
         ),
         "fusion_metrics": _evaluated(MEANS, FUSE_SYSTEMS),
         "fusion_leader": _evaluated(
-            "SELECT system FROM per_query GROUP BY system ORDER BY avg(m_ndcg) DESC, system LIMIT 1", FUSE_SYSTEMS
+            "SELECT system FROM per_query GROUP BY system ORDER BY round(avg(m_ndcg), 12) DESC, system LIMIT 1", FUSE_SYSTEMS
         ),
         "all_systems": _evaluated(
             f'SELECT * FROM ({MEANS}) ORDER BY "ndcg@10" DESC, system LIMIT 50', f"{RUN_SYSTEMS}\nUNION ALL {FUSE_SYSTEMS}"
@@ -462,7 +462,7 @@ FROM fused""" for m in METHODS
     body = f"""SELECT t.* FROM ({MEANS}) t, leader WHERE t.system LIKE 'pair:%(' || leader.method || ')'"""
     leader = """
 SELECT substr(system, 6) AS method FROM per_query WHERE system LIKE 'fuse:%'
-GROUP BY system ORDER BY avg(m_ndcg) DESC, system LIMIT 1"""
+GROUP BY system ORDER BY round(avg(m_ndcg), 12) DESC, system LIMIT 1"""
     return statement(
         body, "evidence", "unranked", "runs", "qrels", {"parts": pair_runs}, FUSION,
         {"systems": systems, "judged": "SELECT * FROM qrels"}, evaluation(), {"leader": leader},
