@@ -32,10 +32,9 @@ def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]
     return build
 
 
-def _rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
-    for column in columns:
-        df = df.withColumn(column, F.round(F.col(column), places))
-    return df
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Columns at six places, by arithmetic that every engine does alike."""
+    return df.withColumns({c: F.floor(F.col(f"`{c}`") * 1e6 + 0.5) / 1e6 for c in columns})
 
 
 # --- ranking and metrics ---

@@ -1,6 +1,8 @@
 """The same results as SQL over the given tables, one statement per registered query.
 
-Statements share common table expressions; each names the ones it needs, in order.
+Statements share common table expressions; each names the ones it needs, in order. Scores
+that are rounded already are shown at six places by plain arithmetic, because the engines'
+``round`` differ on the halves that a second rounding meets.
 """
 
 from __future__ import annotations
@@ -291,9 +293,9 @@ round(avg(m_recall) * 100, 2) AS "recall@100", round(avg(m_map) * 100, 2) AS "ma
             "SELECT s_suppkey AS qid, s_name AS text FROM supplier SEMI JOIN (SELECT qid FROM qrels WHERE rel > 0) g ON g.qid = s_suppkey",
             "evidence", "qrels",
         ),
-        "normalized_runs": _fused("SELECT run, qid, pid, rank, round(norm, 6) AS score FROM normed"),
+        "normalized_runs": _fused("SELECT run, qid, pid, rank, floor(norm * 1e6 + 0.5) / 1e6 AS score FROM normed"),
         "fused_scores": _fused(
-            "SELECT qid, pid, " + ", ".join(f"""round("{m}", 6) AS "{m}\"""" for m in METHODS) + " FROM fused"
+            "SELECT qid, pid, " + ", ".join(f"""floor("{m}" * 1e6 + 0.5) / 1e6 AS "{m}\"""" for m in METHODS) + " FROM fused"
         ),
         "fusion_metrics": _evaluated(MEANS, FUSE_SYSTEMS),
         "fusion_leader": _evaluated(
@@ -334,11 +336,11 @@ FROM (SELECT l.label, q.qid IS NOT NULL AND h.pid IS NOT NULL AS kept
       FROM labelled l LEFT JOIN queries q USING (qid) LEFT JOIN held h USING (pid))""", *text,
         ),
         "bm25_top": statement(
-            "SELECT qid, pid, rank, round(score, 6) AS score FROM deep", *lexical, BM25, {"deep": top("bm25", 1000)}
+            "SELECT qid, pid, rank, floor(score * 1e6 + 0.5) / 1e6 AS score FROM deep", *lexical, BM25, {"deep": top("bm25", 1000)}
         ),
-        "bm25_merged_top": statement("SELECT qid, pid, rank, round(score, 6) AS score FROM pairs", *lexical, BM25),
+        "bm25_merged_top": statement("SELECT qid, pid, rank, floor(score * 1e6 + 0.5) / 1e6 AS score FROM pairs", *lexical, BM25),
         "bm25_reranked": statement(
-            """SELECT qid, pid, row_number() OVER (PARTITION BY qid ORDER BY r.score DESC, pid) AS rank, round(r.score, 6) AS score
+            """SELECT qid, pid, row_number() OVER (PARTITION BY qid ORDER BY r.score DESC, pid) AS rank, floor(r.score * 1e6 + 0.5) / 1e6 AS score
 FROM pairs JOIN again r USING (qid, pid)""", *lexical, BM25, {"again": bm25(k1=1.2, b=0.75)},
         ),
         "retrieval_metrics": statement(
@@ -351,7 +353,7 @@ FROM pairs JOIN again r USING (qid, pid)""", *lexical, BM25, {"again": bm25(k1=1
             "SELECT ord, qid, pid, text AS query, passage FROM candidates JOIN queries USING (qid)", *lexical, CANDIDATE_TEXT
         ),
         "model_scored_pairs": statement(
-            """SELECT qid, pid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, ord) AS rank, round(score, 6) AS score
+            """SELECT qid, pid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, ord) AS rank, floor(score * 1e6 + 0.5) / 1e6 AS score
 FROM (SELECT c.ord, c.qid, c.pid, count(h.word) / CAST(count(*) AS DOUBLE) AS score
       FROM candidates c JOIN asked_words a USING (qid) LEFT JOIN held_words h ON h.pid = c.pid AND h.word = a.word
       GROUP BY c.ord, c.qid, c.pid)""",
@@ -374,7 +376,7 @@ FROM (SELECT *, l_discount * 10 AS a, l_quantity / 10 AS b, l_tax * 10 AS c FROM
   GROUP BY qid HAVING bool_or(is_pos) AND NOT bool_and(is_pos))""", *text, "passages", BM25,
         ),
         "pair_features": statement(
-            f"""SELECT p.qid, p.pid, round(b.score, 6) AS bm25, b.shared, len(list_distinct({terms('q.text')})) AS query_terms,
+            f"""SELECT p.qid, p.pid, floor(b.score * 1e6 + 0.5) / 1e6 AS bm25, b.shared, len(list_distinct({terms('q.text')})) AS query_terms,
 len({terms('d.text')}) AS length
 FROM pairs p JOIN bm25 b USING (qid, pid) JOIN queries q USING (qid) JOIN passages d USING (pid)""", *lexical, BM25,
         ),
@@ -398,7 +400,7 @@ FROM queries LEFT JOIN (
         "generated_responses": """
 SELECT qid, concat(prompt, ' (', length(prompt), ' characters)') AS response FROM (SELECT item_id AS qid,
 concat('Rewrite this search query.', chr(10), 'Query: ', text, chr(10), 'Answer:') AS prompt FROM benchmark)""",
-        "best_feedback_terms": statement("SELECT qid, term, round(weight, 6) AS weight, place FROM best", *lexical, FEEDBACK),
+        "best_feedback_terms": statement("SELECT qid, term, floor(weight * 1e6 + 0.5) / 1e6 AS weight, place FROM best", *lexical, FEEDBACK),
         "feedback_expanded_queries": statement("SELECT * FROM expanded", *lexical, FEEDBACK),
         "expansion_metrics": statement(MEANS, *lexical, EXPERIMENT),
         "expansion_changes": statement(
@@ -440,7 +442,7 @@ FROM per_query GROUP BY system""", f"{RUN_SYSTEMS}\nUNION ALL {FUSE_SYSTEMS}",
     for method in METHODS:
         sql[f"fused_{method}"] = _fused(
             f"""SELECT qid, pid, row_number() OVER (PARTITION BY qid ORDER BY "{method}" DESC, pid) AS rank,
-round("{method}", 6) AS score FROM fused"""
+floor("{method}" * 1e6 + 0.5) / 1e6 AS score FROM fused"""
         )
     return sql
 
