@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,17 +49,43 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_staged: list[str] = []
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage after costly steps (a model call, say) so that an executor loss or a
-    second reader costs a re-read instead of a re-run.
+    second reader costs a re-read instead of a re-run. ``unstage`` deletes the folder.
     """
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(spark: SparkSession, since: int = 0) -> None:
+    """Delete the folders staged by this process, from the ``since``-th on.
+
+    For callers that have written their results: frames that still read a staged folder
+    are of no use afterwards.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while len(_staged) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Whatever is staged inside the block is deleted at its end."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        unstage(spark, before)
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; reads at most one row more."""
     return df.limit(max_rows + 1).count() <= max_rows
