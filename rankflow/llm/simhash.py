@@ -14,6 +14,7 @@ component without any id has a null name.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +27,16 @@ from rankflow.llm.common import map_batches, picked, texts_of
 from rankflow.llm.components import components
 from rankflow.session import stage
 
+Segments = tuple[tuple[int, int, int], ...]
+
 SHINGLE = 4
 DISTANCE = 4
 SEED = 42
-# (lowest bit, bits, radius). A flip from 0 to 1 on one side meets the other side's table,
-# so only unset bits are probed.
-SEGMENTS = ((42, 22, 1), (20, 22, 1), (0, 20, 0))
+# Segments as (lowest bit, bits, radius). Larger segments have emptier buckets and more probes.
+FINE = ((42, 22, 1), (20, 22, 1), (0, 20, 0))
+COARSE = ((32, 32, 2), (0, 32, 1))
+MOST_FINE = 1 << 24
+"""Up to so many fingerprints ``FINE`` segments are used; the links are the same."""
 CROWD = 4096
 """Buckets of more fingerprints than this are linked through midpoints instead of in one task."""
 
@@ -85,21 +90,27 @@ def _signed(bits: int) -> int:
     return bits - (1 << 64) if bits >> 63 else bits
 
 
-def _entries(prints: DataFrame) -> DataFrame:
-    """``(bucket, print, probe)``: each print in its own buckets and in the ball of probes around them."""
-    kinds = [e for i, segment in enumerate(SEGMENTS) for e in _ball(i, *segment)]
-    return prints.select("print", F.explode(F.concat(*kinds)).alias("e")).select("e.bucket", "print", "e.probe")
+def _masks(bits: list[int], radius: int) -> list[list[int]]:
+    """By weight: all masks of up to ``radius`` of the ``bits``."""
+    return [[sum(1 << b for b in some) for some in combinations(bits, weight)] for weight in range(radius + 1)]
+
+
+def _entries(prints: DataFrame, segments: Segments) -> DataFrame:
+    """``(bucket, print, off)``: each print in its own buckets and, ``off`` bits off, in the balls around.
+
+    Of two values the smaller one probes the greater one's bucket; that is enough to meet.
+    """
+    kinds = []
+    for i, (low, bits, radius) in enumerate(segments):
+        value = F.shiftrightunsigned("print", low).bitwiseAND(_bits(bits)).bitwiseOR(F.lit(i << 32).cast("bigint"))
+        for off, masks in enumerate(_masks(range(bits), radius)):
+            kinds.append(_ball(value, off, masks))
+    return prints.select("print", F.explode(F.concat(*kinds)).alias("e")).select("e.bucket", "print", "e.off")
 
 
-def _ball(i: int, low: int, bits: int, radius: int) -> list[Column]:
-    """Arrays of the bucket that segment ``i`` enters and of those it probes."""
-    tagged = F.shiftrightunsigned("print", low).bitwiseAND(_bits(bits)).bitwiseOR(F.lit(i << 32).cast("bigint"))
-    own = F.array(F.struct(tagged.alias("bucket"), F.lit(False).alias("probe")))
-    if not radius:
-        return [own]
-    masks = F.array(*[F.lit(1 << b).cast("bigint") for b in range(bits)])
-    unset = F.filter(masks, lambda mask: tagged.bitwiseAND(mask) == 0)
-    return [own, F.transform(unset, lambda m: F.struct(tagged.bitwiseOR(m).alias("bucket"), F.lit(True).alias("probe")))]
+def _ball(value: Column, off: int, masks: list[int]) -> Column:
+    near = F.transform(F.array(*[F.lit(m).cast("bigint") for m in masks]), lambda mask: value.bitwiseXOR(mask))
+    return F.transform(F.filter(near, lambda v: v >= value), lambda v: F.struct(v.alias("bucket"), F.lit(off).alias("off")))
 
 
 def _forest(prints: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -147,49 +158,49 @@ def _linked_in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield edges(held_bucket, held_print)
 
 
-def _linked_by_midpoints(crowded: DataFrame) -> DataFrame:
+def _linked_by_midpoints(crowded: DataFrame, segments: Segments) -> DataFrame:
     """Edges inside crowded buckets, linear in their members.
 
-    A bucket holds its own prints and prints one segment bit off. Apart from the segment,
-    own prints step to all points within two bits and the others within one. Two prints
-    that share a point differ in at most four bits in all, and every linked pair of the
-    bucket shares one, halfway between. A point is shared by some two thousand prints at most.
+    Members that are ``off`` bits off in the segment step to all points within two bits less
+    ``off`` in the other bits. Two prints that share a point differ in at most four bits in
+    all, and every linked pair of the bucket shares one, halfway between. A point is shared
+    by some two thousand prints at most.
     """
-    masks = []
-    for i, (low, bits, radius) in enumerate(SEGMENTS):
-        rest = [1 << b for b in range(64) if not low <= b < low + bits]
-        ones = [0, *rest]
-        twos = ones + [x | y for n, x in enumerate(rest) for y in rest[:n]]
-        masks += [(i, False, m) for m in twos] + [(i, True, m) for m in ones if radius]
-    signed = [(i, probe, _signed(m)) for i, probe, m in masks]
-    steps = F.broadcast(crowded.sparkSession.createDataFrame(signed, "segment int, probe boolean, mask bigint"))
+    steps = []
+    for i, (low, bits, radius) in enumerate(segments):
+        rest = [b for b in range(64) if not low <= b < low + bits]
+        by_weight = _masks(rest, DISTANCE // 2)
+        steps += [(i, off, _signed(m)) for off in range(radius + 1) for masks in by_weight[: DISTANCE // 2 + 1 - off] for m in masks]
+    steps = F.broadcast(crowded.sparkSession.createDataFrame(steps, "segment int, off int, mask bigint"))
     keep = F.lit(None).cast("bigint")
-    for i, (low, bits, _) in enumerate(SEGMENTS):
+    for i, (low, bits, _) in enumerate(segments):
         keep = F.when(F.col("segment") == i, F.bitwise_not(_bits(bits, low))).otherwise(keep)
     points = (
         crowded.withColumn("segment", F.shiftright("bucket", 32).cast("int"))
-        .join(steps, ["segment", "probe"])
+        .join(steps, ["segment", "off"])
         .withColumn("point", F.col("print").bitwiseAND(keep).bitwiseXOR(F.col("mask")))
     )
     lowest = F.min("print").over(W.partitionBy("bucket", "point"))
     return points.select(F.col("print").alias("a"), lowest.alias("b")).filter("a <> b")
 
 
-def links(prints: DataFrame, crowd: int = CROWD) -> DataFrame:
+def links(prints: DataFrame, crowd: int = CROWD, segments: Segments | None = None) -> DataFrame:
     """Edges ``(a, b)`` that connect distinct ``print`` values at most four bits apart.
 
     Not all links: within a bucket, no more edges than members, but none is needed further
     to connect what links connect.
     """
-    entries = _entries(prints)
-    busy = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = stage(entries.join(stage(busy, "buckets"), "bucket"), "members")
+    if segments is None:
+        segments = FINE if prints.count() <= MOST_FINE else COARSE
+    entries = _entries(prints, segments)
+    busy = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("off").alias("least")).filter("n > 1 AND least = 0")
+    members = stage(entries.join(stage(busy.select("bucket", "n"), "buckets"), "bucket"), "members")
     small = members.filter(F.col("n") <= crowd).select("bucket", "print")
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = small.repartition(parts, "bucket").sortWithinPartitions("bucket")
     edges = dealt.mapInArrow(_linked_in_buckets, "a bigint, b bigint")
-    crowded = members.filter(F.col("n") > crowd).select("bucket", "print", "probe")
-    return edges.union(_linked_by_midpoints(crowded))
+    crowded = members.filter(F.col("n") > crowd).select("bucket", "print", "off")
+    return edges.union(_linked_by_midpoints(crowded, segments))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:

@@ -62,9 +62,9 @@ def planted(rng):
     return prints | {rng.getrandbits(64) for _ in range(300)}
 
 
-def found_components(spark, prints, crowd):
+def found_components(spark, prints, crowd, segments):
     signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
-    edges = simhash.links(spark.createDataFrame(signed, "print bigint"), crowd)
+    edges = simhash.links(spark.createDataFrame(signed, "print bigint"), crowd, segments)
     label = {r.node & (2**64 - 1): r.label & (2**64 - 1) for r in simhash.components(edges).collect()}
     return {p: label.get(p, p) for p in prints}
 
@@ -74,16 +74,15 @@ def same_classes(a, b):
 
 
 def test_links_connect_what_brute_force_connects(spark):
-    for seed in (1, 2):
+    for seed, crowd, segments in ((1, simhash.CROWD, None), (2, 3, simhash.FINE), (3, 3, simhash.COARSE)):
         prints = planted(random.Random(seed))
-        slow = slow_components(prints)
-        for crowd in (simhash.CROWD, 3):
-            assert same_classes(found_components(spark, prints, crowd), slow)
+        assert same_classes(found_components(spark, prints, crowd, segments), slow_components(prints))
 
 
 def test_pigeonhole():
-    assert sum(radius + 1 for _, _, radius in simhash.SEGMENTS) > simhash.DISTANCE
-    assert sorted(b for low, bits, _ in simhash.SEGMENTS for b in range(low, low + bits)) == list(range(64))
+    for segments in (simhash.FINE, simhash.COARSE):
+        assert sum(radius + 1 for _, _, radius in segments) > simhash.DISTANCE
+        assert sorted(b for low, bits, _ in segments for b in range(low, low + bits)) == list(range(64))
 
 
 def test_rows_keep_nulls_ties_and_clashing_columns(spark, rng):
