@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import simhash
+from rankflow.llm import decontamination, pieces, quality, secrets, simhash, tokens
 from rankflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the installed vocabulary files are, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 def op2_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -19,8 +29,38 @@ def op2_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.quality(table(spark, folder, "documents"))
+    return judged.withColumnRenamed("key", "doc_id")
+
+
+def op5_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumnsRenamed({"key": "doc_id", "item": "item_id"})
+
+
+def op6_dropout_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, folder, "documents"), tokenizer_path(PIECE_MODEL), seed=11)
+    return encoded.withColumnRenamed("key", "doc_id")
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = tokens.token_counts(table(spark, folder, "documents"), tokenizer_path(WORD_TOKENIZER))
+    return counted.withColumnRenamed("key", "doc_id")
+
+
+def op9_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return secrets.scan(docs, secrets.train_on(docs)).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash_components": op2_simhash_components,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_benchmark_leaks": op5_benchmark_leaks,
+    "op6_dropout_pieces": op6_dropout_pieces,
+    "op8_token_counts": op8_token_counts,
+    "op9_secret_spans": op9_secret_spans,
 }
 
 ORACLE_SQL: dict[str, str] = {}
