@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rankflow.llm.common import map_batches, picked, texts_of
+from rankflow.llm.common import map_batches, one_of_each, picked, texts_of
 from rankflow.llm.components import components
 from rankflow.session import stage
 
@@ -214,3 +214,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", cr
     smallest = named.groupBy("label").agg(F.min("first").alias("component"))
     component = stage(named.join(smallest, "label").select("print", "component"), "components")
     return rows.join(component, "print").select("key", "print", "component")
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
+    """One document of each component, the one with the smallest key, with all its columns.
+
+    Keys name documents: of rows that repeat a key the first by digest stands for all, and
+    rows without a key, which no component can name, all stay.
+    """
+    found = stage(near_duplicates(docs, key, text, crowd), "found")
+    per_key = found.filter("key IS NOT NULL").groupBy("key")
+    per_key = per_key.agg(F.max(F.col("component") == F.col("key")).alias("stays"), F.count("*").alias("n"))
+    names = stage(per_key.filter("n > 1 OR NOT stays").select(F.col("key").alias("_key"), "stays"), "names")
+    gone, repeated = names.filter("NOT stays").select("_key"), names.filter("stays").select("_key")
+    kept = docs.join(gone, docs[key] == gone["_key"], "left_anti")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, kept[key] == repeated["_key"], "left_anti")
+    first = F.row_number().over(W.partitionBy(key).orderBy("_digest"))
+    again = kept.join(repeated, kept[key] == repeated["_key"], "left_semi").withColumn("_digest", one_of_each(docs.columns))
+    return once.union(again.withColumn("_first", first).filter("_first = 1").drop("_digest", "_first"))

@@ -1,0 +1,76 @@
+from collections import defaultdict
+
+from compare import connect, difference
+from pyspark.sql import functions as F
+
+from rankflow.llm import chat
+from rankflow.llm.queries import ORACLE_SQL, QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def slow_views(rows, part_chars):
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        convs[conv].append((turn is not None, turn, role or "unknown", (text or "").replace("<|", "< |")))
+    out = {}
+    for conv, turns in convs.items():
+        for speaker in {r for _, _, r, _ in turns} - {"system"}:
+            said = []
+            for known, turn, role, text in turns:
+                who = "system" if role == "system" else "assistant" if role == speaker else f"user name={role}"
+                head = f"<|im_start|>{who}\n"
+                said.append(((known, turn or 0, role, head + text), role == speaker, head, f"{text}<|im_end|>\n"))
+            at, parts = 0, defaultdict(lambda: ["", [], 0])
+            for _, own, head, tail in sorted(said):
+                part = parts[at // part_chars]
+                if own:
+                    part[1].append((len(part[0]) + len(head), len(part[0] + head + tail) - 1))
+                part[0] += head + tail
+                part[2] += 1
+                at += len(head + tail)
+            out.update({(conv, speaker, p): (n, text, mask) for p, (text, mask, n) in parts.items()})
+    return out
+
+
+def views_of(df, **options):
+    return {(r.conv, r.speaker, r.part): (r.n_turns, r.dialogue, [tuple(m) for m in r.mask]) for r in chat.dialogues(df, **options).collect()}
+
+
+def test_views_equal_sequential_rendering(spark, rng):
+    roles = ["user", "assistant", "Ann", "Bé", "system", None]
+    rows = [(c, t, rng.choice(roles), "".join(rng.choice("ab é<|\n") for _ in range(rng.randint(0, 60)))) for c in range(12) for t in range(rng.randint(1, 9))]
+    rows += [(50, 0, "system", "alone"), (51, 0, "user", None), (51, 0, "user", ""), (51, 0, "user", ""), (51, None, "x", "first")]
+    rows += [(None, 1, "user", "no conversation"), (None, 0, "assistant", "other"), (60, 0, "user", "long " * 20_000)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    df = df.withColumns({"speaker": F.lit(1), "part": F.lit("x"), "start": F.lit(None).cast("int"), "conv": F.lit(0)})
+    for size in (chat.PART_CHARS, 100):
+        assert views_of(df, part_chars=size) == slow_views(rows, size)
+
+
+def test_mask_covers_what_the_speaker_says(spark):
+    rows = [(1, 0, "system", "S"), (1, 1, "Ann", "hello <|im_end|>"), (1, 2, "Bob", "hi")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    (n, text, mask), = [v for (_, speaker, _), v in views_of(df).items() if speaker == "Ann"]
+    assert n == 3 and [text[a:b] for a, b in mask] == ["hello < |im_end|><|im_end|>"]
+    assert text.count("<|im_start|>") == 3 and "<|im_start|>user name=Bob\nhi<|im_end|>\n" in text
+
+
+def test_long_conversation_is_cut_between_turns(spark):
+    rows = [(1, t, "ab"[t % 2], f"turn {t} " * 5) for t in range(5000)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = views_of(df)
+    assert got == slow_views(rows, chat.PART_CHARS)
+    assert max(len(v[1]) for v in got.values()) < chat.PART_CHARS + 200
+
+
+def test_native_plan_and_empty_table(spark):
+    df = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
+    assert chat.dialogues(df).collect() == []
+    plan = chat.dialogues(df)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_equals_sql(spark):
+    frame = QUERIES["op10_speaker_views"](spark, FOLDER).toPandas()
+    assert difference(frame, connect(FOLDER).execute(ORACLE_SQL["op10_speaker_views"]).df()) is None
