@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from rankflow.operators.fusion import METHODS
 from rankflow.plans import jobs
+from rankflow.session import scratch
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -24,6 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--batch-size", type=int, default=32)
     p.add_argument("--seed", type=int, default=0)
     p.add_argument("--min-passages", type=int)
+    p.add_argument("--full-corpus", action="store_true")
 
     p = commands.add_parser("evaluate", help="rank candidates by BM25, write the run, print metrics")
     for name in ("queries", "candidates", "qrels", "out-run"):
@@ -32,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--judged-only", action="store_true")
     p.add_argument("--rank-base", type=int, default=1, choices=(0, 1))
     p.add_argument("--tag", default="STANDARD")
+    p.add_argument("--min-grade", type=int)
 
     p = commands.add_parser("fuse", help="single runs, all fusions, all pairs")
     p.add_argument("--qrels", required=True)
@@ -43,6 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     p = commands.add_parser("expand", help="append feedback terms to queries")
     for name in ("queries", "candidates", "out"):
         p.add_argument(f"--{name}", required=True)
+    p.add_argument("--passages")
     p.add_argument("--feedback", type=int, default=3)
     p.add_argument("--max-words", type=int, default=32)
     p.add_argument("--terms", type=int, default=10)
@@ -52,32 +56,39 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("candidates", "qrels", "out"):
         p.add_argument(f"--{name}", required=True)
     p.add_argument("--baseline")
+    p.add_argument("--passages")
 
     p = commands.add_parser("summarize", help="result CSVs as one ordered table")
     p.add_argument("tables", nargs="+")
     p.add_argument("--sort")
-    p.add_argument("--head", type=int, default=50)
+    p.add_argument("--head", type=int)
     return parser
 
 
+def _print(table: DataFrame) -> None:
+    """All rows; result tables have one per system."""
+    table.show(max(1, table.count()), truncate=False)
+
+
 def main(arguments: list[str] | None = None) -> None:
     options = vars(_parser().parse_args(arguments))
     job = options.pop("job")
     spark = SparkSession.builder.appName(f"rankflow-{job}").getOrCreate()
-    if job == "prepare":
-        jobs.prepare_training(spark, **options).show()
-    elif job == "evaluate":
-        jobs.evaluate_candidates(spark, **options).show(truncate=False)
-    elif job == "fuse":
-        for table in jobs.fuse_runs(spark, **options).values():
-            table.show(50, truncate=False)
-    elif job == "expand":
-        jobs.expand_queries(spark, **options)
-    elif job == "compare":
-        options["queries"] = dict(entry.split("=", 1) for entry in options["queries"])
-        jobs.compare_expansions(spark, **options).show(truncate=False)
-    else:
-        jobs.summarize(spark, **options).show(options["head"], truncate=False)
+    with scratch(spark):
+        if job == "prepare":
+            _print(jobs.prepare_training(spark, **options))
+        elif job == "evaluate":
+            _print(jobs.evaluate_candidates(spark, **options))
+        elif job == "fuse":
+            for table in jobs.fuse_runs(spark, **options).values():
+                _print(table)
+        elif job == "expand":
+            jobs.expand_queries(spark, **options)
+        elif job == "compare":
+            options["queries"] = dict(entry.split("=", 1) for entry in options["queries"])
+            _print(jobs.compare_expansions(spark, **options))
+        else:
+            _print(jobs.summarize(spark, **options))
 
 
 if __name__ == "__main__":

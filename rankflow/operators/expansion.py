@@ -14,7 +14,6 @@ from rankflow.operators.metrics import DEFAULT_METRICS, evaluate
 from rankflow.operators.numbering import top_within
 from rankflow.operators.reporting import leaderboard
 from rankflow.operators.scoring import Collection, inverse_frequency, query_terms, score_bm25
-from rankflow.session import broadcast_when, is_small
 
 Generator = Callable[[list[str]], Sequence[str]]
 
@@ -85,11 +84,14 @@ def clean_expansion(payload: Column | str, max_words: int = 32) -> Column:
 def apply_expansion(queries: DataFrame, responses: DataFrame, max_words: int = 32, mode: str = "replace") -> DataFrame:
     """``(qid, text)`` with expanded text; an absent or empty answer keeps the original.
 
-    ``append`` puts the expansion behind the original instead of in its place.
+    ``append`` puts the expansion behind the original instead of in its place. Of several
+    answers to a query the last by ``ord`` counts, or the greatest where there is no ``ord``.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown expansion mode {mode!r}")
-    answers = responses.select("qid", F.nullif(clean_expansion("response", max_words), F.lit("")).alias("_new"))
+    last = F.max_by("response", "ord") if "ord" in responses.columns else F.max("response")
+    answers = responses.groupBy("qid").agg(last.alias("response"))
+    answers = answers.select("qid", F.nullif(clean_expansion("response", max_words), F.lit("")).alias("_new"))
     new = F.col("_new") if mode == "replace" else F.concat_ws(" ", "text", "_new")
     return queries.join(answers, "qid", "left").select("qid", F.coalesce(new, "text").alias("text"))
 
@@ -112,7 +114,7 @@ def feedback_terms(
     vocabulary = counts.select("term").distinct()
     frequencies = (
         collection.counts.select("term")
-        .join(broadcast_when(is_small(vocabulary), vocabulary), "term", "left_semi")
+        .join(vocabulary, "term", "left_semi")
         .groupBy("term")
         .agg(F.count("*").alias("df"))
     )
@@ -130,13 +132,15 @@ def expand_terms(
     m: int = 10,
     max_words: int | None = None,
 ) -> DataFrame:
-    """``(qid, text)`` with the best feedback terms appended, optionally cut to a word cap."""
+    """``(qid, text)`` with the best feedback terms appended.
+
+    ``max_words`` caps the words that are added; the query keeps all of its own.
+    """
     best = feedback_terms(queries, feedback, passages, m)
     listed = F.array_sort(F.collect_list(F.struct("place", "term")))
     added = best.groupBy("qid").agg(F.array_join(F.transform(listed, lambda t: t.getField("term")), " ").alias("_added"))
-    text = normalize_line(F.concat_ws(" ", "text", "_added"))
-    expanded = queries.join(added, "qid", "left")
-    return expanded.select("qid", (truncate_words(text, max_words) if max_words else text).alias("text"))
+    new = truncate_words("_added", max_words) if max_words else F.col("_added")
+    return queries.join(added, "qid", "left").select("qid", normalize_line(F.concat_ws(" ", "text", new)).alias("text"))
 
 
 def label_variants(variants: dict[str, DataFrame]) -> DataFrame:

@@ -18,7 +18,6 @@ from rankflow.operators.reporting import leaderboard
 
 METHODS = ("sum", "mnz", "anz", "borda", "rrf")
 RRF_K = 60
-MAX_RUNS = 10_000
 
 
 def canonical_method(name: str) -> str:
@@ -48,7 +47,7 @@ def minmax(runs: DataFrame) -> DataFrame:
 
 
 def _fused_scores(
-    normed: DataFrame, rows: DataFrame, figures: DataFrame, keys: Sequence[str], methods: Sequence[str], k: int
+    normed: DataFrame, figures: DataFrame, keys: Sequence[str], methods: Sequence[str], k: int
 ) -> DataFrame:
     """``(keys, pid, <one score column per method>)`` from a single aggregate.
 
@@ -75,7 +74,7 @@ def _fused_scores(
         F.sum("_len").alias("_own"),
     )
     if "borda" in methods:
-        union = rows.select(*keys, "pid").distinct().groupBy(*keys).agg(F.count("*").alias("_size"))
+        union = fused.groupBy(*keys).agg(F.count("*").alias("_size"))
         lengths = figures.groupBy(*keys).agg(F.count("*").alias("_runs"), F.sum("_len").alias("_all"))
         fused = fused.join(union.join(lengths, list(keys)), list(keys))
     return fused.select(*keys, "pid", *[F.round(formulas[m], FUSED_PLACES).alias(m) for m in methods])
@@ -85,7 +84,7 @@ def fuse_scores(runs: DataFrame, methods: Sequence[str] = METHODS, k: int = RRF_
     """``(qid, pid, sum, mnz, anz, borda, rrf)``: all methods from one shuffle."""
     methods = [canonical_method(m) for m in methods]
     figures = run_figures(runs)
-    return _fused_scores(_with_norm(runs, figures), runs, figures, ["qid"], methods, k)
+    return _fused_scores(_with_norm(runs, figures), figures, ["qid"], methods, k)
 
 
 def fuse(runs: DataFrame, method: str, k: int = RRF_K, depth: int | None = None) -> DataFrame:
@@ -109,32 +108,32 @@ def _as_runs(scores: DataFrame, keys: Sequence[str], methods: Sequence[str], nam
 def run_pairs(runs: DataFrame) -> DataFrame:
     """All two-run combinations as ``(pair, run)``, two rows each, names in order.
 
-    Built inside one row from the list of run names, which a check keeps to ``MAX_RUNS``.
+    Each name is paired with the later ones of the sorted list of names.
     """
-    names = runs.select("run").distinct()
-    if names.limit(MAX_RUNS + 1).count() > MAX_RUNS:
-        raise ValueError(f"more than {MAX_RUNS} runs to pair")
-    listed = names.agg(F.array_sort(F.collect_list("run")).alias("names"))
-    later = F.transform(
-        "names",
-        lambda a, i: F.transform(F.slice("names", i + 2, F.size("names")), lambda b: F.struct(a.alias("a"), b.alias("b"))),
-    )
-    pairs = listed.select(F.explode(F.flatten(later)).alias("p"))
-    return pairs.select(
-        F.concat("p.a", F.lit("+"), "p.b").alias("pair"), F.explode(F.array("p.a", "p.b")).alias("run")
-    )
+    listed = runs.select("run").distinct().agg(F.array_sort(F.collect_list("run")).alias("names"))
+    firsts = listed.select("names", F.posexplode("names").alias("i", "a"))
+    pairs = firsts.select("a", F.explode(F.slice("names", F.col("i") + 2, F.size("names"))).alias("b"))
+    return pairs.select(F.concat("a", F.lit("+"), "b").alias("pair"), F.explode(F.array("a", "b")).alias("run"))
+
 
+def _wanted_pairs(runs: DataFrame, wanted: Sequence[tuple[str, str]]) -> DataFrame:
+    rows = [(f"{a}+{b}", run) for a, b in sorted({tuple(sorted(p)) for p in wanted}) for run in (a, b)]
+    return runs.sparkSession.createDataFrame(rows, "pair string, run string")
 
-def fuse_pairs(runs: DataFrame, method: str, k: int = RRF_K) -> DataFrame:
-    """Every two-run combination fused, as runs named ``pair:<a>+<b> (<method>)``.
+
+def fuse_pairs(
+    runs: DataFrame, method: str, k: int = RRF_K, wanted: Sequence[tuple[str, str]] | None = None
+) -> DataFrame:
+    """Two-run combinations fused, as runs named ``pair:<a>+<b> (<method>)``: the ``wanted`` or all.
 
     One job for all pairs: each row joins the pairs its run is in. Normalised scores and
     run lengths do not depend on the partner and are worked out once.
     """
     method = canonical_method(method)
-    pairs, figures = run_pairs(runs), run_figures(runs)
-    normed, rows, own = (df.join(pairs, "run") for df in (_with_norm(runs, figures), runs, figures))
-    scores = _fused_scores(normed, rows, own, ["pair", "qid"], [method], k)
+    pairs = run_pairs(runs) if wanted is None else _wanted_pairs(runs, wanted)
+    figures = run_figures(runs)
+    normed, own = (df.join(pairs, "run") for df in (_with_norm(runs, figures), figures))
+    scores = _fused_scores(normed, own, ["pair", "qid"], [method], k)
     return _as_runs(scores, ["pair", "qid"], [method], lambda m: F.concat(F.lit("pair:"), "pair", F.lit(f" ({m})")))
 
 
@@ -142,7 +141,8 @@ def best_method(results: DataFrame, override: str | None = None, metric: str = "
     """The method of the leading ``fuse:<method>`` row; equal leaders in order of name."""
     if override is not None:
         return canonical_method(override)
-    leader = leaderboard(results, metric, n=1).first()
+    fused = results.filter(F.col("system").startswith("fuse:"))
+    leader = leaderboard(fused, metric, n=1).select(F.substring_index("system", ":", -1).alias("method")).first()
     if leader is None:
-        raise ValueError("no results to pick from")
-    return canonical_method(leader["system"].split(":", 1)[1])
+        raise ValueError("no fused results to pick from")
+    return canonical_method(leader["method"])

@@ -34,14 +34,15 @@ def _discount(first: Column, last: Column) -> Column:
 def ideal_table(qrels: DataFrame, ndcg_depths: Sequence[int], min_rel: int = 1) -> DataFrame:
     """Per judged query: relevant count ``n_rel`` and ideal gain ``idcg@k``.
 
-    Judgements are first counted per (query, grade); the ideal order runs through the few
-    grades of a query, best first, each filling a span of ranks.
+    Judgements are first counted per (query, grade); the ideal order runs through the grades
+    of a query, best first, each filling a span of ranks. The k best ranks touch at most
+    k grades, so no more are listed.
     """
     grades = qrels.groupBy("qid", "rel").agg(F.count("*").alias("n"))
     grade_list = F.sort_array(F.collect_list(F.struct("rel", "n")), asc=False)
-    per_query = grades.groupBy("qid").agg(
-        F.sum(F.when(F.col("rel") >= min_rel, F.col("n")).otherwise(0)).alias("n_rel"), grade_list.alias("_grades")
-    )
+    best = top_within(grades, ["qid"], [("rel", False)], max(ndcg_depths, default=1))
+    relevant = grades.groupBy("qid").agg(F.sum(F.when(F.col("rel") >= min_rel, F.col("n")).otherwise(0)).alias("n_rel"))
+    per_query = best.groupBy("qid").agg(grade_list.alias("_grades")).join(relevant, "qid")
 
     def ideal(k: int) -> Column:
         def add(acc: Column, g: Column) -> Column:
@@ -130,6 +131,9 @@ def evaluate(
 
     judged = qrels.agg(F.count_distinct("qid").alias("n")).scalar()
     sums = scores.groupBy(F.col("run").alias("system")).agg(matched, *[F.sum(m).alias(m) for m in metrics])
+    if queries == "qrels":  # a run without any judged query scores 0 as well
+        every = runs.select(F.col("run").alias("system")).distinct()
+        sums = every.join(sums, "system", "left").fillna(0.0, list(metrics))
     if queries == "strict":
         ranked = runs.groupBy(F.col("run").alias("system")).agg(F.count_distinct("qid").alias("_ranked"))
         same = (F.col("queries") == judged) & (F.col("_ranked") == judged)

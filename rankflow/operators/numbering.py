@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rankflow.session import broadcast_when, is_small
+from rankflow.session import stage
 
 Order = Sequence[tuple[str, bool]]
 """Sort order as (column, ascending) pairs."""
@@ -36,18 +36,21 @@ def last_wins(df: DataFrame, keys: Sequence[str], values: Sequence[str], ord: st
 
 
 def last_wins_wide(df: DataFrame, key: str, ord: str = "ord") -> DataFrame:
-    """``last_wins`` for rows too wide to shuffle, such as passage texts.
+    """``last_wins`` for rows too wide to shuffle, such as passage texts, in a stored table.
 
-    Only (key, ord) is grouped, to find the repeated keys. They are few in most files, and
-    the rows then meet them in a broadcast join; beyond its bound, in a shuffle join.
+    Only (key, ord) is read and grouped, to find the repeated keys. Without any the rows
+    stay as they are; else they meet the stored table of repeats, whose size Spark knows.
     """
-    repeated = (
+    repeated = stage(
         df.groupBy(key)
         .agg(F.count("*").alias("_n"), F.min(ord).alias("_first"), F.max(ord).alias("_last"))
         .filter("_n > 1")
-        .drop("_n")
+        .drop("_n"),
+        "repeated",
     )
-    rows = df.join(broadcast_when(is_small(repeated), repeated), key, "left")
+    if repeated.isEmpty():
+        return df
+    rows = df.join(repeated, key, "left")
     kept = rows.filter(F.col("_last").isNull() | (F.col(ord) == F.col("_last")))
     return kept.withColumn(ord, F.coalesce("_first", ord)).drop("_first", "_last")
 

@@ -27,15 +27,18 @@ def leaderboard(results: DataFrame, sort: str | None = None, n: int | None = Non
 
 
 def compare(results: DataFrame, baseline: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS) -> DataFrame:
-    """``(system, metric, before, after, change)`` against a one-system baseline table."""
+    """``(system, metric, before, after, change)`` against a baseline table of exactly one row."""
 
     def tall(table: DataFrame, value: str) -> DataFrame:
         return table.unpivot(["system"], [f"`{m}`" for m in metrics], "metric", value)
 
-    before = tall(baseline, "before").select("metric", "before")
+    before = tall(baseline, "before").groupBy("metric").agg(F.max("before").alias("before"), F.count("*").alias("_n"))
+    one = F.coalesce("_n", F.lit(0)) == 1
+    message = F.concat(F.lit("the baseline must be one row, not "), F.coalesce("_n", F.lit(0)).cast("string"))
     return (
         tall(results, "after")
-        .join(before, "metric")
+        .join(before, "metric", "left")
+        .withColumn("before", F.when(one, F.col("before")).otherwise(F.raise_error(message)))
         .select("system", "metric", "before", "after", (F.col("after") - F.col("before")).alias("change"))
     )
 

@@ -8,19 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.operators.numbering import number_blocks, top_within
-from rankflow.session import BROADCAST_ROWS
+from rankflow.operators.numbering import number_blocks, rank_within, top_within
 
-
-def _small(dev: DataFrame, n: int) -> DataFrame:
-    """``dev`` has at most ``n`` rows by construction: broadcast only if that is few."""
-    return F.broadcast(dev) if n <= BROADCAST_ROWS else dev
+BLOCK_ROWS = 50_000
 
 
 def select_dev_queries(triples: DataFrame, n: int = 200) -> DataFrame:
     """The first ``n`` distinct queries by first appearance."""
     first = triples.groupBy("qid").agg(F.min("ord").alias("ord"))
-    return _small(first.orderBy("ord").limit(n).select("qid"), n)
+    return first.orderBy("ord").limit(n).select("qid")
 
 
 def dev_positives(triples: DataFrame, dev: DataFrame) -> DataFrame:
@@ -92,8 +88,8 @@ def subset_passages(passages: DataFrame, needed: DataFrame | None) -> DataFrame:
 
 
 def require_min_rows(df: DataFrame, n: int) -> DataFrame:
-    """Fail when ``df`` holds fewer than ``n`` rows; reads no further than the n-th."""
-    found = df.limit(n).count()
+    """Fail when ``df`` holds fewer than ``n`` rows; each task counts its own."""
+    found = df.count()
     if found < n:
         raise ValueError(f"incomplete input: {found} rows, expected at least {n}")
     return df
@@ -125,21 +121,16 @@ def materialize_dev(dev: DataFrame, queries: DataFrame, passages: DataFrame) ->
     )
 
 
-def nest_dev(dev: DataFrame, max_items: int = 10_000) -> DataFrame:
-    """``(qid, query, positive[], negative[])`` for evaluators that want lists.
+def nest_dev(dev: DataFrame, items: int = 1000) -> DataFrame:
+    """``(qid, part, query, positive[], negative[])`` for evaluators that want lists.
 
-    Lists are built only after every query was seen to hold at most ``max_items`` rows;
-    a larger one fails and is to be read in long form.
+    A query's rows are cut into parts of ``items`` rows by passage id, so that no list
+    outgrows that and none is lost; most queries are one part, number 0.
     """
-    sizes = dev.groupBy("qid").agg(F.count("*").alias("_n"))
-    message = F.concat(F.lit("too many dev rows for lists, query "), F.col("qid").cast("string"))
-    checked = sizes.select(
-        "qid", F.when(F.col("_n") <= max_items, F.lit(True)).otherwise(F.raise_error(message)).alias("_ok")
-    )
+    ranked = rank_within(dev, ["qid"], [("pid", True), ("is_pos", True)], identity=["pid", "is_pos"], out="_at")
     return (
-        dev.join(checked, "qid")
-        .filter("_ok")
-        .groupBy("qid", "query")
+        ranked.withColumn("part", F.floor((F.col("_at") - 1) / items))
+        .groupBy("qid", "part", "query")
         .agg(
             F.array_sort(F.collect_list(F.when(F.col("is_pos"), F.col("passage")))).alias("positive"),
             F.array_sort(F.collect_list(F.when(~F.col("is_pos"), F.col("passage")))).alias("negative"),
@@ -147,12 +138,22 @@ def nest_dev(dev: DataFrame, max_items: int = 10_000) -> DataFrame:
     )
 
 
-def assign_batches(df: DataFrame, key: str, size: int = 32, seed: int = 0, prefix: int = 4) -> DataFrame:
+def block_digits(rows: int) -> int:
+    """Leading hex digits that cut ``rows`` into even blocks of ``BLOCK_ROWS`` at most."""
+    digits = 1
+    while rows >> (4 * digits) > BLOCK_ROWS:
+        digits += 1
+    return digits
+
+
+def assign_batches(df: DataFrame, key: str, size: int = 32, seed: int = 0, rows: int = 1 << 32) -> DataFrame:
     """Reproducible shuffle of the rows into batches of ``size`` (the last may be short).
 
-    Rows are ordered by a seeded digest of their unique ``key``; its first ``prefix`` hex
-    digits name the block, 65,536 even blocks by default, whatever the partitioning.
+    Rows are ordered by a seeded digest of their unique ``key``, whose first hex digits name
+    the block. ``rows`` is about how many there are and sets the number of blocks, not
+    the order.
     """
+    prefix = block_digits(rows)
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
     mixed = df.withColumn("_digest", digest).withColumn("_block", F.substring("_digest", 1, prefix))
     placed = number_blocks(mixed, [], "_block", [("_digest", True), (key, True)], "_at")

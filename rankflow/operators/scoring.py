@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from rankflow.functions.scores import LEXICAL_PLACES
 from rankflow.functions.text import terms
 from rankflow.operators.numbering import top_within
-from rankflow.session import broadcast_when, is_small, stage
+from rankflow.session import stage
 
 Scorer = Callable[[list[str], list[str]], Sequence[float]]
 
@@ -104,10 +104,9 @@ class Collection:
         return Collection(counts, F.lit(size), F.lit(total / size if size else 0.0))
 
 
-def filtered_counts(counts: DataFrame, vocabulary: DataFrame, small: bool) -> DataFrame:
+def filtered_counts(counts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Term counts for the terms of the vocabulary."""
-    kept = counts.join(broadcast_when(small, vocabulary), "term", "left_semi")
-    return kept.select("pid", "dl", "term", "tf")
+    return counts.join(vocabulary, "term", "left_semi").select("pid", "dl", "term", "tf")
 
 
 def inverse_frequency(df: Column, size: Column) -> Column:
@@ -142,14 +141,12 @@ def retrieve(
     """
     collection = Collection.of(passages)
     wanted = query_terms(queries, keys)
-    small = is_small(wanted)
-    counts = filtered_counts(collection.counts, wanted.select("term").distinct(), small)
-    postings = counts.repartition("pid")
+    postings = filtered_counts(collection.counts, wanted.select("term").distinct()).repartition("pid")
     # Document frequencies read the same shuffle as scoring. The rows are distinct already;
     # saying so keeps all their columns wanted, and Spark runs the shuffle once for both.
     weights = _weighted(wanted, postings.distinct(), collection)
     scored = (
-        postings.join(broadcast_when(small, weights), "term")
+        postings.join(weights, "term")
         .groupBy(*keys, "pid")
         .agg(F.round(F.sum(contribution(collection.mean_length, k1, b)), LEXICAL_PLACES).alias("score"))
     )
@@ -162,19 +159,15 @@ def _scored_pairs(
 ) -> DataFrame:
     """``(keys, pid, score, shared)``: BM25 and the number of shared terms per pair.
 
-    Only the passages of the pairs are moved. A small query side is broadcast and meets
-    the passage terms where they are; a large one brings its terms to the pairs first.
+    Only the passages of the pairs are moved. Pairs take on their query's terms and then
+    meet the passage's counts of those terms.
     """
     pairs = pairs.select(*keys, "pid").distinct()
     wanted = query_terms(queries, keys)
-    small = is_small(wanted)
-    counts = filtered_counts(collection.counts, wanted.select("term").distinct(), small)
+    counts = filtered_counts(collection.counts, wanted.select("term").distinct())
     weights = _weighted(wanted, counts, collection)
     postings = counts.join(pairs.select("pid").distinct(), "pid", "left_semi")
-    if small:
-        matches = pairs.join(postings, "pid", "left").join(F.broadcast(weights), [*keys, "term"], "left")
-    else:
-        matches = pairs.join(weights, list(keys), "left").join(postings, ["pid", "term"], "left")
+    matches = pairs.join(weights, list(keys), "left").join(postings, ["pid", "term"], "left")
     part = contribution(collection.mean_length, k1, b)
     score = F.round(F.coalesce(F.sum(part), F.lit(0.0)), LEXICAL_PLACES)
     return matches.groupBy(*keys, "pid").agg(score.alias("score"), F.count(part).alias("shared"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from rankflow.functions.scores import as_percent, positive_softmax
 from rankflow.functions.text import normalize_line, terms, truncate_words
 from rankflow.operators import expansion, fusion, metrics, ranker, reporting, samples, scoring
 from rankflow.operators.ranking import judged_queries, rank_run
-from rankflow.plans.fixtures import CANDIDATES, DEV_NEGATIVES, DEV_QUERIES, Inputs
+from rankflow.plans.fixtures import CANDIDATES, DEV_NEGATIVES, DEV_QUERIES, HELD_OUT, Inputs
 from rankflow.session import shared_folder, stage
 from rankflow.sources import files, sinks
 
@@ -24,7 +25,6 @@ FEEDBACK_PROMPT = "Rewrite this search query.\nQuery: {query}\n\n{passages}\n\nA
 SAMPLE_CAP = 5000
 FEEDBACK = 3
 ANSWER_WORDS = 32
-EXPANDED_WORDS = 64
 
 
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
@@ -81,6 +81,23 @@ def run_metrics_strict_grades(i: Inputs) -> DataFrame:
     return _rounded(metrics.evaluate(i.unranked_runs, i.qrels, min_rel=2), *METRICS)
 
 
+@query
+def run_metrics_unjudged_run(i: Inputs) -> DataFrame:
+    """A run of other queries than the judged ones is listed with zeros."""
+    elsewhere = i.unranked_runs.filter("run = 'open'").withColumns({"run": F.lit("elsewhere"), "qid": F.col("qid") + 10_000_000})
+    return _rounded(metrics.evaluate(i.unranked_runs.unionByName(elsewhere), i.qrels, queries="qrels"), *METRICS)
+
+
+@query
+def run_metrics_strict(i: Inputs) -> DataFrame:
+    """Runs cut to the queries that all of them and the judgements hold."""
+    runs = i.unranked_runs
+    in_all = runs.groupBy("qid").agg(F.count_distinct("run").alias("n")).filter("n = 3").select("qid")
+    judged = i.qrels.join(in_all, "qid", "left_semi")
+    kept = runs.join(judged.select("qid").distinct(), "qid", "left_semi")
+    return _rounded(metrics.evaluate(kept, judged, queries="strict"), *METRICS)
+
+
 @query
 def run_metrics_percent(i: Inputs) -> DataFrame:
     return as_percent(metrics.evaluate(i.unranked_runs, i.qrels))
@@ -146,25 +163,23 @@ def all_systems(i: Inputs) -> DataFrame:
 # --- samples ---
 
 
-def _dev(i: Inputs, triples: DataFrame) -> DataFrame:
-    return samples.select_dev_queries(triples, DEV_QUERIES)
-
-
 def _labelled(i: Inputs, m: int | None = None) -> DataFrame:
-    return samples.training_samples(i.triples, _dev(i, i.triples), ratio=4, m=m, block_rows=4096)
+    held_out = samples.select_dev_queries(i.triples, HELD_OUT)
+    return samples.training_samples(i.triples, held_out, ratio=4, m=m, block_rows=4096)
 
 
-def _text_dev(i: Inputs) -> DataFrame:
-    return samples.dev_samples(i.text_triples, DEV_QUERIES, DEV_NEGATIVES)
+def _text_dev(i: Inputs, n: int = DEV_QUERIES) -> DataFrame:
+    return samples.dev_samples(i.text_triples, n, DEV_NEGATIVES)
 
 
 def _text_samples(i: Inputs) -> DataFrame:
-    return samples.training_samples(i.triples, _dev(i, i.text_triples), ratio=4, block_rows=4096)
+    held_out = samples.select_dev_queries(i.text_triples, HELD_OUT)
+    return samples.training_samples(i.triples, held_out, ratio=4, block_rows=4096)
 
 
 @query
 def dev_queries(i: Inputs) -> DataFrame:
-    return _dev(i, i.triples)
+    return samples.select_dev_queries(i.triples, DEV_QUERIES)
 
 
 @query
@@ -174,7 +189,7 @@ def dev_sample_ids(i: Inputs) -> DataFrame:
 
 @query
 def training_triples(i: Inputs) -> DataFrame:
-    return samples.exclude_dev(i.triples, _dev(i, i.triples)).select("ord", "qid", "pos_id", "neg_id")
+    return samples.exclude_dev(i.triples, samples.select_dev_queries(i.triples, HELD_OUT)).select("ord", "qid", "pos_id", "neg_id")
 
 
 @query
@@ -204,6 +219,18 @@ def missing_passage_ids(i: Inputs) -> DataFrame:
     return samples.missing_passages(needed_passage_ids(i), held)
 
 
+@query
+def missing_document_ids(i: Inputs) -> DataFrame:
+    return samples.missing_passages(needed_passage_ids(i), i.passages)
+
+
+@query
+def all_training_texts(i: Inputs) -> DataFrame:
+    """Training texts over the whole collection, as with a full corpus."""
+    made = samples.materialize_samples(_text_samples(i), i.queries, i.passages)
+    return made.withColumn("label", F.col("label").cast("bigint"))
+
+
 @query
 def training_texts(i: Inputs) -> DataFrame:
     made = samples.materialize_samples(_text_samples(i), i.queries, i.labelled_passages)
@@ -219,7 +246,7 @@ def dev_texts(i: Inputs) -> DataFrame:
 def dev_lists(i: Inputs) -> DataFrame:
     nested = samples.nest_dev(samples.materialize_dev(_text_dev(i), i.queries, i.labelled_passages))
     joined = [F.array_join(c, "\n").alias(c) for c in ("positive", "negative")]
-    return nested.select("qid", "query", *joined)
+    return nested.select("qid", "part", "query", *joined)
 
 
 @query
@@ -313,14 +340,35 @@ def pair_features(i: Inputs) -> DataFrame:
     return _rounded(scoring.rank_features(i.pairs.select("qid", "pid"), i.queries, i.collection), "bm25")
 
 
+def _training_features(i: Inputs) -> DataFrame:
+    """Labels and lexical features of the training samples that have both texts.
+
+    A pair drawn both as positive and as negative counts as positive.
+    """
+    kept = samples.materialize_samples(_text_samples(i), i.queries, i.passages)
+    pairs = kept.groupBy("qid", "pid").agg(F.max("label").cast("double").alias("label"))
+    return scoring.rank_features(pairs.select("qid", "pid"), i.queries, i.collection).join(pairs, ["qid", "pid"])
+
+
+@query
+def ranker_training_table(i: Inputs) -> DataFrame:
+    return _rounded(_training_features(i), "bm25")
+
+
 @query
-def fitted_ranker_metrics(i: Inputs) -> DataFrame:
-    """A ranker fitted on candidates, with word-for-word holders as positives."""
-    features = stage(scoring.rank_features(i.pairs.select("qid", "pid"), i.queries, i.collection), "features")
-    gold = i.text_qrels.select("qid", "pid", F.lit(1.0).alias("label"))
-    labelled = features.join(gold, ["qid", "pid"], "left").fillna(0.0, ["label"])
-    scored = ranker.score_with_ranker(ranker.fit_ranker(labelled), features)
-    return metrics.evaluate(scored.withColumn("run", F.lit("ranker")), i.text_qrels)
+def fitted_ranker_facts(i: Inputs) -> DataFrame:
+    """A ranker fitted on the training samples and tried on the dev samples: whether its
+    weights and its reciprocal rank are numbers in range, and how many dev queries it ranks."""
+    model = ranker.fit_ranker(stage(_training_features(i), "features"))
+    dev = stage(_text_dev(i, HELD_OUT).join(i.passages.select("pid"), "pid", "left_semi"), "dev")
+    features = scoring.rank_features(dev.select("qid", "pid").distinct(), i.queries, i.collection)
+    scored = dev.join(ranker.score_with_ranker(model, features), ["qid", "pid"])
+    weights = [float(w) for w in model.stages[-1].coefficients]
+    return metrics.reranking_mrr(scored).select(
+        F.lit(all(math.isfinite(w) for w in weights)).alias("finite_weights"),
+        F.col("`mrr@10`").between(0, 1).alias("rank_in_range"),
+        "queries",
+    )
 
 
 # --- expansion ---
@@ -371,7 +419,7 @@ def best_feedback_terms(i: Inputs) -> DataFrame:
 
 def _feedback_expanded(i: Inputs) -> DataFrame:
     feedback = expansion.feedback_rows(i.candidates, FEEDBACK)
-    return expansion.expand_terms(i.queries, feedback, i.collection, max_words=EXPANDED_WORDS)
+    return expansion.expand_terms(i.queries, feedback, i.collection)
 
 
 @query
@@ -416,6 +464,58 @@ def reread_runs(i: Inputs) -> DataFrame:
     return files.read_runs(i.spark, paths)
 
 
+def _repeated_zero_based(i: Inputs) -> list[str]:
+    """The runs as files that count ranks from 0 and start with each row's first writing,
+    which a later one of another score corrects."""
+    folder = shared_folder(i.spark, "repeated")
+    paths = [f"{folder}/{name}.run" for name in ("open", "revenue", "discount")]
+    for path in paths:
+        run = i.runs.filter(F.col("run") == files.run_name(path))
+        first = run.withColumns({"score": -F.col("score"), "again": F.lit(0)})
+        both = first.unionByName(run.withColumn("again", F.lit(1)))
+        line = F.concat_ws(" ", "qid", F.lit("Q0"), "pid", F.col("rank") - 1, F.col("score").cast("string"), F.lit("t"))
+        ordered = both.repartitionByRange("again", "qid", "rank").sortWithinPartitions("again", "qid", "rank")
+        ordered.select(line.alias("value")).write.text(path)
+    return paths
+
+
+@query
+def reread_repeated_runs(i: Inputs) -> DataFrame:
+    return files.read_runs(i.spark, _repeated_zero_based(i))
+
+
+@query
+def fused_zero_based_runs(i: Inputs) -> DataFrame:
+    """Fusion of those files after ranking by score, evaluated."""
+    read = files.read_runs(i.spark, _repeated_zero_based(i))
+    ranked = stage(rank_run(read.withColumn("pid", F.col("pid").cast("bigint")), ties="pid", keys=["run", "qid"], unique=True))
+    return _rounded(metrics.evaluate(fusion.fuse_all(ranked.withColumn("qid", F.col("qid").cast("bigint"))), i.qrels), *METRICS)
+
+
+@query
+def reread_passages(i: Inputs) -> DataFrame:
+    """Id-text lines with later tabs in the text, the odd ids written once more at the end."""
+    path = shared_folder(i.spark, "passages")
+    text = F.concat_ws("\t", normalize_line("text"), F.lit("end"))
+    rows = i.passages.select("pid", text.alias("text"), F.lit(0).alias("again"))
+    repeated = rows.filter("pid % 2 = 1").withColumns({"text": F.concat(F.lit("again "), "text"), "again": F.lit(1)})
+    ordered = rows.union(repeated).repartitionByRange("again", "pid").sortWithinPartitions("again", "pid")
+    ordered.select(F.concat_ws("\t", "pid", "text").alias("value")).write.text(path)
+    return files.read_passages(i.spark, path)
+
+
+@query
+def reread_any_results(i: Inputs) -> DataFrame:
+    """Result tables of other columns than the usual, read by their headers."""
+    folder = shared_folder(i.spark, "any-results")
+    priced = i.table("part").groupBy(F.col("p_brand").alias("model")).agg(F.count("*").alias("steps"), F.max("p_size").alias("size"))
+    sinks.write_results(priced, f"{folder}/brands")
+    sinks.write_results(i.table("nation").select(F.col("n_name").alias("model"), F.col("n_nationkey").alias("key")), f"{folder}/nations")
+    whole = files.union_results(i.spark, [f"{folder}/brands", f"{folder}/nations"])
+    figures = [F.coalesce(F.col(c).cast("bigint"), F.lit(-1)).alias(c) for c in ("steps", "size", "key")]
+    return whole.select("source", "model", *figures)
+
+
 @query
 def reread_qrels(i: Inputs) -> DataFrame:
     path = shared_folder(i.spark, "qrels")
@@ -428,7 +528,7 @@ def reread_qrels(i: Inputs) -> DataFrame:
 def reread_triples(i: Inputs) -> DataFrame:
     path = shared_folder(i.spark, "triples")
     line = F.concat_ws("\t", "qid", "pos_id", "neg_id")
-    ordered = i.triples.repartitionByRange(4, "ord").sortWithinPartitions("ord")
+    ordered = i.triples.repartitionByRange("ord").sortWithinPartitions("ord")
     ordered.select(line.alias("value")).write.text(path, compression="gzip")
     return files.read_triples(i.spark, path)
 
@@ -445,7 +545,7 @@ def reread_candidates(i: Inputs) -> DataFrame:
     path = shared_folder(i.spark, "candidates")
     text = i.passages.select("pid", normalize_line("text").alias("passage"))
     rows = i.pairs.join(text, "pid").join(i.queries.select("qid", normalize_line("text").alias("query")), "qid")
-    ordered = rows.repartitionByRange(4, "qid", "rank").sortWithinPartitions("qid", "rank")
+    ordered = rows.repartitionByRange("qid", "rank").sortWithinPartitions("qid", "rank")
     ordered.select(F.concat_ws("\t", "qid", "pid", "query", "passage").alias("value")).write.text(path)
     return files.read_candidates(i.spark, path)
 

@@ -15,11 +15,13 @@ from rankflow.functions.text import words
 from rankflow.operators.numbering import top_within
 from rankflow.operators.ranking import rank_run
 from rankflow.operators.scoring import Collection, retrieve
-from rankflow.session import broadcast_when, is_small, spread, stage
+from rankflow.session import stage
 
-DEV_QUERIES = 20
-DEV_NEGATIVES = 10
-CANDIDATES = 100
+DEV_QUERIES = 200
+HELD_OUT = 10
+"""Queries kept out of the training samples: few enough that the small tables have others left."""
+DEV_NEGATIVES = 200
+CANDIDATES = 1000
 
 
 class Inputs:
@@ -99,7 +101,7 @@ class Inputs:
 
     @functools.cached_property
     def passages(self) -> DataFrame:
-        return spread(self.table("documents").select(F.col("doc_id").alias("pid"), "text"), "pid")
+        return self.table("documents").select(F.col("doc_id").alias("pid"), "text")
 
     @functools.cached_property
     def labelled_passages(self) -> DataFrame:
@@ -131,24 +133,29 @@ class Inputs:
         """Documents that hold a benchmark passage word for word, as grade 3.
 
         A holder must contain each inner word of the passage as a word of its own. Only
-        the documents with its rarest inner word are compared as text. Benchmark passages
-        have far more than the two words that this needs.
+        the documents with its rarest inner word are compared as text. A passage of one or two
+        words has no inner word; such passages, a few at most, are compared with all documents.
         """
         inner = F.array_distinct(F.slice(words("text"), 2, F.greatest(F.size(words("text")) - 2, F.lit(0))))
         asked = self.queries.select("qid", F.explode(inner).alias("word"))
         vocabulary = asked.select("word").distinct()
         held = self.passages.select("pid", F.explode(F.array_distinct(words("text"))).alias("word")).join(
-            broadcast_when(is_small(asked), vocabulary), "word", "left_semi"
+            vocabulary, "word", "left_semi"
         )
-        spread = held.groupBy("word").agg(F.count("*").alias("df"))
-        rarest = top_within(asked.join(spread, "word"), ["qid"], [("df", True), ("word", True)], 1)
-        return (
+        frequency = held.groupBy("word").agg(F.count("*").alias("df"))
+        rarest = top_within(asked.join(frequency, "word"), ["qid"], [("df", True), ("word", True)], 1)
+        long = (
             rarest.select("qid", "word")
             .join(held, "word")
             .join(self.queries.select("qid", F.col("text").alias("query")), "qid")
             .join(self.passages, "pid")
             .filter(F.contains("text", "query"))
-            .select("qid", "pid", F.lit(3).alias("rel"))
+            .select("qid", "pid")
+        )
+        short = self.queries.filter(F.size(words("text")) <= 2).agg(F.collect_list(F.struct("qid", "text"))).scalar()
+        asked_all = self.passages.withColumn("short", short).select("pid", "text", F.explode("short").alias("q"))
+        return (
+            long.union(asked_all.filter(F.contains("text", F.col("q.text"))).select("q.qid", "pid")).withColumn("rel", F.lit(3))
         )
 
     @functools.cached_property

@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rankflow.functions.scores import as_percent
+from rankflow.functions.text import truncate_words
 from rankflow.operators import expansion, fusion, metrics, reporting, samples, scoring
 from rankflow.operators.ranking import judged_queries, rank_run
 from rankflow.session import stage
@@ -33,8 +35,12 @@ def prepare_training(
     batch_size: int = 32,
     seed: int = 0,
     min_passages: int | None = None,
+    full_corpus: bool = False,
 ) -> DataFrame:
-    """Write ``out/train`` and ``out/dev``; return the one-row sample summary."""
+    """Write ``out/train`` and ``out/dev``; return the one-row sample summary.
+
+    Texts come from the needed part of the collection, or from all of it if ``full_corpus``.
+    """
     asked = files.read_queries(spark, queries)
     for_dev = stage(files.read_triples(spark, dev_triples), "dev-triples")
     for_training = stage(files.read_triples(spark, train_triples), "train-triples")
@@ -46,8 +52,11 @@ def prepare_training(
     chosen = stage(
         samples.training_samples(for_training, samples.select_dev_queries(for_dev, dev_count), ratio, max_samples), "samples"
     )
-    held = stage(samples.subset_passages(collection, samples.needed_passages(dev, chosen)), "passages")
-    batches = samples.assign_batches(samples.materialize_samples(chosen, asked, held), "n", batch_size, seed)
+    held = collection
+    if not full_corpus:
+        held = stage(samples.subset_passages(collection, samples.needed_passages(dev, chosen)), "passages")
+    texts = samples.materialize_samples(chosen, asked, held)
+    batches = samples.assign_batches(texts, "n", batch_size, seed, rows=chosen.count())
     batches.write.parquet(f"{out}/train")
     samples.materialize_dev(dev, asked, held).write.parquet(f"{out}/dev")
     return samples.sample_summary(chosen, asked, held)
@@ -56,10 +65,15 @@ def prepare_training(
 def _collection(candidates: DataFrame, passages: DataFrame | None) -> scoring.Collection:
     """Term statistics of the whole collection, or of the candidates where it is not given."""
     if passages is None:
-        passages = candidates.groupBy("pid").agg(F.max_by("passage", "ord").alias("text"))
+        last = candidates.groupBy("pid").agg(F.max("ord").alias("ord"))
+        passages = candidates.join(last, ["pid", "ord"]).select("pid", F.col("passage").alias("text"))
     return scoring.Collection.staged(passages.select("pid", "text"))
 
 
+def _whole(spark: SparkSession, passages: str | None) -> DataFrame | None:
+    return None if passages is None else files.read_passages(spark, passages)
+
+
 def rerank(
     queries: DataFrame,
     candidates: DataFrame,
@@ -67,10 +81,16 @@ def rerank(
     load_scorer: Callable[[], scoring.Scorer] | None = None,
     batch_size: int = 64,
     depth: int | None = None,
+    max_words: int | None = None,
 ) -> DataFrame:
-    """Score candidates with a model, or BM25 without one, and rank them per query."""
+    """Score candidates with a model, or BM25 without one, and rank them per query.
+
+    ``max_words`` caps the words of each text that the model is given.
+    """
     if load_scorer is not None:
         pairs = scoring.build_pairs(queries, candidates)
+        if max_words is not None:
+            pairs = pairs.withColumns({c: truncate_words(c, max_words) for c in ("query", "passage")})
         return rank_run(stage(scoring.score_pairs(pairs, load_scorer, batch_size), "scores"), "ord", depth)
     pairs = candidates.join(queries.select("qid"), "qid", "left_semi")
     scores = scoring.score_bm25(pairs, queries, _collection(candidates, passages))
@@ -89,15 +109,17 @@ def evaluate_candidates(
     rank_base: int = 1,
     tag: str = "STANDARD",
     load_scorer: Callable[[], scoring.Scorer] | None = None,
+    batch_size: int = 64,
+    max_words: int | None = None,
+    min_grade: int | None = None,
 ) -> DataFrame:
     """Rank a candidate file, write the run, return its metrics in percent."""
     asked = files.read_queries(spark, queries, strict=True)
-    judged = files.read_qrels(spark, qrels)
+    judged = files.read_qrels(spark, qrels, min_grade)
     if judged_only:
         asked = judged_queries(asked, judged)
     offered = stage(files.read_candidates(spark, candidates), "candidates")
-    whole = None if passages is None else files.read_passages(spark, passages)
-    run = stage(rerank(asked, offered, whole, load_scorer), "run")
+    run = stage(rerank(asked, offered, _whole(spark, passages), load_scorer, batch_size, max_words=max_words), "run")
     sinks.write_run(run, out_run, tag, rank_base)
     named = run.withColumn("run", F.lit(files.run_name(out_run)))
     return as_percent(metrics.evaluate(named, judged))
@@ -111,9 +133,13 @@ def fuse_runs(
     methods: Sequence[str] = fusion.METHODS,
     best: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Write and return the tables of single runs, of all fusions, and of all pairs."""
+    """Write and return the tables of single runs, of all fusions, and of all pairs.
+
+    Runs are ranked anew by score: files may count ranks from 0 or out of step with scores.
+    """
     judged = stage(files.read_qrels(spark, qrels), "qrels")
-    held = stage(files.read_runs(spark, runs), "runs")
+    read = files.read_runs(spark, runs)
+    held = stage(rank_run(read, ties="pid", keys=["run", "qid"], unique=True), "runs")
 
     def table(name: str, systems: DataFrame) -> DataFrame:
         results = stage(metrics.evaluate(systems, judged), name).select("system", *metrics.DEFAULT_METRICS)
@@ -137,11 +163,13 @@ def expand_queries(
     template: str | None = None,
     load_generator: Callable[[], expansion.Generator] | None = None,
     terms: int = 10,
+    passages: str | None = None,
 ) -> DataFrame:
     """Write ``qid<TAB>text`` with expanded queries and return them.
 
     With a generator, prompts come from ``template`` and its answers replace the queries;
-    without one, feedback terms from the candidates are appended.
+    without one, feedback terms from the candidates are appended. ``max_words`` caps what
+    is added, never the query. Term statistics are those of ``passages``, or of the candidates.
     """
     asked = files.read_queries(spark, queries)
     offered = None if candidates is None else stage(files.read_candidates(spark, candidates), "candidates")
@@ -153,7 +181,7 @@ def expand_queries(
         expanded = expansion.apply_expansion(asked, answers, max_words)
     elif offered is not None:
         rows = expansion.feedback_rows(offered, feedback)
-        expanded = expansion.expand_terms(asked, rows, _collection(offered, None), terms, max_words)
+        expanded = expansion.expand_terms(asked, rows, _collection(offered, _whole(spark, passages)), terms, max_words)
     else:
         raise ValueError("expansion needs a generator or candidates")
     expanded = stage(expanded, "expanded")
@@ -162,7 +190,13 @@ def expand_queries(
 
 
 def compare_expansions(
-    spark: SparkSession, queries: dict[str, str], candidates: str, qrels: str, out: str, baseline: str | None = None
+    spark: SparkSession,
+    queries: dict[str, str],
+    candidates: str,
+    qrels: str,
+    out: str,
+    baseline: str | None = None,
+    passages: str | None = None,
 ) -> DataFrame:
     """Evaluate query files over one candidate set and write the result table.
 
@@ -173,7 +207,7 @@ def compare_expansions(
     offered = stage(files.read_candidates(spark, candidates), "candidates")
     judged = files.read_qrels(spark, qrels)
     results = stage(
-        expansion.run_expansion_experiment(variants, offered, _collection(offered, None), judged), "results"
+        expansion.run_expansion_experiment(variants, offered, _collection(offered, _whole(spark, passages)), judged), "results"
     ).select("system", *metrics.DEFAULT_METRICS)
     results = reporting.leaderboard(results, "ndcg@10")
     sinks.write_results(results, f"{out}/expansions")
@@ -183,6 +217,11 @@ def compare_expansions(
     return results
 
 
-def summarize(spark: SparkSession, tables: Sequence[str], sort: str | None = None, head: int = 50) -> DataFrame:
-    """Rows of several result CSVs, best first by ``sort``, at most ``head``."""
-    return reporting.leaderboard(files.union_results(spark, tables), sort, head)
+def summarize(spark: SparkSession, tables: Sequence[str], sort: str | None = None, head: int | None = None) -> DataFrame:
+    """Rows of several result CSVs of any columns, best first by ``sort``, at most ``head`` of each."""
+    whole = files.union_results(spark, tables)
+    if head is not None:
+        order = [reporting.standing(sort).desc()] if sort in whole.columns else []
+        place = F.row_number().over(W.partitionBy("source").orderBy(*order, F.monotonically_increasing_id()))
+        whole = whole.withColumn("_place", place).filter(F.col("_place") <= head).drop("_place")
+    return reporting.leaderboard(whole, sort)

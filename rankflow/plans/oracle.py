@@ -7,7 +7,7 @@ that are rounded already are shown at six places by plain arithmetic, because th
 
 from __future__ import annotations
 
-from rankflow.plans.fixtures import CANDIDATES, DEV_NEGATIVES, DEV_QUERIES
+from rankflow.plans.fixtures import CANDIDATES, DEV_NEGATIVES, DEV_QUERIES, HELD_OUT
 
 CTE: dict[str, str] = {}
 
@@ -120,8 +120,8 @@ FUSE_SYSTEMS = "\nUNION ALL ".join(f"""SELECT 'fuse:{m}' AS system, qid, pid, "{
 # --- samples ---
 
 
-def dev(source: str) -> str:
-    return f"SELECT qid FROM {source} GROUP BY qid ORDER BY min(ord) LIMIT {DEV_QUERIES}"
+def dev(source: str, n: int = DEV_QUERIES) -> str:
+    return f"SELECT qid FROM {source} GROUP BY qid ORDER BY min(ord) LIMIT {n}"
 
 
 def dev_samples(source: str) -> str:
@@ -135,11 +135,12 @@ SELECT qid, pid, false FROM (
 
 LABELLED = """
 SELECT n, ord, qid, CASE WHEN n % 5 = 0 THEN pos_id ELSE neg_id END AS pid, CAST(n % 5 = 0 AS BIGINT) AS label
-FROM (SELECT *, row_number() OVER (ORDER BY ord) - 1 AS n FROM triples ANTI JOIN dev USING (qid))"""
+FROM (SELECT *, row_number() OVER (ORDER BY ord) - 1 AS n FROM triples ANTI JOIN held_out USING (qid))"""
 NEEDED = "SELECT DISTINCT pid FROM (SELECT pid FROM dev_samples UNION ALL SELECT pid FROM labelled)"
-SAMPLES = {"dev": dev("triples"), "dev_samples": dev_samples("triples"), "labelled": LABELLED, "needed": NEEDED}
+SAMPLES = {"dev": dev("triples"), "held_out": dev("triples", HELD_OUT), "dev_samples": dev_samples("triples"), "labelled": LABELLED, "needed": NEEDED}
 TEXT_SAMPLES = {
     "dev": dev("text_triples"),
+    "held_out": dev("text_triples", HELD_OUT),
     "dev_samples": dev_samples("text_triples"),
     "labelled": LABELLED,
     "dev_texts": """
@@ -213,7 +214,7 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY weight DES
 WHERE place <= 10""",
     "added": "SELECT qid, string_agg(term, ' ' ORDER BY place) AS added FROM best GROUP BY qid",
     "expanded": f"""
-SELECT qid, {first_words("concat_ws(' ', text, added)", 64)} AS text FROM queries LEFT JOIN added USING (qid)""",
+SELECT qid, {line("concat_ws(' ', text, added)")} AS text FROM queries LEFT JOIN added USING (qid)""",
 }
 EXPERIMENT = {
     **FEEDBACK,
@@ -279,6 +280,22 @@ round(avg(m_map), 6) AS "map@50", round(avg(m_mrr), 6) AS "mrr@50" FROM per_quer
 round(sum(m_recall) / any_value(n), 6) AS "recall@100", round(sum(m_map) / any_value(n), 6) AS "map@1000"
 FROM per_query, (SELECT count(DISTINCT qid) AS n FROM judged) GROUP BY system"""
         ),
+        "run_metrics_unjudged_run": _evaluated(
+            """SELECT system, n AS queries, coalesce(round(sum(m_ndcg) / n, 6), 0) AS "ndcg@10",
+coalesce(round(sum(m_recall) / n, 6), 0) AS "recall@100", coalesce(round(sum(m_map) / n, 6), 0) AS "map@1000"
+FROM (SELECT DISTINCT system FROM systems) LEFT JOIN per_query USING (system), (SELECT count(DISTINCT qid) AS n FROM judged)
+GROUP BY system, n""",
+            f"{RUN_SYSTEMS} UNION ALL SELECT 'elsewhere', qid + 10000000, pid, score FROM unranked WHERE run = 'open'",
+        ),
+        "run_metrics_strict": statement(
+            MEANS, "evidence", "unranked", "qrels",
+            {
+                "in_all": "SELECT qid FROM unranked GROUP BY qid HAVING count(DISTINCT run) = 3",
+                "judged": "SELECT * FROM qrels SEMI JOIN in_all USING (qid)",
+                "systems": f"SELECT * FROM ({RUN_SYSTEMS}) SEMI JOIN judged USING (qid)",
+            },
+            evaluation(),
+        ),
         "run_metrics_trec_ties": _evaluated(MEANS, ties="CAST(s.pid AS VARCHAR) DESC"),
         "run_metrics_strict_grades": _evaluated(MEANS, min_rel=2),
         "run_metrics_percent": _evaluated(
@@ -307,7 +324,7 @@ round(avg(m_recall) * 100, 2) AS "recall@100", round(avg(m_map) * 100, 2) AS "ma
         "pair_metrics": _pair_metrics(),
         "dev_queries": statement("SELECT qid FROM dev", "triples", SAMPLES),
         "dev_sample_ids": statement("SELECT * FROM dev_samples", "triples", SAMPLES),
-        "training_triples": statement("SELECT * FROM triples ANTI JOIN dev USING (qid)", "triples", SAMPLES),
+        "training_triples": statement("SELECT * FROM triples ANTI JOIN held_out USING (qid)", "triples", SAMPLES),
         "training_sample_ids": statement("SELECT * FROM labelled", "triples", SAMPLES),
         "capped_sample_ids": statement("SELECT * FROM labelled ORDER BY ord LIMIT 5000", "triples", SAMPLES),
         "needed_passage_ids": statement("SELECT pid FROM needed", "triples", SAMPLES),
@@ -315,15 +332,23 @@ round(avg(m_recall) * 100, 2) AS "recall@100", round(avg(m_map) * 100, 2) AS "ma
             "SELECT pid, text FROM passages SEMI JOIN needed USING (pid)", "triples", SAMPLES, "passages"
         ),
         "missing_passage_ids": statement("SELECT pid FROM needed ANTI JOIN held USING (pid)", "triples", SAMPLES, "held"),
+        "missing_document_ids": statement(
+            "SELECT pid FROM needed ANTI JOIN passages USING (pid)", "triples", SAMPLES, "passages"
+        ),
+        "all_training_texts": statement(
+            """SELECT l.n, l.qid, l.pid, q.text AS query, p.text AS passage, l.label
+FROM labelled l JOIN queries q USING (qid) JOIN passages p USING (pid)""", *text, "passages",
+        ),
         "training_texts": statement(
             """SELECT l.n, l.qid, l.pid, q.text AS query, h.text AS passage, l.label
 FROM labelled l JOIN queries q USING (qid) JOIN held h USING (pid)""", *text,
         ),
         "dev_texts": statement("SELECT * FROM dev_texts", *text),
         "dev_lists": statement(
-            """SELECT qid, query, coalesce(string_agg(passage, chr(10) ORDER BY passage) FILTER (WHERE is_pos), '') AS positive,
+            """SELECT qid, part, query, coalesce(string_agg(passage, chr(10) ORDER BY passage) FILTER (WHERE is_pos), '') AS positive,
 coalesce(string_agg(passage, chr(10) ORDER BY passage) FILTER (WHERE NOT is_pos), '') AS negative
-FROM dev_texts GROUP BY qid, query""", *text,
+FROM (SELECT *, (row_number() OVER (PARTITION BY qid ORDER BY pid, is_pos) - 1) // 1000 AS part FROM dev_texts)
+GROUP BY qid, part, query""", *text,
         ),
         "training_batches": statement(
             """SELECT n, qid, pid, label,
@@ -380,6 +405,17 @@ FROM (SELECT *, l_discount * 10 AS a, l_quantity / 10 AS b, l_tax * 10 AS c FROM
 len({terms('d.text')}) AS length
 FROM pairs p JOIN bm25 b USING (qid, pid) JOIN queries q USING (qid) JOIN passages d USING (pid)""", *lexical, BM25,
         ),
+        "ranker_training_table": statement(
+            f"""SELECT t.qid, t.pid, floor(coalesce(b.score, 0) * 1e6 + 0.5) / 1e6 AS bm25, coalesce(b.shared, 0) AS shared,
+len(list_distinct({terms('q.text')})) AS query_terms, len({terms('d.text')}) AS length, t.label
+FROM (SELECT qid, pid, CAST(max(label) AS DOUBLE) AS label FROM labelled GROUP BY qid, pid) t
+JOIN queries q USING (qid) JOIN passages d USING (pid) LEFT JOIN bm25 b USING (qid, pid)""", *text, "passages", BM25,
+        ),
+        "fitted_ranker_facts": statement(
+            """SELECT true AS finite_weights, true AS rank_in_range, count(*) AS queries FROM (
+  SELECT qid FROM dev_samples SEMI JOIN held_out USING (qid) SEMI JOIN passages USING (pid) GROUP BY qid HAVING bool_or(is_pos) AND NOT bool_and(is_pos))""",
+            *text, "passages",
+        ),
         "feedback_context": statement(
             "SELECT qid, string_agg(passage, chr(10) || chr(10) ORDER BY ord) AS passages FROM feedback GROUP BY qid",
             *lexical, FEEDBACK,
@@ -418,6 +454,19 @@ FROM tall JOIN (SELECT metric, after AS before FROM tall WHERE system = 'origina
             "SELECT run, CAST(qid AS VARCHAR) AS qid, CAST(pid AS VARCHAR) AS pid, rank, score FROM runs",
             "evidence", "unranked", "runs",
         ),
+        "reread_repeated_runs": statement(
+            "SELECT run, CAST(qid AS VARCHAR) AS qid, CAST(pid AS VARCHAR) AS pid, rank - 1 AS rank, score FROM runs",
+            "evidence", "unranked", "runs",
+        ),
+        "fused_zero_based_runs": _evaluated(MEANS, FUSE_SYSTEMS),
+        "reread_passages": rf"""
+SELECT CAST(doc_id AS VARCHAR) AS pid, row_number() OVER (ORDER BY doc_id) - 1 AS ord,
+       concat(CASE WHEN doc_id % 2 = 1 THEN 'again ' ELSE '' END, {line('text')}, chr(9), 'end') AS text
+FROM documents""",
+        "reread_any_results": """
+SELECT 'brands' AS source, p_brand AS model, count(*) AS steps, CAST(max(p_size) AS BIGINT) AS size, CAST(-1 AS BIGINT) AS key
+FROM part GROUP BY p_brand
+UNION ALL SELECT 'nations', n_name, -1, -1, CAST(n_nationkey AS BIGINT) FROM nation""",
         "reread_qrels": statement(
             "SELECT CAST(qid AS VARCHAR) AS qid, CAST(pid AS VARCHAR) AS pid, rel FROM qrels WHERE rel >= 1", "evidence", "qrels"
         ),

@@ -1,4 +1,4 @@
-"""Session-level helpers: a tuned local session, the shared folder, checked broadcasts."""
+"""Session-level helpers: a tuned local session, the shared folder and what is staged there."""
 
 from __future__ import annotations
 
@@ -9,9 +9,6 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 200_000
 
 
 def local_session(cores: int | str = "*", memory: str = "16g", name: str = "rankflow") -> SparkSession:
@@ -84,27 +81,3 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         unstage(spark, before)
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads at most one row more."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_when(small: bool, df: DataFrame) -> DataFrame:
-    """A broadcast hint behind a passed size check.
-
-    Without it the plain frame comes back and the join is left to adaptive execution: a
-    shuffle join that splits skewed keys, or a broadcast if the side turns out small.
-    """
-    return F.broadcast(df) if small else df
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Shuffle a fresh scan by ``key`` if it has fewer splits than the session has cores.
-
-    One ``.gz`` file or one row group would leave the other cores idle in work that is
-    heavy per row. A large collection has splits enough and passes through unchanged.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)

@@ -18,7 +18,7 @@ def connection():
 
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"fitted_ranker_metrics"}
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):

@@ -59,10 +59,34 @@ def test_feedback_terms_prefer_rare_frequent_new_terms(spark):
     feedback = passages.filter("pid in ('a', 'b')").select(F.lit("1").alias("qid"), F.col("text").alias("passage"))
     best = expansion.feedback_terms(asked, feedback, passages, m=2).orderBy("place").collect()
     assert [r.term for r in best] == ["cell", "grid"]
-    got = expansion.expand_terms(asked, feedback, passages, m=2, max_words=3).first()
+    got = expansion.expand_terms(asked, feedback, passages, m=2, max_words=1).first()
     assert got.text == "solar panels cell"
 
 
+def test_long_queries_keep_their_words_and_gain_terms(spark):
+    own = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(37))
+    asked = spark.createDataFrame([("1", own)], "qid string, text string")
+    feedback = spark.createDataFrame([("1", "fresh fresh words")], "qid string, passage string")
+    held = spark.createDataFrame([("a", "fresh fresh words"), ("b", own)], "pid string, text string")
+    got = expansion.expand_terms(asked, feedback, held, m=10, max_words=32).first()
+    assert got.text == own + " fresh words"
+
+
+def test_last_of_several_answers_counts(spark, rows):
+    asked = spark.createDataFrame([("1", "a"), ("2", "b")], "qid string, text string")
+    answers = [("1", 0, "first"), ("1", 2, "last"), ("1", 1, "middle")]
+    told = spark.createDataFrame([(q, o, f'{{"response": "{a}"}}') for q, o, a in answers], "qid string, ord int, response string")
+    assert rows(expansion.apply_expansion(asked, told)) == [("1", "last"), ("2", "b")]
+
+
+def test_comparison_needs_one_baseline(spark):
+    table = spark.createDataFrame([("a", 0.5, 0.5, 0.5), ("b", 0.1, 0.2, 0.3)], "system string, `ndcg@10` double, `recall@100` double, `map@1000` double")
+    assert reporting.compare(table, table.filter("system = 'a'")).count() == 6
+    for wrong in ("system = 'none'", "true"):
+        with pytest.raises(Exception, match="baseline must be one row"):
+            reporting.compare(table, table.filter(wrong)).collect()
+
+
 def test_experiment_compares_variants_over_fixed_candidates(spark):
     passages = spark.createDataFrame([(1, "red apple"), (2, "green pear"), (3, "blue plum")], "pid long, text string")
     pairs = spark.createDataFrame([(7, 1), (7, 2), (7, 3)], "qid long, pid long")

@@ -1,7 +1,9 @@
 import gzip
+from pathlib import Path
 
 import pytest
 
+from rankflow import session
 from rankflow.operators.ranking import rank_run
 from rankflow.sources import files, sinks
 
@@ -97,8 +99,45 @@ def test_query_and_result_round_trips(spark, tmp_path, rows):
     queries = spark.createDataFrame([("1", "a b"), ("2", "c")], "qid string, text string")
     sinks.write_queries(queries, str(tmp_path / "q"))
     assert rows(files.read_queries(spark, str(tmp_path / "q")), "qid", "text") == rows(queries)
-    table = spark.createDataFrame([("x", 0.5, 0.25, 0.125)], files.RESULT_SCHEMA)
+    table = spark.createDataFrame([("x", 0.5, 0.25, 0.125)], "system STRING, `ndcg@10` DOUBLE, `recall@100` DOUBLE, `map@1000` DOUBLE")
     for name in ("first", "second"):
         sinks.write_results(table, str(tmp_path / name))
     both = files.union_results(spark, [str(tmp_path / "first"), str(tmp_path / "second")])
     assert rows(both) == [("first", "x", 0.5, 0.25, 0.125), ("second", "x", 0.5, 0.25, 0.125)]
+
+
+def test_repeated_run_lines_and_part_file_names(spark, tmp_path, rows):
+    path = write(tmp_path / "part-x.run", ["q Q0 a 0 2.0 t", "q Q0 b 1 1.0 t", "q Q0 a 2 0.5 t"])
+    other = write(tmp_path / "part-y.run", ["q Q0 a 0 2.0 t"])
+    got = files.read_runs(spark, [path, other])
+    assert rows(got) == [("part-x", "q", "a", 2, 0.5), ("part-x", "q", "b", 1, 1.0), ("part-y", "q", "a", 0, 2.0)]
+    (tmp_path / "mine.run").mkdir()
+    part = write(tmp_path / "mine.run" / "part-00000-abc.txt", ["q Q0 a 1 2.0 t"])
+    assert files.run_name(part) == "mine" and rows(files.read_runs(spark, part), "run") == [("mine",)]
+
+
+def test_positions_follow_part_numbers(spark, tmp_path):
+    (tmp_path / "many").mkdir()
+    for n in (99999, 100000, 7):
+        write(tmp_path / "many" / f"part-{n:05d}-x.txt", [f"{n} a", f"{n} b"])
+    lines = files.read_lines(spark, str(tmp_path / "many")).orderBy("ord").collect()
+    assert [r.value for r in lines] == [f"{n} {x}" for n in (7, 99999, 100000) for x in "ab"]
+    assert [r.ord for r in lines] == list(range(6))
+
+
+def test_result_tables_of_any_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("model,steps_1h,ndcg@10\nm1,35000,67.2\nm2,100,\n")
+    (tmp_path / "b.csv").write_text("system,metric,change\ns,map,-0.5\n")
+    got = files.union_results(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    assert got.columns == ["source", "model", "steps_1h", "ndcg@10", "system", "metric", "change"]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(
+        map(str, [("a", "m1", 35000, 67.2, None, None, None), ("a", "m2", 100, None, None, None, None), ("b", None, None, None, "s", "map", -0.5)])
+    )
+
+
+def test_staged_folders_go_with_their_block(spark):
+    with session.scratch(spark):
+        kept = session.stage(spark.range(3), "mine")
+        path = Path(session._staged[-1].removeprefix("file:"))
+        assert kept.count() == 3 and path.exists()
+    assert not path.exists()

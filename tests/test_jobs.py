@@ -74,8 +74,31 @@ def test_fuse_summarize(spark, folder):
     assert {r.system for r in tables["fused"].collect()} == {"fuse:sum", "fuse:rrf"}
     assert all(r.system.startswith("pair:") for r in tables["paired"].collect()) and tables["paired"].count() == 3
     written = [str(folder / "fused" / n) for n in ("base_models", "all_runs_fused", "pairs_fused")]
-    board = jobs.summarize(spark, written, sort="ndcg@10", head=4).collect()
-    assert len(board) == 4 and board[0]["ndcg@10"] == max(r["ndcg@10"] for r in board)
+    board = jobs.summarize(spark, written, sort="ndcg@10").collect()
+    assert len(board) == 8 and board[0]["ndcg@10"] == max(r["ndcg@10"] for r in board)
+    heads = jobs.summarize(spark, written, sort="ndcg@10", head=2).collect()
+    assert len(heads) == 6 and heads[0] == board[0]
+
+
+def test_fusion_ranks_by_score_whatever_the_file_counts_from(spark, folder):
+    for name in ("up", "down"):
+        lines = (folder / f"{name}.run").read_text().split("\n")[:-1]
+        moved = [" ".join([*(f := line.split())[:3], str(int(f[3]) - 1), *f[4:]]) for line in lines]
+        (folder / f"{name}0.run").write_text("\n".join(moved) + "\n")
+    found = []
+    for end in ("", "0"):
+        runs = [str(folder / f"{n}{end}.run") for n in ("up", "down")]
+        tables = jobs.fuse_runs(spark, str(folder / "qrels.txt"), runs, str(folder / f"fused{end}"))
+        found.append(sorted(map(str, tables["fused"].collect())))
+    assert found[0] == found[1]
+
+
+def test_long_queries_survive_expansion(spark, folder):
+    own = " ".join(f"word{i}" for i in range(37))
+    (folder / "long.tsv").write_text(f"q1\t{own}\n")
+    offered, whole = str(folder / "candidates.tsv.gz"), str(folder / "collection.tsv")
+    got = jobs.expand_queries(spark, str(folder / "long.tsv"), str(folder / "longer"), offered, passages=whole).first()
+    assert got.text.startswith(own + " ") and len(got.text.split()) > 40
 
 
 def test_expand_and_compare(spark, folder):

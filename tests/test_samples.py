@@ -69,9 +69,8 @@ def test_dev_texts_and_lists(spark, rows):
     )
     long = samples.materialize_dev(dev, *texts(spark))
     assert rows(long, "qid", "passage", "is_pos") == [("q1", "a", True), ("q1", "b", False), ("q2", "a", True)]
-    assert rows(samples.nest_dev(long)) == [("q1", "one", ["a"], ["b"]), ("q2", "two", ["a"], [])]
-    with pytest.raises(Exception, match="too many dev rows"):
-        samples.nest_dev(long, max_items=1).collect()
+    assert rows(samples.nest_dev(long)) == [("q1", 0, "one", ["a"], ["b"]), ("q2", 0, "two", ["a"], [])]
+    assert rows(samples.nest_dev(long, items=1)) == [("q1", 0, "one", ["a"], []), ("q1", 1, "one", [], ["b"]), ("q2", 0, "two", ["a"], [])]
     unknown = spark.createDataFrame([("q9", "p1", True)], dev.schema)
     with pytest.raises(Exception, match="dev query without text: q9"):
         samples.materialize_dev(unknown, *texts(spark)).collect()
@@ -91,8 +90,8 @@ def test_collection_checks(spark, rows):
 def test_batches_are_full_shuffled_and_reproducible(spark):
     frame = spark.range(1000).withColumnRenamed("id", "n")
     got = [
-        {r.n: r.batch for r in samples.assign_batches(frame.repartition(parts), "n", 32, seed, prefix).collect()}
-        for parts, seed, prefix in ((1, 5, 4), (7, 5, 1), (3, 6, 4))
+        {r.n: r.batch for r in samples.assign_batches(frame.repartition(parts), "n", 32, seed, rows).collect()}
+        for parts, seed, rows in ((1, 5, 1 << 32), (7, 5, 1000), (3, 6, 1 << 32))
     ]
     assert got[0] == got[1] != got[2]
     sizes = [list(got[0].values()).count(b) for b in range(32)]

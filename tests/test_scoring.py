@@ -46,16 +46,8 @@ def frames(spark, queries, passages):
     )
 
 
-@pytest.fixture(params=["broadcast", "shuffle"])
-def query_side(request, monkeypatch):
-    """Both ways of joining the query side."""
-    if request.param == "shuffle":
-        monkeypatch.setattr(scoring, "is_small", lambda df: False)
-    return request.param
-
-
 @pytest.mark.parametrize("staged", [False, True])
-def test_retrieval_equals_scoring_every_pair(spark, rng, query_side, staged):
+def test_retrieval_equals_scoring_every_pair(spark, rng, staged):
     queries, passages = corpus(rng)
     asked, held = frames(spark, queries, passages)
     scores = bm25_by_hand(queries, passages)
@@ -68,7 +60,7 @@ def test_retrieval_equals_scoring_every_pair(spark, rng, query_side, staged):
     assert got == want
 
 
-def test_given_pairs_keep_unmatched_ones(spark, rng, query_side):
+def test_given_pairs_keep_unmatched_ones(spark, rng):
     queries, passages = corpus(rng)
     asked, held = frames(spark, queries, passages)
     pairs = asked.select("qid").crossJoin(held.select("pid"))  # test data only
@@ -155,3 +147,17 @@ def test_ranker_prefers_matching_passages(spark, rng):
     scored = ranker.score_with_ranker(ranker.fit_ranker(features), features).join(features, ["qid", "pid"])
     means = {r.label: r.m for r in scored.groupBy("label").agg(F.avg("score").alias("m")).collect()}
     assert means[1.0] > 0.5 > means[0.0]
+
+
+def test_building_plans_starts_no_job(spark, rng):
+    queries, passages = corpus(rng)
+    asked, held = frames(spark, queries, passages)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "plans")
+    try:
+        top = scoring.retrieve(asked, held, k=5)
+        scoring.score_bm25(top, asked, held)
+        scoring.rank_features(top, asked, held)
+        assert tracker.getJobIdsForGroup("building") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
