@@ -32,7 +32,8 @@ from rankflow.llm.common import map_batches, picked
 BLANK = "▁"
 RATE = 0.1
 VARIANTS = 4
-KNOWN = 250_000
+KNOWN = 800_000
+"""Segmentations a worker remembers, about 250 bytes each; the older half is dropped when full."""
 LONGEST_KNOWN = 48
 """Longer stretches are segmented afresh each time."""
 
@@ -64,6 +65,7 @@ class Model:
         self.skip_below = int(rate * _TOP)
         self.seed, self.variants = seed, variants
         self.known: list[dict[str, tuple[int, ...]]] = [{} for _ in range(variants)]
+        self.older: list[dict[str, tuple[int, ...]]] = [{} for _ in range(variants)]
 
     def segment(self, stretch: str, variant: int) -> tuple[int, ...]:
         """Piece ids of one stretch."""
@@ -111,20 +113,21 @@ class Model:
             return []
         turn = xxhash.xxh64_intdigest(key, self.seed) if self.variants > 1 else 0
         ids: list[int] = []
-        for stretch in self.stretch.findall(" " + text):
-            turn += 1
-            variant = turn % self.variants
-            known = self.known[variant]
-            found = known.get(stretch)
-            if found is None:
-                found = self.segment(stretch, variant)
-                if len(stretch) <= LONGEST_KNOWN:
-                    if len(known) >= KNOWN // self.variants:
-                        known.clear()
-                    known[stretch] = found
-            ids += found
+        variants, known = self.variants, self.known
+        for turn, stretch in enumerate(self.stretch.findall(" " + text), turn % variants):
+            variant = turn % variants
+            ids += known[variant].get(stretch) or self._recalled(stretch, variant)
         return ids
 
+    def _recalled(self, stretch: str, variant: int) -> tuple[int, ...]:
+        """From the older memory, or afresh, and remembered."""
+        found = self.older[variant].get(stretch) or self.segment(stretch, variant)
+        if len(stretch) <= LONGEST_KNOWN:
+            if len(self.known[variant]) >= KNOWN // (2 * self.variants):
+                self.older[variant], self.known[variant] = self.known[variant], {}
+            self.known[variant][stretch] = found
+        return found
+
     def decode(self, ids: Sequence[int]) -> str:
         """The text of piece ids; control pieces stand for nothing."""
         if not len(ids):
