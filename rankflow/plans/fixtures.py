@@ -101,7 +101,11 @@ class Inputs:
 
     @functools.cached_property
     def passages(self) -> DataFrame:
-        return self.table("documents").select(F.col("doc_id").alias("pid"), "text")
+        """The documents; a table in fewer files than there are cores is dealt out by id first,
+        as a small file is one row group and so one task, whatever Spark splits it into."""
+        documents = self.table("documents").select(F.col("doc_id").alias("pid"), "text")
+        cores = self.spark.sparkContext.defaultParallelism
+        return documents if len(documents.inputFiles()) >= cores else documents.repartition(cores, "pid")
 
     @functools.cached_property
     def labelled_passages(self) -> DataFrame:
