@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,10 +121,10 @@ def contribution(mean_length: Column, k1: float, b: float) -> Column:
 
 
 def _weighted(wanted: DataFrame, rows: DataFrame, collection: Collection) -> DataFrame:
-    """Query terms with their inverse document frequency; ``rows`` has one per (pid, term)."""
+    """Query terms with their (inverse) document frequency; ``rows`` has one per (pid, term)."""
     frequencies = rows.groupBy("term").agg(F.count("*").alias("df"))
     idf = inverse_frequency(F.col("df"), collection.size)
-    return wanted.join(frequencies, "term").withColumn("idf", idf).drop("df")
+    return wanted.join(frequencies, "term").withColumn("idf", idf)
 
 
 def retrieve(
@@ -134,10 +135,13 @@ def retrieve(
     b: float = 0.4,
     keys: Sequence[str] = ("qid",),
     fanout: int | None = None,
+    spare: int | None = None,
 ) -> DataFrame:
     """Top ``k`` passages per query over the whole collection: ``(qid, pid, rank, score)``.
 
     ``fanout`` merges each query's per-task bests in two steps, for very many tasks.
+    ``spare`` keeps common terms from meeting all their passages, for large collections: see
+    ``_bounded_scores``. The rows are the same.
     """
     collection = Collection.of(passages)
     wanted = query_terms(queries, keys)
@@ -145,15 +149,51 @@ def retrieve(
     # Document frequencies read the same shuffle as scoring. The rows are distinct already;
     # saying so keeps all their columns wanted, and Spark runs the shuffle once for both.
     weights = _weighted(wanted, postings.distinct(), collection)
-    scored = (
-        postings.join(weights, "term")
-        .groupBy(*keys, "pid")
-        .agg(F.round(F.sum(contribution(collection.mean_length, k1, b)), LEXICAL_PLACES).alias("score"))
-    )
+    part = F.sum(contribution(collection.mean_length, k1, b))
+    if spare is None:
+        scored = postings.join(weights, "term").groupBy(*keys, "pid").agg(part.alias("score"))
+    else:
+        scored = _bounded_scores(postings, weights, part, k, k1, keys, spare)
+    scored = scored.withColumn("score", F.round("score", LEXICAL_PLACES))
     top = top_within(scored, keys, [("score", False), ("pid", True)], k, fanout=fanout)
     return top.select(*keys, "pid", "rank", "score")
 
 
+def _bounded_scores(
+    postings: DataFrame, weights: DataFrame, part: Column, k: int, k1: float, keys: Sequence[str], spare: int
+) -> DataFrame:
+    """Scores of all passages that can be among a query's best ``k``.
+
+    A query's rarest terms, up to about ``spare * k`` postings, are scored first. Its k-th best
+    score so far is a floor. What the other, common terms can add has a bound: no term adds
+    more than its weight times k1 + 1. If that is below the floor, passages with common
+    terms only are out, and so are those that cannot reach the floor any more; the common
+    terms meet the survivors alone. Queries without such a floor are scored in full.
+    """
+    names = list(keys)
+    earlier = W.partitionBy(*keys).orderBy("df", "term").rowsBetween(W.unboundedPreceding, -1)
+    ranked = weights.withColumn("rare", F.coalesce(F.sum("df").over(earlier), F.lit(0)) < spare * k)
+    rare, common = ranked.filter("rare"), ranked.filter("NOT rare")
+    so_far = postings.join(rare, "term").groupBy(*keys, "pid").agg(part.alias("so_far"))
+    floor = top_within(so_far, keys, [("so_far", False), ("pid", True)], k).filter(F.col("rank") == k)
+    bound = common.groupBy(*keys).agg(F.sum(F.col("idf") * (k1 + 1)).alias("bound"))
+    limits = bound.join(floor.select(*keys, F.col("so_far").alias("floor")), names, "left")
+    settled = F.coalesce(F.col("bound") < F.col("floor") - 1e-6, F.lit(False))
+    limits = limits.withColumn("settled", settled)
+    open_ = limits.filter("NOT settled").select(*keys)
+
+    reach = so_far.join(limits, names, "left").filter(
+        F.col("bound").isNull() | (F.col("settled") & (F.col("so_far") + F.col("bound") >= F.col("floor") - 1e-6))
+    )
+    wanted = reach.filter("bound IS NOT NULL").select(*keys, "pid")
+    added = wanted.join(common, names).join(postings, ["pid", "term"]).groupBy(*keys, "pid").agg(part.alias("added"))
+    complete = reach.join(added, [*names, "pid"], "left").select(
+        *keys, "pid", (F.col("so_far") + F.coalesce("added", F.lit(0.0))).alias("score")
+    )
+    full = postings.join(ranked.join(open_, names, "left_semi"), "term").groupBy(*keys, "pid").agg(part.alias("score"))
+    return complete.union(full.select(*keys, "pid", "score"))
+
+
 def _scored_pairs(
     pairs: DataFrame, queries: DataFrame, collection: Collection, k1: float, b: float, keys: Sequence[str]
 ) -> DataFrame:

@@ -269,6 +269,12 @@ def bm25_top(i: Inputs) -> DataFrame:
     return _rounded(scoring.retrieve(i.queries, i.passages, k=1000), "score")
 
 
+@query
+def bm25_bounded_top(i: Inputs) -> DataFrame:
+    """Shallow retrieval in which common terms meet only passages that can still be listed."""
+    return _rounded(scoring.retrieve(i.queries, i.collection, k=10, spare=8), "score")
+
+
 @query
 def bm25_merged_top(i: Inputs) -> DataFrame:
     return _rounded(scoring.retrieve(i.queries, i.passages, k=CANDIDATES, fanout=4), "score")

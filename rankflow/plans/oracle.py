@@ -363,6 +363,9 @@ FROM (SELECT l.label, q.qid IS NOT NULL AND h.pid IS NOT NULL AS kept
         "bm25_top": statement(
             "SELECT qid, pid, rank, floor(score * 1e6 + 0.5) / 1e6 AS score FROM deep", *lexical, BM25, {"deep": top("bm25", 1000)}
         ),
+        "bm25_bounded_top": statement(
+            "SELECT qid, pid, rank, floor(score * 1e6 + 0.5) / 1e6 AS score FROM few", *lexical, BM25, {"few": top("bm25", 10)}
+        ),
         "bm25_merged_top": statement("SELECT qid, pid, rank, floor(score * 1e6 + 0.5) / 1e6 AS score FROM pairs", *lexical, BM25),
         "bm25_reranked": statement(
             """SELECT qid, pid, row_number() OVER (PARTITION BY qid ORDER BY r.score DESC, pid) AS rank, floor(r.score * 1e6 + 0.5) / 1e6 AS score

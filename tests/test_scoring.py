@@ -46,6 +46,13 @@ def frames(spark, queries, passages):
     )
 
 
+@pytest.mark.parametrize(("k", "spare"), [(3, 1), (3, 8), (15, 2), (1, 1)])
+def test_bounded_retrieval_gives_the_same_rows(spark, rng, k, spare):
+    asked, held = frames(spark, *corpus(rng, 200))
+    plain = {tuple(r) for r in scoring.retrieve(asked, held, k=k).collect()}
+    assert {tuple(r) for r in scoring.retrieve(asked, held, k=k, spare=spare).collect()} == plain
+
+
 @pytest.mark.parametrize("staged", [False, True])
 def test_retrieval_equals_scoring_every_pair(spark, rng, staged):
     queries, passages = corpus(rng)
