@@ -36,6 +36,17 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--tag", default="STANDARD")
     p.add_argument("--min-grade", type=int)
 
+    p = commands.add_parser("train", help="fit the feature ranker on prepared samples, print its dev MRR")
+    for name in ("prepared", "queries", "passages", "out"):
+        p.add_argument(f"--{name}", required=True)
+
+    p = commands.add_parser("rerank", help="rank candidates with a fitted ranker and write the run")
+    for name in ("model", "queries", "candidates", "out-run"):
+        p.add_argument(f"--{name}", required=True)
+    p.add_argument("--passages")
+    p.add_argument("--rank-base", type=int, default=1, choices=(0, 1))
+    p.add_argument("--tag", default="RANKER")
+
     p = commands.add_parser("fuse", help="single runs, all fusions, all pairs")
     p.add_argument("--qrels", required=True)
     p.add_argument("--runs", nargs="+", required=True)
@@ -79,6 +90,10 @@ def main(arguments: list[str] | None = None) -> None:
             _print(jobs.prepare_training(spark, **options))
         elif job == "evaluate":
             _print(jobs.evaluate_candidates(spark, **options))
+        elif job == "train":
+            _print(jobs.train_ranker(spark, **options))
+        elif job == "rerank":
+            jobs.rerank_candidates(spark, **options)
         elif job == "fuse":
             for table in jobs.fuse_runs(spark, **options).values():
                 _print(table)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.scores import as_percent
 from rankflow.functions.text import truncate_words
-from rankflow.operators import expansion, fusion, metrics, reporting, samples, scoring
+from rankflow.operators import expansion, fusion, metrics, ranker, reporting, samples, scoring
 from rankflow.operators.ranking import judged_queries, rank_run
 from rankflow.session import stage
 from rankflow.sources import files, sinks
@@ -125,6 +125,42 @@ def evaluate_candidates(
     return as_percent(metrics.evaluate(named, judged))
 
 
+def train_ranker(spark: SparkSession, prepared: str, queries: str, passages: str, out: str) -> DataFrame:
+    """Fit the feature ranker on what ``prepare_training`` wrote, save it in ``out``, return its
+    reciprocal rank on the dev samples."""
+    asked = stage(files.read_queries(spark, queries), "queries")
+    collection = scoring.Collection.staged(files.read_passages(spark, passages))
+    train, dev = (spark.read.parquet(f"{prepared}/{part}") for part in ("train", "dev"))
+    labelled = train.groupBy("qid", "pid").agg(F.max("label").cast("double").alias("label"))
+    features = scoring.rank_features(labelled.select("qid", "pid"), asked, collection).join(labelled, ["qid", "pid"])
+    model = ranker.fit_ranker(stage(features, "features"))
+    model.write().overwrite().save(out)
+    tried = scoring.rank_features(dev.select("qid", "pid").distinct(), asked, collection)
+    scored = dev.select("qid", "pid", "is_pos").join(ranker.score_with_ranker(model, tried), ["qid", "pid"])
+    return metrics.reranking_mrr(scored)
+
+
+def rerank_candidates(
+    spark: SparkSession,
+    model: str,
+    queries: str,
+    candidates: str,
+    out_run: str,
+    passages: str | None = None,
+    rank_base: int = 1,
+    tag: str = "RANKER",
+) -> DataFrame:
+    """Rank a candidate file with a saved ranker, write the run and return it."""
+    asked = stage(files.read_queries(spark, queries), "queries")
+    offered = stage(files.read_candidates(spark, candidates), "candidates")
+    first = offered.join(asked.select("qid"), "qid", "left_semi").groupBy("qid", "pid").agg(F.min("ord").alias("ord"))
+    features = scoring.rank_features(first.select("qid", "pid"), asked, _collection(offered, _whole(spark, passages)))
+    scores = ranker.score_with_ranker(ranker.load_ranker(model), features)
+    run = stage(rank_run(scores.join(first, ["qid", "pid"]), "ord", unique=True), "run")
+    sinks.write_run(run, out_run, tag, rank_base)
+    return run
+
+
 def fuse_runs(
     spark: SparkSession,
     qrels: str,

@@ -50,6 +50,19 @@ def test_prepare(spark, folder):
     assert {(r.qid, r.pid, r.is_pos) for r in dev} == {("q1", "p1", True), ("q1", "p3", False), ("q1", "p4", False)}
 
 
+def test_train_and_rerank(spark, folder):
+    names = ("dev.tsv.gz", "train.tsv.gz", "queries.tsv", "collection.tsv", "made")
+    jobs.prepare_training(spark, *(str(folder / n) for n in names), dev_count=1, ratio=1)
+    asked, held = str(folder / "queries.tsv"), str(folder / "collection.tsv")
+    rank = jobs.train_ranker(spark, str(folder / "made"), asked, held, str(folder / "model")).first()
+    assert rank["queries"] == 1 and 0 < rank["mrr@10"] <= 1
+    offered = str(folder / "candidates.tsv.gz")
+    run = jobs.rerank_candidates(spark, str(folder / "model"), asked, offered, str(folder / "ranked.run"), held, rank_base=0)
+    assert run.count() == 15
+    back = files.read_runs(spark, str(folder / "ranked.run"))
+    assert back.count() == 15 and {r["rank"] for r in back.collect()} == set(range(5))
+
+
 def test_evaluate_with_bm25_and_with_a_model(spark, folder):
     given = [str(folder / n) for n in ("queries.tsv", "candidates.tsv.gz", "qrels.txt")]
     lexical = jobs.evaluate_candidates(spark, *given, str(folder / "bm25.run"), passages=str(folder / "collection.tsv"))
