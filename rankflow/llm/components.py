@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rankflow.session import stage
 
+MOST_ROUNDS = 200  # a graph of 10^12 nodes takes some forty
 
 def components(edges: DataFrame) -> DataFrame:
     """``(node, label)`` for every node of the edges ``(a, b)``; equal labels are linked.
@@ -20,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     kind = edges.schema["a"].dataType.simpleString()
     labels = None
-    for turn in range(200):
+    for turn in range(MOST_ROUNDS):
         edges = stage(edges.filter("a <> b").distinct(), "edges")
         if edges.isEmpty():
             break
@@ -39,6 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
         left = edges.join(step, "a").select(F.col("to").alias("x"), "b")
         right = step.select(F.col("a").alias("b"), F.col("to").alias("y"))
         edges = left.join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    else:
+        raise RuntimeError("the edges have not contracted")
     if labels is None:
         return spark.createDataFrame([], f"node {kind}, label {kind}")
     return labels
