@@ -12,8 +12,10 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 PIECE_CHARS = 1 << 20
+SLICE_ROWS = 512
 _BREAK = re.compile(r"[ \t\n\r]")
 
 
@@ -26,15 +28,29 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[source].alias(name) for name, source in columns.items()])
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``function`` on each Arrow batch; Spark bounds the rows and bytes of a batch."""
+def map_batches(
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: str | StructType,
+    done: Callable[[], None] | None = None,
+) -> DataFrame:
+    """``function`` on slices of each Arrow batch, so that what it makes stays small as well.
+
+    Spark bounds the rows and bytes of a batch. ``done`` is called at the end of a task, to
+    leave no memory behind in a worker that goes on to other work.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                out = function(batch)
-                if out is not None and out.num_rows:
-                    yield out
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, SLICE_ROWS):
+                    out = function(batch.slice(at, SLICE_ROWS))
+                    if out.num_rows:
+                        yield out
+        finally:
+            if done:
+                done()
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -37,7 +37,7 @@ BLOCK_BYTES = 16 << 20
 """Items go to the tasks in blocks of about so many bytes of text, one pass over the documents each."""
 
 _WORD = re.compile(r"[^\W_]+")
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 200_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -54,6 +54,10 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
+def _forget() -> None:
+    _hashes.clear()
+
+
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
@@ -184,7 +188,7 @@ def leaks(
             columns = [pa.array([f[1] for f in found], arrow_item), *(pa.array([f[n] for f in found], pa.int64()) for n in (2, 3))]
             return pa.record_batch([keys, *columns], ["key", "item", "n_item", "n_shared"])
 
-        return map_batches(rows, run, schema)
+        return map_batches(rows, run, schema, _forget)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -212,7 +216,7 @@ def without_leaks(
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             return batch.filter(pa.array([not shared.value.contained(t) for t in texts_of(batch, text)]))
 
-        return map_batches(frame, run, docs.schema)
+        return map_batches(frame, run, docs.schema, _forget)
 
     kept = docs
     for block in _blocks(picked(benchmark, item=item, text=item_text), share, block_bytes):

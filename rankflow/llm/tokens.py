@@ -23,7 +23,7 @@ from rankflow.llm.common import map_batches, picked, texts_of
 
 LIMIT = 2048
 BATCH_BYTES = 1 << 18
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 200_000
 
 
 def byte_batches(pieces: Iterable[bytes], most: int = BATCH_BYTES) -> Iterator[list[bytes]]:
