@@ -4,8 +4,9 @@ Encoding follows the byte-pair merges of a SentencePiece model: an agenda holds
 merges of neighbouring symbols by score, then place, and the best is made until none is
 left. With dropout, a candidate taken from the agenda is skipped if a hash of seed, variant,
 stretch, place and merged piece falls below the rate; the hash alone decides, so a lost
-task comes out the same again. Occurrences of a word take turns through ``variants``
-segmentations, starting at a place drawn from the document's key.
+task comes out the same again. Occurrences of a short stretch, which most of a text is made
+of, take turns through ``variants`` segmentations, starting at a place drawn from the
+document's key. Longer stretches seldom come again and have one segmentation per seed.
 
 Texts are cut into stretches of blanks with the characters after them, which no piece
 spans. Characters outside the vocabulary, and the model's own mark for a blank where a text
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import math
 import re
 from collections.abc import Sequence
 
@@ -32,11 +34,17 @@ from rankflow.llm.common import map_batches, picked
 BLANK = "▁"
 RATE = 0.1
 VARIANTS = 4
-KNOWN = 800_000
+VARIED = 6
+"""Stretches of up to so many characters, blanks included, take turns."""
+KNOWN = 400_000
 """Segmentations a worker remembers, about 250 bytes each; the older half is dropped when full."""
 LONGEST_KNOWN = 48
 """Longer stretches are segmented afresh each time."""
 
+SHORT = 48
+"""Up to so many characters the agenda is a list, beyond that a heap."""
+
+_NEVER = math.inf
 _MARKED = "\0" + BLANK
 _TOP = 1 << 64
 
@@ -69,11 +77,45 @@ class Model:
 
     def segment(self, stretch: str, variant: int) -> tuple[int, ...]:
         """Piece ids of one stretch."""
-        symbols: list[str | None] = [BLANK if c == " " else _MARKED if c == BLANK else c for c in stretch]
+        symbols = [BLANK if c == " " else _MARKED if c == BLANK else c for c in stretch]
+        key = xxhash.xxh64_intdigest(stretch, self.seed * 1_000_003 + variant) if self.skip_below else 0
+        symbols = self._merged(symbols, key) if len(symbols) <= SHORT else self._merged_long(symbols, key)
+        ids: list[int] = []
+        for symbol in symbols:
+            piece = self.ids.get(symbol)
+            if piece is not None:
+                ids.append(piece)
+            else:
+                ids += [self.bytes[b] for b in symbol.removeprefix("\0").encode() or b"\0"]
+        return tuple(ids)
+
+    def _merged(self, symbols: list[str], key: int) -> list[str]:
+        """The symbols after all merges; the agenda is the list of the neighbours' costs."""
+        cost, below, digest = self.cost.get, self.skip_below, xxhash.xxh64_intdigest
+        places = list(range(len(symbols)))
+        agenda = [cost(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while agenda:
+            best = min(agenda)
+            if best == _NEVER:
+                break
+            i = agenda.index(best)
+            merged = symbols[i] + symbols[i + 1]
+            if below and digest(merged, key ^ places[i]) < below:
+                agenda[i] = _NEVER
+                continue
+            symbols[i] = merged
+            del symbols[i + 1], places[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = cost(merged + symbols[i + 1], _NEVER)
+            if i:
+                agenda[i - 1] = cost(symbols[i - 1] + merged, _NEVER)
+        return symbols
+
+    def _merged_long(self, symbols: list[str | None], key: int) -> list[str]:
+        """The same with a heap as agenda, for stretches on which scanning would be slow."""
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         cost, below = self.cost, self.skip_below
-        key = xxhash.xxh64_intdigest(stretch, self.seed * 1_000_003 + variant) if below else 0
         agenda = []
         for i in range(n - 1):
             merged = symbols[i] + symbols[i + 1]
@@ -98,15 +140,7 @@ class Model:
                 longer = symbols[before[left]] + merged
                 if longer in cost:
                     heapq.heappush(agenda, (cost[longer], before[left], longer))
-        ids: list[int] = []
-        for symbol in symbols:
-            if symbol is None:
-                continue
-            if symbol in self.ids:
-                ids.append(self.ids[symbol])
-            else:
-                ids += [self.bytes[b] for b in symbol.removeprefix("\0").encode() or b"\0"]
-        return tuple(ids)
+        return [symbol for symbol in symbols if symbol is not None]
 
     def encode(self, text: str, key: str = "") -> list[int]:
         if not text:
@@ -115,7 +149,7 @@ class Model:
         ids: list[int] = []
         variants, known = self.variants, self.known
         for turn, stretch in enumerate(self.stretch.findall(" " + text), turn % variants):
-            variant = turn % variants
+            variant = turn % variants if len(stretch) <= VARIED else 0
             ids += known[variant].get(stretch) or self._recalled(stretch, variant)
         return ids
 
@@ -123,7 +157,7 @@ class Model:
         """From the older memory, or afresh, and remembered."""
         found = self.older[variant].get(stretch) or self.segment(stretch, variant)
         if len(stretch) <= LONGEST_KNOWN:
-            if len(self.known[variant]) >= KNOWN // (2 * self.variants):
+            if len(self.known[variant]) >= (KNOWN // 16 if variant else KNOWN // 2):
                 self.older[variant], self.known[variant] = self.known[variant], {}
             self.known[variant][stretch] = found
         return found
