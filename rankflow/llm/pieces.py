@@ -4,9 +4,8 @@ Encoding follows the byte-pair merges of a SentencePiece model: an agenda holds
 merges of neighbouring symbols by score, then place, and the best is made until none is
 left. With dropout, a candidate taken from the agenda is skipped if a hash of seed, variant,
 stretch, place and merged piece falls below the rate; the hash alone decides, so a lost
-task comes out the same again. Occurrences of a short stretch, which most of a text is made
-of, take turns through ``variants`` segmentations, starting at a place drawn from the
-document's key. Longer stretches seldom come again and have one segmentation per seed.
+task comes out the same again. Occurrences of a stretch, whatever its length, take turns
+through ``variants`` segmentations, starting at a place drawn from the document's key.
 
 Texts are cut into stretches of blanks with the characters after them, which no piece
 spans. Characters outside the vocabulary, and the model's own mark for a blank where a text
@@ -34,8 +33,6 @@ from rankflow.llm.common import map_batches, picked
 BLANK = "▁"
 RATE = 0.1
 VARIANTS = 4
-VARIED = 6
-"""Stretches of up to so many characters, blanks included, take turns."""
 KNOWN = 400_000
 """Segmentations a worker remembers, about 250 bytes each; the older half is dropped when full."""
 LONGEST_KNOWN = 48
@@ -149,7 +146,7 @@ class Model:
         ids: list[int] = []
         variants, known = self.variants, self.known
         for turn, stretch in enumerate(self.stretch.findall(" " + text), turn % variants):
-            variant = turn % variants if len(stretch) <= VARIED else 0
+            variant = turn % variants
             ids += known[variant].get(stretch) or self._recalled(stretch, variant)
         return ids
 
@@ -157,7 +154,7 @@ class Model:
         """From the older memory, or afresh, and remembered."""
         found = self.older[variant].get(stretch) or self.segment(stretch, variant)
         if len(stretch) <= LONGEST_KNOWN:
-            if len(self.known[variant]) >= (KNOWN // 16 if variant else KNOWN // 2):
+            if len(self.known[variant]) >= KNOWN // (2 * self.variants):
                 self.older[variant], self.known[variant] = self.known[variant], {}
             self.known[variant][stretch] = found
         return found

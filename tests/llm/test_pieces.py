@@ -64,6 +64,18 @@ def test_seeds_vary_and_repeat(spark):
     assert len({pieces.Model(PATH, rate=0.3, seed=s).segment(" representation", 0) for s in range(20)}) > 5
 
 
+def test_stretches_of_every_length_vary():
+    model = pieces.Model(PATH, rate=0.3, seed=1)
+    word = model.encode("representation " * 40, "7")
+    assert len({tuple(word[i : i + 3]) for i in range(len(word) - 2)}) > 12
+    for stretch in (" however", " representation", " internationalisation"):
+        turns = [model.segment(stretch, v) for v in range(pieces.VARIANTS)]
+        assert len(set(turns)) > 1
+        ids = model.encode((stretch * 8)[1:], "7")
+        start = pieces.xxhash.xxh64_intdigest("7", 1)
+        assert ids == [x for turn in range(8) for x in turns[(start + turn) % pieces.VARIANTS]]
+
+
 def test_round_trip(spark):
     rows = [*enumerate(TEXTS), (4, TEXTS[4]), (None, TEXTS[5])]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("key", F.lit("x")).withColumn("pieces", F.lit(0))
