@@ -364,12 +364,17 @@ def ranker_training_table(i: Inputs) -> DataFrame:
 @query
 def fitted_ranker_facts(i: Inputs) -> DataFrame:
     """A ranker fitted on the training samples and tried on the dev samples: whether its
-    weights and its reciprocal rank are numbers in range, and how many dev queries it ranks."""
-    model = ranker.fit_ranker(stage(_training_features(i), "features"))
+    weights and its reciprocal rank are numbers in range, and how many dev queries it ranks.
+
+    A table whose queries are all dev queries has nothing to train on; all weights are zero then.
+    """
+    training = stage(_training_features(i), "features")
+    model = None if training.isEmpty() else ranker.fit_ranker(training)
     dev = stage(_text_dev(i, HELD_OUT).join(i.passages.select("pid"), "pid", "left_semi"), "dev")
     features = scoring.rank_features(dev.select("qid", "pid").distinct(), i.queries, i.collection)
-    scored = dev.join(ranker.score_with_ranker(model, features), ["qid", "pid"])
-    weights = [float(w) for w in model.stages[-1].coefficients]
+    scores = ranker.score_with_ranker(model, features) if model else features.select("qid", "pid", F.lit(0.5).alias("score"))
+    scored = dev.join(scores, ["qid", "pid"])
+    weights = [float(w) for w in model.stages[-1].coefficients] if model else []
     return metrics.reranking_mrr(scored).select(
         F.lit(all(math.isfinite(w) for w in weights)).alias("finite_weights"),
         F.col("`mrr@10`").between(0, 1).alias("rank_in_range"),

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from rankflow.operators import samples
 
@@ -97,3 +98,18 @@ def test_batches_are_full_shuffled_and_reproducible(spark):
     sizes = [list(got[0].values()).count(b) for b in range(32)]
     assert sizes == [32] * 31 + [8]
     assert [n for n in range(32) if got[0][n] == 0] != list(range(32))
+
+
+def test_registered_queries_train_on_no_dev_query(spark, monkeypatch):
+    from rankflow.plans import catalog
+    from rankflow.plans.fixtures import DEV_QUERIES, Inputs
+
+    rows = [(n, n % (DEV_QUERIES + 30), n, n + 1) for n in range(2000)]
+    triples = spark.createDataFrame(rows, "ord bigint, qid bigint, pos_id bigint, neg_id bigint")
+    monkeypatch.setattr(Inputs, "triples", triples)
+    monkeypatch.setattr(Inputs, "queries", triples.select("qid").distinct().withColumn("text", F.lit("x")))
+    i = Inputs(spark, "")
+    dev = {r.qid for r in samples.select_dev_queries(triples, DEV_QUERIES).collect()}
+    trained = [catalog._labelled(i), catalog._text_samples(i), samples.exclude_dev(triples, samples.select_dev_queries(triples, catalog.HELD_OUT))]
+    for frame in trained:
+        assert {r.qid for r in frame.select("qid").distinct().collect()} == set(range(DEV_QUERIES + 30)) - dev
