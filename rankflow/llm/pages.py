@@ -4,8 +4,12 @@ Each node of a page has a density: its characters per tag, adjusted by how many
 links, relative to the page. A container of paragraphs has a high sum of its children's
 densities. The node with the highest sum holds the article; the smallest density on the path
 from the body down to it is the threshold above which other branches off that path belong to
-the article as well. Elements that are furniture by their kind, role or name (menus, adverts,
-comments and the like) are left out beforehand.
+the article as well. Inside the element that encloses the article, text standing beside the
+chosen node belongs to it as well: headings, leaf blocks and direct text.
+
+Elements that are furniture by their kind, role or name (menus, adverts, comments and the
+like) are left out beforehand. Names are whole class names. A form or an element with such a
+name stays if it holds the page's only article or, on a page without one, most of its text.
 
 A page is read in one go by a tolerant tag scanner; nodes are lists in page order, so deep
 nesting needs no recursion. Null pages are empty pages, with empty text; pages without markup
@@ -29,14 +33,19 @@ INLINE = frozenset(
     "strike strong sub sup time tt u var wbr".split()
 )
 UNREAD = frozenset("script style noscript template textarea iframe object svg math title".split())
-FURNITURE = frozenset("head nav footer aside form button select dialog menu fieldset".split()) | UNREAD
+FURNITURE = frozenset("head nav footer aside button select dialog menu".split()) | UNREAD
+FORMS = frozenset("form fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert alertdialog form".split())
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
     "alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead topbar toolbar comment "
     "comments disqus respond reply replies share sharing social related recommended newsletter subscribe subscription signup login "
-    "search pagination pager widget widgets".split()
+    "search pagination pager widget widgets "
+    "cookie-notice cookie-banner cookie-consent site-footer site-navigation main-navigation main-menu comment-list comments-area "
+    "share-buttons social-links related-posts newsletter-signup search-form ad-container ad-slot".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
+ARTICLES = frozenset(("article", "main"))
 CLOSED_BY = {  # an opening tag ends these if one is open below the nearest barrier
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
@@ -49,10 +58,10 @@ _MARKUP = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _NAMED = re.compile(r"\b(?:class|id|role|hidden|aria-hidden|style)\b", re.I)
-_NAME_PARTS = re.compile(r"[^a-z]+")
 
 
 def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
+    """Furniture whatever it holds."""
     if tag in FURNITURE or (tag == "header" and not in_article):
         return True
     if tag in ("html", "body", "article", "main") or not _NAMED.search(attributes):
@@ -65,7 +74,17 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id") and not NAMES.isdisjoint(_NAME_PARTS.split(value)):
+    return False
+
+
+def _is_suspect(tag: str, attributes: str) -> bool:
+    """Furniture unless it holds the article."""
+    if tag in FORMS:
+        return True
+    if tag in ("html", "body", "article", "main") or not _NAMED.search(attributes):
+        return False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id") and not NAMES.isdisjoint("".join(values).lower().split()):
             return True
     return False
 
@@ -77,6 +96,8 @@ class Page:
         self.tags, self.parents, self.in_article = ["body"], [-1], [False]
         self.stretches: list[tuple[int, int, str]] = []  # node, block, text
         self.block = 0
+        self.suspects: list[int] = []
+        closed: list[int] = []  # places in the stack of the open suspects
         stack, skipping, at, end = [0], 0, 0, len(source)
         for m in _MARKUP.finditer(source):
             if m.start() < at:
@@ -88,7 +109,9 @@ class Page:
             if not tag:
                 continue
             if m[1] or m[4]:
-                skipping = self._close(tag, stack, skipping)
+                skipping = self._close(tag, stack, skipping, closed[-1] if closed else 0)
+                while closed and closed[-1] >= len(stack):
+                    closed.pop()
                 continue
             attributes = m[3] or m[6] or ""
             if skipping:
@@ -98,16 +121,47 @@ class Page:
                 if tag in ("br", "hr"):
                     self._text(stack[-1], " ")
             elif tag not in ("html", "body"):
-                for i in self._implied(tag, stack):
+                for i in self._implied(tag, stack, closed[-1] if closed else 0):
                     del stack[i:]
                 self._open(tag, stack)
                 if _is_furniture(tag, attributes, self.in_article[stack[-2]]):
                     skipping = len(stack)
+                elif _is_suspect(tag, attributes):
+                    self.suspects.append(stack[-1])
+                    closed.append(len(stack) - 1)
             if tag in UNREAD and not attributes.endswith("/"):
                 closing = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
                 at = closing.start() if closing else end
         if at < end and not skipping:
             self._text(stack[-1], source[at:])
+        if self.suspects:
+            self._drop_suspects()
+
+    def _drop_suspects(self) -> None:
+        """Leave out the text of suspects, but for those that hold the article."""
+        n = len(self.tags)
+        linked, suspected = [False] * n, [False] * n
+        suspects = set(self.suspects)
+        for i in range(1, n):
+            linked[i] = linked[self.parents[i]] or self.tags[i] == "a"
+            suspected[i] = suspected[self.parents[i]] or i in suspects
+        chars, plain = [0] * n, [0] * n
+        for node, _, text in self.stretches:
+            size = len(text.strip())
+            chars[node] += size
+            plain[node] += 0 if linked[node] else size
+        holds = [False] * n
+        for i in range(n - 1, 0, -1):
+            up = self.parents[i]
+            chars[up] += chars[i]
+            plain[up] += plain[i]
+            holds[up] = holds[up] or holds[i] or (self.tags[i] in ARTICLES and chars[i] > 0)
+        elsewhere = any(self.tags[i] in ARTICLES and chars[i] and not suspected[i] for i in range(1, n))
+        gone = [False] * n
+        for i in range(1, n):
+            held = not elsewhere and (holds[i] or 2 * plain[i] > plain[0])
+            gone[i] = gone[self.parents[i]] or (i in suspects and not held)
+        self.stretches = [s for s in self.stretches if not gone[s[0]]]
 
     def _text(self, node: int, text: str) -> None:
         self.stretches.append((node, self.block, text))
@@ -119,7 +173,7 @@ class Page:
         self.in_article.append(self.in_article[stack[-1]] or tag in ("article", "main"))
         stack.append(len(self.tags) - 1)
 
-    def _implied(self, tag: str, stack: list[int]) -> list[int]:
+    def _implied(self, tag: str, stack: list[int], floor: int) -> list[int]:
         """Where to cut the stack because ``tag`` ends open elements."""
         if tag in CLOSED_BY:
             ends, barriers = CLOSED_BY[tag], BARRIERS - {"td", "th"}
@@ -128,7 +182,7 @@ class Page:
         else:
             return []
         cut = []
-        for i in range(len(stack) - 1, 0, -1):
+        for i in range(len(stack) - 1, floor, -1):
             name = self.tags[stack[i]]
             if name in ends:
                 cut.append(i)
@@ -136,9 +190,9 @@ class Page:
                 break
         return cut
 
-    def _close(self, tag: str, stack: list[int], skipping: int) -> int:
+    def _close(self, tag: str, stack: list[int], skipping: int, suspect: int) -> int:
         """Close the nearest open ``tag``; a stray end tag inside furniture does not leave it."""
-        floor = skipping - 1 if skipping and tag not in ("article", "main", "body", "html") else 0
+        floor = (skipping - 1 if skipping else suspect) if tag not in ("article", "main", "body", "html") else 0
         for i in range(len(stack) - 1, max(floor, 1) - 1, -1):
             if self.tags[stack[i]] == tag:
                 del stack[i:]
@@ -188,16 +242,32 @@ def _article(page: Page) -> list[bool]:
     threshold = min(density[i] for i in path)
     inside = [False] * n
     on_path = set(path)
+    # What encloses the article: the nearest such element, else the parent of the chosen node.
+    at = next((k for k, i in enumerate(path) if page.tags[i] in ARTICLES), None)
+    at = int(len(path) > 2) if at is None else at
+    named = page.tags[path[at]] == "article"
+    enclosing = set(path[: at + 1])
+    direct = {block for node, block, text in page.stretches if node in enclosing and text.strip()}
+    block_of = {node: block for node, block, _ in reversed(page.stretches)}
     for i in range(n):
         up = page.parents[i]
-        poor = chars[i] and linked[i] > LINKED * chars[i] and density[i] < threshold and page.tags[i] not in INLINE
-        if i == best:
+        linky = linked[i] > LINKED * chars[i]
+        poor = chars[i] and linky and density[i] < threshold and page.tags[i] not in INLINE
+        if i in enclosing:
             inside[i] = True
-        elif i and inside[up]:
+        elif up == best:
             inside[i] = not poor
-        elif i and up in on_path and i not in on_path:
+        elif up in on_path:
             # A branch off the path, or text beside it under a block of its own.
-            inside[i] = density[i] >= threshold and (sums[i] > 0 or page.tags[i] == "p") and linked[i] <= LINKED * chars[i]
+            inside[i] = density[i] >= threshold and (sums[i] > 0 or page.tags[i] == "p") and not linky
+            if up in enclosing and not inside[i]:
+                if page.tags[i] in INLINE:
+                    inside[i] = not linky or block_of.get(i) in direct
+                else:
+                    leaf = sums[i] == 0 or page.tags[i] in HEADINGS
+                    inside[i] = not linky and (leaf or named)
+        elif i and inside[up]:
+            inside[i] = not poor
     return inside
 
 

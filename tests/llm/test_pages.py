@@ -40,6 +40,29 @@ def test_densest_container_wins_over_link_lists():
     assert pages.main_text(source) == " ".join([*(f"{PROSE}{i}" for i in range(6)), "Of."])
 
 
+FIVE = "".join(f"<p>{PROSE}{i}</p>" for i in range(5))
+PLAIN = " ".join(f"{PROSE}{i}" for i in range(5))
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        (f"<article><h1>Title</h1><div>{FIVE}</div></article>", f"Title {PLAIN}"),
+        (f"<article>Lead text, <b>bold</b> and <a href=/>linked</a>.<div>{FIVE}</div><pre>code</pre></article>", f"Lead text, bold and linked. {PLAIN} code"),
+        (f"<article><blockquote>Said</blockquote><div>{FIVE}</div><div>End</div></article>", f"Said {PLAIN} End"),
+        (f"<article><header><h1>T</h1><p>By A</p></header><div>{FIVE}</div><div><a href=/>more</a></div></article>", f"T By A {PLAIN}"),
+        (f"<div><div class='site-content right-sidebar'><div class=elementor-widget>{FIVE}</div></div></div>", PLAIN),
+        (f"<div class='page has-sidebar'>{FIVE}</div><div class='sidebar'>other</div>", PLAIN),
+        (f"<form id=aspnet><nav>menu</nav><main>{FIVE}</main><div class=footer>foot</div></form>", PLAIN),
+        (f"<div class=widget><article>{FIVE}</article></div><form>search</form>", PLAIN),
+        (f"<form>{FIVE}</form><div class=ad>buy</div>", PLAIN),
+        (f"<article>{FIVE}</article><div class=comments><article>{FIVE}{FIVE}</article></div>", PLAIN),
+    ],
+)
+def test_ordinary_page_shapes(source, text):
+    assert pages.main_text(source) == " ".join(text.split())
+
+
 def test_article_in_several_sections():
     body = "".join(f"<div><p>{PROSE}{i}a</p><p>{PROSE}{i}b</p></div>" for i in range(4))
     assert pages.main_text(f"<body><div>{body}</div></body>") == " ".join(f"{PROSE}{i}{x}" for i in range(4) for x in "ab")
