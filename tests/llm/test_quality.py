@@ -85,6 +85,27 @@ def test_depleted_documents_are_rejected(spark, rng):
     assert sum(got[500 + d].kept for d in range(40)) in (0, 40)
 
 
+@pytest.mark.parametrize(("block", "own"), [(3, 1), (3, 3), (5, 1), (5, 3)])
+def test_lines_of_blocks_count_every_document(spark, block, own):
+    """2,000 distinct documents, five blocks in 400 documents each: all block lines are over the limit of 100."""
+    def line(name):
+        return " ".join(chr(97 + int(x)) for x in str(name)) + " line with words"
+
+    rows = [
+        (d, "\n".join([*(line(10_000 + d % 5 * 100 + k) for k in range(block)), *(line(1_000_000 + d * 10 + k) for k in range(own))]), "h")
+        for d in range(2000)
+    ]
+    assert quality.frequent_lines(frame(spark, rows)).count() == 5 * block
+
+
+def test_depleted_documents_go(spark, rng):
+    rows = corpus(rng)
+    boiler = [" ".join(rng.choice("klmno") + chr(97 + n % 26) for n in range(k, k + 40)) for k in range(3)]
+    rows += [(500 + d, "\n".join([*boiler, " ".join(f"u{chr(97 + d % 26)}{chr(97 + d // 26)}x{chr(97 + i)}" for i in range(20))]), "h") for d in range(40)]
+    got = {r.key: r for r in quality.quality(frame(spark, rows)).collect()}
+    assert all(not got[500 + d].kept and got[500 + d].n_words_left == 20 for d in range(40))
+
+
 def test_filtered_cuts_lines_and_keeps_columns(spark, rng):
     docs = frame(spark, corpus(rng))
     got = {r.doc_id: r for r in quality.filtered(docs).collect()}
