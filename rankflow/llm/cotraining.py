@@ -6,8 +6,9 @@ is sure of, and the other view learns from them. Each view's score is then calib
 labels held out of the training, and the two are combined, also on held-out labels, into a
 probability for every document.
 
-Only the fits use samples: of at most ``LABELLED_ROWS`` labelled and ``POOL_ROWS`` unlabelled
-rows, chosen by hash of the key. All documents are scored.
+Of the labelled rows at most ``LABELLED_ROWS`` are used, chosen by hash of the key. All
+unlabelled rows are scored in every round, and the fits, which are distributed, take in all
+that a view is sure of. All documents are scored in the end.
 
 Null texts count as empty, null metadata as a value of its own. Labels with null key or class
 and labels of unknown documents teach nothing; a document with several labels counts with the
@@ -35,7 +36,6 @@ from rankflow.llm.quality import repeated_words
 from rankflow.session import stage
 
 LABELLED_ROWS = 40_000
-POOL_ROWS = 40_000
 ROUNDS = 3
 SURE = 0.95
 HELD_SHARE = 0.25
@@ -176,9 +176,9 @@ def co_train(
     label: str = "quality",
     rounds: int = ROUNDS,
     labelled_rows: int = LABELLED_ROWS,
-    pool_rows: int = POOL_ROWS,
+    pool_rows: int | None = None,
 ) -> CoTrained:
-    """Train on rows of ``views`` and 0/1 labels by key."""
+    """Train on rows of ``views`` and 0/1 labels by key; ``pool_rows`` bounds the unlabelled rows, which are all used without it."""
     known = picked(labels, id=key, label=label).filter("id IS NOT NULL AND label IS NOT NULL")
     known = known.groupBy("id").agg((F.max("label") > 0).cast("int").alias("label"))
     joined = rows.join(known, rows["key"] == known["id"], "left").drop("id")
@@ -191,7 +191,8 @@ def co_train(
     good, bad = (sum(n for (_, label_), n in by_part.items() if label_ == x) for x in (1, 0))
     if len(by_part) < 4:  # a class is missing from the training or from the held-out rows
         return CoTrained(constant=good / (good + bad) if good + bad else 0.5)
-    pool = stage(_sample(joined.filter("label IS NULL"), pool_rows, 3).drop("label"), "pool")
+    pool = joined.filter("label IS NULL").drop("label")
+    pool = stage(pool if pool_rows is None else _sample(pool, pool_rows, 3), "pool")
 
     content, page = _fit(taught, F.col("content")), _fit(taught, F.col("page"))
     for _ in range(rounds):

@@ -32,6 +32,16 @@ def test_samples_are_bounded(spark, docs):
     assert cotraining._sample(rows, 100, 3).count() < 200
 
 
+def test_all_unlabelled_rows_take_part(spark, monkeypatch):
+    x = F.when(F.col("id") % 2 == 0, F.lit(9.0)).otherwise(F.lit(-9.0)).cast("float")
+    rows = spark.range(60_000).select(F.col("id").alias("key"), F.array(x).alias("content"), F.array(x).alias("page"))
+    labels = spark.range(400).select(F.col("id").alias("doc_id"), (1 - F.col("id") % 2).cast("int").alias("quality"))
+    fit, taught = cotraining._fit, []
+    monkeypatch.setattr(cotraining, "_fit", lambda data, *a: taught.append(data.count()) or fit(data, *a))
+    cotraining.co_train(rows, labels, rounds=1)
+    assert taught[2] == taught[3] == taught[0] + 59_600
+
+
 def test_rows_without_a_lesson(spark):
     rows = [(1, "a b", "s", "en", 3), (1, "a b", "s", "en", 3), (None, None, None, None, None), (2, "", "t", "fr", 0), (3, "x " * 200_000, "s", "en", -5)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, n_chars bigint")
