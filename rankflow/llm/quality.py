@@ -33,6 +33,8 @@ REPEATED_SHARE = 0.5
 LINE_DOCS = 20
 LINE_SHARE = 0.05
 SHARE_LEFT = 0.5
+LONG_WORDS = 20
+"""Lines of so many words do not recur by nature: for them ``LINE_DOCS`` is the limit at every host size."""
 MOST_BROADCAST = 1_000_000
 """Up to so many frequent lines (8 bytes each) go to the tasks as a set, beyond that by a join."""
 
@@ -106,29 +108,30 @@ def _bands(keys: list[int]) -> list[int]:
 
 
 def _marked(batch: pa.RecordBatch):
-    """``(host, line keys, mark of the line set)`` of each document."""
+    """``(host, line keys, mark of the line set, words by line key)`` of each document."""
     for text, host in zip(batch.column("text"), batch.column("host"), strict=True):
         host = host.as_py()
-        keys = sorted({key for key, _, _ in line_keys(text.as_py() or "", host)})
+        words = {key: n for key, n, _ in line_keys(text.as_py() or "", host)}
+        keys = sorted(words)
         mark = xxhash.xxh64_intdigest(np.array(keys, np.int64).tobytes(), 0 if host is None else xxhash.xxh64_intdigest(host, 1))
-        yield host, keys, mark - (1 << 64) if mark >> 63 else mark
+        yield host, keys, mark - (1 << 64) if mark >> 63 else mark, words
 
 
 def _occurrences(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Per document: its lines with its mark, and the mark with no line."""
-    hosts, lines, marks = [], [], []
-    for host, keys, mark in _marked(batch):
+    hosts, lines, marks, long = [], [], [], []
+    for host, keys, mark, words in _marked(batch):
         hosts += [host] * (len(keys) + 1)
         lines += [*keys, None]
         marks += [mark] * (len(keys) + 1)
-    return pa.record_batch(
-        [pa.array(hosts, pa.string()), pa.array(lines, pa.int64()), pa.array(marks, pa.int64())], ["host", "line", "mark"]
-    )
+        long += [*(words[key] >= LONG_WORDS for key in keys), False]
+    columns = [pa.array(hosts, pa.string()), pa.array(lines, pa.int64()), pa.array(marks, pa.int64()), pa.array(long, pa.bool_())]
+    return pa.record_batch(columns, ["host", "line", "mark", "long"])
 
 
 def _banded(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The bands of each document that has lines."""
-    found = [(mark, _bands(keys)) for _, keys, mark in _marked(batch) if keys]
+    found = [(mark, _bands(keys)) for _, keys, mark, _ in _marked(batch) if keys]
     return pa.record_batch(
         [pa.array([m for m, _ in found], pa.int64()), pa.array([b for _, b in found], pa.list_(pa.int64()))], ["mark", "bands"]
     )
@@ -152,19 +155,20 @@ def frequent_lines(
 ) -> DataFrame:
     """``(line, n)``: keys of the lines above their host's limit, with their distinct documents.
 
-    The limit is ``line_docs`` documents or ``line_share`` of the host's, whichever is more.
+    The limit is ``line_docs`` documents or ``line_share`` of the host's, whichever is more; for
+    lines of ``LONG_WORDS`` words it is ``line_docs`` alone.
     """
     rows = picked(docs, text=text, host=host)
-    occurrences = map_batches(rows, _occurrences, "host string, line bigint, mark bigint").distinct()
+    occurrences = map_batches(rows, _occurrences, "host string, line bigint, mark bigint, long boolean").distinct()
     grouped = occurrences.join(near_copies(rows), F.col("mark") == F.col("node"), "left")
-    distinct = grouped.select("host", "line", F.coalesce("label", "mark").alias("group")).distinct()
+    distinct = grouped.select("host", "line", "long", F.coalesce("label", "mark").alias("group")).distinct()
     counts = stage(
-        distinct.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("line").isNull() | (F.col("n") > line_docs)),
+        distinct.groupBy("host", "line").agg(F.count("*").alias("n"), F.max("long").alias("long")).filter(F.col("line").isNull() | (F.col("n") > line_docs)),
         "line-counts",
     )
     totals = counts.filter("line IS NULL").select(F.col("host").alias("h"), F.col("n").alias("docs"))
     lines = counts.filter("line IS NOT NULL").join(totals, F.col("host").eqNullSafe(F.col("h")))
-    return lines.filter(F.col("n") > line_share * F.col("docs")).select("line", "n")
+    return lines.filter(F.col("long") | (F.col("n") > line_share * F.col("docs"))).select("line", "n")
 
 
 def _with_frequent(docs: DataFrame, key: str, text: str, host: str, limits: dict) -> tuple[DataFrame, frozenset[int]]:

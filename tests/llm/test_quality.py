@@ -98,6 +98,18 @@ def test_lines_of_blocks_count_every_document(spark, block, own):
     assert quality.frequent_lines(frame(spark, rows)).count() == 5 * block
 
 
+@pytest.mark.parametrize("host_docs", [400, 4000])
+def test_long_lines_have_one_limit_at_every_host_size(spark, host_docs):
+    def name(n):
+        return "".join(chr(97 + int(x)) for x in str(n))
+
+    long, short = " ".join(f"w{name(k)}" for k in range(25)), "all rights"
+    rows = [
+        (d, "\n".join([*([long, short] if d < 21 else []), *(f"own {name(d)} {name(k)}" for k in range(4))]), "h") for d in range(host_docs)
+    ]
+    assert quality.frequent_lines(frame(spark, rows)).count() == (2 if host_docs == 400 else 1)
+
+
 def test_depleted_documents_go(spark, rng):
     rows = corpus(rng)
     boiler = [" ".join(rng.choice("klmno") + chr(97 + n % 26) for n in range(k, k + 40)) for k in range(3)]
