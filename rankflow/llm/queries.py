@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import chat, cotraining, decontamination, pages, pieces, quality, secrets, sharding, simhash, tokens
+from rankflow.llm import (
+    chat,
+    cotraining,
+    decontamination,
+    linededup,
+    pages,
+    pieces,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    spelling,
+    tokens,
+    whitening,
+)
 from rankflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +97,34 @@ def op10_speaker_views(spark: SparkSession, folder: str) -> DataFrame:
     return views.select(F.col("conv").alias("conv_id"), "speaker", "part", "n_turns", "dialogue", spans.alias("mask"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    if found is None:
+        kinds = "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
+        return spark.createDataFrame([], kinds)
+    shares = F.array(*[F.lit(float(e)) for e in found.explained])
+    return found.rows.select("key", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        F.col("key").alias("vec_id"),
+        (F.col("at") + 1).alias("component"),
+        F.lit(found.n).cast("bigint").alias("n"),
+        F.col("deviation").try_cast("bigint").alias("deviation"),
+        "whitened",
+        F.get(shares, "at").alias("explained"),
+        F.lit(found.identity_error).alias("identity_error"),
+    )
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    cleaned = linededup.clean(linededup.indexed(docs), docs)
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    return cleaned.select(F.col("key").alias("doc_id"), "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_text_shards": op1_text_shards,
     "op2_simhash_components": op2_simhash_components,
@@ -94,6 +136,9 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_secret_spans": op9_secret_spans,
     "op10_speaker_views": op10_speaker_views,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -142,5 +187,23 @@ WITH said AS (
 SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || tail, '' ORDER BY start) AS dialogue,
   coalesce(string_agg((place + length(head)) || ':' || (place + length(head || tail) - 1), ',' ORDER BY start) FILTER (own), '') AS mask
 FROM based GROUP BY conv_id, speaker, part
+""",
+    "op13_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, line, at, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+      unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS at
+    FROM documents
+  )
+), repeated AS (
+  SELECT key, min(doc_id) AS first FROM lines WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+), marked AS (
+  SELECT doc_id, line, at, first IS NOT NULL AND first <> doc_id AS gone FROM lines LEFT JOIN repeated USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
 """,
 }
