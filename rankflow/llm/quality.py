@@ -5,10 +5,9 @@ in more distinct documents of its host than the limit allows is boilerplate and
 A document that fails the base rules, or of whose words less than a share is left, is
 rejected.
 
-*Distinct documents.* Copies must not make their own lines look like boilerplate. Documents
-with equal lines are one. Near copies are one as well: documents are grouped that agree in
-one of ``BANDS`` digests of ``ROWS`` min-hashes of their lines each. Documents of which one
-line in 13 differs nearly always agree in one, with one in four of their own seldom.
+*Distinct documents.* Copies must not make their own lines look like boilerplate, so documents of
+one host with equal sets of lines count once, by a digest of that set. Every other document counts,
+however alike: a cluster of near copies of one host above the limits is boilerplate by this rule.
 
 Null texts are empty texts: no words, rejected. Null hosts form one host. Repeated rows get
 equal verdicts. An empty table gives an empty result.
@@ -25,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import map_batches, one_of_each, picked
-from rankflow.llm.components import components
 from rankflow.session import stage
 
 LEAST_WORDS = 50
@@ -38,10 +36,6 @@ LONG_WORDS = 20
 MOST_BROADCAST = 1_000_000
 """Up to so many frequent lines (8 bytes each) go to the tasks as a set, beyond that by a join."""
 
-BANDS, ROWS = 16, 16
-_FACTORS = np.random.default_rng(5).integers(1 << 63, size=(2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LINES = 4096
-
 SYMBOLS = "#*$%&|<>"
 _DIGITS = re.compile(r"[0-9]+")
 
@@ -97,16 +91,6 @@ def line_keys(text: str, host: str | None) -> list[tuple[int, int, str]]:
     return keys
 
 
-def _bands(keys: list[int]) -> list[int]:
-    """One digest per band of the min-hashes of some lines."""
-    least = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
-    own = np.array(keys, np.int64).view(np.uint64)
-    for at in range(0, len(own), _LINES):
-        np.minimum(least, (own[at : at + _LINES, None] * _FACTORS[0] + _FACTORS[1]).min(axis=0), out=least)
-    digests = [xxhash.xxh64_intdigest(band.tobytes(), i) for i, band in enumerate(least.reshape(BANDS, ROWS))]
-    return np.array(digests, np.uint64).view(np.int64).tolist()
-
-
 def _marked(batch: pa.RecordBatch):
     """``(host, line keys, mark of the line set, words by line key)`` of each document."""
     for text, host in zip(batch.column("text"), batch.column("host"), strict=True):
@@ -129,23 +113,6 @@ def _occurrences(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.record_batch(columns, ["host", "line", "mark", "long"])
 
 
-def _banded(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The bands of each document that has lines."""
-    found = [(mark, _bands(keys)) for _, keys, mark, _ in _marked(batch) if keys]
-    return pa.record_batch(
-        [pa.array([m for m, _ in found], pa.int64()), pa.array([b for _, b in found], pa.list_(pa.int64()))], ["mark", "bands"]
-    )
-
-
-def near_copies(docs: DataFrame) -> DataFrame:
-    """``(node, label)``: the group of each line set that agrees with another one in a band."""
-    rows = map_batches(docs, _banded, "mark bigint, bands array<bigint>")
-    banded = stage(rows.select("mark", F.explode("bands").alias("band")).distinct(), "bands")
-    shared = banded.groupBy("band").agg(F.min("mark").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    edges = banded.join(shared.select("band", "first"), "band").filter("mark <> first")
-    return components(edges.select(F.col("mark").alias("a"), F.col("first").alias("b")).distinct())
-
-
 def frequent_lines(
     docs: DataFrame,
     text: str = "text",
@@ -158,14 +125,9 @@ def frequent_lines(
     The limit is ``line_docs`` documents or ``line_share`` of the host's, whichever is more; for
     lines of ``LONG_WORDS`` words it is ``line_docs`` alone.
     """
-    rows = picked(docs, text=text, host=host)
-    occurrences = map_batches(rows, _occurrences, "host string, line bigint, mark bigint, long boolean").distinct()
-    grouped = occurrences.join(near_copies(rows), F.col("mark") == F.col("node"), "left")
-    distinct = grouped.select("host", "line", "long", F.coalesce("label", "mark").alias("group")).distinct()
-    counts = stage(
-        distinct.groupBy("host", "line").agg(F.count("*").alias("n"), F.max("long").alias("long")).filter(F.col("line").isNull() | (F.col("n") > line_docs)),
-        "line-counts",
-    )
+    distinct = map_batches(picked(docs, text=text, host=host), _occurrences, "host string, line bigint, mark bigint, long boolean").distinct()
+    counted = distinct.groupBy("host", "line").agg(F.count("*").alias("n"), F.max("long").alias("long"))
+    counts = stage(counted.filter(F.col("line").isNull() | (F.col("n") > line_docs)), "line-counts")
     totals = counts.filter("line IS NULL").select(F.col("host").alias("h"), F.col("n").alias("docs"))
     lines = counts.filter("line IS NOT NULL").join(totals, F.col("host").eqNullSafe(F.col("h")))
     return lines.filter(F.col("long") | (F.col("n") > line_share * F.col("docs"))).select("line", "n")
