@@ -7,9 +7,13 @@ from the body down to it is the threshold above which other branches off that pa
 the article as well. Inside the element that encloses the article, text standing beside the
 chosen node belongs to it as well: headings, leaf blocks and direct text.
 
+Where ``article`` or ``main`` holds a fair share of the page's unlinked text, only nodes in it are
+candidates. Sections beside a chosen section are parts of one article.
+
 Elements that are furniture by their kind, role or name (menus, adverts, comments and the
-like) are left out beforehand. Names are whole class names. A form or an element with such a
-name stays if it holds the page's only article or, on a page without one, most of its text.
+like) are left out beforehand. Names are whole class names or, for containers, their first or
+last part. A form or an element with such a name stays if it holds the page's only article or,
+on a page without one, most of its text; reader comments only if there is hardly any other text.
 
 A page is read in one go by a tolerant tag scanner; nodes are lists in page order, so deep
 nesting needs no recursion. Null pages are empty pages, with empty text; pages without markup
@@ -42,8 +46,21 @@ NAMES = frozenset(
     "comments disqus respond reply replies share sharing social related recommended newsletter subscribe subscription signup login "
     "search pagination pager widget widgets "
     "cookie-notice cookie-banner cookie-consent site-footer site-navigation main-navigation main-menu comment-list comments-area "
-    "share-buttons social-links related-posts newsletter-signup search-form ad-container ad-slot".split()
+    "share-buttons social-links related-posts newsletter-signup search-form ad-container ad-slot commentlist commentarea".split()
 )
+COMMENTS = frozenset("comment comments commentlist commentarea disqus respond reply replies".split())
+COMMENT_REST = 0.05
+"""Comments hold the article only where no more than this share of the page's text is elsewhere."""
+CONTAINERS = frozenset("div section ul ol dl table form fieldset figure iframe center".split())
+"""Elements that parts of names are read of; a paragraph of class ``market-share`` is none."""
+WHOLE_ONLY = frozenset("widget widgets menu alert search social overlay".split())
+"""Names that are common parts of other names."""
+LAYOUT = frozenset("has with no without right left one two layout".split())
+"""First parts that tell of a page's layout: ``has-sidebar`` names what has one."""
+FAIR_SHARE = 0.25
+MOST_LINKS = 2
+"""A paragraph of links alone stays if it has so many; more are a list."""
+PARAGRAPHS = frozenset("p blockquote figcaption dd dt h1 h2 h3 h4 h5 h6".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 ARTICLES = frozenset(("article", "main"))
 CLOSED_BY = {  # an opening tag ends these if one is open below the nearest barrier
@@ -77,16 +94,21 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def _is_suspect(tag: str, attributes: str) -> bool:
-    """Furniture unless it holds the article."""
-    if tag in FORMS:
-        return True
+def _suspicion(tag: str, attributes: str) -> str:
+    """The name by which an element is furniture unless it holds the article; empty if there is none."""
     if tag in ("html", "body", "article", "main") or not _NAMED.search(attributes):
-        return False
+        return tag if tag in FORMS else ""
     for name, *values in _ATTRIBUTE.findall(attributes):
-        if name.lower() in ("class", "id") and not NAMES.isdisjoint("".join(values).lower().split()):
-            return True
-    return False
+        if name.lower() in ("class", "id"):
+            for word in "".join(values).lower().split():
+                if word in NAMES:
+                    return word
+                parts = re.split("[-_]+", word.strip("-_"))
+                if tag in CONTAINERS and len(parts) > 1 and parts[0] not in LAYOUT:
+                    for part in (parts[0], parts[-1]):
+                        if part in NAMES and part not in WHOLE_ONLY:
+                            return part
+    return tag if tag in FORMS else ""
 
 
 class Page:
@@ -96,7 +118,7 @@ class Page:
         self.tags, self.parents, self.in_article = ["body"], [-1], [False]
         self.stretches: list[tuple[int, int, str]] = []  # node, block, text
         self.block = 0
-        self.suspects: list[int] = []
+        self.suspects: dict[int, str] = {}
         closed: list[int] = []  # places in the stack of the open suspects
         stack, skipping, at, end = [0], 0, 0, len(source)
         for m in _MARKUP.finditer(source):
@@ -126,8 +148,8 @@ class Page:
                 self._open(tag, stack)
                 if _is_furniture(tag, attributes, self.in_article[stack[-2]]):
                     skipping = len(stack)
-                elif _is_suspect(tag, attributes):
-                    self.suspects.append(stack[-1])
+                elif name := _suspicion(tag, attributes):
+                    self.suspects[stack[-1]] = name
                     closed.append(len(stack) - 1)
             if tag in UNREAD and not attributes.endswith("/"):
                 closing = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
@@ -141,10 +163,9 @@ class Page:
         """Leave out the text of suspects, but for those that hold the article."""
         n = len(self.tags)
         linked, suspected = [False] * n, [False] * n
-        suspects = set(self.suspects)
         for i in range(1, n):
             linked[i] = linked[self.parents[i]] or self.tags[i] == "a"
-            suspected[i] = suspected[self.parents[i]] or i in suspects
+            suspected[i] = suspected[self.parents[i]] or i in self.suspects
         chars, plain = [0] * n, [0] * n
         for node, _, text in self.stretches:
             size = len(text.strip())
@@ -159,8 +180,9 @@ class Page:
         elsewhere = any(self.tags[i] in ARTICLES and chars[i] and not suspected[i] for i in range(1, n))
         gone = [False] * n
         for i in range(1, n):
-            held = not elsewhere and (holds[i] or 2 * plain[i] > plain[0])
-            gone[i] = gone[self.parents[i]] or (i in suspects and not held)
+            least = (1 - COMMENT_REST if self.suspects.get(i) in COMMENTS else 0.5) * plain[0]
+            held = not elsewhere and (holds[i] or plain[i] > least)
+            gone[i] = gone[self.parents[i]] or (i in self.suspects and not held)
         self.stretches = [s for s in self.stretches if not gone[s[0]]]
 
     def _text(self, node: int, text: str) -> None:
@@ -201,8 +223,8 @@ class Page:
         return skipping if len(stack) >= skipping else 0
 
 
-def _densities(page: Page) -> tuple[list[float], list[int], list[int]]:
-    """Composite density, characters and link characters of each node."""
+def _densities(page: Page) -> tuple[list[float], list[int], list[int], list[int]]:
+    """Composite density, characters, link characters and links of each node."""
     n = len(page.tags)
     chars, linked, tags, links = [0] * n, [0] * n, [0] * n, [0] * n
     for node, _, text in page.stretches:
@@ -225,17 +247,30 @@ def _densities(page: Page) -> tuple[list[float], list[int], list[int]]:
         ratio = c / max(lc, 1) * max(t, 1) / max(lt, 1)
         per_tag = c / max(t, 1)
         density.append(per_tag * math.log(max(ratio, 1.0)) / math.log(base) if base > 1.0001 else per_tag * math.log(max(ratio, math.e)))
-    return density, chars, linked
+    return density, chars, linked, links
+
+
+def _candidates(page: Page, chars: list[int], linked: list[int]) -> list[int]:
+    """Nodes that may hold the article: those of the largest ``article`` or ``main`` if it has a fair share of the text."""
+    n = len(page.tags)
+    named = [i for i in range(n) if page.tags[i] in ARTICLES]
+    most = max(named, key=lambda i: (chars[i] - linked[i], -i), default=0)
+    if not named or chars[most] == linked[most] or chars[most] - linked[most] < FAIR_SHARE * (chars[0] - linked[0]):
+        return list(range(n))
+    within = [False] * n
+    for i in range(most, n):
+        within[i] = i == most or within[page.parents[i]]
+    return [i for i in range(most, n) if within[i]]
 
 
 def _article(page: Page) -> list[bool]:
     """Which nodes belong to the article."""
-    density, chars, linked = _densities(page)
+    density, chars, linked, links = _densities(page)
     n = len(page.tags)
     sums = [0.0] * n
     for i in range(1, n):
         sums[page.parents[i]] += density[i]
-    best = max(range(n), key=lambda i: (sums[i], -i))
+    best = max(_candidates(page, chars, linked), key=lambda i: (sums[i], -i))
     path = [best]
     while path[-1]:
         path.append(page.parents[path[-1]])
@@ -253,13 +288,16 @@ def _article(page: Page) -> list[bool]:
         up = page.parents[i]
         linky = linked[i] > LINKED * chars[i]
         poor = chars[i] and linky and density[i] < threshold and page.tags[i] not in INLINE
+        poor = poor and not (page.tags[i] in PARAGRAPHS and links[i] <= MOST_LINKS)
         if i in enclosing:
             inside[i] = True
         elif up == best:
             inside[i] = not poor
         elif up in on_path:
             # A branch off the path, or text beside it under a block of its own.
-            inside[i] = density[i] >= threshold and (sums[i] > 0 or page.tags[i] == "p") and not linky
+            beside = up == page.parents[best] and page.tags[i] == page.tags[best]
+            rich = density[i] >= threshold and (sums[i] > 0 or page.tags[i] == "p" or beside)
+            inside[i] = not linky and chars[i] > 0 and (rich or (beside and page.tags[i] == "section"))
             if up in enclosing and not inside[i]:
                 if page.tags[i] in INLINE:
                     inside[i] = not linky or block_of.get(i) in direct
