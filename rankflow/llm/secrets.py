@@ -5,6 +5,10 @@ samples, one on random strings and one on ordinary identifiers. A long run of su
 characters is a secret if the log-likelihood ratio of the two is high, in all and per
 character.
 
+Samples come from several sources. The transitions of each source are turned into shares, the
+sources of a label are mixed evenly, and the mixture is smoothed by a fixed share, so a verdict
+depends on what the sources look like and not on how much of each there is.
+
 Null texts are empty texts: no spans. Equal rows get equal spans. An empty table gives an
 empty result; models trained without samples know nothing and find nothing.
 """
@@ -37,15 +41,22 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 IDENTIFIER = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RATIO, RATIO_PER_CHARACTER = 10.0, 0.3
+SMOOTHING, SPREAD = 1e-7, 0.1
+"""Added to the share that each transition has of all; the part of the shares that goes by kinds of characters."""
+DRAWN = 10
+"""Sources of drawn strings are numbered from here, those of a corpus from 0."""
+COUNTS = "secret boolean, source int, pair int, n bigint"
 MASK = "[secret]"
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
+_LETTERS = bytes(b if chr(b).isascii() and chr(b).isalpha() else 0x20 for b in range(256))
 _CODE = np.zeros(256, np.int64)
 for _n, _c in enumerate(CHARACTERS, 1):
     _CODE[ord(_c)] = _n
 STATES = len(CHARACTERS) + 1
 """State 0 stands before and after a string."""
+_KIND = np.eye(5)[[0, *(1 if c.isupper() else 2 if c.islower() else 3 if c.isdigit() else 4 for c in CHARACTERS)]]
 
 
 def base_spans(text: str) -> list[Span]:
@@ -81,75 +92,115 @@ class Models:
         return score >= RATIO and score >= RATIO_PER_CHARACTER * len(run)
 
 
-def fit(random: np.ndarray, ordinary: np.ndarray) -> Models:
-    """Models of transition counts, smoothed by one count per transition."""
+def fit(random: list[np.ndarray], ordinary: list[np.ndarray]) -> Models:
+    """Models of transition counts, one table per source; sources without counts are passed over.
+
+    A part of each share is spread over all transitions between the same kinds of characters, so
+    that letters which never met in the samples are still likelier than letters and digits mixed.
+    """
 
-    def log_share(counts: np.ndarray) -> np.ndarray:
-        return np.log((counts + 1) / (counts.sum(axis=1, keepdims=True) + STATES))
+    def log_share(sources: list[np.ndarray]) -> np.ndarray:
+        shares = [counts / counts.sum() for counts in sources if counts.sum()]
+        mixed = sum(shares, np.zeros((STATES, STATES))) / max(len(shares), 1)
+        by_kind = _KIND.T @ mixed @ _KIND / np.outer(_KIND.sum(axis=0), _KIND.sum(axis=0))
+        mixed = (1 - SPREAD) * mixed + SPREAD * (_KIND @ by_kind @ _KIND.T) + SMOOTHING
+        return np.log(mixed / mixed.sum(axis=1, keepdims=True))
 
     return Models(log_share(random) - log_share(ordinary))
 
 
-def train(samples: DataFrame, value: str = "value", secret: str = "is_secret") -> Models:
+def train(samples: DataFrame, value: str = "value", secret: str = "is_secret", source: str | None = None) -> Models:
     """Models from labelled strings: true for random ones. Only transition counts leave the tasks.
 
-    Strings with other characters and rows without a value or label teach nothing.
+    ``source`` may name a column of whole numbers, a handful, by which samples count as evenly
+    mixed. Strings with other characters and rows without a value or label teach nothing.
     """
-    rows = picked(samples, value=value, secret=secret).filter(F.col("value").rlike(r"^[A-Za-z0-9+/_=-]+$"))
-    return _fit_counts(_counted(rows.filter("secret IS NOT NULL")))
+    rows = samples.select(
+        F.col(value).alias("value"), F.col(secret).alias("secret"), (F.col(source) if source else F.lit(0)).cast("int").alias("source")
+    )
+    known = rows.filter(F.col("value").rlike(r"^[A-Za-z0-9+/_=-]+$") & F.col("secret").isNotNull())
+    return _fit_counts(_counted(known.withColumn("source", F.coalesce("source", F.lit(-1)))))
 
 
 def _counted(rows: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values, labels = batch.column("value").to_pylist(), batch.column("secret").to_pylist()
-        return _as_rows([v for v, s in zip(values, labels, strict=True) if s], [v for v, s in zip(values, labels, strict=True) if not s])
+        found: dict[tuple[bool, int], list[str]] = {}
+        for value, secret, source in zip(*(batch.column(c).to_pylist() for c in ("value", "secret", "source")), strict=True):
+            found.setdefault((secret, source), []).append(value)
+        return _as_rows(found)
 
-    return map_batches(rows, run, "secret boolean, pair int, n bigint")
+    return map_batches(rows, run, COUNTS)
 
 
-def _as_rows(random: list[str], ordinary: list[str]) -> pa.RecordBatch:
-    labels, pairs, counts = [], [], []
-    for label, strings in ((True, random), (False, ordinary)):
+def _as_rows(found: dict[tuple[bool, int], list[str]]) -> pa.RecordBatch:
+    """Transition counts of strings by label and source."""
+    labels, sources, pairs, counts = [], [], [], []
+    for (label, source), strings in found.items():
         flat = pair_counts(strings).ravel()
         at = np.flatnonzero(flat)
-        labels.append(np.full(len(at), label))
+        labels += [label] * len(at)
+        sources += [source] * len(at)
         pairs.append(at.astype(np.int32))
         counts.append(flat[at])
-    return pa.record_batch([pa.array(np.concatenate(x)) for x in (labels, pairs, counts)], ["secret", "pair", "n"])
+    columns = [pa.array(labels, pa.bool_()), pa.array(sources, pa.int32())]
+    columns += [pa.array(np.concatenate([np.zeros(0, kind), *x]), pa.from_numpy_dtype(kind)) for x, kind in ((pairs, np.int32), (counts, np.int64))]
+    return pa.record_batch(columns, ["secret", "source", "pair", "n"])
 
 
 def _fit_counts(counts: DataFrame) -> Models:
-    """``counts`` sums to two tables of ``STATES`` squared at most, which come to the driver."""
-    table = np.zeros((2, STATES * STATES), np.int64)
-    for row in counts.groupBy("secret", "pair").agg(F.sum("n").alias("n")).collect():
-        table[int(row.secret), row.pair] = row.n
-    return fit(table[1].reshape(STATES, STATES), table[0].reshape(STATES, STATES))
+    """``counts`` sums to one table of ``STATES`` squared per label and source, which come to the driver."""
+    tables: dict[tuple[bool, int], np.ndarray] = {}
+    for row in counts.groupBy("secret", "source", "pair").agg(F.sum("n").alias("n")).collect():
+        table = tables.setdefault((row.secret, row.source), np.zeros(STATES * STATES))
+        table[row.pair] = row.n
+    by_label = lambda label: [t.reshape(STATES, STATES) for (own, _), t in sorted(tables.items()) if own == label]
+    return fit(by_label(True), by_label(False))
 
 
 def random_strings(spark: SparkSession, n: int = 4000) -> DataFrame:
-    """Labelled random strings in the two usual encodings, from digests of 0 to ``n``."""
+    """Labelled random strings in four usual encodings, one source each, from digests of 0 to ``n``."""
     digest = F.sha2(F.col("id").cast("string"), 256)
-    value = F.when(F.col("id") % 2 == 0, F.base64(F.unhex(digest))).otherwise(F.substring(digest, 1, 40))
-    return spark.range(n).select(value.alias("value"), F.lit(True).alias("secret"))
+    mixed = F.base64(F.unhex(digest))
+    letters = F.regexp_replace(mixed, "[+/=]", "")
+    kinds = [mixed, F.substring(digest, 1, 40), F.lower(letters), F.upper(letters)]
+    which = F.pmod(F.col("id"), F.lit(len(kinds))).cast("int")
+    return spark.range(n).select(F.get(F.array(*kinds), which).alias("value"), F.lit(True).alias("secret"), (which + DRAWN).alias("source"))
+
+
+def composed(text: str) -> list[str]:
+    """Ordinary identifiers: the words of a text three at a time, joined in the usual ways."""
+    plain = text.encode("ascii", "replace").translate(_LETTERS).decode().split()
+    low, title = iter(map(str.lower, plain)), iter(map(str.title, plain))
+    made = []
+    for a, b, c in zip(low, low, low, strict=False):
+        made += [f"{a}_{b}_{c}", f"{a}-{b}-{c}", f"{a}/{b}/{c}", f"{a}{b}{c}"]
+    for a, b, c in zip(title, title, title, strict=False):
+        made += [f"{a}{b}{c}", f"{a.lower()}{b}{c}", f"{a}_{b}_{c}".upper()]
+    return made
 
 
 def train_on(docs: DataFrame, text: str = "text") -> Models:
-    """Models of a corpus: pattern matches and drawn strings are random, all other identifiers ordinary."""
+    """Models of a corpus. Random are its pattern matches, by kind, and drawn strings, by encoding;
+    ordinary are all its other identifiers, and its words as identifiers of code."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        random, ordinary = [], []
+        found: dict[tuple[bool, int], list[str]] = {}
+        ordinary = found.setdefault((False, 0), [])
+        made = found.setdefault((False, 1), [])
         for body in texts_of(batch):
             spans = base_spans(body)
-            random += [body[start:end] for start, kind, end in spans if kind]
+            for start, kind, end in spans:
+                if kind:
+                    found.setdefault((True, kind), []).append(body[start:end])
             at = 0
             for start, _, end in [*spans, (len(body), 0, len(body))]:
                 if start > at:
                     ordinary += IDENTIFIER.findall(body, at, start)
+                    made += composed(body[at:start])
                 at = max(at, end)
-        return _as_rows(random, ordinary)
+        return _as_rows(found)
 
-    schema = "secret boolean, pair int, n bigint"
-    return _fit_counts(map_batches(picked(docs, text=text), run, schema).union(_counted(random_strings(docs.sparkSession))))
+    return _fit_counts(map_batches(picked(docs, text=text), run, COUNTS).union(_counted(random_strings(docs.sparkSession))))
 
 
 def all_spans(text: str, models: Models) -> tuple[list[Span], list[Span]]:

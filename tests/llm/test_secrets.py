@@ -1,8 +1,13 @@
+import base64
 import hashlib
+import math
+import os
+import pathlib
 import random
 import re
 import string
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from rankflow.llm import secrets
@@ -55,6 +60,124 @@ def test_models_on_held_out_strings(spark):
     assert not any(models.is_secret(v) for v, s in held if not s)
 
 
+def sample_tables(texts):
+    """Transition counts by source of some texts, drawn strings among them, as the fit takes them."""
+    random_, ordinary = [], []
+    rng = random.Random(8)
+    for letters, length in ((string.ascii_letters + string.digits + "+/", 44), ("0123456789abcdef", 40), (string.ascii_lowercase + string.digits, 40), (string.ascii_uppercase + string.digits, 40)):
+        random_.append(secrets.pair_counts(["".join(rng.choice(letters) for _ in range(length)) for _ in range(1000)]))
+    ordinary.append(secrets.pair_counts([x for t in texts for x in secrets.IDENTIFIER.findall(t)]))
+    ordinary.append(secrets.pair_counts([x for t in texts for x in secrets.composed(t)]))
+    return random_, ordinary
+
+
+def code_identifiers():
+    """Identifiers of the standard library, of 20 characters or more, that are no letter tables or digests."""
+    found = set()
+    for path in pathlib.Path(os.__file__).parent.glob("*.py"):
+        found.update(re.findall(r"\b[A-Za-z_][a-z0-9]+(?:_[a-z0-9]+|[A-Z][a-z0-9]+)+\b", path.read_text(errors="ignore")))
+    return sorted(x for x in found if len(x) >= 20)
+
+
+def test_verdicts_do_not_depend_on_size(spark):
+    texts = [r.text or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    random_, ordinary = sample_tables(texts)
+    models = secrets.fit(random_, ordinary)
+    names = code_identifiers()
+    rng = random.Random(9)
+    drawn = {
+        kind: ["".join(rng.choice(letters) for _ in range(length)) for _ in range(500)]
+        for kind, letters, length in (
+            ("base32", string.ascii_uppercase + "234567", 24), ("lower", string.ascii_lowercase + string.digits, 32),
+            ("mixed", string.ascii_letters + string.digits, 20), ("base64", string.ascii_letters + string.digits + "+/", 40),
+        )
+    }
+    assert len(names) > 300 and sum(map(models.is_secret, names)) < 0.03 * len(names)
+    assert all(sum(map(models.is_secret, some)) > 0.97 * len(some) for some in drawn.values())
+    for times in (1000, 1_000_000):  # the corpus so many times over: the same models, so the same spans
+        assert np.array_equal(secrets.fit(random_, [times * t for t in ordinary]).ratio, models.ratio)
+
+
+def test_sources_count_evenly(spark):
+    rows = [("abcabcabc", False, 0)] * 5 + [("xyzxyzxyz", False, 1)] + [("a1b2c3d4", True, 7)]
+    once = secrets.train(spark.createDataFrame(rows, "value string, is_secret boolean, s int"), source="s")
+    more = secrets.train(spark.createDataFrame(rows + rows[:5] * 50, "value string, is_secret boolean, s int"), source="s")
+    assert np.allclose(once.ratio, more.ratio)
+
+
+def test_composed_identifiers():
+    assert secrets.composed("The quick, brown FOX é jumps") == [
+        "the_quick_brown", "the-quick-brown", "the/quick/brown", "thequickbrown", "TheQuickBrown", "theQuickBrown", "THE_QUICK_BROWN",
+    ]
+    assert secrets.composed("") == []
+
+
+def spans_by_definition(texts):
+    """The query's spans by plain loops: fit on the same samples, score each run by its transitions."""
+    found = {}
+    for body in texts:
+        base = secrets.base_spans(body)
+        ordinary, at = [], 0
+        for start, _, end in [*base, (len(body), 0, len(body))]:
+            if start > at:
+                ordinary.append(body[at:start])
+            at = max(at, end)
+        for start, kind, end in base:
+            if kind:
+                found.setdefault((True, kind), []).append(body[start:end])
+        for part in ordinary:
+            found.setdefault((False, 0), []).extend(secrets.IDENTIFIER.findall(part))
+            found.setdefault((False, 1), []).extend(secrets.composed(part))
+    for i in range(4000):
+        digest = hashlib.sha256(str(i).encode()).digest()
+        mixed = base64.b64encode(digest).decode()
+        letters = re.sub("[+/=]", "", mixed)
+        found.setdefault((True, 10 + i % 4), []).append([mixed, digest.hex()[:40], letters.lower(), letters.upper()][i % 4])
+
+    kind_of = lambda c: "0" if c == "" else "U" if c.isupper() else "l" if c.islower() else "d" if c.isdigit() else "s"
+    states = ["", *secrets.CHARACTERS]
+
+    def conditional(label):
+        shares, sources = {}, [v for (own, _), v in found.items() if own == label and v]
+        for strings in sources:
+            counts = {}
+            chain = [""] + [c for s in strings for c in (*s, "")]
+            for pair in zip(chain, chain[1:], strict=False):
+                counts[pair] = counts.get(pair, 0) + 1
+            total = sum(counts.values())
+            for pair, n in counts.items():
+                shares[pair] = shares.get(pair, 0) + n / total / len(sources)
+        kinds, sizes = {}, {}
+        for c in states:
+            sizes[kind_of(c)] = sizes.get(kind_of(c), 0) + 1
+        for (a, b), share in shares.items():
+            kinds[kind_of(a), kind_of(b)] = kinds.get((kind_of(a), kind_of(b)), 0) + share
+        own = {
+            (a, b): 0.9 * shares.get((a, b), 0) + 0.1 * kinds.get((kind_of(a), kind_of(b)), 0) / sizes[kind_of(a)] / sizes[kind_of(b)] + 1e-7
+            for a in states for b in states
+        }
+        rows = {a: sum(own[a, b] for b in states) for a in states}
+        return {(a, b): own[a, b] / rows[a] for a in states for b in states}
+
+    random_, ordinary_ = conditional(True), conditional(False)
+    for body in texts:
+        base = secrets.base_spans(body)
+        spans = list(base)
+        for m in secrets.RUN.finditer(body):
+            if any(start < m.end() and m.start() < end for start, _, end in base):
+                continue
+            score = sum(math.log(random_[p] / ordinary_[p]) for p in zip(m[0], m[0][1:], strict=False))
+            if score >= 10 and score >= 0.3 * len(m[0]):
+                spans.append((m.start(), 3, m.end()))
+        yield secrets.joined(sorted(spans))
+
+
+def test_query_spans_equal_plain_loops(spark):
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
+    got = {r.doc_id: r.spans for r in QUERIES["op9_secret_spans"](spark, FOLDER).collect()}
+    assert got == dict(zip([r.doc_id for r in rows], spans_by_definition([r.text or "" for r in rows]), strict=True))
+
+
 def test_added_spans_keep_base_spans(spark):
     models = secrets.train(spark.createDataFrame(samples(1, 400), "value string, is_secret boolean"))
     drawn = samples(3, 1)[0][0]
