@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,14 +153,23 @@ class Items:
         return [(item, q, n) for item, q, n in found if n >= self.share * q - 1e-9]
 
 
-def _blocks(items: DataFrame, share: float, block_bytes: int) -> Iterator[Items]:
-    """The items in blocks of bounded size; only one block at a time is on the driver."""
+def _blocks(items: DataFrame, share: float, block_bytes: int) -> Iterator[tuple[Items, bool]]:
+    """The items in blocks of bounded size, each with whether it is the last one."""
     total = items.agg(F.sum(F.length("text") + 64)).first()[0] or 0
     n = math.ceil(total / block_bytes)
     rows = stage(items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n or 1))), "items") if n > 1 else items
     for block in range(n):
         part = rows.filter(F.col("block") == block) if n > 1 else rows
-        yield Items.of([(r.item, r.text) for r in part.select("item", "text").collect()], share)
+        yield Items.of([(r.item, r.text) for r in part.select("item", "text").collect()], share), block == n - 1
+
+
+def _settled(found: DataFrame, block: Broadcast, last: bool) -> DataFrame:
+    """What a block finds, stored before the next block is sent, so that tasks hold one block at a time."""
+    if last:
+        return found
+    kept = stage(found, "searched")
+    block.destroy()
+    return kept
 
 
 def leaks(
@@ -179,7 +189,7 @@ def leaks(
     schema = f"key {kinds[0]}, item {kinds[1]}, n_item bigint, n_shared bigint"
     types = [rows.schema["key"].dataType, items.schema["item"].dataType]
 
-    def searched(block: Items) -> DataFrame:
+    def searched(block: Items, last: bool) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -188,14 +198,14 @@ def leaks(
             columns = [pa.array([f[1] for f in found], arrow_item), *(pa.array([f[n] for f in found], pa.int64()) for n in (2, 3))]
             return pa.record_batch([keys, *columns], ["key", "item", "n_item", "n_shared"])
 
-        return map_batches(rows, run, schema, _forget)
+        return _settled(map_batches(rows, run, schema, _forget), shared, last)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     arrow_item = to_arrow_type(types[1])
     found = docs.sparkSession.createDataFrame([], schema)
-    for n, block in enumerate(_blocks(items, share, block_bytes)):
-        found = searched(block) if n == 0 else found.union(searched(block))
+    for n, (block, last) in enumerate(_blocks(items, share, block_bytes)):
+        found = searched(block, last) if n == 0 else found.union(searched(block, last))
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 
@@ -210,15 +220,15 @@ def without_leaks(
 ) -> DataFrame:
     """The documents into which no item leaks, all their columns."""
 
-    def clean(frame: DataFrame, block: Items) -> DataFrame:
+    def clean(frame: DataFrame, block: Items, last: bool) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             return batch.filter(pa.array([not shared.value.contained(t) for t in texts_of(batch, text)]))
 
-        return map_batches(frame, run, docs.schema, _forget)
+        return _settled(map_batches(frame, run, docs.schema, _forget), shared, last)
 
     kept = docs
-    for block in _blocks(picked(benchmark, item=item, text=item_text), share, block_bytes):
-        kept = clean(kept, block)
+    for block, last in _blocks(picked(benchmark, item=item, text=item_text), share, block_bytes):
+        kept = clean(kept, block, last)
     return kept
