@@ -190,20 +190,20 @@ FROM based GROUP BY conv_id, speaker, part
 """,
     "op13_line_dedup": r"""
 WITH lines AS (
-  SELECT doc_id, line, at, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  SELECT doc_id, line, place, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-      unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS at
+      unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place
     FROM documents
   )
 ), repeated AS (
   SELECT key, min(doc_id) AS first FROM lines WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2
 ), marked AS (
-  SELECT doc_id, line, at, first IS NOT NULL AND first <> doc_id AS gone FROM lines LEFT JOIN repeated USING (key)
+  SELECT doc_id, line, place, first IS NOT NULL AND first <> doc_id AS gone FROM lines LEFT JOIN repeated USING (key)
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """,
 }
