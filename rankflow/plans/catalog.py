@@ -227,24 +227,24 @@ def missing_document_ids(i: Inputs) -> DataFrame:
 @query
 def all_training_texts(i: Inputs) -> DataFrame:
     """Training texts over the whole collection, as with a full corpus."""
-    made = samples.materialize_samples(_text_samples(i), i.queries, i.passages)
+    made = samples.materialize_samples(_text_samples(i), i.openings, i.passages)
     return made.withColumn("label", F.col("label").cast("bigint"))
 
 
 @query
 def training_texts(i: Inputs) -> DataFrame:
-    made = samples.materialize_samples(_text_samples(i), i.queries, i.labelled_passages)
+    made = samples.materialize_samples(_text_samples(i), i.openings, i.labelled_passages)
     return made.withColumn("label", F.col("label").cast("bigint"))
 
 
 @query
 def dev_texts(i: Inputs) -> DataFrame:
-    return samples.materialize_dev(_text_dev(i), i.queries, i.labelled_passages)
+    return samples.materialize_dev(_text_dev(i), i.openings, i.labelled_passages)
 
 
 @query
 def dev_lists(i: Inputs) -> DataFrame:
-    nested = samples.nest_dev(samples.materialize_dev(_text_dev(i), i.queries, i.labelled_passages))
+    nested = samples.nest_dev(samples.materialize_dev(_text_dev(i), i.openings, i.labelled_passages))
     joined = [F.array_join(c, "\n").alias(c) for c in ("positive", "negative")]
     return nested.select("qid", "part", "query", *joined)
 
@@ -257,7 +257,7 @@ def training_batches(i: Inputs) -> DataFrame:
 
 @query
 def training_summary(i: Inputs) -> DataFrame:
-    return samples.sample_summary(_text_samples(i), i.queries, i.labelled_passages)
+    return samples.sample_summary(_text_samples(i), i.openings, i.labelled_passages)
 
 
 # --- scoring ---
@@ -337,7 +337,7 @@ def truncated_texts(i: Inputs) -> DataFrame:
 @query
 def dev_reciprocal_rank(i: Inputs) -> DataFrame:
     dev = _text_dev(i)
-    scored = scoring.score_bm25(dev.select("qid", "pid"), i.queries, i.passages)
+    scored = scoring.score_bm25(dev.select("qid", "pid"), i.openings, i.passages)
     return _rounded(metrics.reranking_mrr(dev.join(scored, ["qid", "pid"])), "mrr@10")
 
 
@@ -351,9 +351,9 @@ def _training_features(i: Inputs) -> DataFrame:
 
     A pair drawn both as positive and as negative counts as positive.
     """
-    kept = samples.materialize_samples(_text_samples(i), i.queries, i.passages)
+    kept = samples.materialize_samples(_text_samples(i), i.openings, i.passages)
     pairs = kept.groupBy("qid", "pid").agg(F.max("label").cast("double").alias("label"))
-    return scoring.rank_features(pairs.select("qid", "pid"), i.queries, i.collection).join(pairs, ["qid", "pid"])
+    return scoring.rank_features(pairs.select("qid", "pid"), i.openings, i.collection).join(pairs, ["qid", "pid"])
 
 
 @query
@@ -371,7 +371,7 @@ def fitted_ranker_facts(i: Inputs) -> DataFrame:
     training = stage(_training_features(i), "features")
     model = None if training.isEmpty() else ranker.fit_ranker(training)
     dev = stage(_text_dev(i, HELD_OUT).join(i.passages.select("pid"), "pid", "left_semi"), "dev")
-    features = scoring.rank_features(dev.select("qid", "pid").distinct(), i.queries, i.collection)
+    features = scoring.rank_features(dev.select("qid", "pid").distinct(), i.openings, i.collection)
     scores = ranker.score_with_ranker(model, features) if model else features.select("qid", "pid", F.lit(0.5).alias("score"))
     scored = dev.join(scores, ["qid", "pid"])
     weights = [float(w) for w in model.stages[-1].coefficients] if model else []

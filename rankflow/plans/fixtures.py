@@ -19,7 +19,13 @@ from rankflow.session import stage
 
 DEV_QUERIES = 200
 HELD_OUT = DEV_QUERIES
-"""Queries kept out of the training samples: those of the dev set, as in the reference."""
+"""Queries kept out of the training samples: all those of the dev set."""
+STRETCHES = 32
+"""A user's events are dealt to so many training queries."""
+VALUE_STEPS = 20
+"""Positives are values of events at this grain; the largest lie beyond the documents."""
+OPENINGS, OPENING_WORDS = 8, 8
+"""Texts of training queries: so many stretches of words from the start of each document."""
 DEV_NEGATIVES = 200
 CANDIDATES = 1000
 
@@ -90,8 +96,8 @@ class Inputs:
     def triples(self) -> DataFrame:
         return self.table("events").select(
             F.col("event_id").alias("ord"),
-            F.col("user_id").alias("qid"),
-            F.floor("value").cast("bigint").alias("pos_id"),
+            (F.col("user_id") * STRETCHES + F.col("event_id") % STRETCHES).alias("qid"),
+            F.floor(F.col("value") * VALUE_STEPS).cast("bigint").alias("pos_id"),
             F.get_json_object("props", "$.k").cast("bigint").alias("neg_id"),
         )
 
@@ -99,13 +105,18 @@ class Inputs:
     def queries(self) -> DataFrame:
         return self.table("benchmark").select(F.col("item_id").alias("qid"), "text")
 
+    @functools.cached_property
+    def openings(self) -> DataFrame:
+        """Training queries with a text: stretches of the documents' first words, blank ones left out."""
+        split = self.table("documents").select("doc_id", words("text").alias("words"))
+        stretch = lambda s: F.array_join(F.slice("words", s * OPENING_WORDS + 1, OPENING_WORDS), " ")
+        stretches = F.transform(F.sequence(F.lit(0), F.lit(OPENINGS - 1)), stretch)
+        rows = split.select("doc_id", F.posexplode(stretches).alias("at", "text")).filter("text <> ''")
+        return rows.select((F.col("doc_id") * OPENINGS + F.col("at")).alias("qid"), "text")
+
     @functools.cached_property
     def passages(self) -> DataFrame:
-        """The documents; a table in fewer files than there are cores is dealt out by id first,
-        as a small file is one row group and so one task, whatever Spark splits it into."""
-        documents = self.table("documents").select(F.col("doc_id").alias("pid"), "text")
-        cores = self.spark.sparkContext.defaultParallelism
-        return documents if len(documents.inputFiles()) >= cores else documents.repartition(cores, "pid")
+        return self.table("documents").select(F.col("doc_id").alias("pid"), "text")
 
     @functools.cached_property
     def labelled_passages(self) -> DataFrame:
@@ -115,7 +126,7 @@ class Inputs:
     @functools.cached_property
     def text_triples(self) -> DataFrame:
         """Triples of the queries that have a text."""
-        return self.triples.join(self.queries.select("qid"), "qid", "left_semi")
+        return self.triples.join(self.openings.select("qid"), "qid", "left_semi")
 
     @functools.cached_property
     def collection(self) -> Collection:
@@ -136,31 +147,28 @@ class Inputs:
     def text_qrels(self) -> DataFrame:
         """Documents that hold a benchmark passage word for word, as grade 3.
 
-        A holder must contain each inner word of the passage as a word of its own. Only
-        the documents with its rarest inner word are compared as text. A passage of one or two
-        words has no inner word; such passages, a few at most, are compared with all documents.
+        A holder must contain each inner word of the passage as a word of its own. A passage of
+        one or two words has no inner word; its first word is a part of a holder's word. Only
+        the documents with the rarest inner word, or with such words, are compared as text.
+        A passage without words asks for nothing.
         """
-        inner = F.array_distinct(F.slice(words("text"), 2, F.greatest(F.size(words("text")) - 2, F.lit(0))))
-        asked = self.queries.select("qid", F.explode(inner).alias("word"))
-        vocabulary = asked.select("word").distinct()
-        held = self.passages.select("pid", F.explode(F.array_distinct(words("text"))).alias("word")).join(
-            vocabulary, "word", "left_semi"
-        )
+        split = self.queries.select("qid", F.col("text").alias("query"), words("text").alias("words"))
+        inner = F.array_distinct(F.slice("words", 2, F.greatest(F.size("words") - 2, F.lit(0))))
+        asked = split.select("qid", F.explode(inner).alias("word"))
+        all_held = self.passages.select("pid", F.explode(F.array_distinct(words("text"))).alias("word"))
+        held = all_held.join(asked.select("word").distinct(), "word", "left_semi")
         frequency = held.groupBy("word").agg(F.count("*").alias("df"))
         rarest = top_within(asked.join(frequency, "word"), ["qid"], [("df", True), ("word", True)], 1)
-        long = (
-            rarest.select("qid", "word")
-            .join(held, "word")
-            .join(self.queries.select("qid", F.col("text").alias("query")), "qid")
-            .join(self.passages, "pid")
-            .filter(F.contains("text", "query"))
-            .select("qid", "pid")
-        )
-        short = self.queries.filter(F.size(words("text")) <= 2).agg(F.collect_list(F.struct("qid", "text"))).scalar()
-        asked_all = self.passages.withColumn("short", short).select("pid", "text", F.explode("short").alias("q"))
-        return (
-            long.union(asked_all.filter(F.contains("text", F.col("q.text"))).select("q.qid", "pid")).withColumn("rel", F.lit(3))
-        )
+        long = rarest.select("qid", "word").join(held, "word").select("qid", "pid")
+        short = split.filter(F.size("words").between(1, 2)).select("qid", F.element_at("words", 1).alias("first"))
+        if not short.isEmpty():
+            places = F.sequence(F.lit(1), F.length("word"))
+            grams = F.flatten(F.transform(places, lambda at: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: F.substr("word", at, n))))
+            parts = all_held.select("word").distinct().select("word", F.explode(F.array_distinct(grams)).alias("gram"))
+            hosts = parts.join(short.withColumn("gram", F.substring("first", 1, 3)), "gram").filter(F.contains("word", "first"))
+            long = long.union(hosts.select("qid", "word").join(all_held, "word").select("qid", "pid").distinct())
+        found = long.join(split.select("qid", "query"), "qid").join(self.passages, "pid").filter(F.contains("text", "query"))
+        return found.select("qid", "pid", F.lit(3).alias("rel"))
 
     @functools.cached_property
     def responses(self) -> DataFrame:

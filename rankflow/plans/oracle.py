@@ -7,7 +7,7 @@ that are rounded already are shown at six places by plain arithmetic, because th
 
 from __future__ import annotations
 
-from rankflow.plans.fixtures import CANDIDATES, DEV_NEGATIVES, DEV_QUERIES, HELD_OUT
+from rankflow.plans.fixtures import CANDIDATES, DEV_NEGATIVES, DEV_QUERIES, HELD_OUT, OPENING_WORDS, OPENINGS, STRETCHES, VALUE_STEPS
 
 CTE: dict[str, str] = {}
 
@@ -35,8 +35,8 @@ CTE["qrels"] = """
 SELECT qid, pid, least(3, CAST(floor(returned / 15) AS BIGINT)) AS rel
 FROM evidence WHERE filled > 0 AND balance <= 9000"""
 
-CTE["triples"] = """
-SELECT event_id AS ord, user_id AS qid, CAST(floor(value) AS BIGINT) AS pos_id,
+CTE["triples"] = f"""
+SELECT event_id AS ord, user_id * {STRETCHES} + event_id % {STRETCHES} AS qid, CAST(floor(value * {VALUE_STEPS}) AS BIGINT) AS pos_id,
        CAST(json_extract_string(props, '$.k') AS BIGINT) AS neg_id
 FROM events"""
 
@@ -196,6 +196,12 @@ def first_words(text: str, n: int) -> str:
     return f"array_to_string(string_split({line(text)}, ' ')[1:{n}], ' ')"
 
 
+OPENINGS_SQL = f"""
+SELECT qid, text FROM (
+  SELECT doc_id * {OPENINGS} + part AS qid, array_to_string(w[part * {OPENING_WORDS} + 1 : (part + 1) * {OPENING_WORDS}], ' ') AS text
+  FROM (SELECT doc_id, string_split({line("text")}, ' ') AS w, unnest(range({OPENINGS})) AS part FROM documents))
+WHERE text <> ''"""
+
 ANSWERS = {
     "answers": f"""
 SELECT conv_id AS qid, nullif({first_words("coalesce(arg_max(text, turn) FILTER (WHERE role = 'assistant'), '')", 32)}, '') AS answer
@@ -256,7 +262,7 @@ def _fused(body: str) -> str:
 
 def oracle() -> dict[str, str]:
     lexical = ("queries", "passages")
-    text = ("triples", "queries", "held", "text_triples", TEXT_SAMPLES)
+    text = ("triples", {"queries": OPENINGS_SQL}, "held", "text_triples", TEXT_SAMPLES)
     sql = {
         "ranked_candidates": """
 WITH scored AS (

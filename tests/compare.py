@@ -77,7 +77,7 @@ def main(folder: str, names: list[str]) -> int:
             frame = pd.DataFrame()
         failed += problem is not None
         both = time.time() - started
-        print(f"{'FAIL' if problem else 'ok':6} {name}: {problem or len(frame)} ({ours:.1f} s, sql {both - ours:.1f} s)", flush=True)
+        print(f"{'FAIL' if problem else 'ok' if len(frame) else 'EMPTY':6} {name}: {problem or len(frame)} ({ours:.1f} s, sql {both - ours:.1f} s)", flush=True)
     return failed
 
 

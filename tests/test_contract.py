@@ -9,6 +9,8 @@ from rankflow.session import scratch
 FOLDER = "/root/testdata/sf0.001"
 OPTIONAL = set(contract._training_text()[0])  # tested in their own folder
 QUERIES = {name: query for name, query in contract.queries().items() if name not in OPTIONAL}
+BRUTE_FORCE: set[str] = set()
+"""Queries that SQL cannot express; each has a test against a plain computation."""
 SQL = {name: text for name, text in contract.oracle_sql().items() if name not in OPTIONAL}
 
 
@@ -19,7 +21,7 @@ def connection():
 
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) == set(SQL) | BRUTE_FORCE
 
 
 def test_entry(spark):
@@ -31,7 +33,6 @@ def test_entry(spark):
 def test_query_equals_sql(spark, connection, name):
     with scratch(spark):
         frame = QUERIES[name](spark, FOLDER).toPandas()
+    assert len(frame), "a query without rows proves nothing"
     if name in SQL:
         assert difference(frame, connection.execute(SQL[name]).df()) is None
-    else:
-        assert len(frame)
