@@ -111,13 +111,7 @@ def feedback_terms(
         .agg(F.count("*").alias("tf"))
         .join(query_terms(queries), ["qid", "term"], "left_anti")
     )
-    vocabulary = counts.select("term").distinct()
-    frequencies = (
-        collection.counts.select("term")
-        .join(vocabulary, "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count("*").alias("df"))
-    )
+    frequencies = collection.frequencies(counts.select("term").distinct())
     weighted = counts.join(frequencies, "term").withColumn(
         "weight", F.round(F.col("tf") * inverse_frequency(F.col("df"), collection.size), LEXICAL_PLACES)
     )

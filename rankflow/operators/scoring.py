@@ -5,6 +5,10 @@ row and filtered to the query vocabulary before anything moves, so passage text
 shuffled. The filtered counts move once, by passage id; from there document frequencies,
 the join with the query terms and the per-(query, passage) sums need no shuffle of that
 size again, and retrieval sends on only the best k rows per query and task.
+
+Given pairs are scored from the other side, with a forward index: one row per passage with its
+terms and counts as arrays. A pair meets its query's weights and its passage's row once each, and
+array functions do the rest; there is no row per pair and term.
 """
 
 from __future__ import annotations
@@ -80,13 +84,42 @@ def term_counts(passages: DataFrame) -> DataFrame:
     return rows.select("pid", "dl", "t.term", "t.tf")
 
 
+def term_number(term: Column | str, seed: int = 0) -> Column:
+    """A 64-bit number for a term, which takes less room than the term."""
+    return F.xxhash64(F.lit(seed), F.col(term) if isinstance(term, str) else term)
+
+
+def term_bags(passages: DataFrame, seed: int = 0) -> DataFrame:
+    """The forward index ``(pid, dl, terms, ids, tfs)``: a passage's distinct terms, their numbers, their counts.
+
+    One row per passage, made inside the row; a passage without terms has empty arrays.
+    """
+    ordered = passages.select("pid", F.sort_array(terms("text")).alias("all"))
+    places = F.when(F.size("all") > 0, F.sequence(F.lit(0), F.size("all") - 1)).otherwise(F.array().cast("array<int>"))
+    heads = F.filter(places, lambda i: (i == 0) | (F.get("all", i) != F.get("all", i - 1)))
+    marked = ordered.select("pid", "all", heads.alias("heads"))
+    named = marked.select(
+        "pid",
+        F.size("all").alias("dl"),
+        F.transform("heads", lambda at: F.get("all", at)).alias("terms"),
+        F.transform("heads", lambda at, i: F.coalesce(F.get("heads", i + 1), F.size("all")) - at).alias("tfs"),
+    )
+    return named.select("pid", "dl", "terms", F.transform("terms", lambda t: term_number(t, seed)).alias("ids"), "tfs")
+
+
 @dataclass(frozen=True)
 class Collection:
-    """A passage collection as term counts, with its size and mean length in terms."""
+    """A passage collection as a forward index, with its size and mean length in terms.
 
+    ``vocabulary`` holds ``(term, id, df)`` of a stored collection; without it frequencies are
+    counted for the terms that are asked for.
+    """
+
+    bags: DataFrame
     counts: DataFrame
     size: Column
     mean_length: Column
+    vocabulary: DataFrame | None = None
 
     @staticmethod
     def of(passages: DataFrame | Collection) -> Collection:
@@ -94,15 +127,49 @@ class Collection:
         if isinstance(passages, Collection):
             return passages
         measured = passages.select(F.size(terms("text")).alias("dl"))
-        return Collection(term_counts(passages), measured.agg(F.count("*")).scalar(), measured.agg(F.avg("dl")).scalar())
+        size, mean = measured.agg(F.count("*")).scalar(), measured.agg(F.avg("dl")).scalar()
+        return Collection(term_bags(passages), term_counts(passages), size, mean)
 
     @staticmethod
-    def staged(passages: DataFrame) -> Collection:
-        """Term counts written once to the shared folder, for several jobs on one collection."""
-        counts = stage(term_counts(passages), "terms")
-        size = passages.count()
-        total = counts.agg(F.sum("tf")).first()[0] or 0
-        return Collection(counts, F.lit(size), F.lit(total / size if size else 0.0))
+    def staged(passages: DataFrame, seeds: int = 8) -> Collection:
+        """Forward index and vocabulary written once to the shared folder, for several jobs on one collection.
+
+        Terms are told apart by their numbers from then on, so a seed is looked for that gives each its own.
+        """
+        for seed in range(seeds):
+            bags = stage(term_bags(passages, seed), "bags")
+            frequencies = bags.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+            vocabulary = stage(frequencies.withColumn("id", term_number("term", seed)), "vocabulary")
+            if vocabulary.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+                break
+        else:
+            raise RuntimeError("no seed tells all terms apart")
+        size, total = bags.agg(F.count("*"), F.sum("dl")).first()
+        entry = F.explode(F.arrays_zip("ids", "tfs")).alias("t")
+        counts = bags.select("pid", "dl", entry).select("pid", "dl", F.col("t.ids").alias("term"), F.col("t.tfs").alias("tf"))
+        return Collection(bags, counts, F.lit(size), F.lit((total or 0) / size if size else 0.0), vocabulary)
+
+    def wanted(self, queries: DataFrame, keys: Sequence[str] = ("qid",)) -> DataFrame:
+        """The queries' terms as ``counts`` names them; with ``df`` where that is known."""
+        asked = query_terms(queries, keys)
+        if self.vocabulary is None:
+            return asked
+        return asked.join(self.vocabulary, "term").select(*keys, F.col("id").alias("term"), "df")
+
+    def frequencies(self, terms_: DataFrame) -> DataFrame:
+        """``(term, df)`` of the distinct ``terms_`` that the collection holds."""
+        if self.vocabulary is not None:
+            return self.vocabulary.join(terms_, "term", "left_semi").select("term", "df")
+        return self.counts.select("term").join(terms_, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+
+    def weights(self, queries: DataFrame, keys: Sequence[str] = ("qid",)) -> DataFrame:
+        """``(keys, id, idf)`` of the queries' terms that the collection holds."""
+        if self.vocabulary is not None:
+            found = self.wanted(queries, keys).withColumnRenamed("term", "id")
+        else:
+            asked = query_terms(queries, keys)
+            found = asked.join(self.frequencies(asked.select("term").distinct()), "term").withColumn("id", term_number("term"))
+        return found.select(*keys, "id", inverse_frequency(F.col("df"), self.size).alias("idf"))
 
 
 def filtered_counts(counts: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -122,8 +189,12 @@ def contribution(mean_length: Column, k1: float, b: float) -> Column:
 
 def _weighted(wanted: DataFrame, rows: DataFrame, collection: Collection) -> DataFrame:
     """Query terms with their (inverse) document frequency; ``rows`` has one per (pid, term)."""
-    frequencies = rows.groupBy("term").agg(F.count("*").alias("df"))
     idf = inverse_frequency(F.col("df"), collection.size)
+    if collection.vocabulary is not None:
+        return wanted.withColumn("idf", idf)
+    # The rows are distinct already; saying so keeps all their columns wanted, and Spark runs
+    # the shuffle that scoring reads once for both.
+    frequencies = rows.distinct().groupBy("term").agg(F.count("*").alias("df"))
     return wanted.join(frequencies, "term").withColumn("idf", idf)
 
 
@@ -144,11 +215,9 @@ def retrieve(
     ``_bounded_scores``. The rows are the same.
     """
     collection = Collection.of(passages)
-    wanted = query_terms(queries, keys)
+    wanted = collection.wanted(queries, keys)
     postings = filtered_counts(collection.counts, wanted.select("term").distinct()).repartition("pid")
-    # Document frequencies read the same shuffle as scoring. The rows are distinct already;
-    # saying so keeps all their columns wanted, and Spark runs the shuffle once for both.
-    weights = _weighted(wanted, postings.distinct(), collection)
+    weights = _weighted(wanted, postings, collection)
     part = F.sum(contribution(collection.mean_length, k1, b))
     if spare is None:
         scored = postings.join(weights, "term").groupBy(*keys, "pid").agg(part.alias("score"))
@@ -194,23 +263,37 @@ def _bounded_scores(
     return complete.union(full.select(*keys, "pid", "score"))
 
 
+def pair_score(k1: float) -> Column:
+    """BM25 of a row with a query's ``asked`` (ids, idfs), a passage's (ids, tfs), their ``both`` ids and the length's ``norm``."""
+
+    def add(total: Column, id_: Column) -> Column:
+        tf = F.get("tfs", F.array_position("ids", id_).cast("int") - 1)
+        idf = F.get(F.col("asked")["idfs"], F.array_position(F.col("asked")["ids"], id_).cast("int") - 1)
+        return total + idf * tf * (k1 + 1) / (tf + F.col("norm"))
+
+    return F.aggregate("both", F.lit(0.0), add)
+
+
 def _scored_pairs(
     pairs: DataFrame, queries: DataFrame, collection: Collection, k1: float, b: float, keys: Sequence[str]
 ) -> DataFrame:
-    """``(keys, pid, score, shared)``: BM25 and the number of shared terms per pair.
+    """``(keys, pid, score, shared, dl)``: BM25 and the number of shared terms per pair, null ``dl`` for unknown passages.
 
-    Only the passages of the pairs are moved. Pairs take on their query's terms and then
-    meet the passage's counts of those terms.
+    A pair takes on its query's weights, as two arrays, and meets its passage's row.
     """
-    pairs = pairs.select(*keys, "pid").distinct()
-    wanted = query_terms(queries, keys)
-    counts = filtered_counts(collection.counts, wanted.select("term").distinct())
-    weights = _weighted(wanted, counts, collection)
-    postings = counts.join(pairs.select("pid").distinct(), "pid", "left_semi")
-    matches = pairs.join(weights, list(keys), "left").join(postings, ["pid", "term"], "left")
-    part = contribution(collection.mean_length, k1, b)
-    score = F.round(F.coalesce(F.sum(part), F.lit(0.0)), LEXICAL_PLACES)
-    return matches.groupBy(*keys, "pid").agg(score.alias("score"), F.count(part).alias("shared"))
+    listed = F.array_sort(F.collect_list(F.struct("id", "idf")))
+    asked = collection.weights(queries, keys).groupBy(*keys).agg(listed.alias("w"))
+    asked = asked.select(*keys, F.struct(F.col("w.id").alias("ids"), F.col("w.idf").alias("idfs")).alias("asked"))
+    pairs = pairs.select(*keys, "pid").distinct().join(asked, list(keys), "left")
+    met = pairs.join(collection.bags.select("pid", "dl", "ids", "tfs"), "pid", "left")
+    met = met.withColumns(
+        {
+            "norm": k1 * (1 - b + b * (F.col("dl") / collection.mean_length)),
+            "both": F.coalesce(F.array_intersect("ids", F.col("asked")["ids"]), F.array().cast("array<bigint>")),
+        }
+    )
+    score = F.round(pair_score(k1), LEXICAL_PLACES).alias("score")
+    return met.select(*keys, "pid", score, F.size("both").cast("bigint").alias("shared"), "dl")
 
 
 def score_bm25(
@@ -222,7 +305,7 @@ def score_bm25(
     keys: Sequence[str] = ("qid",),
 ) -> DataFrame:
     """BM25 of given pairs ``(qid, pid)``, one row each; term weights from all passages."""
-    return _scored_pairs(pairs, queries, Collection.of(passages), k1, b, keys).drop("shared")
+    return _scored_pairs(pairs, queries, Collection.of(passages), k1, b, keys).drop("shared", "dl")
 
 
 def rank_features(
@@ -232,12 +315,7 @@ def rank_features(
 
     A passage without any term has length 0.
     """
-    collection = Collection.of(passages)
-    scored = _scored_pairs(pairs, queries, collection, k1, b, ["qid"]).withColumnRenamed("score", "bm25")
+    scored = _scored_pairs(pairs, queries, Collection.of(passages), k1, b, ["qid"])
     asked = queries.select("qid", F.size(F.array_distinct(terms("text"))).cast("bigint").alias("query_terms"))
-    lengths = collection.counts.groupBy("pid").agg(F.max("dl").cast("bigint").alias("length"))
-    return (
-        scored.join(asked, "qid")
-        .join(lengths, "pid", "left")
-        .select("qid", "pid", "bm25", "shared", "query_terms", F.coalesce("length", F.lit(0)).alias("length"))
-    )
+    length = F.coalesce(F.col("dl").cast("bigint"), F.lit(0)).alias("length")
+    return scored.join(asked, "qid").select("qid", "pid", F.col("score").alias("bm25"), "shared", "query_terms", length)

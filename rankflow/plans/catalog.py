@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rankflow.functions.scores import as_percent, positive_softmax
 from rankflow.functions.text import normalize_line, terms, truncate_words
 from rankflow.operators import expansion, fusion, metrics, ranker, reporting, samples, scoring
+from rankflow.operators.index import retrieve_indexed
 from rankflow.operators.ranking import judged_queries, rank_run
 from rankflow.plans.fixtures import CANDIDATES, DEV_NEGATIVES, DEV_QUERIES, HELD_OUT, Inputs
 from rankflow.session import shared_folder, stage
@@ -275,6 +276,18 @@ def bm25_bounded_top(i: Inputs) -> DataFrame:
     return _rounded(scoring.retrieve(i.queries, i.collection, k=10, spare=8), "score")
 
 
+@query
+def bm25_indexed_top(i: Inputs) -> DataFrame:
+    """The same depth from an inverted index whose blocks are skipped where they cannot matter."""
+    return _rounded(retrieve_indexed(i.queries, i.index, k=1000), "score")
+
+
+@query
+def bm25_indexed_again(i: Inputs) -> DataFrame:
+    """Another query set on the same index: document openings, shallow."""
+    return _rounded(retrieve_indexed(i.openings, i.index, k=10), "score")
+
+
 @query
 def bm25_merged_top(i: Inputs) -> DataFrame:
     return _rounded(scoring.retrieve(i.queries, i.passages, k=CANDIDATES, fanout=4), "score")

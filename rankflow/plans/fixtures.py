@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.functions.text import words
+from rankflow.operators.index import InvertedIndex
 from rankflow.operators.numbering import top_within
 from rankflow.operators.ranking import rank_run
 from rankflow.operators.scoring import Collection, retrieve
@@ -132,6 +133,10 @@ class Inputs:
     def collection(self) -> Collection:
         return Collection.staged(self.passages)
 
+    @functools.cached_property
+    def index(self) -> InvertedIndex:
+        return InvertedIndex.staged(self.collection)
+
     @functools.cached_property
     def pairs(self) -> DataFrame:
         """First-stage candidates without text, stored: ``(qid, pid, rank, score)``."""

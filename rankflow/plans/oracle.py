@@ -369,6 +369,13 @@ FROM (SELECT l.label, q.qid IS NOT NULL AND h.pid IS NOT NULL AS kept
         "bm25_top": statement(
             "SELECT qid, pid, rank, floor(score * 1e6 + 0.5) / 1e6 AS score FROM deep", *lexical, BM25, {"deep": top("bm25", 1000)}
         ),
+        "bm25_indexed_top": statement(
+            "SELECT qid, pid, rank, floor(score * 1e6 + 0.5) / 1e6 AS score FROM deep", *lexical, BM25, {"deep": top("bm25", 1000)}
+        ),
+        "bm25_indexed_again": statement(
+            "SELECT qid, pid, rank, floor(score * 1e6 + 0.5) / 1e6 AS score FROM few",
+            {"queries": OPENINGS_SQL}, "passages", BM25, {"few": top("bm25", 10)},
+        ),
         "bm25_bounded_top": statement(
             "SELECT qid, pid, rank, floor(score * 1e6 + 0.5) / 1e6 AS score FROM few", *lexical, BM25, {"few": top("bm25", 10)}
         ),

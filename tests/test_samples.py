@@ -107,7 +107,7 @@ def test_registered_queries_train_on_no_dev_query(spark, monkeypatch):
     rows = [(n, n % (DEV_QUERIES + 30), n, n + 1) for n in range(2000)]
     triples = spark.createDataFrame(rows, "ord bigint, qid bigint, pos_id bigint, neg_id bigint")
     monkeypatch.setattr(Inputs, "triples", triples)
-    monkeypatch.setattr(Inputs, "queries", triples.select("qid").distinct().withColumn("text", F.lit("x")))
+    monkeypatch.setattr(Inputs, "openings", triples.select("qid").distinct().withColumn("text", F.lit("x")))
     i = Inputs(spark, "")
     dev = {r.qid for r in samples.select_dev_queries(triples, DEV_QUERIES).collect()}
     trained = [catalog._labelled(i), catalog._text_samples(i), samples.exclude_dev(triples, samples.select_dev_queries(triples, catalog.HELD_OUT))]
