@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import argparse
+import importlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,10 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--rank-base", type=int, default=1, choices=(0, 1))
     p.add_argument("--tag", default="STANDARD")
     p.add_argument("--min-grade", type=int)
+    p.add_argument("--scorer", metavar="MODULE:FUNCTION", help="returns a batch scorer; BM25 without")
+    p.add_argument("--batch-size", type=int, default=64)
+    p.add_argument("--max-words", type=int)
+    p.add_argument("--keep-scores", metavar="FOLDER", help="table of the model's scores, used again by later runs")
 
     p = commands.add_parser("train", help="fit the feature ranker on prepared samples, print its dev MRR")
     for name in ("prepared", "queries", "passages", "out"):
@@ -61,6 +67,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--feedback", type=int, default=3)
     p.add_argument("--max-words", type=int, default=32)
     p.add_argument("--terms", type=int, default=10)
+    p.add_argument("--generator", metavar="MODULE:FUNCTION", help="returns a batch generator; feedback terms without")
+    p.add_argument("--template", help="file with the prompt, {query} and {passages} in it")
 
     p = commands.add_parser("compare", help="evaluate query files over one candidate set")
     p.add_argument("--queries", nargs="+", required=True, metavar="NAME=PATH")
@@ -76,6 +84,14 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _named(name: str | None) -> Callable | None:
+    """The function that ``module:function`` names; tasks import it by that name."""
+    if name is None:
+        return None
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def _print(table: DataFrame) -> None:
     """All rows; result tables have one per system."""
     table.show(max(1, table.count()), truncate=False)
@@ -89,6 +105,8 @@ def main(arguments: list[str] | None = None) -> None:
         if job == "prepare":
             _print(jobs.prepare_training(spark, **options))
         elif job == "evaluate":
+            options["model"] = options["scorer"] or ""
+            options["load_scorer"] = _named(options.pop("scorer"))
             _print(jobs.evaluate_candidates(spark, **options))
         elif job == "train":
             _print(jobs.train_ranker(spark, **options))
@@ -98,6 +116,9 @@ def main(arguments: list[str] | None = None) -> None:
             for table in jobs.fuse_runs(spark, **options).values():
                 _print(table)
         elif job == "expand":
+            options["load_generator"] = _named(options.pop("generator"))
+            if options["template"]:
+                options["template"] = "\n".join(r.value for r in spark.read.text(options["template"], wholetext=True).collect())
             jobs.expand_queries(spark, **options)
         elif job == "compare":
             options["queries"] = dict(entry.split("=", 1) for entry in options["queries"])

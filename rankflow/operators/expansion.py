@@ -137,6 +137,36 @@ def expand_terms(
     return queries.join(added, "qid", "left").select("qid", normalize_line(F.concat_ws(" ", "text", new)).alias("text"))
 
 
+def relevance_model(feedback: DataFrame, m: int = 10) -> DataFrame:
+    """``(qid, term, weight)``: the ``m`` likeliest terms of feedback passages ``(qid, pid, score, passage)``.
+
+    A term's likelihood is its share of each passage's terms, passages weighted by their scores.
+    Weights of a query add up to 1.
+    """
+    split = feedback.select("qid", "pid", "score", terms("passage").alias("all"))
+    shares = F.col("score") / F.col("total") / F.size("all")
+    total = feedback.groupBy("qid").agg(F.sum("score").alias("total"))
+    each = split.join(total, "qid").select("qid", shares.alias("share"), F.explode("all").alias("term"))
+    likely = each.groupBy("qid", "term").agg(F.round(F.sum("share"), LEXICAL_PLACES).alias("p"))
+    best = top_within(likely, ["qid"], [("p", False), ("term", True)], m, "place")
+    sums = best.groupBy("qid").agg(F.sum("p").alias("all"))
+    return best.join(sums, "qid").select("qid", "term", (F.col("p") / F.col("all")).alias("weight"))
+
+
+def mix_terms(queries: DataFrame, model: DataFrame, share: float = 0.5) -> DataFrame:
+    """``(qid, term, weight)``: each query's own terms mixed with a model's, ``share`` to its own.
+
+    Own terms weigh 1 where the share is 1, so that is the plain query; the model's weights add up
+    to as many terms as the query has.
+    """
+    own = query_terms(queries)
+    size = own.groupBy("qid").agg(F.count("*").alias("size"))
+    told = model.join(size, "qid").select("qid", "term", ((1 - share) * F.col("size") * F.col("weight")).alias("weight"))
+    both = own.withColumn("weight", F.lit(float(share))).unionByName(told)
+    mixed = both.groupBy("qid", "term").agg(F.round(F.sum("weight"), LEXICAL_PLACES).alias("weight"))
+    return mixed.filter("weight > 0")
+
+
 def label_variants(variants: dict[str, DataFrame]) -> DataFrame:
     """Query sets stacked under their name: ``(run, qid, text)``."""
     stacked = None
@@ -148,6 +178,18 @@ def label_variants(variants: dict[str, DataFrame]) -> DataFrame:
     return stacked
 
 
+def score_variants(
+    variants: DataFrame,
+    candidates: DataFrame,
+    passages: DataFrame | Collection,
+    score: Callable[..., DataFrame] = score_bm25,
+) -> DataFrame:
+    """Runs ``(run, qid, pid, score)`` of query variants over one candidate set, scored in one job."""
+    keys = ["run", "qid"]
+    pairs = variants.select(*keys).join(candidates.select("qid", "pid"), "qid")
+    return score(pairs, variants, passages, keys=keys)
+
+
 def run_expansion_experiment(
     variants: DataFrame,
     candidates: DataFrame,
@@ -160,7 +202,5 @@ def run_expansion_experiment(
 
     All variants are scored, ranked and evaluated in one job, keyed by (run, qid).
     """
-    keys = ["run", "qid"]
-    pairs = variants.select(*keys).join(candidates.select("qid", "pid"), "qid")
-    scored = score(pairs, variants, passages, keys=keys)
+    scored = score_variants(variants, candidates, passages, score)
     return leaderboard(evaluate(scored, qrels, metrics), sort=metrics[0])

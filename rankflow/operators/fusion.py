@@ -8,6 +8,7 @@ map-side and stays spread over (query, passage) hashes.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from rankflow.functions.scores import FUSED_PLACES
 from rankflow.operators.ranking import rank_run
 from rankflow.operators.reporting import leaderboard
+from rankflow.session import stage
 
 METHODS = ("sum", "mnz", "anz", "borda", "rrf")
 RRF_K = 60
@@ -41,6 +43,28 @@ def _with_norm(runs: DataFrame, figures: DataFrame) -> DataFrame:
     return runs.join(figures, ["run", "qid"]).withColumn("norm", norm)
 
 
+@dataclass(frozen=True)
+class Normed:
+    """Runs with their normalised scores, and the figures of each (run, query)."""
+
+    rows: DataFrame
+    figures: DataFrame
+
+    @staticmethod
+    def of(runs: DataFrame | Normed) -> Normed:
+        if isinstance(runs, Normed):
+            return runs
+        figures = run_figures(runs)
+        return Normed(_with_norm(runs, figures), figures)
+
+    @staticmethod
+    def staged(runs: DataFrame) -> Normed:
+        """Both written once, for several fusions of the same runs."""
+        rows = stage(Normed.of(runs).rows, "normed")
+        figures = rows.groupBy("run", "qid").agg(F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_len").alias("_len"))
+        return Normed(rows, stage(figures, "figures"))
+
+
 def minmax(runs: DataFrame) -> DataFrame:
     """Scores scaled to [0, 1] per (run, query); 0 when all scores are equal."""
     return _with_norm(runs, run_figures(runs)).select("run", "qid", "pid", "rank", F.col("norm").alias("score"))
@@ -80,11 +104,11 @@ def _fused_scores(
     return fused.select(*keys, "pid", *[F.round(formulas[m], FUSED_PLACES).alias(m) for m in methods])
 
 
-def fuse_scores(runs: DataFrame, methods: Sequence[str] = METHODS, k: int = RRF_K) -> DataFrame:
+def fuse_scores(runs: DataFrame | Normed, methods: Sequence[str] = METHODS, k: int = RRF_K) -> DataFrame:
     """``(qid, pid, sum, mnz, anz, borda, rrf)``: all methods from one shuffle."""
     methods = [canonical_method(m) for m in methods]
-    figures = run_figures(runs)
-    return _fused_scores(_with_norm(runs, figures), figures, ["qid"], methods, k)
+    normed = Normed.of(runs)
+    return _fused_scores(normed.rows, normed.figures, ["qid"], methods, k)
 
 
 def fuse(runs: DataFrame, method: str, k: int = RRF_K, depth: int | None = None) -> DataFrame:
@@ -94,7 +118,7 @@ def fuse(runs: DataFrame, method: str, k: int = RRF_K, depth: int | None = None)
     return rank_run(scores, ties="pid", depth=depth, unique=True)
 
 
-def fuse_all(runs: DataFrame, methods: Sequence[str] = METHODS, k: int = RRF_K) -> DataFrame:
+def fuse_all(runs: DataFrame | Normed, methods: Sequence[str] = METHODS, k: int = RRF_K) -> DataFrame:
     """Every method as a run ``(run, qid, pid, score)`` named ``fuse:<method>``."""
     methods = [canonical_method(m) for m in methods]
     return _as_runs(fuse_scores(runs, methods, k), ["qid"], methods, lambda m: F.lit(f"fuse:{m}"))
@@ -122,7 +146,7 @@ def _wanted_pairs(runs: DataFrame, wanted: Sequence[tuple[str, str]]) -> DataFra
 
 
 def fuse_pairs(
-    runs: DataFrame, method: str, k: int = RRF_K, wanted: Sequence[tuple[str, str]] | None = None
+    runs: DataFrame | Normed, method: str, k: int = RRF_K, wanted: Sequence[tuple[str, str]] | None = None
 ) -> DataFrame:
     """Two-run combinations fused, as runs named ``pair:<a>+<b> (<method>)``: the ``wanted`` or all.
 
@@ -130,10 +154,10 @@ def fuse_pairs(
     run lengths do not depend on the partner and are worked out once.
     """
     method = canonical_method(method)
-    pairs = run_pairs(runs) if wanted is None else _wanted_pairs(runs, wanted)
-    figures = run_figures(runs)
-    normed, own = (df.join(pairs, "run") for df in (_with_norm(runs, figures), figures))
-    scores = _fused_scores(normed, own, ["pair", "qid"], [method], k)
+    normed = Normed.of(runs)
+    pairs = run_pairs(normed.figures) if wanted is None else _wanted_pairs(normed.figures, wanted)
+    rows, own = (df.join(pairs, "run") for df in (normed.rows, normed.figures))
+    scores = _fused_scores(rows, own, ["pair", "qid"], [method], k)
     return _as_runs(scores, ["pair", "qid"], [method], lambda m: F.concat(F.lit("pair:"), "pair", F.lit(f" ({m})")))
 
 

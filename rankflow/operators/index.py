@@ -7,7 +7,8 @@ its greatest contribution, without the term's weight, and its passages.
 Retrieval goes in two steps. Each query first takes its best blocks, by bound, until they hold
 ``spare`` times k postings; exact scores of their passages, from the forward index, give a floor
 under its k-th best score. It then takes blocks as long as a passage in none of them could
-still reach the floor. Passages of the taken blocks that may reach it are scored exactly. What
+still reach the floor, or all of them where that skips little. Passages of the taken blocks that
+may reach it are scored exactly. What
 a passage outside the taken blocks can score is at most the sum, over terms, of the best bound
 left, which falls by known steps along the order of the blocks.
 """
@@ -23,12 +24,14 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.scores import LEXICAL_PLACES
 from rankflow.operators.numbering import top_within
-from rankflow.operators.scoring import Collection, score_bm25
+from rankflow.operators.scoring import Collection, query_terms, score_bm25
 from rankflow.session import stage
 
 BLOCK_POSTINGS = 256
 MOST_LEVELS = 32
 SPARE = 2
+WORTH = 0.5
+"""Blocks are skipped where they hold this share of a query's postings; else reading them is the shorter way."""
 SLACK = 1e-6
 """Bounds are sums of doubles; a block is skipped only if it falls short by more than this."""
 
@@ -95,13 +98,16 @@ def planned_blocks(
 ) -> DataFrame:
     """All blocks of each query's terms with ``floor``, ``reach`` and whether they are ``taken``, stored."""
     names = list(keys)
-    ordered = stage(_ordered(index, index.collection.weights(queries, keys), keys), "ordered")
+    ordered = stage(_ordered(index, index.collection.weights(query_terms(queries, keys)).withColumnRenamed("term", "id"), keys), "ordered")
     first = _passages(index, ordered.filter(F.col("held") < spare * k), keys)
-    best = top_within(first, keys, [("so_far", False), ("pid", True)], spare * k).select(*keys, "pid")
+    best = top_within(first, keys, [("so_far", False), ("pid", True)], k).select(*keys, "pid")
     exact = score_bm25(best, queries, index.collection, index.k1, index.b, keys)
     floors = top_within(exact, keys, [("score", False), ("pid", True)], k).filter(F.col("rank") == k)
     met = ordered.join(floors.select(*keys, F.col("score").alias("floor")), names, "left")
-    return stage(met.withColumn("taken", F.col("floor").isNull() | (F.col("reach") >= F.col("floor") - SLACK)), "planned")
+    reached = F.col("floor").isNull() | (F.col("reach") >= F.col("floor") - SLACK)
+    saved = met.groupBy(*keys).agg((F.sum(F.when(~reached, F.col("n"))) > WORTH * F.sum("n")).alias("worth"))
+    whole = met.join(saved, names).withColumn("taken", reached | ~F.coalesce("worth", F.lit(False))).drop("worth")
+    return stage(whole, "planned")
 
 
 def retrieve_indexed(

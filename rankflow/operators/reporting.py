@@ -43,6 +43,55 @@ def compare(results: DataFrame, baseline: DataFrame, metrics: Sequence[str] = DE
     )
 
 
+# The distribution function of a Poisson variable of mean 1, at 0 to 6.
+POISSON = (0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406, 0.999917)
+
+
+def significance(
+    scores: DataFrame,
+    baseline: str,
+    metrics: Sequence[str] = DEFAULT_METRICS,
+    rounds: int = 1000,
+    seed: int = 0,
+    confidence: float = 0.95,
+) -> DataFrame:
+    """``(system, metric, queries, change, p_value, low, high)`` of per-query ``scores`` ``(run, qid, <metrics>)``.
+
+    Changes are paired by query against the run named ``baseline``. ``p_value`` is the share of
+    rounds, the observed one among them, in which flipping signs at random gives a mean change
+    as large. ``low`` and ``high`` enclose the mean under resampled queries, each drawn a Poisson
+    number of times. Signs and draws come from digests of (seed, round, query), so all systems
+    and metrics see the same ones, and rerunning changes nothing. Sums are made round by round
+    where the rows are; what moves is one row per system, metric and round.
+    """
+    tall = scores.unpivot(["run", "qid"], [f"`{m}`" for m in metrics], "metric", "value")
+    before = tall.filter(F.col("run") == baseline).select("qid", "metric", F.col("value").alias("before"))
+    changes = tall.filter(F.col("run") != baseline).join(before, ["qid", "metric"])
+    changes = changes.select(F.col("run").alias("system"), "metric", "qid", (F.col("value") - F.col("before")).alias("d"))
+    drawn = changes.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("round").cast("string"), F.col("qid").cast("string")))
+    drawn = drawn.withColumn("digest", digest)
+    sign = F.when(F.substring("digest", 1, 1) < "8", 1).otherwise(-1)
+    u = F.conv(F.substring("digest", 9, 8), 16, 10).cast("double") / float(1 << 32)
+    times = sum((F.when(u >= p, 1).otherwise(0) for p in POISSON), F.lit(0))
+    drawn = drawn.withColumns({"sign": sign, "times": times})
+    by_round = drawn.groupBy("system", "metric", "round").agg(
+        F.count("*").alias("n"),
+        F.sum("d").alias("sum"),
+        F.sum(F.col("sign") * F.col("d")).alias("flipped"),
+        (F.sum(F.col("times") * F.col("d")) / F.nullif(F.sum("times"), F.lit(0))).alias("mean"),
+    )
+    tail = (1 - confidence) / 2
+    as_large = F.count_if(F.abs("flipped") >= F.abs("sum") - 1e-9)
+    return by_round.groupBy("system", "metric").agg(
+        F.max("n").alias("queries"),
+        F.avg(F.col("sum") / F.col("n")).alias("change"),
+        ((as_large + 1) / (rounds + 1)).alias("p_value"),
+        F.percentile("mean", F.lit(tail)).alias("low"),
+        F.percentile("mean", F.lit(1 - tail)).alias("high"),
+    )
+
+
 def log_lines(percents: DataFrame) -> DataFrame:
     """A percent table as log text ``(log, ord, line)``, one line per figure."""
     entries = [F.concat(F.lit("Queries: "), F.col("queries").cast("string"))] + [

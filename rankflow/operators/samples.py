@@ -5,10 +5,13 @@ Ids are settled first; text is joined last, once, for the ids that are left.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.operators.numbering import number_blocks, rank_within, top_within
+from rankflow.session import stage
 
 BLOCK_ROWS = 50_000
 
@@ -160,6 +163,60 @@ def assign_batches(df: DataFrame, key: str, size: int = 32, seed: int = 0, rows:
     return placed.withColumn("batch", F.floor((F.col("_at") - 1) / size)).drop("_digest", "_block", "_at")
 
 
+def _drawn(seed: int, epoch: Column, turn: Column, value: Column) -> Column:
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), turn.cast("string"), value.cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
+def permuted(at: Column, rows: int, seed: int, epoch: Column) -> Column:
+    """Where a keyed permutation of 0 to ``rows - 1`` puts a number, without moving any row.
+
+    Numbers are pairs below ``side``, the root of ``rows`` rounded up. Four rounds swap the halves
+    and shift one by a digest of the other, which can be undone and so is a permutation. A number
+    that lands beyond the rows goes round again; few do, as side squared is little more than rows.
+    """
+    side = max(1, math.isqrt(max(rows, 1) - 1) + 1)
+    turns = F.array(*[F.lit(t) for t in range(4)])
+
+    def once(x: Column) -> Column:
+        start = F.struct(F.floor(x / side).cast("bigint").alias("l"), (x % side).cast("bigint").alias("r"))
+
+        def swap(pair: Column, turn: Column) -> Column:
+            shifted = (pair["l"] + _drawn(seed, epoch, turn, pair["r"])) % side
+            return F.struct(pair["r"].alias("l"), shifted.alias("r"))
+
+        return F.aggregate(turns, start, swap, lambda pair: pair["l"] * side + pair["r"])
+
+    beyond = side * side - rows
+    again = F.sequence(F.lit(1), F.lit(min(beyond, 64)))
+    walked = F.aggregate(again, once(at), lambda x, _: F.when(x < rows, x).otherwise(once(x))) if beyond else once(at)
+    return F.when(walked < rows, walked).otherwise(F.raise_error(F.lit("a number found no place")).cast("bigint"))
+
+
+def epoch_batches(df: DataFrame, rows: int, epochs: int, key: str = "n", size: int = 32, seed: int = 0) -> DataFrame:
+    """Every row once per epoch with its ``batch`` and ``place`` in it, in an order drawn anew per epoch.
+
+    ``key`` numbers the rows from 0 to ``rows - 1``. Rows neither move nor are sorted for it.
+    """
+    turns = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))) if epochs else df.withColumn("epoch", F.lit(0)).limit(0)
+    placed = turns.withColumn("_at", permuted(F.col(key).cast("bigint"), rows, seed, F.col("epoch")))
+    return placed.withColumns({"batch": F.floor(F.col("_at") / size).cast("bigint"), "place": F.col("_at") % size}).drop("_at")
+
+
+def materialize_counted(samples: DataFrame, queries: DataFrame, passages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``materialize_samples`` as a stored table, and the summary of ``sample_summary`` without its joins.
+
+    What was loaded is counted on the stored labels alone; the rows left out are the rest of the samples.
+    """
+    made = stage(materialize_samples(samples, queries, passages), "samples")
+    total = samples.agg(F.count("*")).scalar()
+    label = F.col("label")
+    summary = made.agg(
+        F.count("*").alias("loaded"), F.count_if(label == 1).alias("positives"), F.count_if(label == 0).alias("negatives")
+    )
+    return made, summary.withColumn("dropped", total - F.col("loaded"))
+
+
 def sample_summary(samples: DataFrame, queries: DataFrame, passages: DataFrame) -> DataFrame:
     """Counts of loaded, positive, negative and dropped training rows."""
     resolved = samples.join(queries.select("qid", F.lit(True).alias("_q")), "qid", "left").join(

@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankflow.functions.scores import LEXICAL_PLACES
-from rankflow.functions.text import terms
+from rankflow.functions.text import terms, words
 from rankflow.operators.numbering import top_within
-from rankflow.session import stage
+from rankflow.session import exists, stage
 
 Scorer = Callable[[list[str], list[str]], Sequence[float]]
 
@@ -37,12 +37,29 @@ def build_pairs(queries: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
-def score_pairs(pairs: DataFrame, load_scorer: Callable[[], Scorer], batch_size: int = 64) -> DataFrame:
+def by_length(pairs: DataFrame, parts: int | None = None) -> DataFrame:
+    """Pairs in the order of their words, so that a batch of neighbours has little padding.
+
+    Ranges of lengths go to the parts; a hash cuts a length that many pairs have. ``ord`` tells
+    where a pair was.
+    """
+    length = F.size(words("query")) + F.size(words("passage"))
+    order = [F.col("_length"), F.xxhash64("qid", "pid", "ord")]
+    sized = pairs.withColumn("_length", length)
+    ranged = sized.repartitionByRange(parts, *order) if parts else sized.repartitionByRange(*order)
+    return ranged.sortWithinPartitions("_length").drop("_length")
+
+
+def score_pairs(
+    pairs: DataFrame, load_scorer: Callable[[], Scorer], batch_size: int = 64, even: bool = False
+) -> DataFrame:
     """Score text pairs with a caller's model, loaded once per task.
 
-    The scorer takes up to ``batch_size`` queries and passages and returns their scores.
-    Stage the result before ranking when the model is costly.
+    The scorer takes up to ``batch_size`` queries and passages and returns their scores; with
+    ``even`` they are of about one length. Stage the result before ranking when the model is
+    costly, or keep all scores with ``score_kept``.
     """
+    pairs = by_length(pairs) if even else pairs
     kept = [f for f in pairs.schema.fields if f.name not in ("query", "passage")]
     schema = T.StructType([*kept, T.StructField("score", T.DoubleType())])
     names = [f.name for f in kept]
@@ -59,6 +76,32 @@ def score_pairs(pairs: DataFrame, load_scorer: Callable[[], Scorer], batch_size:
     return pairs.mapInPandas(score, schema)
 
 
+def score_kept(
+    pairs: DataFrame, load_scorer: Callable[[], Scorer], store: str, model: str, batch_size: int = 64, rounds: int = 8
+) -> DataFrame:
+    """``score_pairs`` that keeps every score in the table ``store`` and asks the model only for what is not there.
+
+    Scores are kept by a digest of the model's name and both texts, so equal texts are scored
+    once, and a later run over other candidates uses them too. Missing ones are scored in
+    ``rounds``, each added to the table when it is done: a job that dies loses one round.
+    """
+    spark = pairs.sparkSession
+    names = F.to_json(F.struct(F.lit(model).alias("m"), F.col("query").alias("q"), F.col("passage").alias("p")))
+    marked = stage(pairs.withColumn("digest", F.unhex(F.sha2(names, 256))), "marked")
+    kept = None
+    if exists(spark, store):
+        kept = spark.read.schema("digest binary, score double").parquet(store).dropDuplicates(["digest"])
+    texts = marked.select("digest", "query", "passage").dropDuplicates(["digest"])
+    missing = stage(texts if kept is None else texts.join(kept, "digest", "left_anti"), "missing")
+    if kept is None or not missing.isEmpty():
+        turn = F.pmod(F.xxhash64("digest"), F.lit(rounds))
+        for n in range(rounds):
+            part = missing.filter(turn == n)
+            score_pairs(part, load_scorer, batch_size).select("digest", "score").write.mode("append").parquet(store)
+    kept = spark.read.schema("digest binary, score double").parquet(store).dropDuplicates(["digest"])
+    return marked.drop("query", "passage").join(kept, "digest").drop("digest")
+
+
 def query_terms(queries: DataFrame, keys: Sequence[str] = ("qid",)) -> DataFrame:
     """Distinct terms per query."""
     return queries.select(*keys, F.explode(F.array_distinct(terms("text"))).alias("term"))
@@ -109,14 +152,15 @@ def term_bags(passages: DataFrame, seed: int = 0) -> DataFrame:
 
 @dataclass(frozen=True)
 class Collection:
-    """A passage collection as a forward index, with its size and mean length in terms.
+    """A passage collection as term counts, with its size and mean length in terms.
 
-    ``vocabulary`` holds ``(term, id, df)`` of a stored collection; without it frequencies are
-    counted for the terms that are asked for.
+    A stored collection is a forward index; ``counts`` names terms by number then, and
+    ``vocabulary`` holds ``(term, id, df)``. Otherwise terms name themselves and their frequencies
+    are counted when they are asked for.
     """
 
-    bags: DataFrame
     counts: DataFrame
+    lengths: DataFrame
     size: Column
     mean_length: Column
     vocabulary: DataFrame | None = None
@@ -126,9 +170,9 @@ class Collection:
         """Lazy: every job on it reads and splits the text again."""
         if isinstance(passages, Collection):
             return passages
-        measured = passages.select(F.size(terms("text")).alias("dl"))
-        size, mean = measured.agg(F.count("*")).scalar(), measured.agg(F.avg("dl")).scalar()
-        return Collection(term_bags(passages), term_counts(passages), size, mean)
+        lengths = passages.select("pid", F.size(terms("text")).alias("dl"))
+        size, mean = lengths.agg(F.count("*")).scalar(), lengths.agg(F.avg("dl")).scalar()
+        return Collection(term_counts(passages), lengths, size, mean)
 
     @staticmethod
     def staged(passages: DataFrame, seeds: int = 8) -> Collection:
@@ -147,14 +191,14 @@ class Collection:
         size, total = bags.agg(F.count("*"), F.sum("dl")).first()
         entry = F.explode(F.arrays_zip("ids", "tfs")).alias("t")
         counts = bags.select("pid", "dl", entry).select("pid", "dl", F.col("t.ids").alias("term"), F.col("t.tfs").alias("tf"))
-        return Collection(bags, counts, F.lit(size), F.lit((total or 0) / size if size else 0.0), vocabulary)
+        mean = (total or 0) / size if size else 0.0
+        return Collection(counts, bags.select("pid", "dl"), F.lit(size), F.lit(mean), vocabulary)
 
-    def wanted(self, queries: DataFrame, keys: Sequence[str] = ("qid",)) -> DataFrame:
-        """The queries' terms as ``counts`` names them; with ``df`` where that is known."""
-        asked = query_terms(queries, keys)
+    def wanted(self, asked: DataFrame) -> DataFrame:
+        """Query terms as ``counts`` names them; with ``df`` where that is known."""
         if self.vocabulary is None:
             return asked
-        return asked.join(self.vocabulary, "term").select(*keys, F.col("id").alias("term"), "df")
+        return asked.join(self.vocabulary, "term").withColumn("term", F.col("id")).drop("id")
 
     def frequencies(self, terms_: DataFrame) -> DataFrame:
         """``(term, df)`` of the distinct ``terms_`` that the collection holds."""
@@ -162,14 +206,12 @@ class Collection:
             return self.vocabulary.join(terms_, "term", "left_semi").select("term", "df")
         return self.counts.select("term").join(terms_, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
 
-    def weights(self, queries: DataFrame, keys: Sequence[str] = ("qid",)) -> DataFrame:
-        """``(keys, id, idf)`` of the queries' terms that the collection holds."""
-        if self.vocabulary is not None:
-            found = self.wanted(queries, keys).withColumnRenamed("term", "id")
-        else:
-            asked = query_terms(queries, keys)
-            found = asked.join(self.frequencies(asked.select("term").distinct()), "term").withColumn("id", term_number("term"))
-        return found.select(*keys, "id", inverse_frequency(F.col("df"), self.size).alias("idf"))
+    def weights(self, asked: DataFrame) -> DataFrame:
+        """The query terms that the collection holds, as ``counts`` names them, with their ``idf``."""
+        found = self.wanted(asked)
+        if self.vocabulary is None:
+            found = found.join(self.frequencies(asked.select("term").distinct()), "term")
+        return found.withColumn("idf", inverse_frequency(F.col("df"), self.size)).drop("df")
 
 
 def filtered_counts(counts: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -215,7 +257,7 @@ def retrieve(
     ``_bounded_scores``. The rows are the same.
     """
     collection = Collection.of(passages)
-    wanted = collection.wanted(queries, keys)
+    wanted = collection.wanted(query_terms(queries, keys))
     postings = filtered_counts(collection.counts, wanted.select("term").distinct()).repartition("pid")
     weights = _weighted(wanted, postings, collection)
     part = F.sum(contribution(collection.mean_length, k1, b))
@@ -263,37 +305,53 @@ def _bounded_scores(
     return complete.union(full.select(*keys, "pid", "score"))
 
 
-def pair_score(k1: float) -> Column:
-    """BM25 of a row with a query's ``asked`` (ids, idfs), a passage's (ids, tfs), their ``both`` ids and the length's ``norm``."""
+def _shared(k1: float) -> Column:
+    """(score, shared) of a row with a query's ``terms`` and ``idfs``, a passage's ``groups`` and its length's ``norm``."""
+    hits = F.transform("groups", lambda g: F.struct(g["tf"].alias("tf"), F.array_intersect(g["terms"], F.col("terms")).alias("both")))
+
+    def add(so_far: Column, hit: Column) -> Column:
+        idf = lambda total, t: total + F.get("idfs", F.array_position("terms", t).cast("int") - 1)
+        tf, weight = hit["tf"], F.aggregate(hit["both"], F.lit(0.0), idf)
+        return F.struct(
+            (so_far["score"] + weight * tf * (k1 + 1) / (tf + F.col("norm"))).alias("score"),
+            (so_far["shared"] + F.size(hit["both"])).alias("shared"),
+        )
+
+    return F.aggregate(hits, F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("shared")), add)
 
-    def add(total: Column, id_: Column) -> Column:
-        tf = F.get("tfs", F.array_position("ids", id_).cast("int") - 1)
-        idf = F.get(F.col("asked")["idfs"], F.array_position(F.col("asked")["ids"], id_).cast("int") - 1)
-        return total + idf * tf * (k1 + 1) / (tf + F.col("norm"))
 
-    return F.aggregate("both", F.lit(0.0), add)
+def asked_bags(collection: Collection, vocabulary: DataFrame, pids: DataFrame) -> DataFrame:
+    """``(pid, dl, groups)``: of each passage the terms that are asked for, by count, one row per passage.
+
+    Passages come without what no query asks for, however long they are, and groups by count let
+    a pair find what it shares as sets.
+    """
+    held = filtered_counts(collection.counts, vocabulary).join(pids, "pid", "left_semi").repartition("pid")
+    by_count = held.groupBy("pid", "dl", "tf").agg(F.collect_list("term").alias("terms"))
+    return by_count.groupBy("pid", "dl").agg(F.collect_list(F.struct("tf", "terms")).alias("groups"))
 
 
 def _scored_pairs(
     pairs: DataFrame, queries: DataFrame, collection: Collection, k1: float, b: float, keys: Sequence[str]
 ) -> DataFrame:
-    """``(keys, pid, score, shared, dl)``: BM25 and the number of shared terms per pair, null ``dl`` for unknown passages.
+    """``(keys, pid, score, shared)``: BM25 and the number of shared terms per pair.
 
     A pair takes on its query's weights, as two arrays, and meets its passage's row.
     """
-    listed = F.array_sort(F.collect_list(F.struct("id", "idf")))
-    asked = collection.weights(queries, keys).groupBy(*keys).agg(listed.alias("w"))
-    asked = asked.select(*keys, F.struct(F.col("w.id").alias("ids"), F.col("w.idf").alias("idfs")).alias("asked"))
-    pairs = pairs.select(*keys, "pid").distinct().join(asked, list(keys), "left")
-    met = pairs.join(collection.bags.select("pid", "dl", "ids", "tfs"), "pid", "left")
-    met = met.withColumns(
-        {
-            "norm": k1 * (1 - b + b * (F.col("dl") / collection.mean_length)),
-            "both": F.coalesce(F.array_intersect("ids", F.col("asked")["ids"]), F.array().cast("array<bigint>")),
-        }
+    pairs = pairs.select(*keys, "pid").distinct()
+    weights = collection.weights(query_terms(queries, keys))
+    asked = weights.groupBy(*keys).agg(F.collect_list(F.struct("term", "idf")).alias("w"))
+    asked = asked.select(*keys, F.col("w.term").alias("terms"), F.col("w.idf").alias("idfs"))
+    bags = asked_bags(collection, weights.select("term").distinct(), pairs.select("pid").distinct())
+    met = pairs.join(asked, list(keys), "left").join(bags, "pid", "left")
+    met = met.withColumn("norm", k1 * (1 - b + b * (F.col("dl") / collection.mean_length)))
+    found = F.when(F.col("terms").isNotNull() & F.col("groups").isNotNull(), _shared(k1)).alias("found")
+    return met.select(*keys, "pid", found).select(
+        *keys,
+        "pid",
+        F.round(F.coalesce("found.score", F.lit(0.0)), LEXICAL_PLACES).alias("score"),
+        F.coalesce("found.shared", F.lit(0)).cast("bigint").alias("shared"),
     )
-    score = F.round(pair_score(k1), LEXICAL_PLACES).alias("score")
-    return met.select(*keys, "pid", score, F.size("both").cast("bigint").alias("shared"), "dl")
 
 
 def score_bm25(
@@ -305,7 +363,7 @@ def score_bm25(
     keys: Sequence[str] = ("qid",),
 ) -> DataFrame:
     """BM25 of given pairs ``(qid, pid)``, one row each; term weights from all passages."""
-    return _scored_pairs(pairs, queries, Collection.of(passages), k1, b, keys).drop("shared", "dl")
+    return _scored_pairs(pairs, queries, Collection.of(passages), k1, b, keys).drop("shared")
 
 
 def rank_features(
@@ -315,7 +373,22 @@ def rank_features(
 
     A passage without any term has length 0.
     """
-    scored = _scored_pairs(pairs, queries, Collection.of(passages), k1, b, ["qid"])
+    collection = Collection.of(passages)
+    scored = _scored_pairs(pairs, queries, collection, k1, b, ["qid"]).withColumnRenamed("score", "bm25")
     asked = queries.select("qid", F.size(F.array_distinct(terms("text"))).cast("bigint").alias("query_terms"))
-    length = F.coalesce(F.col("dl").cast("bigint"), F.lit(0)).alias("length")
-    return scored.join(asked, "qid").select("qid", "pid", F.col("score").alias("bm25"), "shared", "query_terms", length)
+    lengths = collection.lengths.select("pid", F.col("dl").cast("bigint").alias("length"))
+    return (
+        scored.join(asked, "qid")
+        .join(lengths, "pid", "left")
+        .select("qid", "pid", "bm25", "shared", "query_terms", F.coalesce("length", F.lit(0)).alias("length"))
+    )
+
+
+def retrieve_weighted(asked: DataFrame, collection: Collection, k: int = 1000, k1: float = 0.9, b: float = 0.4) -> DataFrame:
+    """Top ``k`` passages for weighted query terms ``(qid, term, weight)``; with weights of 1 those of ``retrieve``."""
+    weights = collection.weights(asked.filter("weight > 0")).withColumn("idf", F.col("idf") * F.col("weight"))
+    postings = filtered_counts(collection.counts, weights.select("term").distinct()).repartition("pid")
+    part = F.sum(contribution(collection.mean_length, k1, b))
+    scored = postings.join(weights, "term").groupBy("qid", "pid").agg(F.round(part, LEXICAL_PLACES).alias("score"))
+    top = top_within(scored, ["qid"], [("score", False), ("pid", True)], k)
+    return top.select("qid", "pid", "rank", "score")

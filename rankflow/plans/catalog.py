@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.scores import as_percent, positive_softmax
 from rankflow.functions.text import normalize_line, terms, truncate_words
-from rankflow.operators import expansion, fusion, metrics, ranker, reporting, samples, scoring
+from rankflow.operators import expansion, fusion, metrics, ranker, reporting, samples, scoring, text_ranker
 from rankflow.operators.index import retrieve_indexed
+from rankflow.operators.numbering import number_blocks
 from rankflow.operators.ranking import judged_queries, rank_run
 from rankflow.plans.fixtures import CANDIDATES, DEV_NEGATIVES, DEV_QUERIES, HELD_OUT, Inputs
 from rankflow.session import shared_folder, stage
@@ -148,9 +149,9 @@ def fusion_leader(i: Inputs) -> DataFrame:
 
 @query
 def pair_metrics(i: Inputs) -> DataFrame:
-    runs = i.runs
-    best = fusion.best_method(metrics.evaluate(fusion.fuse_all(runs), i.qrels))
-    return _rounded(metrics.evaluate(fusion.fuse_pairs(runs, best), i.qrels), *METRICS)
+    normed = fusion.Normed.staged(i.ranked_runs())
+    best = fusion.best_method(metrics.evaluate(fusion.fuse_all(normed), i.qrels))
+    return _rounded(metrics.evaluate(fusion.fuse_pairs(normed, best), i.qrels), *METRICS)
 
 
 @query
@@ -256,9 +257,18 @@ def training_batches(i: Inputs) -> DataFrame:
     return batches.withColumn("label", F.col("label").cast("bigint"))
 
 
+@query
+def epoch_batches(i: Inputs) -> DataFrame:
+    """Two epochs over the training samples, each in an order of its own."""
+    labelled = stage(_labelled(i).select("n", "qid", "pid", F.col("label").cast("bigint").alias("label")), "labelled")
+    placed = samples.epoch_batches(labelled, labelled.count(), epochs=2, size=32, seed=7)
+    return placed.withColumns({c: F.col(c).cast("bigint") for c in ("epoch", "batch", "place")})
+
+
 @query
 def training_summary(i: Inputs) -> DataFrame:
-    return samples.sample_summary(_text_samples(i), i.openings, i.labelled_passages)
+    """Counted while the training texts are written."""
+    return samples.materialize_counted(stage(_text_samples(i), "labelled"), i.openings, i.labelled_passages)[1]
 
 
 # --- scoring ---
@@ -333,6 +343,33 @@ def model_scored_pairs(i: Inputs) -> DataFrame:
     return _rounded(rank_run(staged, ties="ord"), "score")
 
 
+@query
+def even_scored_pairs(i: Inputs) -> DataFrame:
+    """The same pairs in batches of like length."""
+    pairs = scoring.build_pairs(i.queries, i.candidates)
+    staged = stage(scoring.score_pairs(pairs, lambda: shared_word_scorer(), even=True), "scores")
+    return _rounded(rank_run(staged, ties="ord"), "score")
+
+
+def no_scorer() -> scoring.Scorer:
+    """Stands for a model that must not be called any more."""
+
+    def score(asked: list[str], held: list[str]) -> list[float]:
+        raise RuntimeError(f"{len(asked)} pairs are scored again")
+
+    return score
+
+
+@query
+def kept_pair_scores(i: Inputs) -> DataFrame:
+    """Scored once and kept; the second run finds every score and calls no model."""
+    pairs = scoring.build_pairs(i.queries, i.candidates)
+    store = shared_folder(i.spark, "kept-scores")
+    scoring.score_kept(pairs, lambda: shared_word_scorer(), store, "shared words", rounds=2)
+    again = scoring.score_kept(pairs, lambda: no_scorer(), store, "shared words")
+    return _rounded(rank_run(again, ties="ord"), "score")
+
+
 @query
 def softmax_scores(i: Inputs) -> DataFrame:
     logits = F.array(F.col("l_discount") * 10, F.col("l_quantity") / 10, F.col("l_tax") * 10)
@@ -349,7 +386,7 @@ def truncated_texts(i: Inputs) -> DataFrame:
 
 @query
 def dev_reciprocal_rank(i: Inputs) -> DataFrame:
-    dev = _text_dev(i)
+    dev = stage(_text_dev(i).join(i.passages.select("pid"), "pid", "left_semi"), "dev")
     scored = scoring.score_bm25(dev.select("qid", "pid"), i.openings, i.passages)
     return _rounded(metrics.reranking_mrr(dev.join(scored, ["qid", "pid"])), "mrr@10")
 
@@ -395,6 +432,48 @@ def fitted_ranker_facts(i: Inputs) -> DataFrame:
     )
 
 
+def _text_features(i: Inputs, labelled: DataFrame) -> DataFrame:
+    """Slots and lexical figures of rows with ``qid``, ``pid`` and further columns, texts joined on the way."""
+    texts = i.openings.select("qid", F.col("text").alias("query"))
+    held = i.passages.select("pid", F.col("text").alias("passage"))
+    pairs = labelled.join(texts, "qid").join(held, "pid")
+    figures = scoring.rank_features(labelled.select("qid", "pid"), i.openings, i.collection)
+    return text_ranker.with_slots(pairs).join(figures, ["qid", "pid"])
+
+
+def _ranker_tables(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Training rows with ``n`` from 0 and dev rows, with slots and scaled figures, both stored."""
+    made = _text_samples(i).join(i.passages.select("pid"), "pid", "left_semi").join(i.openings.select("qid"), "qid", "left_semi")
+    labels = made.groupBy("qid", "pid").agg(F.max("label").alias("label"), F.min("n").alias("first"))
+    numbered = labels.withColumn("block", F.floor(F.col("first") / 4096))
+    numbered = number_blocks(numbered, [], "block", [("first", True)], "at").select("qid", "pid", "label", (F.col("at") - 1).alias("n"))
+    train = stage(_text_features(i, numbered), "train-features")
+    dev = _text_dev(i, HELD_OUT).join(i.passages.select("pid"), "pid", "left_semi")
+    tried = stage(_text_features(i, dev), "dev-features")
+    means, deviations = text_ranker.scaling(train)
+    return tuple(stage(text_ranker.with_figures(f, means, deviations), "scaled") for f in (train, tried))
+
+
+@query
+def text_ranker_metrics(i: Inputs) -> DataFrame:
+    """Reciprocal rank over all dev queries of the ranker on figures and of the one on texts."""
+    train, dev = _ranker_tables(i)
+    labelled = train.withColumn("label", F.col("label").cast("double"))
+    plain = ranker.score_with_ranker(ranker.fit_ranker(labelled), dev.select("qid", "pid", *ranker.FEATURES).distinct())
+    sides = dev.select("qid", "pid", "is_pos").join(plain, ["qid", "pid"])
+    texts = text_ranker.scored(dev, text_ranker.fit(labelled))
+    tables = [metrics.reranking_mrr(t).select(F.lit(n).alias("ranker"), "*") for n, t in (("figures", sides), ("texts", texts))]
+    return tables[0].union(tables[1])
+
+
+@query
+def stepwise_ranker(i: Inputs) -> DataFrame:
+    """Reciprocal rank after every second of six gradient steps over shuffled batches."""
+    train, dev = _ranker_tables(i)
+    batches = stage(samples.epoch_batches(train, train.count(), epochs=1, size=32, seed=7), "batches")
+    return text_ranker.train(batches, dev, shared_folder(i.spark, "steps"), steps=6, every=2)
+
+
 # --- expansion ---
 
 
@@ -451,12 +530,32 @@ def feedback_expanded_queries(i: Inputs) -> DataFrame:
     return _feedback_expanded(i)
 
 
-def _experiment(i: Inputs) -> DataFrame:
+def _variants(i: Inputs) -> DataFrame:
     answered = expansion.apply_expansion(i.queries, i.responses, ANSWER_WORDS)
     named = {"original": i.queries, "answer": answered, "feedback": _feedback_expanded(i)}
     # Query sets are small; written once, they are not expanded again by every reader.
-    variants = stage(expansion.label_variants(named), "variants")
-    return expansion.run_expansion_experiment(variants, i.pairs, i.collection, i.text_qrels)
+    return stage(expansion.label_variants(named), "variants")
+
+
+def _experiment(i: Inputs) -> DataFrame:
+    return expansion.run_expansion_experiment(_variants(i), i.pairs, i.collection, i.text_qrels)
+
+
+@query
+def feedback_mixed_top(i: Inputs) -> DataFrame:
+    """Retrieval with half of each query's weight on terms of a relevance model."""
+    text = i.passages.select("pid", F.col("text").alias("passage"))
+    feedback = i.pairs.filter(F.col("rank") <= FEEDBACK).join(text, "pid")
+    mixed = stage(expansion.mix_terms(i.queries, expansion.relevance_model(feedback, m=20), share=0.5), "mixed")
+    return _rounded(scoring.retrieve_weighted(mixed, i.collection, k=100), "score")
+
+
+@query
+def expansion_significance(i: Inputs) -> DataFrame:
+    """Whether the changes by expansion are more than chance, and how far resampled queries move them."""
+    scored = expansion.score_variants(_variants(i), i.pairs, i.collection)
+    scores = stage(metrics.evaluate_queries(scored, i.text_qrels), "per-query")
+    return _rounded(reporting.significance(scores, "original", rounds=200, seed=5), "change", "p_value", "low", "high")
 
 
 @query
@@ -508,6 +607,32 @@ def reread_repeated_runs(i: Inputs) -> DataFrame:
     return files.read_runs(i.spark, _repeated_zero_based(i))
 
 
+def _dirty_runs(i: Inputs) -> list[str]:
+    """The runs as files in which some lines are none: short, long, or without a number."""
+    folder = shared_folder(i.spark, "dirty")
+    paths = [f"{folder}/{name}.run" for name in ("open", "revenue", "discount")]
+    for path in paths:
+        run = i.runs.filter(F.col("run") == files.run_name(path))
+        line = F.concat_ws(" ", "qid", F.lit("Q0"), "pid", "rank", F.col("score").cast("string"), F.lit("t"))
+        spoilt = F.when(F.col("pid") % 97 == 0, F.concat_ws(" ", "qid", F.lit("Q0"), "pid", "rank"))
+        spoilt = spoilt.when(F.col("pid") % 97 == 1, F.concat_ws(" ", "qid", F.lit("Q0"), "pid", F.lit("first"), F.lit("1.5"), F.lit("t")))
+        spoilt = spoilt.when(F.col("pid") % 97 == 2, F.concat_ws(" ", "qid", F.lit("Q0"), "pid", "rank", F.lit("NaN"), F.lit("t"))).otherwise(line)
+        ordered = run.repartitionByRange("qid", "rank").sortWithinPartitions("qid", "rank")
+        ordered.select(spoilt.alias("value")).write.text(path)
+    return paths
+
+
+@query
+def reread_dirty_runs(i: Inputs) -> DataFrame:
+    return files.read_checked(i.spark, _dirty_runs(i), "run", most_bad=0.1)[0]
+
+
+@query
+def bad_run_lines(i: Inputs) -> DataFrame:
+    """What was set aside: file, position over all files, reason and line."""
+    return files.read_checked(i.spark, _dirty_runs(i), "run", most_bad=0.1)[1].select("file", "reason", "line")
+
+
 @query
 def fused_zero_based_runs(i: Inputs) -> DataFrame:
     """Fusion of those files after ranking by score, evaluated."""

@@ -55,11 +55,11 @@ def prepare_training(
     held = collection
     if not full_corpus:
         held = stage(samples.subset_passages(collection, samples.needed_passages(dev, chosen)), "passages")
-    texts = samples.materialize_samples(chosen, asked, held)
-    batches = samples.assign_batches(texts, "n", batch_size, seed, rows=chosen.count())
+    texts, summary = samples.materialize_counted(chosen, asked, held)
+    batches = samples.assign_batches(texts, "n", batch_size, seed, rows=summary.first()["loaded"])
     batches.write.parquet(f"{out}/train")
     samples.materialize_dev(dev, asked, held).write.parquet(f"{out}/dev")
-    return samples.sample_summary(chosen, asked, held)
+    return summary
 
 
 def _collection(candidates: DataFrame, passages: DataFrame | None) -> scoring.Collection:
@@ -82,16 +82,21 @@ def rerank(
     batch_size: int = 64,
     depth: int | None = None,
     max_words: int | None = None,
+    keep_scores: str | None = None,
+    model: str = "",
 ) -> DataFrame:
     """Score candidates with a model, or BM25 without one, and rank them per query.
 
-    ``max_words`` caps the words of each text that the model is given.
+    ``max_words`` caps the words of each text that the model is given. ``keep_scores`` names a table
+    that keeps the scores of the ``model`` of that name, for later runs and after a loss.
     """
     if load_scorer is not None:
         pairs = scoring.build_pairs(queries, candidates)
         if max_words is not None:
             pairs = pairs.withColumns({c: truncate_words(c, max_words) for c in ("query", "passage")})
-        return rank_run(stage(scoring.score_pairs(pairs, load_scorer, batch_size), "scores"), "ord", depth)
+        if keep_scores is not None:
+            return rank_run(scoring.score_kept(pairs, load_scorer, keep_scores, model, batch_size), "ord", depth)
+        return rank_run(stage(scoring.score_pairs(pairs, load_scorer, batch_size, even=True), "scores"), "ord", depth)
     pairs = candidates.join(queries.select("qid"), "qid", "left_semi")
     scores = scoring.score_bm25(pairs, queries, _collection(candidates, passages))
     first = pairs.groupBy("qid", "pid").agg(F.min("ord").alias("ord"))
@@ -112,6 +117,8 @@ def evaluate_candidates(
     batch_size: int = 64,
     max_words: int | None = None,
     min_grade: int | None = None,
+    keep_scores: str | None = None,
+    model: str = "",
 ) -> DataFrame:
     """Rank a candidate file, write the run, return its metrics in percent."""
     asked = files.read_queries(spark, queries, strict=True)
@@ -119,7 +126,8 @@ def evaluate_candidates(
     if judged_only:
         asked = judged_queries(asked, judged)
     offered = stage(files.read_candidates(spark, candidates), "candidates")
-    run = stage(rerank(asked, offered, _whole(spark, passages), load_scorer, batch_size, max_words=max_words), "run")
+    kept = {"max_words": max_words, "keep_scores": keep_scores, "model": model}
+    run = stage(rerank(asked, offered, _whole(spark, passages), load_scorer, batch_size, **kept), "run")
     sinks.write_run(run, out_run, tag, rank_base)
     named = run.withColumn("run", F.lit(files.run_name(out_run)))
     return as_percent(metrics.evaluate(named, judged))
@@ -176,6 +184,7 @@ def fuse_runs(
     judged = stage(files.read_qrels(spark, qrels), "qrels")
     read = files.read_runs(spark, runs)
     held = stage(rank_run(read, ties="pid", keys=["run", "qid"], unique=True), "runs")
+    normed = fusion.Normed.staged(held)
 
     def table(name: str, systems: DataFrame) -> DataFrame:
         results = stage(metrics.evaluate(systems, judged), name).select("system", *metrics.DEFAULT_METRICS)
@@ -184,8 +193,8 @@ def fuse_runs(
         return ordered
 
     single = table("base_models", held)
-    fused = table("all_runs_fused", fusion.fuse_all(held, methods))
-    paired = table("pairs_fused", fusion.fuse_pairs(held, fusion.best_method(fused, best)))
+    fused = table("all_runs_fused", fusion.fuse_all(normed, methods))
+    paired = table("pairs_fused", fusion.fuse_pairs(normed, fusion.best_method(fused, best)))
     return {"single": single, "fused": fused, "paired": paired}
 
 

@@ -7,6 +7,7 @@ that are rounded already are shown at six places by plain arithmetic, because th
 
 from __future__ import annotations
 
+from rankflow.operators.reporting import POISSON
 from rankflow.plans.fixtures import CANDIDATES, DEV_NEGATIVES, DEV_QUERIES, HELD_OUT, OPENING_WORDS, OPENINGS, STRETCHES, VALUE_STEPS
 
 CTE: dict[str, str] = {}
@@ -239,6 +240,41 @@ FROM variants v JOIN pairs p USING (qid) LEFT JOIN variant_bm25 s ON s.run = v.r
 }
 
 
+POISSON_TIMES = " + ".join(f"(u >= {p})::INT" for p in POISSON)
+SIGNIFICANCE = {
+    "tall": " UNION ALL ".join(
+        f"SELECT system, qid, '{name}' AS metric, {column} AS value FROM per_query"
+        for name, column in (("ndcg@10", "m_ndcg"), ("recall@100", "m_recall"), ("map@1000", "m_map"))
+    ),
+    "changed": """
+SELECT a.system, a.metric, a.qid, a.value - b.value AS d FROM tall a JOIN tall b USING (qid, metric)
+WHERE b.system = 'original' AND a.system <> 'original'""",
+    "digests": "SELECT *, md5(concat_ws(':', 5, r, qid)) AS digest FROM changed, (SELECT unnest(range(200)) AS r)",
+    "draws": f"""
+SELECT system, metric, r, d, CASE WHEN substr(digest, 1, 1) < '8' THEN 1 ELSE -1 END AS sign, {POISSON_TIMES} AS times
+FROM (SELECT *, CAST('0x' || substr(digest, 9, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE) AS u FROM digests)""",
+    "by_round": """
+SELECT system, metric, r, count(*) AS n, sum(d) AS total, sum(sign * d) AS flipped, sum(times * d) / nullif(sum(times), 0) AS mean
+FROM draws GROUP BY system, metric, r""",
+}
+
+
+def _swap(source: str, turn: int) -> str:
+    """One round of the permutation over halves ``l`` and ``r``."""
+    drawn = f"CAST('0x' || substr(md5(concat_ws(':', 7, epoch, {turn}, r)), 1, 8) AS BIGINT)"
+    return f"SELECT epoch, n, side, r AS l, (l + {drawn}) % side AS r FROM ({source})"
+
+
+_HALVES = """SELECT epoch, n, side, x // side AS l, x % side AS r FROM walk, rows_ WHERE NOT moved OR x >= total"""
+PERMUTED = {
+    "rows_": "SELECT count(*) AS total, CAST(ceil(sqrt(count(*))) AS BIGINT) AS side FROM labelled",
+    "walk": f"""
+SELECT epoch, n, n AS x, false AS moved FROM labelled, (SELECT unnest(range(2)) AS epoch)
+UNION ALL
+SELECT epoch, n, l * side + r, true FROM ({_swap(_swap(_swap(_swap(_HALVES, 0), 1), 2), 3)})""",
+}
+
+
 def statement(body: str, *steps: str | dict[str, str]) -> str:
     """``WITH`` all the named steps; a string names one of ``CTE``."""
     parts: dict[str, str] = {}
@@ -360,6 +396,10 @@ GROUP BY qid, part, query""", *text,
             """SELECT n, qid, pid, label,
 (row_number() OVER (ORDER BY md5(concat('7:', n)), n) - 1) // 32 AS batch FROM labelled""", "triples", SAMPLES,
         ),
+        "epoch_batches": statement(
+            "SELECT n, qid, pid, label, epoch, x // 32 AS batch, x % 32 AS place FROM walk JOIN labelled USING (n), rows_ WHERE moved AND x < total",
+            "triples", SAMPLES, PERMUTED,
+        ).replace("WITH", "WITH RECURSIVE", 1),
         "training_summary": statement(
             """SELECT count(*) FILTER (WHERE kept) AS loaded, count(*) FILTER (WHERE kept AND label = 1) AS positives,
 count(*) FILTER (WHERE kept AND label = 0) AS negatives, count(*) FILTER (WHERE NOT kept) AS dropped
@@ -393,17 +433,7 @@ FROM pairs JOIN again r USING (qid, pid)""", *lexical, BM25, {"again": bm25(k1=1
         "candidate_pairs": statement(
             "SELECT ord, qid, pid, text AS query, passage FROM candidates JOIN queries USING (qid)", *lexical, CANDIDATE_TEXT
         ),
-        "model_scored_pairs": statement(
-            """SELECT qid, pid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, ord) AS rank, floor(score * 1e6 + 0.5) / 1e6 AS score
-FROM (SELECT c.ord, c.qid, c.pid, count(h.word) / CAST(count(*) AS DOUBLE) AS score
-      FROM candidates c JOIN asked_words a USING (qid) LEFT JOIN held_words h ON h.pid = c.pid AND h.word = a.word
-      GROUP BY c.ord, c.qid, c.pid)""",
-            *lexical, CANDIDATE_TEXT,
-            {
-                "asked_words": rf"SELECT DISTINCT qid, unnest(string_split({line('text')}, ' ')) AS word FROM queries",
-                "held_words": rf"SELECT DISTINCT pid, unnest(string_split({line('text')}, ' ')) AS word FROM passages",
-            },
-        ),
+        **{name: _model_scored(lexical) for name in ("model_scored_pairs", "even_scored_pairs", "kept_pair_scores")},
         "softmax_scores": """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey,
        round(exp(b) / (exp(a) + exp(b) + exp(c)), 6) AS score
@@ -454,6 +484,34 @@ SELECT qid, concat(prompt, ' (', length(prompt), ' characters)') AS response FRO
 concat('Rewrite this search query.', chr(10), 'Query: ', text, chr(10), 'Answer:') AS prompt FROM benchmark)""",
         "best_feedback_terms": statement("SELECT qid, term, floor(weight * 1e6 + 0.5) / 1e6 AS weight, place FROM best", *lexical, FEEDBACK),
         "feedback_expanded_queries": statement("SELECT * FROM expanded", *lexical, FEEDBACK),
+        "feedback_mixed_top": statement(
+            "SELECT qid, pid, rank, floor(score * 1e6 + 0.5) / 1e6 AS score FROM few", *lexical, FEEDBACK,
+            {
+                "asked_size": "SELECT qid, count(*) AS size FROM asked GROUP BY qid",
+                "told_by": "SELECT p.qid, p.pid, p.score, sum(p.score) OVER (PARTITION BY p.qid) AS total FROM pairs p WHERE p.rank <= 3",
+                "likely": """
+SELECT qid, term, round(sum(score / total / dl * tf), 9) AS p FROM told_by JOIN tf USING (pid) GROUP BY qid, term""",
+                "likeliest": """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY p DESC, term) AS place FROM likely) WHERE place <= 20""",
+                "mixed": """
+SELECT qid, term, round(sum(weight), 9) AS weight FROM (
+  SELECT qid, term, CAST(0.5 AS DOUBLE) AS weight FROM asked
+  UNION ALL
+  SELECT qid, term, CAST(0.5 AS DOUBLE) * size * (p / sum(p) OVER (PARTITION BY qid)) FROM likeliest JOIN asked_size USING (qid))
+GROUP BY qid, term""",
+                "mixed_bm25": """
+SELECT qid, pid, round(sum(weight * idf * tf * (CAST(0.9 AS DOUBLE) + 1) / (tf + CAST(0.9 AS DOUBLE) *
+  (1 - CAST(0.4 AS DOUBLE) + CAST(0.4 AS DOUBLE) * dl / mean_length))), 9) AS score
+FROM mixed JOIN idf USING (term) JOIN tf USING (term), collection GROUP BY qid, pid""",
+                "few": top("mixed_bm25", 100),
+            },
+        ),
+        "expansion_significance": statement(
+            """SELECT system, metric, max(n) AS queries, floor(avg(total / n) * 1e6 + 0.5) / 1e6 AS change,
+floor((count(*) FILTER (abs(flipped) >= abs(total) - 1e-9) + 1) / 201.0 * 1e6 + 0.5) / 1e6 AS p_value,
+floor(quantile_cont(mean, 0.025) * 1e6 + 0.5) / 1e6 AS low, floor(quantile_cont(mean, 0.975) * 1e6 + 0.5) / 1e6 AS high
+FROM by_round GROUP BY system, metric""", *lexical, EXPERIMENT, SIGNIFICANCE,
+        ),
         "expansion_metrics": statement(MEANS, *lexical, EXPERIMENT),
         "expansion_changes": statement(
             """SELECT system, metric, round(before, 6) AS before, round(after, 6) AS after, round(after - before, 6) AS change
@@ -470,6 +528,17 @@ FROM tall JOIN (SELECT metric, after AS before FROM tall WHERE system = 'origina
             "SELECT run, CAST(qid AS VARCHAR) AS qid, CAST(pid AS VARCHAR) AS pid, rank, score FROM runs",
             "evidence", "unranked", "runs",
         ),
+        "reread_dirty_runs": statement(
+            "SELECT run, CAST(qid AS VARCHAR) AS qid, CAST(pid AS VARCHAR) AS pid, rank, score FROM runs WHERE pid % 97 > 2",
+            "evidence", "unranked", "runs",
+        ),
+        "bad_run_lines": statement(
+            """SELECT run AS file,
+CASE pid % 97 WHEN 0 THEN '4 fields, not 6' WHEN 1 THEN 'rank is no number: first' ELSE 'score is no number: NaN' END AS reason,
+CASE pid % 97 WHEN 0 THEN concat_ws(' ', qid, 'Q0', pid, rank) WHEN 1 THEN concat_ws(' ', qid, 'Q0', pid, 'first 1.5 t')
+  ELSE concat_ws(' ', qid, 'Q0', pid, rank, 'NaN t') END AS line FROM runs WHERE pid % 97 <= 2""",
+            "evidence", "unranked", "runs",
+        ),
         "reread_repeated_runs": statement(
             "SELECT run, CAST(qid AS VARCHAR) AS qid, CAST(pid AS VARCHAR) AS pid, rank - 1 AS rank, score FROM runs",
             "evidence", "unranked", "runs",
@@ -515,6 +584,20 @@ floor("{method}" * 1e6 + 0.5) / 1e6 AS score FROM fused"""
 LEXICAL_COUNTS = {name: LEXICAL[name] for name in ("listed", "collection", "tf")}
 
 
+def _model_scored(lexical: tuple[str, str]) -> str:
+    return statement(
+        """SELECT qid, pid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, ord) AS rank, floor(score * 1e6 + 0.5) / 1e6 AS score
+FROM (SELECT c.ord, c.qid, c.pid, count(h.word) / CAST(count(*) AS DOUBLE) AS score
+  FROM candidates c JOIN asked_words a USING (qid) LEFT JOIN held_words h ON h.pid = c.pid AND h.word = a.word
+  GROUP BY c.ord, c.qid, c.pid)""",
+        *lexical, CANDIDATE_TEXT,
+        {
+            "asked_words": rf"SELECT DISTINCT qid, unnest(string_split({line('text')}, ' ')) AS word FROM queries",
+            "held_words": rf"SELECT DISTINCT pid, unnest(string_split({line('text')}, ' ')) AS word FROM passages",
+        },
+    )
+
+
 def _pair_metrics() -> str:
     """All pairs under all methods; the best method over all runs picks the rows."""
     pair_runs = """

@@ -46,6 +46,12 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever store the path names."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark._jsc.hadoopConfiguration()).exists(named)
+
+
 _staged: list[str] = []
 
 

@@ -124,3 +124,44 @@ def test_default_scorer_slot_takes_another_scorer(spark):
     variants = expansion.label_variants({"v": spark.createDataFrame([(7, "x")], "qid long, text string")})
     assert expansion.run_expansion_experiment(variants, pairs, passages, qrels, score=by_id).first()["map@1000"] == 1.0
     assert scoring.score_bm25 is not by_id
+
+
+def test_relevance_model_by_hand(spark):
+    feedback = spark.createDataFrame([("1", "a", 3.0, "sun sun cell"), ("1", "b", 1.0, "cell grid"), ("2", "c", 2.0, "wind")], "qid string, pid string, score double, passage string")
+    got = {(r.qid, r.term): r.weight for r in expansion.relevance_model(feedback, m=2).collect()}
+    sun, cell = 0.75 * 2 / 3, 0.75 / 3 + 0.25 / 2
+    assert got == pytest.approx({("1", "sun"): sun / (sun + cell), ("1", "cell"): cell / (sun + cell), ("2", "wind"): 1.0})
+    asked = spark.createDataFrame([("1", "solar sun"), ("3", "rain")], "qid string, text string")
+    model = expansion.relevance_model(feedback, m=2)
+    half = {(r.qid, r.term): r.weight for r in expansion.mix_terms(asked, model, 0.5).collect()}
+    assert half == pytest.approx({("1", "solar"): 0.5, ("1", "sun"): 0.5 + sun / (sun + cell), ("1", "cell"): cell / (sun + cell), ("3", "rain"): 0.5})
+    plain = {(r.qid, r.term): r.weight for r in expansion.mix_terms(asked, model, 1.0).collect()}
+    assert plain == {("1", "solar"): 1.0, ("1", "sun"): 1.0, ("3", "rain"): 1.0}
+
+
+def test_significance_equals_a_plain_loop(spark, rng):
+    import hashlib
+    import statistics
+
+    names = ["ndcg@10", "map@1000"]
+    base = {q: {m: rng.random() for m in names} for q in range(30)}
+    runs = {"base": base, "same": base, "better": {q: {m: v + 0.3 + 0.1 * rng.random() for m, v in x.items()} for q, x in base.items()}}
+    runs["noise"] = {q: {m: v + rng.gauss(0, 0.1) for m, v in x.items()} for q, x in base.items()}
+    rows = [(run, q, *(x[m] for m in names)) for run, qs in runs.items() for q, x in qs.items()]
+    frame = spark.createDataFrame(rows, "run string, qid long, `ndcg@10` double, `map@1000` double")
+    got = {(r.system, r.metric): r for r in reporting.significance(frame, "base", names, rounds=99, seed=4).collect()}
+    assert set(got) == {(s, m) for s in ("same", "better", "noise") for m in names}
+    for (system, metric), r in got.items():
+        d = {q: runs[system][q][metric] - base[q][metric] for q in base}
+        digests = [{q: hashlib.md5(f"4:{k}:{q}".encode()).hexdigest() for q in base} for k in range(99)]
+        flipped = [abs(sum(x if digest[q][0] < "8" else -x for q, x in d.items())) for digest in digests]
+        means = []
+        for digest in digests:
+            times = {q: sum(int(digest[q][8:16], 16) / 2**32 >= p for p in reporting.POISSON) for q in d}
+            means.append(sum(times[q] * d[q] for q in d) / sum(times.values()))
+        assert r.p_value == pytest.approx((1 + sum(f >= abs(sum(d.values())) - 1e-9 for f in flipped)) / 100)
+        assert r.change == pytest.approx(statistics.mean(d.values())) and r.queries == 30
+        low, high = sorted(means)[2], sorted(means)[-3]
+        assert abs(r.low - low) < 0.05 and abs(r.high - high) < 0.05 and r.low <= r.high
+    assert got["better", "ndcg@10"].p_value == 0.01 and got["same", "ndcg@10"].p_value == 1.0
+    assert got["better", "ndcg@10"].low > 0.3

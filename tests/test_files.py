@@ -141,3 +141,30 @@ def test_staged_folders_go_with_their_block(spark):
         path = Path(session._staged[-1].removeprefix("file:"))
         assert kept.count() == 3 and path.exists()
     assert not path.exists()
+
+
+def test_bad_lines_are_set_aside(spark, tmp_path):
+    good = [f"q{n} Q0 p{n} {n} {n}.5 t" for n in range(40)]
+    bad = ["", "q1 Q0 p1", "q1 Q0 p1 x 1.0 t", "q1 Q0 p1 3 high t", "q1 Q0 p1 3 nan t extra"]
+    (tmp_path / "a.run").write_text("\n".join([*good[:20], *bad, *good[20:], "q3 Q0 p3 9 9.5 t"]) + "\n")
+    rows, aside = files.read_checked(spark, str(tmp_path / "a.run"), "run", most_bad=0.2)
+    got = {(r.qid, r.pid): (r["rank"], r.score) for r in rows.collect()}
+    assert len(got) == 40 and got["q3", "p3"] == (9, 9.5) and got["q4", "p4"] == (4, 4.5)
+    told = {r.ord: (r.file, r.reason, r.line) for r in aside.collect()}
+    assert sorted(told) == [20, 21, 22, 23, 24] and [told[n][2] for n in sorted(told)] == bad
+    assert told[21][:2] == ("a", "3 fields, not 6") and told[22][1] == "rank is no number: x" and told[23][1] == "score is no number: high"
+    with pytest.raises(ValueError, match="5 of 46 lines"):
+        files.read_checked(spark, str(tmp_path / "a.run"), "run", most_bad=0.05)
+
+
+def test_other_formats_are_checked_too(spark, tmp_path):
+    (tmp_path / "qrels").write_text("q 0 p 1\nq 0 r x\nq 0 p 2\n")
+    rows, aside = files.read_checked(spark, str(tmp_path / "qrels"), "qrels", most_bad=0.5)
+    assert [tuple(r) for r in rows.collect()] == [("q", "p", 2)] and aside.first().reason == "rel is no number: x"
+    (tmp_path / "queries").write_text("1\tsolar\n2 wind\n\tnone\n")
+    rows, aside = files.read_checked(spark, str(tmp_path / "queries"), "queries", most_bad=0.9)
+    assert [tuple(r) for r in rows.collect()] == [(0, "1", "solar")] and {r.reason for r in aside.collect()} == {"1 fields, not 2", "no qid"}
+    (tmp_path / "triples").write_text("1 2 3\n1 2\n")
+    assert files.read_checked(spark, str(tmp_path / "triples"), "triples", most_bad=0.5)[0].count() == 1
+    (tmp_path / "empty").write_text("")
+    assert all(f.collect() == [] for f in files.read_checked(spark, str(tmp_path / "empty"), "run"))

@@ -113,3 +113,33 @@ def test_registered_queries_train_on_no_dev_query(spark, monkeypatch):
     trained = [catalog._labelled(i), catalog._text_samples(i), samples.exclude_dev(triples, samples.select_dev_queries(triples, catalog.HELD_OUT))]
     for frame in trained:
         assert {r.qid for r in frame.select("qid").distinct().collect()} == set(range(DEV_QUERIES + 30)) - dev
+
+
+@pytest.mark.parametrize("rows", [1, 2, 5, 31, 1000, 4097])
+def test_permutation_is_one(spark, rows):
+    df = spark.range(rows).withColumnRenamed("id", "n")
+    got = [(r.epoch, r.n, r.batch * 32 + r.place) for r in samples.epoch_batches(df, rows, epochs=2, seed=3).collect()]
+    for epoch in (0, 1):
+        assert sorted(at for e, _, at in got if e == epoch) == list(range(rows))
+    if rows > 100:
+        first, second = ({n: at for e, n, at in got if e == epoch} for epoch in (0, 1))
+        assert sum(first[n] == second[n] for n in first) < rows / 20
+        assert sum(abs(first[n] - first[n + 1]) < rows / 100 for n in range(rows - 1)) < rows / 20
+
+
+def test_epochs_move_no_rows(spark):
+    df = spark.range(1000).withColumnRenamed("id", "n")
+    plan = samples.epoch_batches(df, 1000, epochs=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+    assert samples.epoch_batches(df.limit(0), 0, epochs=1).collect() == []
+
+
+def test_counts_on_the_way_equal_the_summary(spark):
+    labelled = spark.createDataFrame([(n, n % 7, n % 5, int(n % 3 == 0)) for n in range(60)], "n bigint, qid bigint, pid bigint, label int")
+    queries = spark.createDataFrame([(q, "q") for q in range(5)], "qid bigint, text string")
+    passages = spark.createDataFrame([(p, "p") for p in range(4)], "pid bigint, text string")
+    made, summary = samples.materialize_counted(labelled, queries, passages)
+    assert summary.first() == samples.sample_summary(labelled, queries, passages).first()
+    assert made.count() == summary.first()["loaded"] > 0 and summary.first()["dropped"] > 0
+    none = samples.materialize_counted(labelled, queries.limit(0), passages)[1].first()
+    assert tuple(none) == (0, 0, 0, 60)

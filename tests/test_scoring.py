@@ -168,3 +168,82 @@ def test_building_plans_starts_no_job(spark, rng):
         assert tracker.getJobIdsForGroup("building") == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def text_pairs(spark, rng, n=300):
+    rows = [(i, i % 10, i, " ".join(["q"] * (1 + i % 3)), " ".join(["w"] * rng.choice([1, 2, 3, 5, 8, 40, 200])) + f" {i % 50}") for i in range(n)]
+    return spark.createDataFrame(rows, "ord long, qid long, pid long, query string, passage string")
+
+
+def test_even_batches_pad_less_and_score_the_same(spark, rng):
+    pairs = text_pairs(spark, rng).repartition(1)
+
+    def padded():
+        return lambda asked, held: [float(max(len(p.split()) for p in held)) for _ in held]
+
+    plain = scoring.score_pairs(pairs, padded, batch_size=16).agg(F.sum("score")).first()[0]
+    even = scoring.score_pairs(pairs, padded, batch_size=16, even=True).agg(F.sum("score")).first()[0]
+    words = sum(len(r.passage.split()) for r in pairs.collect())
+    assert words <= even < 1.5 * words < plain
+    own = lambda: lambda asked, held: [float(len(p)) for p in held]
+    both = [sorted(tuple(r) for r in scoring.score_pairs(pairs, own, even=e).collect()) for e in (False, True)]
+    assert both[0] == both[1] and [r[0] for r in both[0]] == list(range(300))
+
+
+def test_kept_scores_are_not_asked_for_again(spark, rng, tmp_path):
+    pairs, store, calls = text_pairs(spark, rng), str(tmp_path / "store"), spark.sparkContext.accumulator(0)
+
+    def load():
+        def score(asked, held):
+            calls.add(len(held))
+            return [float(len(p)) for p in held]
+
+        return score
+
+    distinct = pairs.select("query", "passage").distinct().count()
+    first = sorted(tuple(r) for r in scoring.score_kept(pairs, load, store, "m", rounds=3).collect())
+    assert calls.value == distinct < 300 and len(first) == 300
+    assert sorted(tuple(r) for r in scoring.score_kept(pairs, load, store, "m").collect()) == first and calls.value == distinct
+    more = pairs.union(spark.createDataFrame([(300, 1, 300, "new", "text"), (301, 1, 301, None, None)], pairs.schema))
+    assert scoring.score_kept(more.filter("ord <> 301"), load, store, "m").count() == 301 and calls.value == distinct + 1
+    scoring.score_kept(pairs, load, store, "another").count()
+    assert calls.value == 2 * distinct + 1
+    assert scoring.score_kept(pairs.limit(0), load, str(tmp_path / "none"), "m").collect() == []
+
+
+def test_a_job_that_dies_keeps_its_rounds(spark, rng, tmp_path):
+    pairs, store = text_pairs(spark, rng), str(tmp_path / "store")
+    last = pairs.select(F.unhex(F.sha2(F.to_json(F.struct(F.lit("m").alias("m"), F.col("query").alias("q"), F.col("passage").alias("p"))), 256)).alias("d"), "passage")
+    doomed = {r.passage for r in last.filter(F.pmod(F.xxhash64("d"), F.lit(4)) == 3).collect()}
+
+    def failing():
+        def score(asked, held):
+            if doomed & set(held):
+                raise RuntimeError("lost")
+            return [0.5] * len(held)
+
+        return score
+
+    with pytest.raises(Exception, match="lost"):
+        scoring.score_kept(pairs, failing, store, "m", rounds=4)
+    kept = spark.read.parquet(store).count()
+    assert 0 < kept < pairs.select("query", "passage").distinct().count()
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        return lambda asked, held: (calls.add(len(held)), [0.5] * len(held))[1]
+
+    assert scoring.score_kept(pairs, load, store, "m").count() == 300
+    assert calls.value == pairs.select("query", "passage").distinct().count() - kept
+
+
+def test_weights_of_one_are_plain_retrieval(spark, rng):
+    asked, held = frames(spark, *corpus(rng))
+    collection = scoring.Collection.staged(held)
+    plain = {tuple(r) for r in scoring.retrieve(asked, collection, k=9).collect()}
+    ones = scoring.query_terms(asked).withColumn("weight", F.lit(1.0))
+    assert {tuple(r) for r in scoring.retrieve_weighted(ones, collection, k=9).collect()} == plain
+    gone = ones.withColumn("weight", F.when(F.col("term") == "fir", 0.0).otherwise(2.0))
+    without = scoring.retrieve(asked.withColumn("text", F.regexp_replace("text", "fir", "")), collection, k=9).collect()
+    twice = {(r.qid, r.pid): r.score for r in scoring.retrieve_weighted(gone, collection, k=9).collect()}
+    assert twice == pytest.approx({(r.qid, r.pid): 2 * r.score for r in without}, abs=1e-8)

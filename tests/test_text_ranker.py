@@ -1,0 +1,122 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rankflow.operators import samples, text_ranker
+
+WORDS = "sun wind rain cell grid plain light power".split()
+
+
+def rows(spark, rng, n=160):
+    """Pairs in which ``sun`` asked for is answered by ``cell`` held."""
+    made = []
+    for k in range(n):
+        query, passage = rng.sample(WORDS[:4], 2), rng.sample(WORDS, 4)
+        label = int("sun" in query and "cell" in passage)
+        made.append((k, k // 8, k, " ".join(query), " ".join(passage), label, bool(label), rng.random(), k % 3, 2, 4))
+    schema = "n long, qid long, pid long, query string, passage string, label int, is_pos boolean, bm25 double, shared long, query_terms long, length long"
+    plain = text_ranker.with_slots(spark.createDataFrame(made, schema))
+    return text_ranker.with_figures(plain, *text_ranker.scaling(plain)).cache()
+
+
+def dense(frame):
+    """The rows as one plain matrix, and labels."""
+    collected = frame.orderBy("n").collect()
+    matrix = np.zeros((len(collected), text_ranker.WIDTH))
+    for i, r in enumerate(collected):
+        for slot in r.slots:
+            matrix[i, abs(slot) - 1] += np.sign(slot) / np.sqrt(len(r.slots))
+        matrix[i, text_ranker.SLOTS :] = r.figures
+    return matrix, np.array([r.label for r in collected], float), [(r.qid, r.pid, r.is_pos) for r in collected]
+
+
+def reciprocal_rank(keys, scores):
+    by_query = {}
+    for (qid, pid, pos), s in zip(keys, scores, strict=True):
+        by_query.setdefault(qid, []).append((-s, pos, pid))
+    found = []
+    for listed in by_query.values():
+        if len({pos for _, pos, _ in listed}) == 2:
+            ranks = [at for at, (_, pos, _) in enumerate(sorted(listed)[:10], 1) if pos]
+            found.append(1 / ranks[0] if ranks else 0.0)
+    return sum(found) / len(found)
+
+
+def sequential(matrix, labels, keys, batch_of, steps, per_step, rate, reg, every):
+    weights, table = np.zeros(matrix.shape[1]), {}
+    count = max(batch_of) + 1
+    for step in range(1, steps + 1):
+        own = {b % count for b in range((step - 1) * per_step, step * per_step)}
+        at = [i for i, b in enumerate(batch_of) if b in own]
+        off = 1 / (1 + np.exp(-matrix[at] @ weights)) - labels[at]
+        weights = weights - rate * (matrix[at].T @ off / len(at) + reg * weights)
+        if step % every == 0 or step == steps:
+            table[step] = reciprocal_rank(keys, matrix @ weights)
+    return weights, table
+
+
+def test_slots_are_term_pairs(spark):
+    pairs = spark.createDataFrame([(1, 1, "a b a", "c d c"), (1, 2, "", "c"), (1, 3, "a", None)], "qid long, pid long, query string, passage string")
+    got = {r.pid: r.slots for r in text_ranker.with_slots(pairs).collect()}
+    assert len(got[1]) == 4 and all(1 <= abs(s) <= text_ranker.SLOTS for s in got[1]) and not got[2] and not got[3]
+
+
+def test_steps_equal_plain_computation_and_resume(spark, rng, tmp_path):
+    features = rows(spark, rng)
+    batches = samples.epoch_batches(features, 160, epochs=1, size=16, seed=2).cache()
+    settings = {"steps": 5, "batches_per_step": 3, "rate": 2.0, "reg": 0.01, "every": 2}
+    got = {r.step: r.mrr for r in text_ranker.train(batches, features, str(tmp_path / "a"), **settings).collect()}
+    matrix, labels, keys = dense(features)
+    batch_of = [r.batch for r in batches.orderBy("n").collect()]
+    weights, table = sequential(matrix, labels, keys, batch_of, 5, 3, 2.0, 0.01, 2)
+    assert got == pytest.approx(table) and set(got) == {2, 4, 5}
+    assert np.allclose(text_ranker._latest(spark, f"{tmp_path}/a/weights")[1], weights)
+    step, best = text_ranker.best_weights(spark, str(tmp_path / "a"))
+    assert table[step] == max(table.values()) and best.any()
+
+    def killed(step):
+        if step == 3:
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        text_ranker.train(batches, features, str(tmp_path / "b"), after_step=killed, **settings)
+    again = {r.step: r.mrr for r in text_ranker.train(batches, features, str(tmp_path / "b"), **settings).collect()}
+    assert again == pytest.approx(table)
+    assert np.allclose(text_ranker._latest(spark, f"{tmp_path}/b/weights")[1], weights)
+
+
+def test_fit_equals_plain_newton_steps_and_ranks(spark, rng):
+    features = rows(spark, rng)
+    own = text_ranker.fit(features, max_iter=200, reg=0.05)
+    matrix, labels, keys = dense(features)
+    used = np.flatnonzero(np.abs(matrix).sum(axis=0))
+    x, w = matrix[:, used], np.zeros(len(used))
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-x @ w))
+        held = np.append(np.full(len(used) - 1, 0.05), 0.0)  # all but the constant
+        hessian = (x * (p * (1 - p))[:, None]).T @ x / len(x) + np.diag(held)
+        w -= np.linalg.solve(hessian, x.T @ (p - labels) / len(x) + held * w)
+    assert np.allclose(own[used], w, atol=1e-3)
+    scored = {(r.qid, r.pid): r.score for r in text_ranker.scored(features, own).collect()}
+    assert all(abs(scored[q, p] - s) < 1e-3 for (q, p, _), s in zip(keys, 1 / (1 + np.exp(-x @ w)), strict=True))
+    from rankflow.operators import ranker
+
+    labelled = features.withColumn("label", F.col("label").cast("double"))
+    plain = {(r.qid, r.pid): r.score for r in ranker.score_with_ranker(ranker.fit_ranker(labelled), features).collect()}
+    assert reciprocal_rank(keys, [scored[k[:2]] for k in keys]) > reciprocal_rank(keys, [plain[k[:2]] for k in keys])
+
+
+def test_empty_features(spark, rng):
+    features = rows(spark, rng).limit(0)
+    total, n = text_ranker.gradient(features, np.zeros(text_ranker.WIDTH))
+    assert n == 0 and not total.any() and text_ranker.scored(features, total).collect() == []
+
+
+def test_registered_queries(spark):
+    """Over whole small tables: both rankers answer for the same dev queries; steps repeat exactly."""
+    from rankflow.plans.catalog import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    got = {r.ranker: r for r in QUERIES["text_ranker_metrics"](spark, folder).collect()}
+    assert set(got) == {"figures", "texts"} and got["figures"].queries == got["texts"].queries > 0
+    assert all(0 < r["mrr@10"] <= 1 for r in got.values())
