@@ -213,12 +213,12 @@ def test_kept_scores_are_not_asked_for_again(spark, rng, tmp_path):
 
 def test_a_job_that_dies_keeps_its_rounds(spark, rng, tmp_path):
     pairs, store = text_pairs(spark, rng), str(tmp_path / "store")
-    last = pairs.select(F.unhex(F.sha2(F.to_json(F.struct(F.lit("m").alias("m"), F.col("query").alias("q"), F.col("passage").alias("p"))), 256)).alias("d"), "passage")
-    doomed = {r.passage for r in last.filter(F.pmod(F.xxhash64("d"), F.lit(4)) == 3).collect()}
+    last = pairs.select(F.unhex(F.sha2(F.to_json(F.struct(F.lit("m").alias("m"), F.col("query").alias("q"), F.col("passage").alias("p"))), 256)).alias("d"), "query", "passage")
+    doomed = {(r.query, r.passage) for r in last.filter(F.pmod(F.xxhash64("d"), F.lit(4)) == 3).collect()}
 
     def failing():
         def score(asked, held):
-            if doomed & set(held):
+            if doomed & set(zip(asked, held, strict=True)):
                 raise RuntimeError("lost")
             return [0.5] * len(held)
 
