@@ -64,6 +64,19 @@ def test_long_conversation_is_cut_between_turns(spark):
     assert max(len(v[1]) for v in got.values()) < chat.PART_CHARS + 200
 
 
+def test_hot_conversations_without_turns_go_in_blocks(spark, rng):
+    rows = [(None, None, rng.choice(["user", "Ann", None, "system"]), f"text {rng.randint(0, 300):03}" * rng.randint(0, 3)) for _ in range(800)]
+    rows += [(7, None, "user", "same")] * 5000 + [(7, t % 3, "ab"[t % 2], f"turn {t:03}") for t in range(400)]
+    rows += [(8, t, "ab"[t % 2], "x" * 2000 + str(t % 5)) for t in range(40)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    expected = slow_views(rows, 500)
+    for block_turns in (1, 16, chat.BLOCK_TURNS):
+        assert views_of(df, part_chars=500, block_turns=block_turns) == expected
+    placed = chat._in_blocks(df.distinct().withColumnRenamed("conv_id", "conv").withColumnRenamed("text", "tail").na.fill("?", "role"), 16)
+    blocks = placed.groupBy("conv", "block").count().groupBy("conv").agg(F.max("count"), F.count("*")).collect()
+    assert {c for c, most, n in blocks if n > 5 and most < 160} >= {None, 7}
+
+
 def test_native_plan_and_empty_table(spark):
     df = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chat.dialogues(df).collect() == []
