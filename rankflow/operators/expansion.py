@@ -14,6 +14,7 @@ from rankflow.operators.metrics import DEFAULT_METRICS, evaluate
 from rankflow.operators.numbering import top_within
 from rankflow.operators.reporting import leaderboard
 from rankflow.operators.scoring import Collection, inverse_frequency, query_terms, score_bm25
+from rankflow.session import exists, stage
 
 Generator = Callable[[list[str]], Sequence[str]]
 
@@ -76,6 +77,85 @@ def expand(prompts: DataFrame, load_generator: Callable[[], Generator], batch_si
     return prompts.select("qid", "prompt").mapInPandas(generate, schema)
 
 
+def _tried(generator: Generator, prompts: list[str], tries: int) -> list[tuple[str | None, str | None]]:
+    """Answers with the reason where there is none: all at once, then those of a failed call one by one."""
+
+    def call(some: list[str]) -> list[str | None]:
+        answers = list(generator(some))
+        if len(answers) != len(some):
+            raise ValueError(f"{len(answers)} answers to {len(some)} prompts")
+        return answers
+
+    def alone(prompt: str) -> tuple[str | None, str | None]:
+        reason = None
+        for _ in range(tries):
+            try:
+                answer = call([prompt])[0]
+                return answer, "no answer" if answer is None else None
+            except Exception as error:  # the caller's model may fail in any way
+                reason = f"{type(error).__name__}: {error}"
+        return None, reason
+
+    try:
+        return [(answer, "no answer" if answer is None else None) for answer in call(prompts)]
+    except Exception:  # as above; the prompts are tried one by one
+        return [alone(prompt) for prompt in prompts]
+
+
+ANSWERS = "digest binary, response string, reason string"
+
+
+def expand_kept(
+    prompts: DataFrame,
+    load_generator: Callable[[], Generator],
+    store: str,
+    model: str,
+    batch_size: int = 16,
+    rounds: int = 8,
+    tries: int = 3,
+    most_failed: float = 0.0,
+) -> DataFrame:
+    """``(qid, response, reason)``: ``expand`` that keeps all answers in the table ``store``.
+
+    Answers are kept by a digest of the model's name and the prompt; equal prompts are asked once,
+    and a later run asks only those without an answer. Missing ones are asked in ``rounds``, each
+    added to the table when it is done. The prompts of a failed call are tried one by one, ``tries``
+    times each; one that still fails has a null response and the ``reason``. When more than the share
+    ``most_failed`` of the prompts fails, that is an error, raised after all answers are kept. A null
+    prompt is not asked and does not count as failed.
+    """
+    spark = prompts.sparkSession
+    named = F.to_json(F.struct(F.lit(model).alias("m"), F.col("prompt").alias("p")))
+    marked = stage(prompts.select("qid", "prompt", F.unhex(F.sha2(named, 256)).alias("digest")), "prompts")
+    asked = marked.filter("prompt IS NOT NULL").select("digest", "prompt").dropDuplicates(["digest"])
+    known = exists(spark, store)
+    if known:
+        answered = spark.read.schema(ANSWERS).parquet(store).filter("response IS NOT NULL").select("digest")
+        asked = asked.join(answered, "digest", "left_anti")
+    asked = stage(asked, "unanswered")
+
+    def generate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        generator = load_generator()
+        for frame in frames:
+            for at in range(0, len(frame), batch_size):
+                part = frame.iloc[at : at + batch_size]
+                found = _tried(generator, part["prompt"].tolist(), tries)
+                yield part[["digest"]].assign(response=[a for a, _ in found], reason=[r for _, r in found])
+
+    if not known or not asked.isEmpty():
+        turn = F.pmod(F.xxhash64("digest"), F.lit(rounds))
+        for n in range(rounds):
+            asked.filter(turn == n).mapInPandas(generate, ANSWERS).write.mode("append").parquet(store)
+    held = spark.read.schema(ANSWERS).parquet(store).groupBy("digest").agg(F.max("response").alias("response"), F.max("reason").alias("reason"))
+    met = marked.join(held, "digest", "left")
+    why = F.when(F.col("prompt").isNull(), F.lit("no prompt")).when(F.col("response").isNull(), F.col("reason"))
+    answers = stage(met.select("qid", "response", why.alias("reason")), "answers")
+    n, failed = answers.agg(F.count("*"), F.count_if(F.col("reason") != "no prompt")).first()
+    if failed > most_failed * n:
+        raise ValueError(f"{failed} of {n} prompts got no answer, more than {most_failed:.2%}; the others are kept in {store}")
+    return answers
+
+
 def clean_expansion(payload: Column | str, max_words: int = 32) -> Column:
     """A generator's JSON answer as one line of at most ``max_words`` words."""
     return truncate_words(normalize_line(decode_response(payload)), max_words)

@@ -513,6 +513,28 @@ def generated_responses(i: Inputs) -> DataFrame:
     return expansion.expand(expansion.build_prompts(i.queries, PROMPT), lambda: measuring_generator())
 
 
+def failing_generator() -> expansion.Generator:
+    """``measuring_generator`` that cannot answer prompts of some lengths."""
+
+    def generate(prompts: list[str]) -> list[str]:
+        if any(len(prompt) % 3 == 0 for prompt in prompts):
+            raise ValueError("too hard")
+        return measuring_generator()(prompts)
+
+    return generate
+
+
+@query
+def kept_responses(i: Inputs) -> DataFrame:
+    """Two runs over one table of answers: the second one, by a generator that says so, is asked only what
+    the first one failed to answer."""
+    prompts, store = expansion.build_prompts(i.queries, PROMPT), shared_folder(i.spark, "kept-answers")
+    failed = expansion.expand_kept(prompts, lambda: failing_generator(), store, "model", most_failed=1.0)
+    again = expansion.expand_kept(prompts, lambda: lambda some: [f"again {p}" for p in some], store, "model")
+    reasons = failed.select("qid", F.col("reason").alias("first_reason"))
+    return again.select("qid", "response").join(reasons, "qid")
+
+
 @query
 def best_feedback_terms(i: Inputs) -> DataFrame:
     feedback = expansion.feedback_rows(i.candidates, FEEDBACK)

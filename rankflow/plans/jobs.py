@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.scores import as_percent
 from rankflow.functions.text import truncate_words
-from rankflow.operators import expansion, fusion, metrics, ranker, reporting, samples, scoring
+from rankflow.operators import expansion, fusion, metrics, ranker, reporting, samples, scoring, text_ranker
+from rankflow.operators.numbering import number_blocks
 from rankflow.operators.ranking import judged_queries, rank_run
-from rankflow.session import stage
+from rankflow.session import exists, shared_folder, stage
 from rankflow.sources import files, sinks
 
 
@@ -148,6 +149,47 @@ def train_ranker(spark: SparkSession, prepared: str, queries: str, passages: str
     return metrics.reranking_mrr(scored)
 
 
+def _text_features(rows: DataFrame, asked: DataFrame, collection: scoring.Collection) -> DataFrame:
+    """Rows of ``qid``, ``pid``, ``query`` and ``passage`` with slots and lexical figures in place of the texts."""
+    figures = scoring.rank_features(rows.select("qid", "pid").distinct(), asked, collection)
+    return text_ranker.with_slots(rows).join(figures, ["qid", "pid"])
+
+
+def train_text_ranker(
+    spark: SparkSession,
+    prepared: str,
+    queries: str,
+    passages: str,
+    out: str,
+    steps: int,
+    batches_per_step: int = 4,
+    every: int = 1,
+    rate: float = 1.0,
+    epochs: int = 1,
+    batch_size: int = 32,
+    seed: int = 0,
+) -> DataFrame:
+    """Train the text ranker in steps on what ``prepare_training`` wrote; return ``(step, mrr)`` of the steps tried.
+
+    Batches are drawn anew in each of ``epochs`` and taken one after another. Steps are stored in
+    ``out``: called again, the job goes on after the last one, to the same weights.
+    """
+    asked = stage(files.read_queries(spark, queries), "queries")
+    collection = scoring.Collection.staged(files.read_passages(spark, passages))
+    train, dev = (spark.read.parquet(f"{prepared}/{part}") for part in ("train", "dev"))
+    made = stage(_text_features(train.select("n", "qid", "pid", "query", "passage", "label"), asked, collection), "train-features")
+    tried = stage(_text_features(dev, asked, collection), "dev-features")
+    means, deviations = text_ranker.kept_scaling(made, out)
+    rows = made.count()
+    blocked = text_ranker.with_figures(made, means, deviations).withColumn("block", F.floor(F.col("n") / 4096))
+    numbered = number_blocks(blocked, [], "block", [("n", True)], "at").withColumn("at", F.col("at") - 1)
+    drawn = samples.epoch_batches(numbered, rows, epochs, key="at", size=batch_size, seed=seed)
+    batch = F.col("epoch") * F.lit(-(-rows // batch_size)) + F.col("batch")
+    batches = stage(drawn.select(batch.alias("batch"), "slots", "figures", "label"), "batches")
+    dev_rows = text_ranker.with_figures(tried, means, deviations)
+    return text_ranker.train(batches, stage(dev_rows, "dev-scaled"), out, steps, batches_per_step, rate, every=every).orderBy("step")
+
+
 def rerank_candidates(
     spark: SparkSession,
     model: str,
@@ -158,13 +200,23 @@ def rerank_candidates(
     rank_base: int = 1,
     tag: str = "RANKER",
 ) -> DataFrame:
-    """Rank a candidate file with a saved ranker, write the run and return it."""
+    """Rank a candidate file with a saved ranker of either kind, write the run and return it.
+
+    Of a text ranker the weights of the best step count.
+    """
     asked = stage(files.read_queries(spark, queries), "queries")
     offered = stage(files.read_candidates(spark, candidates), "candidates")
-    first = offered.join(asked.select("qid"), "qid", "left_semi").groupBy("qid", "pid").agg(F.min("ord").alias("ord"))
-    features = scoring.rank_features(first.select("qid", "pid"), asked, _collection(offered, _whole(spark, passages)))
-    scores = ranker.score_with_ranker(ranker.load_ranker(model), features)
-    run = stage(rank_run(scores.join(first, ["qid", "pid"]), "ord", unique=True), "run")
+    collection = _collection(offered, _whole(spark, passages))
+    if exists(spark, f"{model}/tried"):
+        features = _text_features(scoring.build_pairs(asked, offered), asked, collection)
+        features = text_ranker.with_figures(features, *text_ranker.kept_scaling(features, model))
+        scores = text_ranker.scored(features, text_ranker.best_weights(spark, model)[1])
+        run = stage(rank_run(scores.select("ord", "qid", "pid", "score"), "ord"), "run")
+    else:
+        first = offered.join(asked.select("qid"), "qid", "left_semi").groupBy("qid", "pid").agg(F.min("ord").alias("ord"))
+        features = scoring.rank_features(first.select("qid", "pid"), asked, collection)
+        scores = ranker.score_with_ranker(ranker.load_ranker(model), features)
+        run = stage(rank_run(scores.join(first, ["qid", "pid"]), "ord", unique=True), "run")
     sinks.write_run(run, out_run, tag, rank_base)
     return run
 
@@ -198,6 +250,25 @@ def fuse_runs(
     return {"single": single, "fused": fused, "paired": paired}
 
 
+def _answered(
+    asked: DataFrame,
+    template: str,
+    offered: DataFrame | None,
+    load_generator: Callable[[], expansion.Generator],
+    feedback: int,
+    max_words: int,
+    keep_answers: str | None,
+    model: str,
+    most_failed: float,
+) -> DataFrame:
+    """Queries expanded by a generator; those without an answer stay as they are."""
+    context = None if offered is None or "{passages}" not in template else expansion.prf_context(offered, feedback)
+    prompts = expansion.build_prompts(asked, template, context)
+    store = keep_answers or shared_folder(asked.sparkSession, "kept-answers")
+    answers = expansion.expand_kept(prompts, load_generator, store, model, most_failed=most_failed)
+    return expansion.apply_expansion(asked, answers.filter("response IS NOT NULL"), max_words)
+
+
 def expand_queries(
     spark: SparkSession,
     queries: str,
@@ -209,21 +280,24 @@ def expand_queries(
     load_generator: Callable[[], expansion.Generator] | None = None,
     terms: int = 10,
     passages: str | None = None,
+    keep_answers: str | None = None,
+    model: str = "",
+    most_failed: float = 0.0,
 ) -> DataFrame:
     """Write ``qid<TAB>text`` with expanded queries and return them.
 
     With a generator, prompts come from ``template`` and its answers replace the queries;
     without one, feedback terms from the candidates are appended. ``max_words`` caps what
     is added, never the query. Term statistics are those of ``passages``, or of the candidates.
+    ``keep_answers`` names a table that keeps the answers of the ``model`` of that name, for later
+    runs and after a loss; up to the share ``most_failed`` of the queries may stay without one.
     """
     asked = files.read_queries(spark, queries)
     offered = None if candidates is None else stage(files.read_candidates(spark, candidates), "candidates")
     if load_generator is not None:
         if template is None:
             raise ValueError("a generator needs a prompt template")
-        context = None if offered is None else expansion.prf_context(offered, feedback)
-        answers = stage(expansion.expand(expansion.build_prompts(asked, template, context), load_generator), "answers")
-        expanded = expansion.apply_expansion(asked, answers, max_words)
+        expanded = _answered(asked, template, offered, load_generator, feedback, max_words, keep_answers, model, most_failed)
     elif offered is not None:
         rows = expansion.feedback_rows(offered, feedback)
         expanded = expansion.expand_terms(asked, rows, _collection(offered, _whole(spark, passages)), terms, max_words)
@@ -248,13 +322,23 @@ def compare_expansions(
     With ``baseline`` naming one of them, the changes against it are written as well.
     """
     sets = {name: files.read_queries(spark, path) for name, path in queries.items()}
-    variants = stage(expansion.label_variants(sets), "variants")
     offered = stage(files.read_candidates(spark, candidates), "candidates")
     judged = files.read_qrels(spark, qrels)
-    results = stage(
-        expansion.run_expansion_experiment(variants, offered, _collection(offered, _whole(spark, passages)), judged), "results"
-    ).select("system", *metrics.DEFAULT_METRICS)
-    results = reporting.leaderboard(results, "ndcg@10")
+    return _compared(sets, offered, _collection(offered, _whole(spark, passages)), judged, out, baseline)
+
+
+def _compared(
+    sets: dict[str, DataFrame],
+    offered: DataFrame,
+    collection: scoring.Collection,
+    judged: DataFrame,
+    out: str,
+    baseline: str | None,
+) -> DataFrame:
+    """The result table of query sets over one candidate set, written with the changes against ``baseline``."""
+    variants = stage(expansion.label_variants(sets), "variants")
+    results = stage(expansion.run_expansion_experiment(variants, offered, collection, judged), "results")
+    results = reporting.leaderboard(results.select("system", *metrics.DEFAULT_METRICS), "ndcg@10")
     sinks.write_results(results, f"{out}/expansions")
     if baseline is not None:
         changes = reporting.compare(results, results.filter(F.col("system") == baseline))
@@ -262,6 +346,49 @@ def compare_expansions(
     return results
 
 
+PLAIN, FED = "plain", "feedback"
+"""Names of the query sets that every experiment has."""
+
+
+def expansion_experiment(
+    spark: SparkSession,
+    queries: str,
+    candidates: str,
+    qrels: str,
+    out: str,
+    templates: dict[str, str] | None = None,
+    load_generator: Callable[[], expansion.Generator] | None = None,
+    feedback: int = 3,
+    max_words: int = 32,
+    terms: int = 10,
+    passages: str | None = None,
+    keep_answers: str | None = None,
+    model: str = "",
+    most_failed: float = 0.0,
+) -> DataFrame:
+    """From queries to the table of all their expansions, in one job.
+
+    The plain queries, those with feedback terms, and with a generator one set per prompt template
+    are written to ``out/queries``, scored over one candidate set and compared with the plain ones.
+    A template with ``{passages}`` gets the first ``feedback`` candidates.
+    """
+    templates = templates or {}
+    if templates and load_generator is None:
+        raise ValueError("prompt templates need a generator")
+    if {PLAIN, FED} & set(templates):
+        raise ValueError(f"templates may not be called {PLAIN} or {FED}")
+    asked = stage(files.read_queries(spark, queries), "queries")
+    offered = stage(files.read_candidates(spark, candidates), "candidates")
+    collection = _collection(offered, _whole(spark, passages))
+    sets = {PLAIN: asked, FED: expansion.expand_terms(asked, expansion.feedback_rows(offered, feedback), collection, terms, max_words)}
+    for name, template in templates.items():
+        sets[name] = _answered(asked, template, offered, load_generator, feedback, max_words, keep_answers, model, most_failed)
+    for name, made in sets.items():
+        sets[name] = made if name == PLAIN else stage(made, "expanded")
+        sinks.write_queries(sets[name], f"{out}/queries/{name}")
+    return _compared(sets, offered, collection, files.read_qrels(spark, qrels), out, PLAIN)
+
+
 def summarize(spark: SparkSession, tables: Sequence[str], sort: str | None = None, head: int | None = None) -> DataFrame:
     """Rows of several result CSVs of any columns, best first by ``sort``, at most ``head`` of each."""
     whole = files.union_results(spark, tables)

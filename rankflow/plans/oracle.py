@@ -481,6 +481,10 @@ FROM queries LEFT JOIN (
         ),
         "generated_responses": """
 SELECT qid, concat(prompt, ' (', length(prompt), ' characters)') AS response FROM (SELECT item_id AS qid,
+concat('Rewrite this search query.', chr(10), 'Query: ', text, chr(10), 'Answer:') AS prompt FROM benchmark)""",
+        "kept_responses": """
+SELECT qid, CASE WHEN length(prompt) % 3 = 0 THEN concat('again ', prompt) ELSE concat(prompt, ' (', length(prompt), ' characters)') END AS response,
+CASE WHEN length(prompt) % 3 = 0 THEN 'ValueError: too hard' END AS first_reason FROM (SELECT item_id AS qid,
 concat('Rewrite this search query.', chr(10), 'Query: ', text, chr(10), 'Answer:') AS prompt FROM benchmark)""",
         "best_feedback_terms": statement("SELECT qid, term, floor(weight * 1e6 + 0.5) / 1e6 AS weight, place FROM best", *lexical, FEEDBACK),
         "feedback_expanded_queries": statement("SELECT * FROM expanded", *lexical, FEEDBACK),

@@ -51,6 +51,42 @@ def test_generator_runs_in_batches(spark, rows):
     assert rows(got) == [("1", "solar panels:1"), ("2", "wind:1"), ("3", "rain:1")]
 
 
+def test_answers_are_kept_and_failures_asked_again(spark, tmp_path):
+    texts = ["solar panels", "wind", "rain", "wind", None, "bad one", "bad two", "none"]
+    prompts = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "qid long, prompt string")
+    calls, store = spark.sparkContext.accumulator(0), str(tmp_path / "answers")
+
+    def load(bad):
+        def generate(batch):
+            calls.add(len(batch))
+            if any(bad and p.startswith(bad) for p in batch):
+                raise RuntimeError("down")
+            return [None if p == "none" else p.upper() for p in batch]
+
+        return lambda: generate
+
+    with pytest.raises(ValueError, match="3 of 8 prompts"):
+        expansion.expand_kept(prompts, load("bad"), store, "m", most_failed=0.1)
+    calls.value = 0
+    got = {r.qid: (r.response, r.reason) for r in expansion.expand_kept(prompts, load("bad"), store, "m", most_failed=0.5, tries=2, batch_size=1).collect()}
+    assert calls.value == 2 * (1 + 2) + 1  # each failing prompt in its batch and twice alone
+    assert got[0] == ("SOLAR PANELS", None) and got[1] == got[3] == ("WIND", None) and got[4] == (None, "no prompt")
+    assert got[5] == got[6] == (None, "RuntimeError: down") and got[7] == (None, "no answer")
+    calls.value = 0
+    good = prompts.filter("prompt <> 'none' or prompt is null")
+    answers = expansion.expand_kept(good, load(None), store, "m")
+    assert calls.value == 2 and {r.qid: r.reason for r in answers.collect() if r.reason} == {4: "no prompt"}
+    expansion.expand_kept(good, load(None), store, "other")
+    assert calls.value == 2 + 5
+    assert expansion.expand_kept(prompts.limit(0), load(None), str(tmp_path / "empty"), "m").collect() == []
+
+
+def test_a_generator_that_answers_too_little_is_a_failure(spark, tmp_path):
+    prompts = expansion.build_prompts(queries(spark), "{query}")
+    got = expansion.expand_kept(prompts, lambda: lambda batch: batch[1:], str(tmp_path / "a"), "m", most_failed=1.0)
+    assert {r.reason for r in got.collect()} == {"ValueError: 0 answers to 1 prompts"}
+
+
 def test_feedback_terms_prefer_rare_frequent_new_terms(spark):
     passages = spark.createDataFrame(
         [("a", "solar cell cell the"), ("b", "panels the cell grid"), ("c", "the the"), ("d", "the rain")], "pid string, text string"

@@ -63,6 +63,23 @@ def test_train_and_rerank(spark, folder):
     assert back.count() == 15 and {r["rank"] for r in back.collect()} == set(range(5))
 
 
+def test_train_in_steps_resumes_and_reranks(spark, folder):
+    names = ("dev.tsv.gz", "train.tsv.gz", "queries.tsv", "collection.tsv", "made")
+    jobs.prepare_training(spark, *(str(folder / n) for n in names), dev_count=1, ratio=1)
+    given = [str(folder / n) for n in ("made", "queries.tsv", "collection.tsv")]
+    options = {"batches_per_step": 1, "batch_size": 3, "epochs": 2, "every": 2, "seed": 3}
+    whole = jobs.train_text_ranker(spark, *given, str(folder / "whole"), steps=4, **options).collect()
+    assert [r.step for r in whole] == [2, 4] and all(0 <= r.mrr <= 1 for r in whole)
+    jobs.train_text_ranker(spark, *given, str(folder / "cut"), steps=3, **options)
+    resumed = jobs.train_text_ranker(spark, *given, str(folder / "cut"), steps=4, **options).collect()
+    assert [tuple(r) for r in resumed if r.step % 2 == 0] == [tuple(r) for r in whole]
+    ends = [spark.read.parquet(str(folder / n / "weights")).filter("step = 4").first().weights for n in ("whole", "cut")]
+    assert ends[0] == pytest.approx(ends[1], abs=1e-12) and any(ends[0])
+    offered = str(folder / "candidates.tsv.gz")
+    run = jobs.rerank_candidates(spark, str(folder / "whole"), given[1], offered, str(folder / "steps.run"), given[2])
+    assert run.count() == 15 and files.read_runs(spark, str(folder / "steps.run")).count() == 15
+
+
 def test_evaluate_with_bm25_and_with_a_model(spark, folder):
     given = [str(folder / n) for n in ("queries.tsv", "candidates.tsv.gz", "qrels.txt")]
     lexical = jobs.evaluate_candidates(spark, *given, str(folder / "bm25.run"), passages=str(folder / "collection.tsv"))
@@ -135,10 +152,37 @@ def test_expand_and_compare(spark, folder):
     assert {r.change for r in changes.filter("system = 'plain'").collect()} == {0.0}
 
 
+def test_one_experiment_from_queries_to_table(spark, folder):
+    def load():
+        return lambda prompts: ['{"response": "' + " ".join(p.split()).upper() + '"}' for p in prompts]
+
+    given = [str(folder / n) for n in ("queries.tsv", "candidates.tsv.gz", "qrels.txt", "all")]
+    templates = {"told": "{query} now", "shown": "{query} as in {passages}"}
+    options = {"templates": templates, "load_generator": load, "keep_answers": str(folder / "kept"), "feedback": 1}
+    results = {r.system: r for r in jobs.expansion_experiment(spark, *given, **options).collect()}
+    assert set(results) == {"plain", "feedback", "told", "shown"}
+    kept = spark.read.parquet(str(folder / "kept"))
+    assert kept.count() == 6 and kept.filter("response is null").count() == 0
+    told = {r.qid: r.text for r in files.read_queries(spark, str(folder / "all/queries/told")).collect()}
+    assert told == {q: t.upper() + " NOW" for q, t in QUERIES.items()}
+    sets = {name: str(folder / "all/queries" / name) for name in results}
+    chained = jobs.compare_expansions(spark, sets, *given[1:3], str(folder / "chained"))
+    assert sorted(map(tuple, chained.collect())) == sorted(map(tuple, results.values()))
+    with pytest.raises(ValueError):
+        jobs.expansion_experiment(spark, *given, templates=templates)
+
+
 def test_command_line(spark, folder, capsys):
     runs = [str(folder / f"{n}.run") for n in ("up", "down")]
     command.main(["fuse", "--qrels", str(folder / "qrels.txt"), "--runs", *runs, "--best", "rrf", "--out", str(folder / "cli")])
     command.main(["summarize", str(folder / "cli/pairs_fused"), "--sort", "ndcg@10"])
     assert "pair:down+up (rrf)" in capsys.readouterr().out
+    (folder / "prompt.txt").write_text("{query} now")
+    named = [f"--{n}" for n in ("queries", "candidates", "qrels", "out")]
+    paths = [str(folder / n) for n in ("queries.tsv", "candidates.tsv.gz", "qrels.txt", "cli-out")]
+    chosen = [x for pair in zip(named, paths) for x in pair]
+    prompts = ["--templates", f"told={folder / 'prompt.txt'}", "--generator", "rankflow.plans.catalog:measuring_generator"]
+    command.main(["experiment", *chosen, *prompts])
+    assert "told" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         command.main(["unknown"])
