@@ -84,6 +84,17 @@ def test_without_leaks(spark):
         assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(str(k) for k, _ in docs if k not in leaked)
 
 
+def test_columns_named_like_results(spark):
+    docs, items = [(1, "a b c d e f g"), (2, "u v w x y z")], [(9, "b c d e f g")]
+    d, i = frames(spark, docs, items)
+    clash = {"n_item": F.lit("x"), "containment": F.lit(-1), "n_shared": F.lit(None), "item": F.lit(5), "item_id": F.lit(6), "key": F.lit("k")}
+    d, i = d.withColumns(clash), i.withColumns({"doc_id": F.lit(4), "key": F.lit("k"), "containment": F.lit(0)})
+    got = decontamination.leaks(d, i).collect()
+    assert [(r.key, r.item, r.n_item, r.n_shared, r.containment) for r in got] == [(1, 9, 2, 2, 1.0)]
+    kept = decontamination.without_leaks(d, i)
+    assert kept.columns == d.columns and [tuple(r) for r in kept.collect()] == [tuple(d.filter("doc_id = 2").first())]
+
+
 def test_empty_tables(spark):
     docs, items = frames(spark, [], [])
     full, more = frames(spark, [(1, "a b c d e f")], [(1, "a b c d e f")])

@@ -61,6 +61,21 @@ def test_empty_and_odd_rows(spark):
         assert docs.count() == 0
 
 
+def test_each_stage_on_odd_rows(spark):
+    """Stages behind the first one see such rows too, when they are called by themselves."""
+    schema = spark.read.parquet(f"{FOLDER}/documents.parquet").schema
+    odd = [(1, None, None, None, None), (None, "", "en", "s", 0), (2, "a", "en", "s", 1), (2, "a", "en", "s", 1)]
+    odd += [(3, "w x " * 30_000, "en", "s", 120_000), (None, None, "en", None, None)]
+    ids = {"near_duplicates": [1, 2, 3, None, None]}
+    for name, function in corpus_pipeline.STAGES[1:]:
+        got = function(spark, spark.createDataFrame(odd, schema), FOLDER).collect()
+        expected = ids.get(name, [r[0] for r in odd])
+        assert sorted(map(str, (r.doc_id for r in got))) == sorted(map(str, expected))
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert {tuple(r) for r in got} <= set(odd)
+        assert function(spark, spark.createDataFrame([], schema), FOLDER).count() == 0
+
+
 def test_repeated_and_missing_keys_of_near_duplicates(spark):
     from rankflow.llm import simhash
 
