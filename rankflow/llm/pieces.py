@@ -6,6 +6,7 @@ left. With dropout, a candidate taken from the agenda is skipped if a hash of se
 stretch, place and merged piece falls below the rate; the hash alone decides, so a lost
 task comes out the same again. Occurrences of a stretch, whatever its length, take turns
 through ``variants`` segmentations, starting at a place drawn from the document's key.
+Stretches that a worker does not remember are merged together, one candidate each per step.
 
 Texts are cut into stretches of blanks with the characters after them, which no piece
 spans. Characters outside the vocabulary, and the model's own mark for a blank where a text
@@ -19,9 +20,8 @@ from __future__ import annotations
 
 import functools
 import heapq
-import math
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +34,17 @@ BLANK = "▁"
 RATE = 0.1
 VARIANTS = 4
 KNOWN = 400_000
-"""Segmentations a worker remembers, about 250 bytes each; the older half is dropped when full."""
+"""Segmentations a worker remembers, about 200 bytes each; the older half is dropped when full."""
 LONGEST_KNOWN = 48
 """Longer stretches are segmented afresh each time."""
 
 SHORT = 48
-"""Up to so many characters the agenda is a list, beyond that a heap."""
+"""Up to so many characters stretches are merged many at a time, longer ones one by one with a heap."""
+ROWS = 4096
+"""Stretches merged together."""
+CHARS = 1 << 20
+"""Characters of texts whose new stretches are segmented together."""
 
-_NEVER = math.inf
 _MARKED = "\0" + BLANK
 _TOP = 1 << 64
 
@@ -69,14 +72,58 @@ class Model:
         self.stretch = re.compile(rf"[{alone}]| *[^ {alone}]+| +" if alone else " *[^ ]+| +")
         self.skip_below = int(rate * _TOP)
         self.seed, self.variants = seed, variants
-        self.known: list[dict[str, tuple[int, ...]]] = [{} for _ in range(variants)]
-        self.older: list[dict[str, tuple[int, ...]]] = [{} for _ in range(variants)]
+        # Segmentations per variant, the ids as bytes.
+        self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.older: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self._tabulate(pieces)
+
+    def _tabulate(self, pieces: list[str]) -> None:
+        """Symbols by number: pieces by their ids, then further characters of pieces; the last one is unknown."""
+        numbers = dict(self.ids)
+        for character in sorted(set("".join(self.ids))):
+            numbers.setdefault(character, len(pieces) + len(numbers) - len(self.ids))
+        self.pieces = len(pieces)
+        self.unknown = self.pieces + len(numbers) - len(self.ids)
+        self.words = [piece.encode() for piece in pieces]
+        self.costs = np.full(self.unknown + 1, np.inf)
+        pairs = []
+        for piece, number in self.ids.items():
+            self.costs[number] = self.cost[piece]
+            for at in range(1, len(piece)):
+                left, right = numbers.get(piece[:at]), numbers.get(piece[at:])
+                if left is not None and right is not None:
+                    pairs.append((left * (self.unknown + 1) + right, number))
+        pairs.sort()
+        self.pair_keys = np.array([*(key for key, _ in pairs), np.iinfo(np.int64).max], np.int64)
+        self.pair_merged = np.array([*(merged for _, merged in pairs), self.unknown], np.int64)
+        self.of_character = np.full(0x110000, self.unknown, np.int32)
+        for symbol, number in numbers.items():
+            if len(symbol) == 1 and symbol != BLANK:
+                self.of_character[ord(symbol)] = number
+        self.of_character[ord(" ")] = numbers.get(BLANK, self.unknown)
 
     def segment(self, stretch: str, variant: int) -> tuple[int, ...]:
         """Piece ids of one stretch."""
-        symbols = [BLANK if c == " " else _MARKED if c == BLANK else c for c in stretch]
-        key = xxhash.xxh64_intdigest(stretch, self.seed * 1_000_003 + variant) if self.skip_below else 0
-        symbols = self._merged(symbols, key) if len(symbols) <= SHORT else self._merged_long(symbols, key)
+        return tuple(np.frombuffer(self.segments([stretch], [variant])[0], np.int32).tolist())
+
+    def segments(self, stretches: list[str], variants: list[int]) -> list[bytes]:
+        """Piece ids of stretches, each in one of its variants."""
+        first, digest = self.seed * 1_000_003, xxhash.xxh64_intdigest
+        keys = [digest(s, first + v) for s, v in zip(stretches, variants, strict=True)] if self.skip_below else [0] * len(stretches)
+        found = [b""] * len(stretches)
+        sizes = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        for i in np.flatnonzero(sizes > SHORT).tolist():
+            symbols = [BLANK if c == " " else _MARKED if c == BLANK else c for c in stretches[i]]
+            found[i] = np.array(self._ids(self._merged_long(symbols, keys[i])), np.int32).tobytes()
+        order = np.argsort(sizes, kind="stable")[: int((sizes <= SHORT).sum())].tolist()
+        for at in range(0, len(order), ROWS):
+            some = order[at : at + ROWS]
+            merged = self._merged([stretches[i] for i in some], np.array([keys[i] for i in some], np.uint64))
+            for i, ids in zip(some, merged, strict=True):
+                found[i] = ids
+        return found
+
+    def _ids(self, symbols: list[str]) -> list[int]:
         ids: list[int] = []
         for symbol in symbols:
             piece = self.ids.get(symbol)
@@ -84,29 +131,72 @@ class Model:
                 ids.append(piece)
             else:
                 ids += [self.bytes[b] for b in symbol.removeprefix("\0").encode() or b"\0"]
-        return tuple(ids)
+        return ids
 
-    def _merged(self, symbols: list[str], key: int) -> list[str]:
-        """The symbols after all merges; the agenda is the list of the neighbours' costs."""
-        cost, below, digest = self.cost.get, self.skip_below, xxhash.xxh64_intdigest
-        places = list(range(len(symbols)))
-        agenda = [cost(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
-        while agenda:
-            best = min(agenda)
-            if best == _NEVER:
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The symbols that pairs of neighbours merge to, else the unknown one."""
+        key = left * (self.unknown + 1) + right
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_merged[at], self.unknown)
+
+    def _merged(self, stretches: list[str], keys: np.ndarray) -> Iterator[bytes]:
+        """Piece ids of short stretches. Each has its agenda, a row of costs; each step takes the best of every row.
+
+        A row has a place before the first symbol and one after the last, so all have neighbours. A
+        merge leaves its left place with the new symbol and unlinks the right one.
+        """
+        n = len(stretches)
+        sizes = np.fromiter(map(len, stretches), np.int64, n)
+        width = int(sizes.max()) + 2
+        inside = np.arange(1, width - 1) <= sizes[:, None]
+        symbols = np.full((n, width), self.unknown, np.int64)
+        codes = np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32)
+        symbols[:, 1:-1][inside] = self.of_character[codes]
+        joined = np.full((n, width), self.unknown, np.int64)
+        joined[:, 1:-1] = self._joined(symbols[:, 1:-1], symbols[:, 2:])
+        agenda = self.costs[joined]
+        linked = np.zeros((n, width), bool)
+        linked[:, 1:-1] = inside
+        after, before = (np.tile(np.arange(width) + step, (n, 1)) for step in (1, -1))
+        # The same arrays as one row each, to be met at single places.
+        symbol, merged, cost, link, next_, last = (a.reshape(-1) for a in (symbols, joined, agenda, linked, after, before))
+        below, words, digest = self.skip_below, self.words, xxhash.xxh64_intdigest
+        rows = np.arange(n)
+        while True:
+            place = agenda[rows].argmin(axis=1)
+            at = rows * width + place
+            open_ = cost[at] < np.inf
+            rows, place, at = rows[open_], place[open_], at[open_]
+            if not len(rows):
                 break
-            i = agenda.index(best)
-            merged = symbols[i] + symbols[i + 1]
-            if below and digest(merged, key ^ places[i]) < below:
-                agenda[i] = _NEVER
-                continue
-            symbols[i] = merged
-            del symbols[i + 1], places[i + 1], agenda[i]
-            if i < len(agenda):
-                agenda[i] = cost(merged + symbols[i + 1], _NEVER)
-            if i:
-                agenda[i - 1] = cost(symbols[i - 1] + merged, _NEVER)
-        return symbols
+            made = merged[at]
+            cost[at] = np.inf
+            if below:
+                drawn = (keys[rows] ^ (place - 1).astype(np.uint64)).tolist()
+                goes = np.array([digest(words[m], k) >= below for m, k in zip(made.tolist(), drawn, strict=True)], bool)
+                at, made = at[goes], made[goes]
+            start = at // width * width
+            right = start + next_[at]
+            beyond = next_[right]
+            symbol[at], link[right], cost[right] = made, False, np.inf
+            next_[at], last[start + beyond] = beyond, at - start
+            left = start + last[at]
+            merged[at] = self._joined(made, symbol[start + beyond])
+            merged[left] = self._joined(symbol[left], made)
+            cost[at], cost[left] = self.costs[merged[at]], self.costs[merged[left]]
+        ids = symbols[linked].astype(np.int32).tobytes()
+        ends = (np.cumsum(linked.sum(axis=1)) * 4).tolist()
+        strange = ((symbols >= self.pieces) & linked).any(axis=1).tolist()
+        for i, (start, end) in enumerate(zip([0, *ends], ends, strict=False)):
+            yield self._with_bytes(stretches[i], symbols[i], linked[i]) if strange[i] else ids[start:end]
+
+    def _with_bytes(self, stretch: str, symbols: np.ndarray, linked: np.ndarray) -> bytes:
+        """Piece ids where some characters are no pieces."""
+        ids: list[int] = []
+        for place in np.flatnonzero(linked).tolist():
+            own, character = int(symbols[place]), stretch[place - 1]
+            ids += [own] if own < self.pieces else self._ids([_MARKED if character == BLANK else character])
+        return np.array(ids, np.int32).tobytes()
 
     def _merged_long(self, symbols: list[str | None], key: int) -> list[str]:
         """The same with a heap as agenda, for stretches on which scanning would be slow."""
@@ -140,29 +230,68 @@ class Model:
         return [symbol for symbol in symbols if symbol is not None]
 
     def encode(self, text: str, key: str = "") -> list[int]:
-        if not text:
-            return []
-        turn = xxhash.xxh64_intdigest(key, self.seed) if self.variants > 1 else 0
-        ids: list[int] = []
-        variants, known = self.variants, self.known
-        for turn, stretch in enumerate(self.stretch.findall(" " + text), turn % variants):
-            variant = turn % variants
-            ids += known[variant].get(stretch) or self._recalled(stretch, variant)
-        return ids
+        (ids,) = self.encode_all([text], [key])
+        return ids.tolist()
 
-    def _recalled(self, stretch: str, variant: int) -> tuple[int, ...]:
-        """From the older memory, or afresh, and remembered."""
-        found = self.older[variant].get(stretch) or self.segment(stretch, variant)
-        if len(stretch) <= LONGEST_KNOWN:
-            if len(self.known[variant]) >= KNOWN // (2 * self.variants):
-                self.older[variant], self.known[variant] = self.known[variant], {}
-            self.known[variant][stretch] = found
-        return found
+    def encode_all(self, texts: Sequence[str], keys: Sequence[str]) -> Iterator[np.ndarray]:
+        """Piece ids of each text; what is new in about ``CHARS`` characters of them is segmented together."""
+        some: list[tuple[list[str], int]] = []
+        chars = 0
+        for text, key in zip(texts, keys, strict=True):
+            first = xxhash.xxh64_intdigest(key, self.seed) % self.variants
+            some.append((self.stretch.findall(" " + text) if text else [], first))
+            chars += len(text)
+            if chars >= CHARS:
+                yield from self._encoded(some)
+                some, chars = [], 0
+        yield from self._encoded(some)
+
+    def _encoded(self, texts: list[tuple[list[str], int]]) -> list[np.ndarray]:
+        """Piece ids of texts given as stretches and the variant of the first one."""
+        variants = self.variants
+        passing = self._learn(texts)
+        encoded = []
+        for stretches, first in texts:
+            parts = [b""] * len(stretches)
+            for turn in range(min(variants, len(parts))):
+                known = self.known[(first + turn) % variants]
+                parts[turn::variants] = map(known.__getitem__, stretches[turn::variants])
+            encoded.append(np.frombuffer(b"".join(parts), np.int32))
+        for variant, known in enumerate(self.known):
+            for stretch in passing[variant]:
+                del known[stretch]
+            if len(known) >= KNOWN // (2 * variants):
+                self.older[variant], self.known[variant] = known, {}
+        return encoded
+
+    def _learn(self, texts: list[tuple[list[str], int]]) -> list[list[str]]:
+        """Take into the newer memory all stretches of the texts; which ones are too long to stay, per variant."""
+        asked: list[set[str]] = [set() for _ in range(self.variants)]
+        for stretches, first in texts:
+            for turn in range(self.variants):
+                asked[(first + turn) % self.variants].update(stretches[turn :: self.variants])
+        missing: list[str] = []
+        counts = []
+        for some, known, older in zip(asked, self.known, self.older, strict=True):
+            some = some.difference(known)
+            again = some.intersection(older)
+            known.update((s, older[s]) for s in again)
+            missing += some - again
+            counts.append(len(some) - len(again))
+        made = self.segments(missing, np.repeat(range(self.variants), counts).tolist())
+        passing, start = [], 0
+        for known, count in zip(self.known, counts, strict=True):
+            own = missing[start : start + count]
+            known.update(zip(own, made[start : start + count], strict=True))
+            passing.append([s for s in own if len(s) > LONGEST_KNOWN])
+            start += count
+        return passing
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of piece ids; control pieces stand for nothing."""
         if not len(ids):
             return ""
+        ids = np.asarray(ids).tolist()
         texts = list(map(self.text.__getitem__, ids))
         if None in texts:
             parts: list[str] = []
@@ -206,11 +335,11 @@ def encode(
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = model(path, rate, seed, variants)
         ends, values, lossless = [0], [], []
-        for name, body in zip(batch.column("key"), batch.column("text"), strict=True):
-            name, body = name.as_py(), body.as_py() or ""
-            ids = coder.encode(body, "" if name is None else str(name))
+        names = ["" if name is None else str(name) for name in batch.column("key").to_pylist()]
+        texts = [body or "" for body in batch.column("text").to_pylist()]
+        for body, ids in zip(texts, coder.encode_all(texts, names), strict=True):
             lossless.append(coder.decode(ids) == body)
-            values.append(np.array(ids, np.int32))
+            values.append(ids)
             ends.append(ends[-1] + len(ids))
         offsets = np.array(ends, np.int32)
         ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values)))

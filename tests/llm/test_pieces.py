@@ -52,6 +52,25 @@ def test_agenda_equals_scanning(monkeypatch):
         assert model.segment(stretch, 2) == slow_segment(model, stretch, 2)
 
 
+def test_many_stretches_at_a_time(monkeypatch):
+    """Each comes out as alone, whatever is merged beside it, and however texts are put together."""
+    rng = random.Random(7)
+    stretches = [" " + "".join(rng.choice("thearonisé ▁日\0🙂") for _ in range(rng.randint(0, 60))) for _ in range(300)] + ["x", "\n"]
+    variants = [rng.randrange(4) for _ in stretches]
+    for rate in (0.0, 0.3):
+        model = pieces.Model(PATH, rate=rate, seed=3)
+        for rows in (7, pieces.ROWS):
+            monkeypatch.setattr(pieces, "ROWS", rows)
+            found = model.segments(stretches, variants)
+            assert [tuple(pieces.np.frombuffer(f, "int32")) for f in found] == [slow_segment(model, s, v) for s, v in zip(stretches, variants, strict=True)]
+    texts = ["".join(rng.choices(stretches, k=40)) for _ in range(30)] + ["", "y" * 100]
+    keys = [str(i) for i in range(len(texts))]
+    alone = [pieces.Model(PATH, seed=2).encode(t, k) for t, k in zip(texts, keys, strict=True)]
+    for chars in (1, 500, pieces.CHARS):
+        monkeypatch.setattr(pieces, "CHARS", chars)
+        assert [ids.tolist() for ids in pieces.Model(PATH, seed=2).encode_all(texts, keys)] == alone
+
+
 def test_seeds_vary_and_repeat(spark):
     text = texts_of(spark)[5]
     plain = pieces.Model(PATH, rate=0).encode(text)
