@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import re
 from collections.abc import Iterator, Sequence
 
@@ -43,7 +44,9 @@ SHORT = 48
 ROWS = 4096
 """Stretches merged together."""
 CHARS = 1 << 20
-"""Characters of texts whose new stretches are segmented together."""
+"""Characters of texts whose new stretches are segmented together; longer texts are taken in portions."""
+PORTION = 1 << 16
+"""Stretches of a long text taken at a time."""
 
 _MARKED = "\0" + BLANK
 _TOP = 1 << 64
@@ -239,6 +242,11 @@ class Model:
         chars = 0
         for text, key in zip(texts, keys, strict=True):
             first = xxhash.xxh64_intdigest(key, self.seed) % self.variants
+            if len(text) > CHARS:
+                yield from self._encoded(some)
+                some, chars = [], 0
+                yield self._long(text, first)
+                continue
             some.append((self.stretch.findall(" " + text) if text else [], first))
             chars += len(text)
             if chars >= CHARS:
@@ -246,6 +254,15 @@ class Model:
                 some, chars = [], 0
         yield from self._encoded(some)
 
+    def _long(self, text: str, first: int) -> np.ndarray:
+        """Piece ids of a long text, in portions, so that the memory of segmentations keeps its bound."""
+        found = (match.group() for match in self.stretch.finditer(" " + text))
+        ids = []
+        for portion in itertools.batched(found, PORTION):
+            ids += self._encoded([(list(portion), first)])
+            first += len(portion)
+        return np.concatenate(ids)
+
     def _encoded(self, texts: list[tuple[list[str], int]]) -> list[np.ndarray]:
         """Piece ids of texts given as stretches and the variant of the first one."""
         variants = self.variants

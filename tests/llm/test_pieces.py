@@ -66,8 +66,9 @@ def test_many_stretches_at_a_time(monkeypatch):
     texts = ["".join(rng.choices(stretches, k=40)) for _ in range(30)] + ["", "y" * 100]
     keys = [str(i) for i in range(len(texts))]
     alone = [pieces.Model(PATH, seed=2).encode(t, k) for t, k in zip(texts, keys, strict=True)]
-    for chars in (1, 500, pieces.CHARS):
+    for chars, portion in ((1, 3), (1, pieces.PORTION), (500, 7), (pieces.CHARS, pieces.PORTION)):
         monkeypatch.setattr(pieces, "CHARS", chars)
+        monkeypatch.setattr(pieces, "PORTION", portion)
         assert [ids.tolist() for ids in pieces.Model(PATH, seed=2).encode_all(texts, keys)] == alone
 
 
@@ -116,6 +117,18 @@ def test_empty_table_and_memory(spark):
         pieces.KNOWN = old
 
 
+def test_memory_on_a_long_text(monkeypatch):
+    """A text of many different words leaves no more in memory than the bound, and encodes as with much memory."""
+    text = " ".join(f"w{i}x" for i in range(3000)) + " " + "z" * 60
+    full = pieces.Model(PATH, seed=5).encode(text, "7")
+    monkeypatch.setattr(pieces, "CHARS", 100)
+    monkeypatch.setattr(pieces, "PORTION", 40)
+    monkeypatch.setattr(pieces, "KNOWN", 400)
+    model = pieces.Model(PATH, seed=5)
+    assert model.encode(text, "7") == full and model.decode(full) == text
+    assert all(len(m) <= 50 + 40 for m in (*model.known, *model.older))
+
+
 def test_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     got = QUERIES["op6_dropout_pieces"](spark, FOLDER).collect()
