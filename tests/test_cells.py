@@ -62,3 +62,13 @@ def test_table_names_are_made_once_per_block(spark, tmp_path):
     assert [tuple(r) for r in rows.collect()] == [("one", "1", "7", 1, 0.5)]
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert ".gz$" in plan and ".gz$" not in plan[: plan.index("Join")]
+
+
+def test_repeated_rows_give_the_rows_of_retrieve(spark, rng):
+    """A query or a passage that comes twice counts alike in both ways of retrieval."""
+    queries, passages = corpus(rng, 200)
+    asked, held = frames(spark, queries + queries[:3], passages + passages[:30])
+    collection = scoring.Collection.staged(held)
+    built = index.InvertedIndex.staged(collection, block_postings=8)
+    plain = {tuple(r) for r in scoring.retrieve(asked, collection, k=5).collect()}
+    assert {tuple(r) for r in index.retrieve_indexed(asked, built, k=5).collect()} == plain
