@@ -4,11 +4,13 @@ Passages are dealt to cells of about ``CELL_TERMS`` terms by a hash of their id,
 cells as the collection needs. Postings go to their own cell, a row per query goes to every cell, and a
 cell passes on the best k passages of each query. Sorting puts a cell's postings before the queries, which
 then stream past: a task holds the postings of one cell and one batch of queries, however many there are,
-and no row is made per query and posting.
+and no row is made per query and posting. Where the number of cells is known beforehand, each is a task of its
+own, so that what a task sorts does not depend on the number of shuffle partitions.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,7 +28,13 @@ SLACK = 1e-6
 """Bounds are sums of doubles; a passage is left out only if it falls short by more than this."""
 
 
-def cell_count(size: Column, mean_length: Column) -> Column:
+def cell_count(total: int) -> int:
+    """Cells for a collection of ``total`` terms."""
+    return max(1, min(SMALL_CELLS, math.ceil(total / LEAST_TERMS)), math.ceil(total / CELL_TERMS))
+
+
+def cell_count_later(size: Column, mean_length: Column) -> Column:
+    """``cell_count`` of a collection that is counted when the query runs."""
     total = F.coalesce(size * mean_length, F.lit(0.0))
     small = F.least(F.lit(SMALL_CELLS), F.ceil(total / LEAST_TERMS))
     return F.greatest(F.lit(1), small, F.ceil(total / CELL_TERMS)).cast("int")
@@ -128,13 +136,15 @@ def _answers(cell: _Cell, asked: pa.RecordBatch, keys: Sequence[str], k: int, sp
 
 
 def best_by_cell(
-    postings: DataFrame, weights: DataFrame, cells: Column, keys: Sequence[str], k: int, spare: int | None = None
+    postings: DataFrame, weights: DataFrame, cells: int | Column, keys: Sequence[str], k: int, spare: int | None = None
 ) -> DataFrame:
     """``(keys, pid, score)``: of each query the best ``k`` passages of every cell, by rounded score and id.
 
     ``postings`` has ``(pid, term, part)``, ``weights`` has ``(keys, term, weight)`` with weights above 0;
-    the score is the sum of weight times part, all of it positive.
+    the score is the sum of weight times part, all of it positive. ``cells`` as a number makes a task of each;
+    as a column, several may share one.
     """
+    count = F.lit(cells) if isinstance(cells, int) else cells
     fields = {f.name: f.dataType.simpleString() for f in (*weights.schema.fields, *postings.select("pid", "term", "part").schema.fields)}
     fields |= {"terms": f"array<{fields['term']}>", "weights": "array<double>"}
 
@@ -143,13 +153,15 @@ def best_by_cell(
         empty = F.array() if fields[name].startswith("array") else F.lit("" if fields[name] == "string" else None)
         return empty.cast(fields[name]).alias(name)
 
-    cell = F.pmod(F.xxhash64("pid"), cells).cast("int").alias("_cell")
+    cell = F.pmod(F.xxhash64("pid"), count).cast("int").alias("_cell")
     held = postings.select(cell, F.lit(0).alias("_kind"), "pid", "term", "part", *map(blank, (*keys, "terms", "weights")))
     listed = weights.groupBy(*keys).agg(F.collect_list(F.struct("term", "weight")).alias("w"))
-    every = F.explode(F.sequence(F.lit(0), cells - 1)).alias("_cell")
+    every = F.explode(F.sequence(F.lit(0), count - 1)).alias("_cell")
     lists = [F.col("w.term").alias("terms"), F.col("w.weight").alias("weights")]
     asked = listed.select(every, F.lit(1).alias("_kind"), *map(blank, ("pid", "term", "part")), *keys, *lists)
-    rows = held.unionByName(asked).repartition("_cell").sortWithinPartitions("_cell", "_kind")
+    rows = held.unionByName(asked)
+    rows = rows.repartitionById(cells, "_cell") if isinstance(cells, int) else rows.repartition("_cell")
+    rows = rows.sortWithinPartitions("_cell", "_kind")
     out = ", ".join([*(f"`{c}` {fields[c]}" for c in (*keys, "pid")), "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rankflow.operators.cells import SLACK, best_by_cell, cell_count
+from rankflow.operators.cells import SLACK, best_by_cell
 from rankflow.operators.numbering import top_within
 from rankflow.operators.scoring import Collection, part, query_terms, score_bm25
 from rankflow.session import stage
@@ -118,6 +118,6 @@ def retrieve_indexed(
     asked = weights.select(F.col("term").alias("id")).distinct()
     each = index.blocks.select("id", "postings").join(asked, "id", "left_semi").select(F.col("id").alias("term"), F.explode("postings").alias("p"))
     postings = each.select("p.pid", "term", "p.part")
-    scored = best_by_cell(postings, weights, cell_count(collection.size, collection.mean_length), keys, k, spare)
+    scored = best_by_cell(postings, weights, collection.cells, keys, k, spare)
     top = top_within(scored, keys, [("score", False), ("pid", True)], k)
     return top.select(*keys, "pid", "rank", "score")

@@ -14,7 +14,7 @@ array functions do the rest; there is no row per pair and term.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -26,12 +26,14 @@ from pyspark.sql import types as T
 
 from rankflow.functions.scores import LEXICAL_PLACES
 from rankflow.functions.text import terms, words
-from rankflow.operators.cells import best_by_cell, cell_count
+from rankflow.operators.cells import best_by_cell, cell_count, cell_count_later
 from rankflow.operators.numbering import top_within
 from rankflow.session import exists, stage
 
 COUNTED_ROWS = 1000
 """Passages whose terms are counted at a time."""
+PARTS_PER_CELL = 4
+"""Postings of an unstored, counted collection are dealt by passage to so many tasks per cell."""
 
 Scorer = Callable[[list[str], list[str]], Sequence[float]]
 
@@ -160,7 +162,7 @@ def term_bags(passages: DataFrame, seed: int = 0) -> DataFrame:
 
 @dataclass(frozen=True)
 class Collection:
-    """A passage collection as term counts, with its size and mean length in terms.
+    """A passage collection as term counts, with its size and mean length in terms; ``total``, its length, once it is counted.
 
     A stored collection is a forward index; ``counts`` names terms by number then, and
     ``vocabulary`` holds ``(term, id, df)``. Otherwise terms name themselves and their frequencies
@@ -172,6 +174,7 @@ class Collection:
     size: Column
     mean_length: Column
     vocabulary: DataFrame | None = None
+    total: int | None = None
 
     @staticmethod
     def of(passages: DataFrame | Collection) -> Collection:
@@ -200,7 +203,20 @@ class Collection:
         entry = F.explode(F.arrays_zip("ids", "tfs")).alias("t")
         counts = bags.select("pid", "dl", entry).select("pid", "dl", F.col("t.ids").alias("term"), F.col("t.tfs").alias("tf"))
         mean = (total or 0) / size if size else 0.0
-        return Collection(counts, bags.select("pid", "dl"), F.lit(size), F.lit(mean), vocabulary)
+        return Collection(counts, bags.select("pid", "dl"), F.lit(size), F.lit(mean), vocabulary, total or 0)
+
+    def counted(self) -> Collection:
+        """With size and length as numbers, by a job that reads an unstored collection once; later jobs don't count it then."""
+        if self.total is not None:
+            return self
+        size, total = self.lengths.agg(F.count("*"), F.sum("dl")).first()
+        mean = (total or 0) / size if size else 0.0
+        return replace(self, size=F.lit(size), mean_length=F.lit(mean), total=total or 0)
+
+    @property
+    def cells(self) -> int | Column:
+        """How many cells ``retrieve`` cuts it into; a number where it is counted."""
+        return cell_count_later(self.size, self.mean_length) if self.total is None else cell_count(self.total)
 
     def wanted(self, asked: DataFrame) -> DataFrame:
         """Query terms as ``counts`` names them; with ``df`` where that is known."""
@@ -260,13 +276,18 @@ def retrieve(
 ) -> DataFrame:
     """Top ``k`` passages per query over the whole collection: ``(qid, pid, rank, score)``.
 
-    Passages are scored cell by cell of the collection, see ``cells``. ``fanout`` merges each query's
+    Passages are scored cell by cell of the collection, see ``cells``. With large collections, pass one
+    that is stored or ``counted``: each cell is a task of its own then. ``fanout`` merges each query's
     bests of the cells in two steps, for very many cells. ``spare`` lets common terms meet only
     passages that can still be listed. The rows are the same.
     """
     collection = Collection.of(passages)
     wanted = collection.wanted(query_terms(queries, keys))
-    postings = filtered_counts(collection.counts, wanted.select("term").distinct()).repartition("pid")
+    postings = filtered_counts(collection.counts, wanted.select("term").distinct())
+    if collection.vocabulary is None:
+        # Weights and cells both read what is dealt here.
+        cells = collection.cells
+        postings = postings.repartition(PARTS_PER_CELL * cells, "pid") if isinstance(cells, int) else postings.repartition("pid")
     weights = _weighted(wanted, postings, collection)
     return _best(postings, weights, collection, k, k1, b, keys, fanout, spare)
 
@@ -284,7 +305,7 @@ def _best(
 ) -> DataFrame:
     parts = postings.select("pid", "term", part(collection.mean_length, k1, b).alias("part"))
     asked = weights.select(*keys, "term", F.col("idf").alias("weight"))
-    scored = best_by_cell(parts, asked, cell_count(collection.size, collection.mean_length), keys, k, spare)
+    scored = best_by_cell(parts, asked, collection.cells, keys, k, spare)
     top = top_within(scored, keys, [("score", False), ("pid", True)], k, fanout=fanout)
     return top.select(*keys, "pid", "rank", "score")
 
@@ -372,5 +393,5 @@ def rank_features(
 def retrieve_weighted(asked: DataFrame, collection: Collection, k: int = 1000, k1: float = 0.9, b: float = 0.4) -> DataFrame:
     """Top ``k`` passages for weighted query terms ``(qid, term, weight)``; with weights of 1 those of ``retrieve``."""
     weights = collection.weights(asked.filter("weight > 0")).withColumn("idf", F.col("idf") * F.col("weight"))
-    postings = filtered_counts(collection.counts, weights.select("term").distinct()).repartition("pid")
+    postings = filtered_counts(collection.counts, weights.select("term").distinct())
     return _best(postings, weights, collection, k, k1, b, ["qid"])

@@ -277,7 +277,7 @@ def training_summary(i: Inputs) -> DataFrame:
 @query
 def bm25_top(i: Inputs) -> DataFrame:
     """Whole-collection retrieval at the usual run depth."""
-    return _rounded(scoring.retrieve(i.queries, i.passages, k=1000), "score")
+    return _rounded(scoring.retrieve(i.queries, i.counted, k=1000), "score")
 
 
 @query
@@ -300,7 +300,7 @@ def bm25_indexed_again(i: Inputs) -> DataFrame:
 
 @query
 def bm25_merged_top(i: Inputs) -> DataFrame:
-    return _rounded(scoring.retrieve(i.queries, i.passages, k=CANDIDATES, fanout=4), "score")
+    return _rounded(scoring.retrieve(i.queries, i.counted, k=CANDIDATES, fanout=4), "score")
 
 
 @query
@@ -312,7 +312,7 @@ def bm25_reranked(i: Inputs) -> DataFrame:
 
 @query
 def retrieval_metrics(i: Inputs) -> DataFrame:
-    run = scoring.retrieve(i.queries, i.passages, k=1000).withColumn("run", F.lit("bm25"))
+    run = scoring.retrieve(i.queries, i.counted, k=1000).withColumn("run", F.lit("bm25"))
     return _rounded(metrics.evaluate(run, i.text_qrels), *METRICS)
 
 

@@ -138,6 +138,11 @@ class Inputs:
     def collection(self) -> Collection:
         return Collection.staged(self.passages)
 
+    @functools.cached_property
+    def counted(self) -> Collection:
+        """The passages as they are, not stored, with their number and length known for the cells of retrieval."""
+        return Collection.of(self.passages).counted()
+
     @functools.cached_property
     def index(self) -> InvertedIndex:
         return InvertedIndex.staged(self.collection)

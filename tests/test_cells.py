@@ -72,3 +72,24 @@ def test_repeated_rows_give_the_rows_of_retrieve(spark, rng):
     built = index.InvertedIndex.staged(collection, block_postings=8)
     plain = {tuple(r) for r in scoring.retrieve(asked, collection, k=5).collect()}
     assert {tuple(r) for r in index.retrieve_indexed(asked, built, k=5).collect()} == plain
+
+
+def test_a_known_cell_is_a_task_of_its_own(spark, rng, monkeypatch):
+    """A task sorts one cell's postings, however few shuffle partitions there are."""
+    monkeypatch.setattr(cells, "LEAST_TERMS", 100)
+    asked, held = frames(spark, *corpus(rng, 200))
+    plain = {tuple(r) for r in scoring.retrieve(asked, held, k=5).collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for collection in (scoring.Collection.staged(held), scoring.Collection.of(held).counted()):
+            assert collection.cells == cells.SMALL_CELLS
+            weights = collection.weights(scoring.query_terms(asked)).withColumnRenamed("idf", "weight")
+            parts = collection.counts.select("pid", "term", F.col("tf").cast("double").alias("part"))
+            found = cells.best_by_cell(parts, weights, collection.cells, ["qid"], 5)
+            at = found.select("pid", F.spark_partition_id().alias("task")).distinct().collect()
+            number = {r.pid: r.n for r in held.select("pid", F.pmod(F.xxhash64("pid"), F.lit(cells.SMALL_CELLS)).alias("n")).collect()}
+            assert found.rdd.getNumPartitions() == cells.SMALL_CELLS and all(number[r.pid] == r.task for r in at)
+            assert {tuple(r) for r in scoring.retrieve(asked, collection, k=5).collect()} == plain
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
