@@ -93,3 +93,13 @@ def test_a_known_cell_is_a_task_of_its_own(spark, rng, monkeypatch):
             assert {tuple(r) for r in scoring.retrieve(asked, collection, k=5).collect()} == plain
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_counting_first_changes_no_row(spark, rng):
+    """Passages without a text count for the size and not for the mean length, counted before or in the query; none at all give no rows."""
+    asked, held = frames(spark, *corpus(rng))
+    held = held.unionByName(spark.createDataFrame([(901, None), (902, "")], held.schema))
+    collection = scoring.Collection.of(held)
+    plain = {tuple(r) for r in scoring.retrieve(asked, collection, k=5).collect()}
+    assert plain and {tuple(r) for r in scoring.retrieve(asked, collection.counted(), k=5).collect()} == plain
+    assert scoring.retrieve(asked, scoring.Collection.of(held.limit(0)).counted(), k=5).isEmpty()
