@@ -103,3 +103,14 @@ def test_counting_first_changes_no_row(spark, rng):
     plain = {tuple(r) for r in scoring.retrieve(asked, collection, k=5).collect()}
     assert plain and {tuple(r) for r in scoring.retrieve(asked, collection.counted(), k=5).collect()} == plain
     assert scoring.retrieve(asked, scoring.Collection.of(held.limit(0)).counted(), k=5).isEmpty()
+
+
+def test_stored_index_holds_terms_without_numbers(spark, rng):
+    """Numbers of terms are made when the index is read; they are not stored beside the terms."""
+    _, held = frames(spark, *corpus(rng, 50))
+    counts = scoring.Collection.staged(held).counts
+    read = [line for line in counts._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation" in line]
+    assert read and not [line for line in read if "ids#" in line]
+    number = {r.term: r.id for r in scoring.term_counts(held).select("term", scoring.term_number("term").alias("id")).collect()}
+    plain = sorted((r.pid, r.dl, number[r.term], r.tf) for r in scoring.term_counts(held).collect())
+    assert sorted(tuple(r) for r in counts.collect()) == plain
