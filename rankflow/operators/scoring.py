@@ -13,6 +13,7 @@ array functions do the rest; there is no row per pair and term.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 
@@ -21,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +36,8 @@ COUNTED_ROWS = 1000
 """Passages whose terms are counted at a time."""
 PARTS_PER_CELL = 4
 """Postings of an unstored, counted collection are dealt by passage to so many tasks per cell."""
+PART_BYTES = 1 << 26
+"""Pairs are sorted by length in parts of about so many bytes of text."""
 
 Scorer = Callable[[list[str], list[str]], Sequence[float]]
 
@@ -48,14 +52,25 @@ def build_pairs(queries: DataFrame, candidates: DataFrame) -> DataFrame:
 def by_length(pairs: DataFrame, parts: int | None = None) -> DataFrame:
     """Pairs in the order of their words, so that a batch of neighbours has little padding.
 
-    Ranges of lengths go to the parts; a hash cuts a length that many pairs have. ``ord`` tells
-    where a pair was.
+    Ranges of lengths go to the parts, which hold about equal bytes of text, ``PART_BYTES`` unless
+    their number is given; a hash cuts a length that many pairs have. ``ord`` tells where a pair was.
+    A job sums the bytes of every length first.
     """
-    length = F.size(words("query")) + F.size(words("passage"))
-    order = [F.col("_length"), F.xxhash64("qid", "pid", "ord")]
+    length = F.coalesce(F.size(words("query")) + F.size(words("passage")), F.lit(0))
+    size = F.coalesce(F.octet_length("query"), F.lit(0)) + F.coalesce(F.octet_length("passage"), F.lit(0)) + 1
     sized = pairs.withColumn("_length", length)
-    ranged = sized.repartitionByRange(parts, *order) if parts else sized.repartitionByRange(*order)
-    return ranged.sortWithinPartitions("_length").drop("_length")
+    lengths = stage(sized.groupBy("_length").agg(F.sum(size).alias("_bytes")), "lengths")
+    total = lengths.agg(F.sum("_bytes")).first()[0] or 1
+    parts = parts or math.ceil(total / PART_BYTES)
+    earlier = W.orderBy("_length").rowsBetween(W.unboundedPreceding, -1)
+    before = lengths.select("_length", "_bytes", F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)).alias("_before"))
+    share = F.pmod(F.xxhash64("qid", "pid", "ord"), F.lit(1 << 20)) / (1 << 20)
+    at = F.floor((F.col("_before") + share * F.col("_bytes")) / total * parts)
+    # One row per length that occurs.
+    placed = sized.join(F.broadcast(before), "_length", "left")
+    placed = placed.withColumn("_part", F.coalesce(F.least(at, F.lit(parts - 1)), F.lit(0)).cast("int"))
+    ranged = placed.repartitionById(parts, "_part").sortWithinPartitions("_length")
+    return ranged.drop("_length", "_bytes", "_before", "_part")
 
 
 def score_pairs(

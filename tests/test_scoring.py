@@ -247,3 +247,18 @@ def test_weights_of_one_are_plain_retrieval(spark, rng):
     without = scoring.retrieve(asked.withColumn("text", F.regexp_replace("text", "fir", "")), collection, k=9).collect()
     twice = {(r.qid, r.pid): r.score for r in scoring.retrieve_weighted(gone, collection, k=9).collect()}
     assert twice == pytest.approx({(r.qid, r.pid): 2 * r.score for r in without}, abs=1e-8)
+
+
+def test_parts_by_length_hold_about_equal_bytes(spark):
+    """Few pairs have nearly all of the text; their parts take no more of it than others, and neighbours stay alike."""
+    rows = [(i, i % 10, i, "q", "w " * (400 if i % 20 == 0 else 1 + i % 3)) for i in range(400)]
+    rows += [(400, 0, 400, None, None)]
+    pairs = spark.createDataFrame(rows, "ord long, qid long, pid long, query string, passage string")
+    placed = scoring.by_length(pairs, 8).withColumn("part", F.spark_partition_id()).collect()
+    assert sorted(tuple(r)[:5] for r in placed) == sorted(rows) and placed[0].asDict().keys() == {*pairs.columns, "part"}
+    held = {}
+    for r in placed:
+        held.setdefault(r.part, []).append(len((r.passage or "").split()))
+    assert all(lengths == sorted(lengths) for lengths in held.values())
+    assert all(max(held[p]) <= min(held[p + 1]) for p in sorted(held) if p + 1 in held)
+    assert max(sum(lengths) for lengths in held.values()) < 2 * sum(map(sum, held.values())) / 8
