@@ -110,19 +110,23 @@ def score_kept(
     """
     spark = pairs.sparkSession
     names = F.to_json(F.struct(F.lit(model).alias("m"), F.col("query").alias("q"), F.col("passage").alias("p")))
-    marked = stage(pairs.withColumn("digest", F.unhex(F.sha2(names, 256))), "marked")
+    numbered = pairs.withColumns({"digest": F.unhex(F.sha2(names, 256)), "_row": F.monotonically_increasing_id()})
+    marked = stage(numbered, "marked")
     kept = None
     if exists(spark, store):
         kept = spark.read.schema("digest binary, score double").parquet(store).dropDuplicates(["digest"])
-    texts = marked.select("digest", "query", "passage").dropDuplicates(["digest"])
-    missing = stage(texts if kept is None else texts.join(kept, "digest", "left_anti"), "missing")
+    # Of equal texts one row is chosen on digests alone; the hint keeps the texts from being sorted to meet it.
+    chosen = marked.groupBy("digest").agg(F.min("_row").alias("_row"))
+    chosen = (chosen if kept is None else chosen.join(kept, "digest", "left_anti")).select("_row")
+    texts = marked.select("_row", "digest", "query", "passage").join(chosen.hint("shuffle_hash"), "_row", "left_semi")
+    missing = stage(texts.drop("_row"), "missing")
     if kept is None or not missing.isEmpty():
         turn = F.pmod(F.xxhash64("digest"), F.lit(rounds))
         for n in range(rounds):
             part = missing.filter(turn == n)
             score_pairs(part, load_scorer, batch_size).select("digest", "score").write.mode("append").parquet(store)
     kept = spark.read.schema("digest binary, score double").parquet(store).dropDuplicates(["digest"])
-    return marked.drop("query", "passage").join(kept, "digest").drop("digest")
+    return marked.drop("query", "passage", "_row").join(kept, "digest").drop("digest")
 
 
 def query_terms(queries: DataFrame, keys: Sequence[str] = ("qid",)) -> DataFrame:

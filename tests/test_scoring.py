@@ -262,3 +262,19 @@ def test_parts_by_length_hold_about_equal_bytes(spark):
     assert all(lengths == sorted(lengths) for lengths in held.values())
     assert all(max(held[p]) <= min(held[p + 1]) for p in sorted(held) if p + 1 in held)
     assert max(sum(lengths) for lengths in held.values()) < 2 * sum(map(sum, held.values())) / 8
+
+
+def test_texts_with_missing_scores_are_not_grouped(spark, rng, tmp_path, monkeypatch):
+    """Equal texts are told by their digests: no aggregate or sort takes the texts along."""
+    plans, plain = {}, scoring.stage
+
+    def watched(df, label="stage"):
+        plans[label] = df._jdf.queryExecution()
+        return plain(df, label)
+
+    monkeypatch.setattr(scoring, "stage", watched)
+    own = lambda: lambda asked, held: [float(len(p)) for p in held]
+    scoring.score_kept(text_pairs(spark, rng), own, str(tmp_path / "store"), "m", rounds=1).count()
+    groups = [line for line in plans["missing"].optimizedPlan().toString().splitlines() if "Aggregate" in line]
+    assert groups and not [line for line in groups if "passage" in line]
+    assert "SortMergeJoin" not in plans["missing"].executedPlan().toString()
