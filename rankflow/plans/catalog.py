@@ -26,6 +26,7 @@ PROMPT = "Rewrite this search query.\nQuery: {query}\nAnswer:"
 FEEDBACK_PROMPT = "Rewrite this search query.\nQuery: {query}\n\n{passages}\n\nAnswer:"
 SAMPLE_CAP = 5000
 FEEDBACK = 3
+PAIRS_PER_FILE = 4096
 ANSWER_WORDS = 32
 
 
@@ -718,7 +719,8 @@ def reread_candidates(i: Inputs) -> DataFrame:
     path = shared_folder(i.spark, "candidates")
     text = i.passages.select("pid", normalize_line("text").alias("passage"))
     rows = i.pairs.join(text, "pid").join(i.queries.select("qid", normalize_line("text").alias("query")), "qid")
-    ordered = rows.repartitionByRange("qid", "rank").sortWithinPartitions("qid", "rank")
+    parts = max(1, math.ceil(i.pairs.count() / PAIRS_PER_FILE))
+    ordered = rows.repartitionByRange(parts, "qid", "rank").sortWithinPartitions("qid", "rank")
     ordered.select(F.concat_ws("\t", "qid", "pid", "query", "passage").alias("value")).write.text(path)
     return files.read_candidates(i.spark, path)
 

@@ -1,0 +1,24 @@
+import pytest
+
+from rankflow.plans import catalog
+
+WORDS = "ash birch cedar fir gum holly ivy juniper larch maple".split()
+
+
+@pytest.fixture
+def folder(spark, rng, tmp_path):
+    """Documents, one of them twice, and queries over them."""
+    held = [(d, " ".join(rng.choice(WORDS) for _ in range(rng.randint(3, 30)))) for d in range(60)]
+    spark.createDataFrame([*held, held[0], (61, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    asked = [(q, " ".join(rng.sample(WORDS, 3))) for q in range(8)]
+    spark.createDataFrame(asked, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_candidate_files_hold_few_pairs_in_order(spark, folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "PAIRS_PER_FILE", 20)
+    monkeypatch.setattr(catalog, "shared_folder", lambda _, label: f"{tmp_path}/{label}")
+    rows = catalog.QUERIES["reread_candidates"](spark, folder).orderBy("ord").collect()
+    sizes = [len(p.read_text().splitlines()) for p in (tmp_path / "candidates").glob("part-*")]
+    assert sum(sizes) == len(rows) > 200 and max(sizes) <= 40
+    assert [int(r.qid) for r in rows] == sorted(int(r.qid) for r in rows)
