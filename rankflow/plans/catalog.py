@@ -14,7 +14,7 @@ from rankflow.operators import expansion, fusion, metrics, ranker, reporting, sa
 from rankflow.operators.index import retrieve_indexed
 from rankflow.operators.numbering import number_blocks
 from rankflow.operators.ranking import judged_queries, rank_run
-from rankflow.plans.fixtures import CANDIDATES, DEV_NEGATIVES, DEV_QUERIES, HELD_OUT, Inputs
+from rankflow.plans.fixtures import CANDIDATES, DEV_NEGATIVES, DEV_QUERIES, FEEDBACK, HELD_OUT, Inputs
 from rankflow.session import shared_folder, stage
 from rankflow.sources import files, sinks
 
@@ -25,9 +25,8 @@ METRICS = metrics.DEFAULT_METRICS
 PROMPT = "Rewrite this search query.\nQuery: {query}\nAnswer:"
 FEEDBACK_PROMPT = "Rewrite this search query.\nQuery: {query}\n\n{passages}\n\nAnswer:"
 SAMPLE_CAP = 5000
-FEEDBACK = 3
-PAIRS_PER_FILE = 4096
 ANSWER_WORDS = 32
+PAIRS_PER_FILE = 4096
 
 
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
@@ -482,7 +481,7 @@ def stepwise_ranker(i: Inputs) -> DataFrame:
 
 @query
 def feedback_context(i: Inputs) -> DataFrame:
-    context = expansion.prf_context(i.candidates, FEEDBACK)
+    context = expansion.prf_context(i.first_candidates, FEEDBACK)
     return context.select("qid", F.array_join("passages", "\n\n").alias("passages"))
 
 
@@ -493,7 +492,7 @@ def plain_prompts(i: Inputs) -> DataFrame:
 
 @query
 def feedback_prompts(i: Inputs) -> DataFrame:
-    return expansion.build_prompts(i.queries, FEEDBACK_PROMPT, expansion.prf_context(i.candidates, FEEDBACK))
+    return expansion.build_prompts(i.queries, FEEDBACK_PROMPT, expansion.prf_context(i.first_candidates, FEEDBACK))
 
 
 @query
@@ -540,13 +539,13 @@ def kept_responses(i: Inputs) -> DataFrame:
 
 @query
 def best_feedback_terms(i: Inputs) -> DataFrame:
-    feedback = expansion.feedback_rows(i.candidates, FEEDBACK)
+    feedback = expansion.feedback_rows(i.first_candidates, FEEDBACK)
     found = expansion.feedback_terms(i.queries, feedback, i.collection)
     return _rounded(found, "weight")
 
 
 def _feedback_expanded(i: Inputs) -> DataFrame:
-    feedback = expansion.feedback_rows(i.candidates, FEEDBACK)
+    feedback = expansion.feedback_rows(i.first_candidates, FEEDBACK)
     return expansion.expand_terms(i.queries, feedback, i.collection)
 
 

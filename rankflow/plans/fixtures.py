@@ -29,6 +29,7 @@ OPENINGS, OPENING_WORDS = 8, 8
 """Texts of training queries: so many stretches of words from the start of each document."""
 DEV_NEGATIVES = 200
 CANDIDATES = 1000
+FEEDBACK = 3
 
 
 class Inputs:
@@ -158,6 +159,12 @@ class Inputs:
         text = self.passages.select("pid", F.col("text").alias("passage"))
         return self.pairs.join(text, "pid").select(F.col("rank").alias("ord"), "qid", "pid", "passage")
 
+    @functools.cached_property
+    def first_candidates(self) -> DataFrame:
+        """Those that feedback may take. Ranks count from 1 without gaps, so none of a later rank is among a
+        query's first, and only these get their text."""
+        return self.candidates.filter(F.col("ord") <= FEEDBACK)
+
     @functools.cached_property
     def text_qrels(self) -> DataFrame:
         """Documents that hold a benchmark passage word for word, as grade 3.

@@ -1,6 +1,7 @@
 import pytest
 
-from rankflow.plans import catalog
+from rankflow.operators import expansion
+from rankflow.plans import catalog, fixtures
 
 WORDS = "ash birch cedar fir gum holly ivy juniper larch maple".split()
 
@@ -15,6 +16,16 @@ def folder(spark, rng, tmp_path):
     return str(tmp_path)
 
 
+def test_feedback_takes_the_texts_of_first_candidates_alone(spark, folder):
+    made = fixtures.Inputs(spark, folder)
+    plan = made.first_candidates._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(n for n, line in enumerate(plan) if "Join" in line)
+    assert [line for line in plan[join:] if "Filter" in line and f"<= {fixtures.FEEDBACK}" in line]
+    whole = expansion.prf_context(made.candidates, fixtures.FEEDBACK).collect()
+    assert len(whole) == 8 and made.first_candidates.count() < made.candidates.count() / 5
+    assert sorted(map(tuple, expansion.prf_context(made.first_candidates, fixtures.FEEDBACK).collect())) == sorted(map(tuple, whole))
+
+
 def test_candidate_files_hold_few_pairs_in_order(spark, folder, tmp_path, monkeypatch):
     monkeypatch.setattr(catalog, "PAIRS_PER_FILE", 20)
     monkeypatch.setattr(catalog, "shared_folder", lambda _, label: f"{tmp_path}/{label}")
