@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 from test_scoring import bm25_by_hand, corpus, frames
 
@@ -114,3 +115,43 @@ def test_stored_index_holds_terms_without_numbers(spark, rng):
     number = {r.term: r.id for r in scoring.term_counts(held).select("term", scoring.term_number("term").alias("id")).collect()}
     plain = sorted((r.pid, r.dl, number[r.term], r.tf) for r in scoring.term_counts(held).collect())
     assert sorted(tuple(r) for r in counts.collect()) == plain
+
+
+@pytest.mark.parametrize("share", [1, 4, 10**6])
+@pytest.mark.parametrize("figures", [0, 2000, 10**6])
+def test_batches_answer_as_plain_sums(rng, monkeypatch, share, figures):
+    """Many queries at once, terms that few, many and all passages hold, kept as rows or not: the best by (score, id) of plain sums."""
+    monkeypatch.setattr(cells, "COMMON_SHARE", share)
+    monkeypatch.setattr(cells, "COMMON_FIGURES", figures)
+    monkeypatch.setattr(cells, "MET_FIGURES", 7 * 300)
+    monkeypatch.setattr(cells, "MET_POSTINGS", 500)
+    part = {(p, t): rng.choice([0.5, 1.0, 1.5]) for p in range(300) for t in range(40) if rng.random() < (1.0 if t < 2 else 1 / t)}
+    rows = [(p, t) for p, t in part]
+    rng.shuffle(rows)
+    cell = cells._Cell(pa.table({"pid": [p for p, _ in rows], "term": [t for _, t in rows], "part": [part[r] for r in rows]}))
+    place = {t: at for at, t in enumerate(cell.terms.to_pylist())}
+    asked = [[(place[t], 0.1 + t) for t in rng.sample(sorted(place), rng.randint(0, 6))] for _ in range(50)]
+    row = np.repeat(np.arange(50), [len(a) for a in asked])
+    terms, weights = (np.array([x[at] for a in asked for x in a], kind) for at, kind in ((0, np.int64), (1, float)))
+    back = {at: t for t, at in place.items()}
+    for k, spare in ((1, None), (3, 1), (5, 2), (5, None), (400, 1)):
+        got = {}
+        for batch in cell.best_of_many(row, terms, weights, 50, k, spare):
+            for q, d, s in zip(*(x.tolist() for x in batch), strict=True):
+                got.setdefault(q, []).append((-s, cell.pids[d].as_py()))
+        for q, own in enumerate(asked):
+            sums = {p: sum(w * part.get((p, back[t]), 0.0) for t, w in own) for p in range(300)}
+            assert sorted(got.get(q, [])) == sorted((-np.floor(s * 1e9 + 0.5) / 1e9, p) for p, s in sums.items() if s)[:k]
+
+
+def test_a_batch_takes_few_calls(rng):
+    """Ten thousand queries of a cell take calls per batch and per common term, none per query or posting."""
+    import cProfile
+    import pstats
+
+    rows = [(p, t) for p in range(500) for t in rng.sample(range(400), 5)]
+    cell = cells._Cell(pa.table({"pid": [p for p, _ in rows], "term": [t for _, t in rows], "part": [1.0] * len(rows)}))
+    row, terms = np.repeat(np.arange(10_000), 3), np.array([t for _ in range(10_000) for t in rng.sample(range(len(cell.terms)), 3)])
+    with cProfile.Profile() as profile:
+        found = sum(len(np.unique(q)) for q, _, _ in cell.best_of_many(row, terms, np.ones(len(row)), 10_000, 3, 2))
+    assert found == 10_000 and pstats.Stats(profile).total_calls < 20_000
