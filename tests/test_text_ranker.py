@@ -120,3 +120,14 @@ def test_registered_queries(spark):
     got = {r.ranker: r for r in QUERIES["text_ranker_metrics"](spark, folder).collect()}
     assert set(got) == {"figures", "texts"} and got["figures"].queries == got["texts"].queries > 0
     assert all(0 < r["mrr@10"] <= 1 for r in got.values())
+
+
+def test_vectors_are_stored_once_for_the_fit(spark, rng):
+    """MLlib reads stored vectors, equal to the plain matrix; no Python runs when it reads them again."""
+    features = rows(spark, rng, 1200)
+    vectors = text_ranker._vectors(features)
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Python" not in plan and "Arrow" not in plan
+    matrix, labels, _ = dense(features)
+    expected = sorted((tuple(np.round(x, 12)), y) for x, y in zip(matrix, labels, strict=True))
+    assert sorted((tuple(np.round(r.features.toArray(), 12)), r.label) for r in vectors.collect()) == expected
