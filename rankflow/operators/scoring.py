@@ -30,7 +30,7 @@ from rankflow.functions.scores import LEXICAL_PLACES
 from rankflow.functions.text import terms, words
 from rankflow.operators.cells import best_by_cell, cell_count, cell_count_later
 from rankflow.operators.numbering import top_within
-from rankflow.session import exists, stage
+from rankflow.session import exists, released, stage
 
 COUNTED_ROWS = 1000
 """Passages whose terms are counted at a time."""
@@ -175,11 +175,16 @@ def term_number(term: Column | str, seed: int = 0) -> Column:
     return F.xxhash64(F.lit(seed), F.col(term) if isinstance(term, str) else term)
 
 
+def _numbered(bags: DataFrame, seed: int) -> DataFrame:
+    """``_entries`` with numbers for terms, made on reading: stored, they would take more room than the terms."""
+    return _entries(bags).withColumn("term", term_number("term", seed))
+
+
 @dataclass(frozen=True)
 class Collection:
     """A passage collection as term counts, with its size and mean length in terms; ``total``, its length, once it is counted.
 
-    A stored collection is a forward index; ``counts`` names terms by number then, and
+    A stored collection is a forward index, ``bags``; ``counts`` names terms by number then, by ``seed``, and
     ``vocabulary`` holds ``(term, id, df)``. Otherwise terms name themselves and their frequencies
     are counted when they are asked for.
     """
@@ -190,6 +195,8 @@ class Collection:
     mean_length: Column
     vocabulary: DataFrame | None = None
     total: int | None = None
+    bags: DataFrame | None = None
+    seed: int = 0
 
     @staticmethod
     def of(passages: DataFrame | Collection) -> Collection:
@@ -210,15 +217,16 @@ class Collection:
         for seed in range(seeds):
             frequencies = bags.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
             vocabulary = stage(frequencies.withColumn("id", term_number("term", seed)), "vocabulary")
-            if vocabulary.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+            with released(passages.sparkSession):
+                told_apart = vocabulary.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+            if told_apart:
                 break
         else:
             raise RuntimeError("no seed tells all terms apart")
         size, total = bags.agg(F.count("*"), F.sum("dl")).first()
-        # Terms are numbered on reading: stored, the numbers would take more room than the terms.
-        counts = _entries(bags).withColumn("term", term_number("term", seed))
+        counts = _numbered(bags, seed)
         mean = (total or 0) / size if size else 0.0
-        return Collection(counts, bags.select("pid", "dl"), F.lit(size), F.lit(mean), vocabulary, total or 0)
+        return Collection(counts, bags.select("pid", "dl"), F.lit(size), F.lit(mean), vocabulary, total or 0, bags, seed)
 
     def counted(self) -> Collection:
         """With size and length as numbers, by a job that reads an unstored collection once; later jobs don't count it then."""
@@ -227,6 +235,12 @@ class Collection:
         size, mean, total = self.lengths.agg(F.count("*"), F.avg("dl"), F.sum("dl")).first()
         return replace(self, size=F.lit(size), mean_length=F.lit(mean).cast("double"), total=total or 0)
 
+    def counts_of(self, pids: DataFrame) -> DataFrame:
+        """``counts`` of some passages; of a stored collection they are chosen while they are one row each."""
+        if self.bags is None:
+            return self.counts.join(pids, "pid", "left_semi")
+        return _numbered(self.bags.join(pids, "pid", "left_semi"), self.seed)
+
     @property
     def cells(self) -> int | Column:
         """How many cells ``retrieve`` cuts it into; a number where it is counted."""
@@ -345,7 +359,7 @@ def asked_bags(collection: Collection, vocabulary: DataFrame, pids: DataFrame) -
     Passages come without what no query asks for, however long they are, and groups by count let
     a pair find what it shares as sets.
     """
-    held = filtered_counts(collection.counts, vocabulary).join(pids, "pid", "left_semi").repartition("pid")
+    held = filtered_counts(collection.counts_of(pids), vocabulary).repartition("pid")
     by_count = held.groupBy("pid", "dl", "tf").agg(F.collect_list("term").alias("terms"))
     return by_count.groupBy("pid", "dl").agg(F.collect_list(F.struct("tf", "terms")).alias("groups"))
 
