@@ -77,3 +77,12 @@ def test_pairs_choose_passages_before_their_terms(spark, rng):
     taken_apart = next(at for at, line in enumerate(lines) if "Generate explode(arrays_zip" in line)
     assert any("Join LeftSemi" in line and "pid#" in line for line in lines[taken_apart + 1 :])
     assert bags.count() <= 3
+
+
+def test_repeated_runs_are_written_compressed(spark):
+    """Run files with every row twice would take several times the tables they come from."""
+    from rankflow.plans import catalog
+    from rankflow.plans.fixtures import Inputs
+
+    for path in catalog._repeated_zero_based(Inputs(spark, "/root/testdata/sf0.001")):
+        assert all(name.endswith(".gz") for name in spark.read.text(path).inputFiles())
